@@ -108,6 +108,10 @@ def _measure_sql(kind, src) -> str:
 
 
 def gold_sql(table: str) -> str:
+    return with_base("\n" + gold_body(table))
+
+
+def gold_body(table: str) -> str:
     """Literal form: 4 filtered copies x (1 or 2) bases, UNION ALL."""
     d = gold.GOLD_DEFS[table]
     parts = []
@@ -125,10 +129,14 @@ def gold_sql(table: str) -> str:
             sel += [f"{_measure_sql(kind, src)} AS {name}" for name, (kind, src) in d.measures]
             group_by = f" GROUP BY {', '.join(grp)}" if grp else ""
             parts.append(f"SELECT {', '.join(sel)} FROM gsilver WHERE {cond}{group_by}")
-    return with_base("\n" + "\nUNION ALL\n".join(parts))
+    return "\nUNION ALL\n".join(parts)
 
 
 def payment_null_profile_sql() -> str:
+    return with_base("\nSELECT * FROM (" + payment_null_profile_body() + ") AS pnp")
+
+
+def payment_null_profile_body() -> str:
     fields = spec.PAYMENT_NULL_PROFILE_FIELDS
     all_null = " AND ".join(f"{f} IS NULL" for f in fields)
     per_variant = []
@@ -141,7 +149,7 @@ def payment_null_profile_sql() -> str:
     longs = "\nUNION ALL\n".join(
         f"SELECT data_variant, payment_type, '{f}' AS field_name, row_count, n_{f} AS null_count, all_null FROM g"
         for f in fields)
-    return with_base(f""",
+    return (f"""WITH
 g AS ({grouped}),
 l AS ({longs})
 SELECT data_variant, CAST(payment_type AS BIGINT) AS payment_type, field_name,
@@ -200,6 +208,10 @@ def _metric(basis: str, source_file: str, source_month: str, category: str, name
 
 
 def data_quality_sql() -> str:
+    return with_base("\nSELECT * FROM (" + data_quality_body() + ") AS dq")
+
+
+def data_quality_body() -> str:
     ov = "'overall'"
     nul = "CAST(NULL AS VARCHAR)"
     parts = []
@@ -257,7 +269,7 @@ def data_quality_sql() -> str:
     count(*) FILTER (WHERE NOT _silver_zero_duration) AS v_exclude_zero_duration,
     count(*) FILTER (WHERE NOT _silver_zero_distance) AS v_exclude_zero_distance,
     count(*) FILTER (WHERE NOT _silver_zero_duration AND NOT _silver_zero_distance) AS v_exclude_both"""
-    return with_base(f""",
+    return (f"""WITH
 tlog AS (
   SELECT _bronze_source_file AS source_file, count(*) AS rows_read,
     count(*) FILTER (WHERE is_valid) AS rows_written, count(*) FILTER (WHERE NOT is_valid) AS rows_rejected
@@ -288,3 +300,21 @@ offf AS (
     sum(count(*)) OVER (PARTITION BY _bronze_source_file) AS file_rows
   FROM silver GROUP BY 1, 2)
 """ + "\nUNION ALL\n".join(parts))
+
+
+def with_tables(tables: dict[str, str], body: str) -> str:
+    """Base CTEs plus named derived tables (name -> SQL body), then `body`."""
+    extra = "".join(f",\n{name} AS (\n{sql}\n)" for name, sql in tables.items())
+    return with_base(extra + "\n" + body)
+
+
+def gold_tables(*names: str) -> dict[str, str]:
+    out = {}
+    for n in names:
+        if n == "payment_null_profile":
+            out[n] = payment_null_profile_body()
+        elif n == "data_quality_summary":
+            out[n] = data_quality_body()
+        else:
+            out[n] = gold_body(n)
+    return out

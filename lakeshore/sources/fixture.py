@@ -52,6 +52,17 @@ FROM p
 """
 
 
+# Raw columns of the derived trips, in order, and the numeric ones among them.
+RAW_COLUMNS = (
+    "VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime", "passenger_count", "trip_distance",
+    "RatecodeID", "store_and_fwd_flag", "PULocationID", "DOLocationID", "payment_type", "fare_amount",
+    "extra", "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge", "total_amount",
+    "congestion_surcharge", "Airport_fee", "cbd_congestion_fee", "_bronze_source_file",
+)
+RAW_NUMERIC_COLUMNS = tuple(c for c in RAW_COLUMNS if c not in (
+    "tpep_pickup_datetime", "tpep_dropoff_datetime", "store_and_fwd_flag", "_bronze_source_file"))
+
+
 def trips_sql(dialect: str = "spark") -> str:
     base = SPARK_BASE_TS if dialect == "spark" else DUCKDB_BASE_TS
     return TRIPS_SQL.replace("{B}", base)
