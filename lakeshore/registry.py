@@ -109,7 +109,7 @@ def _gold_doubles(table: str) -> list[str]:
 def core_queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         "silver_clean": Query(_silver_clean, oracle.silver_sql(), oracle.SILVER_DOUBLES),
-        "quarantine_flags": Query(_quarantine, oracle.quarantine_sql(), []),
+        "quarantine_flags": Query(_quarantine, oracle.quarantine_sql(), ["trip_distance", *spec.AMOUNT_COLUMNS]),
         "rule_breakdown": Query(_rule_breakdown, oracle.rule_breakdown_sql(), []),
     }
     aliases = {"payment_zone_flow": "payment_zone_flow_monthly", "vendor_zone_flow": "vendor_zone_flow_monthly"}

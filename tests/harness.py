@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+from collections import Counter
 import math
 
 import duckdb
@@ -31,7 +32,7 @@ def _norm(v, digits: int):
             return None
         if math.isinf(v):
             return v
-        return round(v, digits)
+        return v if digits >= 17 else round(v, digits)
     if isinstance(v, pd.Timestamp):
         return v.to_pydatetime().replace(tzinfo=None)
     if hasattr(v, "item"):
@@ -58,12 +59,16 @@ def compare(spark_pdf: pd.DataFrame, duck_pdf: pd.DataFrame, digits: int = 6) ->
         res["cols_spark"] = sorted(spark_pdf.columns)
         res["cols_oracle"] = sorted(duck_pdf.columns)
         return res
-    a, b = _rows(spark_pdf, digits), _rows(duck_pdf, digits)
+    a, b = Counter(_rows(spark_pdf, digits)), Counter(_rows(duck_pdf, digits))
     res["values_match"] = a == b
     if a != b:
-        diffs = [(x, y) for x, y in zip(a, b) if x != y]
-        res["n_diff"] = len(diffs)
-        res["first_diff"] = diffs[:2]
-    exact_a, exact_b = _rows(spark_pdf, 15), _rows(duck_pdf, 15)
+        only_a, only_b = a - b, b - a
+        res["n_diff"] = sum(only_a.values())
+        res["only_spark"] = list(only_a)[:2]
+        res["only_oracle"] = list(only_b)[:2]
+    exact_a, exact_b = Counter(_rows(spark_pdf, 17)), Counter(_rows(duck_pdf, 17))
     res["exact_match"] = exact_a == exact_b
+    if exact_a != exact_b:
+        res["exact_only_spark"] = list(exact_a - exact_b)[:1]
+        res["exact_only_oracle"] = list(exact_b - exact_a)[:1]
     return res
