@@ -228,15 +228,21 @@ def finish(fanned: DataFrame, keys, measures, monthly: bool) -> DataFrame:
     return merged.select(*cols)
 
 
-def build(silver: DataFrame, table: str) -> DataFrame:
-    """Build one Gold table (all variants and bases) from Silver rows."""
+def prepare(silver: DataFrame, table: str) -> DataFrame:
+    """Silver plus the derived inputs this table's measures and keys need."""
     d = GOLD_DEFS[table]
     src = silver
     if "finite_speed_mph" not in silver.columns:
-        src = silver.withColumn("finite_speed_mph", finite_or_null(F.col("avg_speed_mph")))
+        src = src.withColumn("finite_speed_mph", finite_or_null(F.col("avg_speed_mph")))
     if "trip_date" in d.keys and "trip_date" not in src.columns:
         src = src.withColumn("trip_date", F.to_date(F.col("pickup_datetime")))
-    pre = preaggregate(src, d.keys, d.measures, d.monthly)
+    return src
+
+
+def build(silver: DataFrame, table: str) -> DataFrame:
+    """Build one Gold table (all variants and bases) from Silver rows."""
+    d = GOLD_DEFS[table]
+    pre = preaggregate(prepare(silver, table), d.keys, d.measures, d.monthly)
     return finish(fan_out(pre, d.monthly), d.keys, d.measures, d.monthly)
 
 

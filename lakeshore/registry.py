@@ -16,6 +16,8 @@ hit ties constantly on such data). The library itself keeps full precision.
 
 from __future__ import annotations
 
+import hashlib
+import os
 from dataclasses import dataclass, field
 from typing import Callable
 
@@ -25,7 +27,8 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from . import oracle, spec
 from .operators import gold, quality, silver
-from .sources.fixture import load_table, raw_trips
+from .session import checkpoint_dir
+from .sources.fixture import raw_trips
 
 STABLE_SCALE = 1048576.0  # 2^20
 
@@ -63,8 +66,31 @@ def bronze_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_trips(spark, sf_dir)
 
 
+_FLAGGED: dict[tuple[str, str], str] = {}
+
+
+def flagged_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validated Bronze (raw rows + rule columns), written once per
+    application and input folder as Parquet under spark.checkpoint.dir.
+
+    This is the lazy twin of the pipeline's Bronze table: every query then
+    reads a columnar table (column pruning, pushdown) instead of re-deriving
+    the rows, and the lineage is cut at a reliable, shared location.
+    """
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    path = _FLAGGED.get(key)
+    if path is None:
+        base = checkpoint_dir(spark).rstrip("/")
+        digest = hashlib.sha1(repr(key).encode()).hexdigest()[:16]
+        path = f"{base}/lakeshore-validated-bronze-{digest}"
+        silver.flag_rules(bronze_frame(spark, sf_dir)).write.mode("overwrite").parquet(path)
+        _FLAGGED[key] = path
+    return spark.read.parquet(path)
+
+
 def silver_result(spark: SparkSession, sf_dir: str) -> silver.SilverResult:
-    return silver.clean(bronze_frame(spark, sf_dir))
+    flagged = flagged_table(spark, sf_dir)
+    return silver.SilverResult(flagged, silver.silver_rows(flagged), silver.quarantine_rows(flagged))
 
 
 def success_log(flagged: DataFrame) -> DataFrame:
