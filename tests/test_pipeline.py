@@ -6,6 +6,7 @@ import os
 from pyspark.sql import functions as F
 
 from lakeshore import registry, spec
+from lakeshore.operators import profile
 from lakeshore.plans import pipeline
 from lakeshore.sources.fixture import raw_trips
 from lakeshore.sources.tables import Warehouse
@@ -42,6 +43,11 @@ def test_full_run_incremental_and_idempotent(spark, scratch):
     assert (b.processed, b.skipped, s.processed, s.skipped) == (0, 2, 0, 2)
     assert wh.row_count(spec.BRONZE_TABLE) == n_bronze and wh.row_count(spec.SILVER_TABLE) == n_silver
 
+    # Partition inventory of the month-partitioned Silver table.
+    inv = profile.partition_inventory(wh.read(spec.SILVER_TABLE)).collect()
+    assert sum(r.record_count for r in inv) == n_silver
+    assert all(r.file_count >= 1 for r in inv) and all(len(r.pickup_month) == 7 for r in inv)
+
     # A new month arrives: only it is processed.
     _write_raw(spark, cfg.raw_dir, FILES[2:])
     assert pipeline.run_all(spark, cfg) == 0
