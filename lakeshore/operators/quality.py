@@ -114,7 +114,8 @@ def quarantine_profile(quarantine: DataFrame) -> DataFrame:
 
 
 def data_quality_summary(silver: DataFrame, quarantine: DataFrame, bronze_rows: DataFrame,
-                         transform_log: DataFrame, *, with_run_columns: bool = True) -> DataFrame:
+                         transform_log: DataFrame, *, with_run_columns: bool = True,
+                         materialize: bool = True) -> DataFrame:
     """All metric families of the quality table.
 
     `bronze_rows` is a one-row frame with column `bronze_rows`; `transform_log`
@@ -122,17 +123,23 @@ def data_quality_summary(silver: DataFrame, quarantine: DataFrame, bronze_rows:
     rows_written).
     """
     prof = silver_profile(silver)
+    qp = quarantine_profile(quarantine)
+    if materialize:
+        # Both reductions are tiny (files x offsets x months x 4 rows, and one
+        # row); checkpointing them means every metric family below re-reads
+        # them instead of re-scanning Silver or quarantine.
+        prof = prof.checkpoint(eager=True)
+        qp = qp.checkpoint(eager=True)
     overall = overall_totals(prof)
     months = month_totals(prof)
-    qp = quarantine_profile(quarantine)
 
     # pipeline: bronze, silver, rejected, accounted (percent of bronze rows).
-    # All three inputs are global aggregates: exactly one row each.
-    pipe = (bronze_rows.select(F.col("bronze_rows").cast("bigint").alias("bronze_rows"), F.lit(1).alias("_k"))
-            .join(F.broadcast(overall.select(F.col("rows").alias("silver_rows"), F.lit(1).alias("_k"))), "_k")
-            .join(F.broadcast(qp.select(F.col("rejected").alias("rows_rejected_unique"), F.lit(1).alias("_k"))),
-                  "_k"))
-    pipe = pipe.withColumn("rows_accounted_for", F.col("silver_rows") + F.col("rows_rejected_unique"))
+    # Bronze and rejected counts enter as scalar subqueries (no joins).
+    pipe = overall.select(
+        bronze_rows.select(F.col("bronze_rows").cast("bigint")).scalar().alias("bronze_rows"),
+        F.col("rows").alias("silver_rows"),
+        qp.select("rejected").scalar().alias("rows_rejected_unique"),
+    ).withColumn("rows_accounted_for", F.col("silver_rows") + F.col("rows_rejected_unique"))
     pipe_long = _long(pipe, [("bronze_rows", "bronze_rows"), ("silver_rows", "silver_rows"),
                              ("rows_rejected_unique", "rows_rejected_unique"),
                              ("rows_accounted_for", "rows_accounted_for")], ["bronze_rows"])
@@ -213,13 +220,11 @@ def data_quality_summary(silver: DataFrame, quarantine: DataFrame, bronze_rows:
 
 def source_balance(bronze_rows: DataFrame, silver: DataFrame, quarantine: DataFrame) -> DataFrame:
     """bronze = silver + quarantine? (skipped, i.e. balanced, when bronze is 0)."""
-    s = silver.agg(F.count(F.lit(1)).alias("silver_rows"))
-    q = quarantine.agg(F.count(F.lit(1)).alias("quarantine_rows"))
-    b = bronze_rows.select(F.col("bronze_rows").cast("bigint"))
-    out = (b.withColumn("_k", F.lit(1))
-           .join(F.broadcast(s.withColumn("_k", F.lit(1))), "_k")
-           .join(F.broadcast(q.withColumn("_k", F.lit(1))), "_k")
-           .drop("_k"))
+    out = bronze_rows.select(
+        F.col("bronze_rows").cast("bigint").alias("bronze_rows"),
+        silver.agg(F.count(F.lit(1))).scalar().alias("silver_rows"),
+        quarantine.agg(F.count(F.lit(1))).scalar().alias("quarantine_rows"),
+    )
     accounted = F.col("silver_rows") + F.col("quarantine_rows")
     return out.select(
         "bronze_rows", "silver_rows", "quarantine_rows", accounted.alias("accounted_rows"),

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pathlib import Path
 from typing import Any, Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.common import as_category_string, optional_eq
@@ -103,15 +103,6 @@ def weighted_kpis(monthly: DataFrame) -> DataFrame:
     )
 
 
-def with_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a global aggregate (exactly one row) to every row.
-
-    Planned as a broadcast hash join on a constant key; the broadcast side's
-    size is bounded by construction (one row).
-    """
-    return df.withColumn("_k", F.lit(1)).join(F.broadcast(one_row.withColumn("_k", F.lit(1))), "_k").drop("_k")
-
-
 def top_k(df: DataFrame, k: int, by: str = "trip_count", tie_keys: list[str] | None = None) -> DataFrame:
     """k largest rows by `by`; ties broken by the given keys (ascending).
 
@@ -126,17 +117,17 @@ def top_zones_share(zone_monthly: DataFrame, zone_column: str, k: int = 20) -> D
     """Top-k zones by summed trips with their share of all shown-zone trips.
 
     The share base is the total over all zones (not just the top k); a base
-    of 0 gives NULL ("n/a"). The base is a one-row global aggregate joined
-    by broadcast (its size is exactly one row).
+    of 0 gives NULL ("n/a"). The base is a scalar subquery: computed once by
+    its own global aggregate, no join.
     """
     per_zone = (zone_monthly.filter(F.col(zone_column).isNotNull())
                 .groupBy(zone_column).agg(F.sum("trip_count").cast("bigint").alias("trip_count")))
     top = top_k(per_zone, k, tie_keys=[zone_column])
-    out = with_one_row(top, zone_monthly.agg(F.sum("trip_count").cast("double").alias("_base")))
-    return out.select(
+    base = zone_monthly.agg(F.sum("trip_count").cast("double")).scalar()
+    return top.select(
         as_category_string(F.col(zone_column)).alias(zone_column),
         "trip_count",
-        F.when(F.col("_base") != 0, F.col("trip_count") / F.col("_base") * 100.0).alias("share_percent"),
+        F.when(base != 0, F.col("trip_count") / base * 100.0).alias("share_percent"),
     )
 
 
@@ -157,12 +148,10 @@ def pipeline_funnel(quality: DataFrame) -> DataFrame:
     pipe = quality.filter((F.col("month_basis") == "overall") & (F.col("metric_category") == "pipeline")
                           & F.col("metric_name").isin(*FUNNEL_ORDER) & F.col("metric_value").isNotNull())
     pipe = pipe.withColumn("step", F.array_position(order, F.col("metric_name")).cast("int"))
-    w = Window.partitionBy("metric_name").orderBy(F.col("metric_value").asc())
-    first = pipe.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
-    # At most three rows (one per funnel name) reach this window.
-    w_all = (Window.partitionBy(F.lit(0)).orderBy("step")
-             .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    initial = F.first("metric_value").over(w_all)
+    # First row per name (deterministically the smallest value), then the
+    # first step's value as a scalar subquery over at most three rows.
+    first = pipe.groupBy("metric_name", "step").agg(F.min("metric_value").alias("metric_value"))
+    initial = first.orderBy("step").limit(1).select("metric_value").scalar()
     return first.select(
         "step", "metric_name", "metric_value",
         F.when(initial != 0, F.col("metric_value") / initial * 100.0).alias("percent_initial"),
@@ -206,12 +195,8 @@ def profile_as_metrics(profile: DataFrame, data_variant: str = "all", payment_ty
 def share_of_total(df: DataFrame, value: str, base: Column | None = None) -> DataFrame:
     """Each row's share of the total of the shown rows (or of a given base).
 
-    The total is a one-row global aggregate joined by broadcast, not a window
-    over an unpartitioned frame, so no single task has to hold all rows.
+    The total is a scalar subquery (its own global aggregate, computed once),
+    not a window over an unpartitioned frame, so no task holds all rows.
     """
-    if base is None:
-        out = with_one_row(df, df.agg(F.sum(value).cast("double").alias("_base")))
-    else:
-        out = df.withColumn("_base", base.cast("double"))
-    return out.withColumn("share_percent", F.when(F.col("_base") != 0, F.col(value) / F.col("_base") * 100.0)) \
-        .drop("_base")
+    total = df.agg(F.sum(value).cast("double")).scalar() if base is None else base.cast("double")
+    return df.withColumn("share_percent", F.when(total != 0, F.col(value) / total * 100.0))

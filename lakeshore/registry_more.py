@@ -534,7 +534,10 @@ def _reconcile_sql() -> str:
 
 def check_queries() -> dict[str, Query]:
     def _reconcile(s, sf):
-        return checks.gold_reconcile(s, _gold_frames(s, sf, RECONCILE_TABLES))
+        # The checks read each Gold table several times; in production they
+        # read the written tables, here the frames are checkpointed likewise.
+        frames = {n: df.checkpoint(eager=True) for n, df in _gold_frames(s, sf, RECONCILE_TABLES).items()}
+        return checks.gold_reconcile(s, frames)
 
     def _inventory(s, sf):
         return checks.dq_inventory(_gold_frames(s, sf, ["data_quality_summary"])["data_quality_summary"])
