@@ -158,16 +158,31 @@ def _atoms(measures) -> tuple[list[str], list[str]]:
 
 
 def _month_keys(silver: DataFrame) -> list[Column]:
-    # Cheap per-row keys; the text labels are formatted after aggregation.
+    """Integer month keys (year * 12 + month - 1) for both bases.
+
+    Silver's `_silver_source_month_offset` is pickup month minus file month,
+    so the file month is the pickup month minus the offset: all-integer keys,
+    no per-row string hashing or regex. Tables without the offset fall back
+    to grouping by the file name (labelled after aggregation).
+    """
     p = F.col("pickup_datetime")
-    return [
-        (F.year(p) * 100 + F.month(p)).alias("_pickup_ym"),
-        F.col(spec.SOURCE_FILE_COLUMN).alias("_source_file"),
-    ]
+    pickup_idx = F.year(p) * 12 + F.month(p) - 1
+    if spec.OFFSET_COLUMN in silver.columns:
+        source = (pickup_idx - F.col(spec.OFFSET_COLUMN)).alias("_source_idx")
+    else:
+        source = F.col(spec.SOURCE_FILE_COLUMN).alias("_source_file")
+    return [pickup_idx.alias("_pickup_idx"), source]
+
+
+def _idx_label(idx: Column) -> Column:
+    """`yyyy-MM` text of a month index (NULL stays NULL)."""
+    return F.when(idx.isNotNull(), F.format_string("%04d-%02d", F.floor(idx / 12), idx % 12 + 1))
 
 
-def _ym_label(ym: Column) -> Column:
-    return F.when(ym.isNotNull(), F.format_string("%04d-%02d", F.floor(ym / 100), ym % 100))
+def _source_label(pre: DataFrame) -> Column:
+    if "_source_idx" in pre.columns:
+        return _idx_label(F.col("_source_idx"))
+    return source_month_label(F.col("_source_file"))
 
 
 def preaggregate(silver: DataFrame, keys, measures, monthly: bool) -> DataFrame:
@@ -189,8 +204,8 @@ def fan_out(pre: DataFrame, monthly: bool) -> DataFrame:
     out = pre.withColumn("data_variant", F.explode(variant_list(F.col("_zd"), F.col("_zdist"))))
     if monthly:
         bases = F.array(
-            F.struct(F.lit("pickup_month").alias("b"), _ym_label(F.col("_pickup_ym")).alias("m")),
-            F.struct(F.lit("source_month").alias("b"), source_month_label(F.col("_source_file")).alias("m")),
+            F.struct(F.lit("pickup_month").alias("b"), _idx_label(F.col("_pickup_idx")).alias("m")),
+            F.struct(F.lit("source_month").alias("b"), _source_label(pre).alias("m")),
         )
         out = (out.withColumn("_basis", F.explode(bases))
                .withColumn("month_basis", F.col("_basis.b"))

@@ -69,6 +69,11 @@ def test_full_run_incremental_and_idempotent(spark, scratch):
     a = registry.stable(gold_file.select(*cols)).collect()
     b_ = registry.stable(lazy).collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b_))
+    assert gold_file.columns == lazy.columns  # partition columns restored to the front
+    flows = pipeline.load_gold(spark, cfg.warehouse, "zone_flow_monthly")
+    pruned = flows.filter("data_variant = 'all' AND month_basis = 'pickup_month'")
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(data_variant" in plan
     dq = pipeline.load_gold(spark, cfg.warehouse, "data_quality_summary")
     assert dq.filter("metric_category = 'pipeline_file' AND metric_name = 'rows_read'").count() == 3
     glog = wh.read(spec.GOLD_LOG_TABLE)
