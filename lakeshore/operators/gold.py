@@ -179,12 +179,6 @@ def _idx_label(idx: Column) -> Column:
     return F.when(idx.isNotNull(), F.format_string("%04d-%02d", F.floor(idx / 12), idx % 12 + 1))
 
 
-def _source_label(pre: DataFrame) -> Column:
-    if "_source_idx" in pre.columns:
-        return _idx_label(F.col("_source_idx"))
-    return source_month_label(F.col("_source_file"))
-
-
 def preaggregate(silver: DataFrame, keys, measures, monthly: bool) -> DataFrame:
     """Stage 1: one pass over Silver at (keys, zero flags, month keys)."""
     sums, counts = _atoms(measures)
@@ -199,31 +193,57 @@ def preaggregate(silver: DataFrame, keys, measures, monthly: bool) -> DataFrame:
     return silver.groupBy(*group).agg(*aggs)
 
 
+def _label(codes: tuple[str, ...], idx: Column) -> Column:
+    """Text label of an integer code (0-based index into `codes`)."""
+    return F.element_at(F.array(*[F.lit(c) for c in codes]), idx + 1)
+
+
+def _variant_codes(zd: Column, zdist: Column) -> Column:
+    """Indexes into DATA_VARIANTS of the variants a flag pair belongs to."""
+    return F.filter(F.array(F.lit(0), F.when(~zd, F.lit(1)), F.when(~zdist, F.lit(2)),
+                            F.when(~zd & ~zdist, F.lit(3))), lambda v: v.isNotNull())
+
+
 def fan_out(pre: DataFrame, monthly: bool) -> DataFrame:
-    """Stage 2: each pre-aggregated row -> its variants x month bases."""
-    out = pre.withColumn("data_variant", F.explode(variant_list(F.col("_zd"), F.col("_zdist"))))
+    """Stage 2: each pre-aggregated row -> its variants x month bases.
+
+    Variant, basis and month stay integer codes through the merge; the text
+    labels are produced on the final rows only.
+    """
+    out = pre.withColumn("_v", F.explode(_variant_codes(F.col("_zd"), F.col("_zdist"))))
     if monthly:
-        bases = F.array(
-            F.struct(F.lit("pickup_month").alias("b"), _idx_label(F.col("_pickup_idx")).alias("m")),
-            F.struct(F.lit("source_month").alias("b"), _source_label(pre).alias("m")),
-        )
-        out = (out.withColumn("_basis", F.explode(bases))
-               .withColumn("month_basis", F.col("_basis.b"))
-               .withColumn("year_month", F.col("_basis.m")))
+        by_file = "_source_file" in pre.columns
+        pickup_m = F.col("_pickup_idx").cast("string") if by_file else F.col("_pickup_idx")
+        source_m = F.col("_source_file") if by_file else F.col("_source_idx")
+        bases = F.array(F.struct(F.lit(0).alias("b"), pickup_m.alias("m")),
+                        F.struct(F.lit(1).alias("b"), source_m.alias("m")))
+        out = out.withColumn("_basis", F.explode(bases)).withColumns(
+            {"_b": F.col("_basis.b"), "_m": F.col("_basis.m")})
     return out
 
 
+def _month_text(m: Column, by_file: bool, basis: Column) -> Column:
+    if not by_file:
+        return _idx_label(m)
+    # Fallback layout: pickup months arrive as index text, source months as file names.
+    return F.when(basis == 0, _idx_label(m.cast("int"))).otherwise(source_month_label(m))
+
+
 def finish(fanned: DataFrame, keys, measures, monthly: bool) -> DataFrame:
     """Stage 3: merge the measures per output row and compute the means."""
     sums, counts = _atoms(measures)
-    group = ["data_variant"] + (["month_basis", "year_month"] if monthly else []) + list(keys)
+    group = ["_v"] + (["_b", "_m"] if monthly else []) + list(keys)
     merged = fanned.groupBy(*group).agg(
         F.sum("_n").alias("_n"),
         *[F.sum(f"_s_{c}").alias(f"_s_{c}") for c in sums],
         *[F.sum(f"_c_{c}").alias(f"_c_{c}") for c in counts],
     )
-    cols = [F.col(k).cast(KEY_TYPES.get(k, "string")).alias(k) if k in KEY_TYPES else F.col(k)
-            for k in group]
+    cols = [_label(spec.DATA_VARIANTS, F.col("_v")).alias("data_variant")]
+    if monthly:
+        by_file = "_source_file" in fanned.columns
+        cols += [_label(spec.MONTH_BASES, F.col("_b")).alias("month_basis"),
+                 _month_text(F.col("_m"), by_file, F.col("_b")).alias("year_month")]
+    cols += [F.col(k).cast(KEY_TYPES[k]).alias(k) if k in KEY_TYPES else F.col(k) for k in keys]
     for name, (kind, src) in measures:
         if kind == "count":
             expr = F.col("_n").cast("bigint")

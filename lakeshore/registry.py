@@ -28,7 +28,7 @@ from pyspark.sql.types import DoubleType, FloatType
 from . import oracle, spec
 from .operators import gold, quality, silver
 from .session import checkpoint_dir
-from .sources.fixture import raw_trips
+from .sources.fixture import load_table, raw_trips
 
 STABLE_SCALE = 1048576.0  # 2^20
 
@@ -66,6 +66,7 @@ def bronze_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_trips(spark, sf_dir)
 
 
+
 _FLAGGED: dict[tuple[str, str], str] = {}
 
 
@@ -83,7 +84,14 @@ def flagged_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         base = checkpoint_dir(spark).rstrip("/")
         digest = hashlib.sha1(repr(key).encode()).hexdigest()[:16]
         path = f"{base}/lakeshore-validated-bronze-{digest}"
-        silver.flag_rules(bronze_frame(spark, sf_dir)).write.mode("overwrite").parquet(path)
+        flagged = silver.flag_rules(bronze_frame(spark, sf_dir))
+        # Few input files (small data, maybe one row group) would pin every
+        # later scan to one task; spread such rows round-robin first. Large
+        # inputs already arrive as many files and are never reshuffled here.
+        parallelism = spark.sparkContext.defaultParallelism
+        if len(load_table(spark, sf_dir, "lineitem").inputFiles()) < parallelism:
+            flagged = flagged.repartition(parallelism)
+        flagged.write.mode("overwrite").parquet(path)
         _FLAGGED[key] = path
     return spark.read.parquet(path)
 
