@@ -281,6 +281,48 @@ def build(silver: DataFrame, table: str) -> DataFrame:
     return finish(fan_out(pre, d.monthly), d.keys, d.measures, d.monthly)
 
 
+# ---------------------------------------------------------------------------
+# Shared pre-aggregate for the pipeline: the eight monthly tables all roll up
+# from one finest-grain reduction of Silver, so a Gold run scans Silver once
+# for all of them (plus once for the daily table and the null profile).
+# ---------------------------------------------------------------------------
+
+SHARED_KEYS = ("payment_type", "vendor_id", "pickup_location_id", "dropoff_location_id")
+MONTHLY_TABLES = tuple(t for t, d in GOLD_DEFS.items() if d.monthly)
+
+
+def _shared_measures() -> list:
+    out, seen = [], set()
+    for t in MONTHLY_TABLES:
+        for m in GOLD_DEFS[t].measures:
+            if m[1] not in seen:
+                seen.add(m[1])
+                out.append(m)
+    return out
+
+
+def shared_preaggregate(silver: DataFrame) -> DataFrame:
+    """Silver reduced at (payment, vendor, pickup zone, dropoff zone, month
+    keys, zero flags) with every atom the monthly tables need."""
+    src = prepare(silver, "monthly_kpi")
+    return preaggregate(src, SHARED_KEYS, _shared_measures(), monthly=True)
+
+
+def build_from_shared(shared: DataFrame, table: str) -> DataFrame:
+    """A monthly Gold table rolled up from the shared pre-aggregate."""
+    d = GOLD_DEFS[table]
+    if not d.monthly:
+        raise ValueError(f"{table} is not built from the shared pre-aggregate")
+    sums, counts = _atoms(d.measures)
+    month_keys = [c for c in ("_pickup_idx", "_source_idx", "_source_file") if c in shared.columns]
+    pre = shared.groupBy(*d.keys, *month_keys, "_zd", "_zdist").agg(
+        F.sum("_n").alias("_n"),
+        *[F.sum(f"_s_{c}").alias(f"_s_{c}") for c in sums],
+        *[F.sum(f"_c_{c}").alias(f"_c_{c}") for c in counts],
+    )
+    return finish(fan_out(pre, True), d.keys, d.measures, True)
+
+
 # ---------------------------------------------------------------------------
 # payment_null_profile: long table, one row per payment type x profile field.
 # ---------------------------------------------------------------------------

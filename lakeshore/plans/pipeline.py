@@ -29,7 +29,7 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType, TimestampNTZType
 
@@ -238,11 +238,20 @@ def transform_silver(spark: SparkSession, cfg: spec.PipelineConfig) -> StepResul
 # ---------------------------------------------------------------------------
 
 def gold_targets(silver_df: DataFrame, quarantine_df: DataFrame, bronze_rows: DataFrame,
-                 transform_log: DataFrame) -> list[tuple[str, str, Callable[[], DataFrame]]]:
-    """(table, source, builder) for the 11 Gold tables."""
+                 transform_log: DataFrame, shared: Callable[[], DataFrame] | None = None
+                 ) -> list[tuple[str, str, Callable[[], DataFrame]]]:
+    """(table, source, builder) for the 11 Gold tables. With `shared` (a
+    thunk returning the materialised shared pre-aggregate) the monthly
+    tables roll up from it instead of scanning Silver each."""
     src = spec.SILVER_TABLE
+
+    def builder(n: str) -> Callable[[], DataFrame]:
+        if shared is not None and n in gold.MONTHLY_TABLES:
+            return lambda: gold.build_from_shared(shared(), n)
+        return lambda: gold.build(silver_df, n)
+
     targets: list[tuple[str, str, Callable[[], DataFrame]]] = [
-        (name, src, (lambda n: lambda: gold.build(silver_df, n))(name)) for name in gold.GOLD_DEFS
+        (name, src, builder(name)) for name in gold.GOLD_DEFS
     ]
     targets.append(("payment_null_profile", src, lambda: gold.payment_null_profile(silver_df)))
     targets.append(("data_quality_summary", f"{src}+{spec.QUARANTINE_TABLE}",
@@ -269,8 +278,17 @@ def build_gold(spark: SparkSession, cfg: spec.PipelineConfig, only: list[str] |
     if bronze_n and silver_n + quarantine_n != bronze_n:
         _log(f"Warning: current table counts are not balanced: bronze={bronze_n:,}, silver={silver_n:,}, "
              f"quarantine={quarantine_n:,}, accounted={silver_n + quarantine_n:,}.")
+    cache: dict[str, DataFrame] = {}
+
+    def shared() -> DataFrame:
+        # Materialised once (reliable checkpoint) on first use; a failure
+        # here fails only the tables that need it.
+        if "p" not in cache:
+            cache["p"] = gold.shared_preaggregate(silver_df).checkpoint(eager=True)
+        return cache["p"]
+
     log_rows = []
-    for name, source, builder in gold_targets(silver_df, quarantine_df, bronze_rows, tlog):
+    for name, source, builder in gold_targets(silver_df, quarantine_df, bronze_rows, tlog, shared):
         if only and name not in only:
             continue
         table = f"{spec.GOLD_NAMESPACE}.{name}"
@@ -279,8 +297,10 @@ def build_gold(spark: SparkSession, cfg: spec.PipelineConfig, only: list[str] |
         try:
             df = builder()
             check_schema(wh.schema(table), df.schema, table)
-            wh.write(df, table, mode="overwrite", partition_by=gold_partitioning(name, df.columns))
-            written = wh.read(table).count()
+            obs = Observation(f"rows_{name}")
+            wh.write(df.observe(obs, F.count(F.lit(1)).alias("rows")), table, mode="overwrite",
+                     partition_by=gold_partitioning(name, df.columns))
+            written = obs.get["rows"]
             status, err, snap = "success", None, _run_id()
             res.processed += 1
             res.messages.append(f"build {table}: {written:,} rows")
