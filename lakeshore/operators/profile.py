@@ -100,7 +100,10 @@ def zero_duration_profile(bronze: DataFrame) -> DataFrame:
 
 
 def _epoch_seconds(c: Column) -> Column:
-    return c.cast("timestamp").cast("long")
+    """Whole epoch seconds of a zone-less timestamp. `unix_timestamp` reads
+    TIMESTAMP_NTZ without the session zone; a cast to TIMESTAMP would apply
+    it, and differences across a DST change would be off by an hour."""
+    return F.unix_timestamp(c)
 
 
 def timestamp_health(bronze: DataFrame, pickup: str = "tpep_pickup_datetime",
@@ -117,9 +120,10 @@ def timestamp_health(bronze: DataFrame, pickup: str = "tpep_pickup_datetime",
 
 def duration_days(bronze: DataFrame, pickup: str = "tpep_pickup_datetime",
                   dropoff: str = "tpep_dropoff_datetime") -> DataFrame:
-    """Histogram of whole days between pickup and dropoff."""
+    """Histogram of whole days between pickup and dropoff (wall clock,
+    truncated toward zero, independent of the session time zone)."""
     p, d = F.col(pickup), F.col(dropoff)
-    days = F.timestamp_diff("DAY", p, d).alias("trip_duration_days")
+    days = F.extract(F.lit("DAY"), d - p).cast("long").alias("trip_duration_days")
     return bronze.filter(p.isNotNull() & d.isNotNull()).groupBy(days).agg(F.count(F.lit(1)).alias("count"))
 
 

@@ -141,3 +141,19 @@ def test_finite_speed_and_percent(spark):
     assert [r.f for r in out] == [1.0, None, None, None]
     assert [r.pc for r in out] == [None, 25.0, None, 25.0]
     assert not any(isinstance(r.f, float) and math.isnan(r.f) for r in out)
+
+
+def test_durations_ignore_session_time_zone(spark):
+    """A trip across the 2026-03-08 US daylight-saving gap keeps its wall-clock
+    duration whatever the session zone is."""
+    rows = [{"tpep_pickup_datetime": dt.datetime(2026, 3, 8, 1, 35, 9),
+             "tpep_dropoff_datetime": dt.datetime(2026, 3, 8, 2, 6, 7),
+             "_bronze_source_file": "yellow_tripdata_2026-03.parquet"}]
+    data = [tuple({**GOOD, **r}.get(f.name) for f in RAW.fields) for r in rows]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        out = silver.clean(spark.createDataFrame(data, RAW)).silver.collect()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert out.trip_duration_min == pytest.approx(30 + 58 / 60)
