@@ -8,6 +8,7 @@ bound. Gold tables are registered as temp views under their table names.
 
 from __future__ import annotations
 
+import re
 from pathlib import Path
 from typing import Any, Iterable
 
@@ -43,11 +44,19 @@ def register_views(frames: dict[str, DataFrame]) -> None:
 
 def run_report(spark: SparkSession, report: str, params: dict[str, Any],
                frames: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Run one parameterised report; `frames` (name -> Gold frame) are
-    registered as views first, else the views must already exist."""
-    if frames:
-        register_views(frames)
-    return spark.sql(read_sql(report), args=params)
+    """Run one parameterised report.
+
+    With `frames` (table name -> DataFrame) the frames are bound to the
+    query itself (`FROM {name}` DataFrame arguments), so nothing is
+    registered in the session; without, the names resolve to existing views
+    or catalog tables (see `register_views`).
+    """
+    text = read_sql(report)
+    if not frames:
+        return spark.sql(text, args=params)
+    for name in frames:
+        text = re.sub(rf"(\bFROM\s+){name}\b", rf"\g<1>{{{name}}}", text)
+    return spark.sql(text, args=params, **frames)
 
 
 # ---------------------------------------------------------------------------
