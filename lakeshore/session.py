@@ -15,6 +15,10 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # ORDER BY .. LIMIT k keeps a k-slot priority queue per task; above this
+    # many rows plan a distributed sort + limit instead (a user-supplied
+    # report row_limit of 10^9 must not allocate a 10^9-slot queue).
+    "spark.sql.execution.topKSortFallbackThreshold": "100000",
 }
 
 
