@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 from dataclasses import dataclass, field
 from typing import Callable
 
@@ -27,7 +28,7 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from . import oracle, spec
 from .operators import gold, quality, silver
-from .session import checkpoint_dir
+from .session import checkpoint_dir, path_exists
 from .sources.fixture import load_table, raw_trips
 
 STABLE_SCALE = 1048576.0  # 2^20
@@ -68,6 +69,7 @@ def bronze_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _FLAGGED: dict[tuple[str, str], str] = {}
+_FLAGGED_LOCK = threading.Lock()
 
 
 def flagged_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,7 +81,15 @@ def flagged_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     the rows, and the lineage is cut at a reliable, shared location.
     """
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    with _FLAGGED_LOCK:  # one writer per (application, folder)
+        path = _materialize_flagged(spark, sf_dir, key)
+    return spark.read.parquet(path)
+
+
+def _materialize_flagged(spark: SparkSession, sf_dir: str, key: tuple[str, str]) -> str:
     path = _FLAGGED.get(key)
+    if path is not None and not path_exists(spark, f"{path}/_SUCCESS"):
+        path = None  # the checkpoint folder was cleared: write it again
     if path is None:
         base = checkpoint_dir(spark).rstrip("/")
         digest = hashlib.sha1(repr(key).encode()).hexdigest()[:16]
@@ -93,7 +103,7 @@ def flagged_table(spark: SparkSession, sf_dir: str) -> DataFrame:
             flagged = flagged.repartition(parallelism)
         flagged.write.mode("overwrite").parquet(path)
         _FLAGGED[key] = path
-    return spark.read.parquet(path)
+    return path
 
 
 def silver_result(spark: SparkSession, sf_dir: str) -> silver.SilverResult:
