@@ -89,23 +89,33 @@ def warning_columns() -> dict[str, Column]:
     }
 
 
-def file_year(source_file: Column) -> Column:
-    return F.regexp_extract(source_file, spec.SOURCE_MONTH_REGEX, 1)
+def file_month_label(source_file: Column) -> Column:
+    """`YYYY-MM` from a `..._YYYY-MM.parquet` name, '' when it does not match.
+    The one regex per row; validity and month number derive from its text."""
+    return F.regexp_extract(source_file, spec.SOURCE_MONTH_LABEL_REGEX, 1)
 
 
-def file_month(source_file: Column) -> Column:
-    return F.regexp_extract(source_file, spec.SOURCE_MONTH_REGEX, 2)
+def _label_year(label: Column) -> Column:
+    return F.substring(label, 1, 4).try_cast("int")
+
+
+def _label_month(label: Column) -> Column:
+    return F.substring(label, 6, 2).try_cast("int")
+
+
+def file_label_valid(label: Column) -> Column:
+    """The name carries a usable month (it matched, and the month is 1..12)."""
+    return F.coalesce((label != "") & _label_month(label).between(1, 12), F.lit(False))
 
 
 def source_file_valid(source_file: Column) -> Column:
-    """File name carries a usable `_YYYY-MM.parquet` month (month 1..12)."""
-    m = file_month(source_file).try_cast("int")
-    return F.coalesce(F.rlike(source_file, F.lit(spec.SOURCE_MONTH_REGEX)) & m.between(1, 12), F.lit(False))
+    return file_label_valid(file_month_label(source_file))
 
 
-def source_month_offset(pickup: Column, source_file: Column) -> Column:
-    """(pickup year*12 + month) - (file year*12 + month), as int."""
-    file_number = file_year(source_file).try_cast("int") * 12 + file_month(source_file).try_cast("int")
+def source_month_offset(pickup: Column, label: Column) -> Column:
+    """(pickup year*12 + month) - (file year*12 + month), as int; `label` is
+    the file's `YYYY-MM` (see file_month_label)."""
+    file_number = _label_year(label) * 12 + _label_month(label)
     pickup_number = F.year(pickup) * 12 + F.month(pickup)
     return (pickup_number - file_number).cast("int")
 

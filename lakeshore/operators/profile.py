@@ -229,7 +229,8 @@ def silver_revalidation(silver: DataFrame, min_pickup: str = spec.MIN_PICKUP,
 
 def warning_totals(silver: DataFrame) -> DataFrame:
     """Totals of the 5 warning flags and stored-vs-recomputed mismatches."""
-    offset_expected = rules.source_month_offset(F.col("pickup_datetime"), F.col(spec.SOURCE_FILE_COLUMN))
+    offset_expected = rules.source_month_offset(F.col("pickup_datetime"),
+                                                rules.file_month_label(F.col(spec.SOURCE_FILE_COLUMN)))
     expected = rules.warning_columns()
     return silver.agg(
         *[count_true(F.col(f)).alias(f.removeprefix("_silver_")) for f in spec.WARNING_FLAGS],

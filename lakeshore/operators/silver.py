@@ -20,6 +20,8 @@ from ..functions import rules
 from ..functions.common import count_true
 
 RULE_PREFIX = "_rule_"
+# Working columns of the validated frame, never part of Silver or quarantine.
+INTERNAL = ("_valid", "_file_ok", "_file_ym")
 
 
 def rename_columns(bronze: DataFrame) -> DataFrame:
@@ -34,10 +36,11 @@ def flag_rules(bronze: DataFrame, min_pickup: str = spec.MIN_PICKUP,
     rule_cols = rules.rule_columns(renamed.schema, min_pickup, max_pickup)
     flagged = renamed.withColumns({RULE_PREFIX + k: v for k, v in rule_cols.items()})
     valid = reduce(lambda a, b: a & b, [F.col(RULE_PREFIX + k) for k in rule_cols])
-    return flagged.withColumns({
+    flagged = flagged.withColumns({
         "_valid": valid,
-        "_file_ok": rules.source_file_valid(F.col(spec.SOURCE_FILE_COLUMN)),
+        "_file_ym": rules.file_month_label(F.col(spec.SOURCE_FILE_COLUMN)),
     })
+    return flagged.withColumn("_file_ok", rules.file_label_valid(F.col("_file_ym")))
 
 
 def _rule_names() -> list[str]:
@@ -46,16 +49,14 @@ def _rule_names() -> list[str]:
 
 def silver_rows(flagged: DataFrame, processed_at: Column | None = None) -> DataFrame:
     """Clean rows with Silver's derived columns, in the Silver column order."""
-    base_cols = [c for c in flagged.columns
-                 if not c.startswith(RULE_PREFIX) and c not in ("_valid", "_file_ok")]
+    base_cols = [c for c in flagged.columns if not c.startswith(RULE_PREFIX) and c not in INTERNAL]
     clean = flagged.filter(F.col("_valid") & F.col("_file_ok"))
     duration = rules.duration_minutes()
     selected = [rules.encode_flag().alias("store_and_fwd_flag") if c == "store_and_fwd_flag" else F.col(c)
                 for c in base_cols]
     out = clean.select(
         *selected,
-        rules.source_month_offset(F.col("pickup_datetime"), F.col(spec.SOURCE_FILE_COLUMN))
-        .alias(spec.OFFSET_COLUMN),
+        rules.source_month_offset(F.col("pickup_datetime"), F.col("_file_ym")).alias(spec.OFFSET_COLUMN),
         *[c.alias(name) for name, c in rules.warning_columns().items()],
         duration.alias("trip_duration_min"),
     )
@@ -66,8 +67,7 @@ def silver_rows(flagged: DataFrame, processed_at: Column | None = None) -> DataF
 
 def quarantine_rows(flagged: DataFrame, rejected_at: Column | None = None) -> DataFrame:
     """Rejected rows: renamed Bronze (flag still text) + 5 reason flags + stamp."""
-    base_cols = [c for c in flagged.columns
-                 if not c.startswith(RULE_PREFIX) and c not in ("_valid", "_file_ok")]
+    base_cols = [c for c in flagged.columns if not c.startswith(RULE_PREFIX) and c not in INTERNAL]
     rejected = flagged.filter(~F.col("_valid") & F.col("_file_ok"))
     reasons = [(~F.col(RULE_PREFIX + rule)).alias(flag) for flag, rule in spec.REJECTION_FLAGS.items()]
     return rejected.select(
