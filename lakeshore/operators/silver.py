@@ -103,6 +103,44 @@ def rule_breakdown(flagged: DataFrame) -> DataFrame:
     )
 
 
+def breakdown_from_outputs(silver_df: DataFrame, quarantine_df: DataFrame) -> DataFrame:
+    """The per-file breakdown of `rule_breakdown`, read back from the written
+    Silver and quarantine rows instead of re-validating Bronze.
+
+    Every rule failure is a rejected row, so rule and amount failures come
+    from the (small) quarantine; Silver contributes only its row count and
+    one boolean column (zero-duration warnings, which also count clean rows).
+    Covers files that were processed (valid names); rows_read = written +
+    rejected because nothing is dropped as a duplicate.
+    """
+    f = spec.SOURCE_FILE_COLUMN
+    clean = silver_df.groupBy(F.col(f).alias("source_file")).agg(
+        F.count(F.lit(1)).alias("_written"),
+        count_true(F.col("_silver_zero_duration")).alias("_zero_clean"))
+    amount_fail = {f"invalid_{c}": count_true(~rules.amount_valid(c, quarantine_df.schema))
+                   for c in spec.AMOUNT_COLUMNS}
+    rejected = quarantine_df.groupBy(F.col(f).alias("source_file")).agg(
+        F.count(F.lit(1)).alias("_rejected"),
+        count_true(rules.zero_duration_warning()).alias("_zero_rejected"),
+        *[count_true(F.col(flag)).alias(rule) for flag, rule in spec.REJECTION_FLAGS.items()],
+        *[v.alias(k) for k, v in amount_fail.items()])
+    both = clean.join(rejected, "source_file", "full_outer")
+    n = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
+    return both.select(
+        "source_file",
+        (n("_written") + n("_rejected")).alias("rows_read"),
+        n("_written").alias("rows_written"),
+        n("_rejected").alias("rows_rejected"),
+        F.lit(0).cast("bigint").alias("rows_rejected_duplicate"),
+        n("_rejected").alias("rows_quarantined"),
+        n("timestamp_order").alias("timestamp_order"),
+        (n("_zero_clean") + n("_zero_rejected")).alias("zero_duration_warning"),
+        *[n(r).alias(r) for r in ("pickup_range", "distance", "amounts", "passengers")],
+        *[n(k).alias(k) for k in amount_fail],
+        F.lit(True).alias("file_ok"),
+    )
+
+
 @dataclass
 class SilverResult:
     flagged: DataFrame

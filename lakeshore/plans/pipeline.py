@@ -161,7 +161,21 @@ def ingest_bronze(spark: SparkSession, cfg: spec.PipelineConfig) -> StepResult:
 # Silver
 # ---------------------------------------------------------------------------
 
+def _file_name_status(spark: SparkSession, files: list[str]) -> dict[str, bool]:
+    """Whether each file name carries a valid month (same rule as Silver)."""
+    from ..functions import rules
+    names = spark.createDataFrame([(f,) for f in files], "name string")
+    return {r.name: r.ok for r in names.select(
+        "name", rules.source_file_valid(F.col("name")).alias("ok")).collect()}
+
+
 def _transform(wh: Warehouse, files: list[str], cfg: spec.PipelineConfig) -> DataFrame:
+    """Validate and write the files' rows; return their per-file breakdown.
+
+    Bronze is scanned twice (clean rows, rejected rows); the breakdown is
+    read back from the written partitions: quarantine (small) plus Silver's
+    row counts and one boolean column, not a third validation pass.
+    """
     batch = wh.read(spec.BRONZE_TABLE).filter(F.col(spec.SOURCE_FILE_COLUMN).isin(files))
     flagged = silver.flag_rules(batch, cfg.min_pickup, cfg.max_pickup)
     clean = silver.silver_rows(flagged).withColumn("pickup_month", F.date_format("pickup_datetime", "yyyy-MM"))
@@ -170,7 +184,11 @@ def _transform(wh: Warehouse, files: list[str], cfg: spec.PipelineConfig) -> Dat
              partition_by=[spec.SOURCE_FILE_COLUMN, "pickup_month"], dynamic=True)
     wh.write(rejected, spec.QUARANTINE_TABLE, mode="overwrite", partition_by=[spec.SOURCE_FILE_COLUMN],
              dynamic=True)
-    return silver.rule_breakdown(flagged)
+    ok = [f for f, good in _file_name_status(wh.spark, files).items() if good]
+    # (A table with no rows yet reads back as a typed empty frame.)
+    written = wh.read(spec.SILVER_TABLE, clean.schema).filter(F.col(spec.SOURCE_FILE_COLUMN).isin(ok))
+    quarantined = wh.read(spec.QUARANTINE_TABLE, rejected.schema).filter(F.col(spec.SOURCE_FILE_COLUMN).isin(ok))
+    return silver.breakdown_from_outputs(written, quarantined)
 
 
 def transform_silver(spark: SparkSession, cfg: spec.PipelineConfig) -> StepResult:

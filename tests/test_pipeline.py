@@ -125,3 +125,12 @@ def test_missing_inputs(spark, scratch):
     assert pipeline.ingest_bronze(spark, cfg).exit_code == 1
     assert pipeline.transform_silver(spark, cfg).exit_code == 1
     assert pipeline.build_gold(spark, cfg).exit_code == 1
+
+
+def test_breakdown_from_outputs_equals_direct(spark):
+    r = registry.silver_result(spark, SF001)
+    from lakeshore.operators import silver as silver_ops
+    direct = silver_ops.rule_breakdown(r.flagged)
+    derived = silver_ops.breakdown_from_outputs(r.silver, r.quarantine).select(*direct.columns)
+    assert direct.count() == 3
+    assert direct.exceptAll(derived).count() == 0 and derived.exceptAll(direct).count() == 0
