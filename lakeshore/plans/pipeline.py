@@ -12,7 +12,10 @@ Each step is a handful of distributed jobs, not a per-file loop:
   Files whose name carries no month are logged as failed, without failing
   the others.
 * Gold: each table is one job over Silver (see operators/gold.py) and a full
-  overwrite; a failing table is logged and the rest still build.
+  overwrite; a failing table is logged and the rest still build. The table
+  jobs are independent and are submitted a few at a time from driver
+  threads, so Spark's scheduler fills idle executors with the next table
+  while one table's last tasks finish.
 
 Only when a whole batch job fails does a step fall back to one job per file,
 to isolate the failing file (the original's per-file failure semantics).
@@ -24,7 +27,9 @@ from __future__ import annotations
 import argparse
 import re
 import sys
+import threading
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from typing import Callable
@@ -297,18 +302,17 @@ def build_gold(spark: SparkSession, cfg: spec.PipelineConfig, only: list[str] |
         _log(f"Warning: current table counts are not balanced: bronze={bronze_n:,}, silver={silver_n:,}, "
              f"quarantine={quarantine_n:,}, accounted={silver_n + quarantine_n:,}.")
     cache: dict[str, DataFrame] = {}
+    lock = threading.Lock()
 
     def shared() -> DataFrame:
         # Materialised once (reliable checkpoint) on first use; a failure
         # here fails only the tables that need it.
-        if "p" not in cache:
-            cache["p"] = gold.shared_preaggregate(silver_df).checkpoint(eager=True)
-        return cache["p"]
+        with lock:
+            if "p" not in cache:
+                cache["p"] = gold.shared_preaggregate(silver_df).checkpoint(eager=True)
+            return cache["p"]
 
-    log_rows = []
-    for name, source, builder in gold_targets(silver_df, quarantine_df, bronze_rows, tlog, shared):
-        if only and name not in only:
-            continue
+    def build_one(name: str, source: str, builder: Callable[[], DataFrame]) -> tuple[dict, str, bool]:
         table = f"{spec.GOLD_NAMESPACE}.{name}"
         rows_read = silver_n + (quarantine_n if name == "data_quality_summary" else 0)
         started = _now()
@@ -320,15 +324,29 @@ def build_gold(spark: SparkSession, cfg: spec.PipelineConfig, only: list[str] |
                      partition_by=gold_partitioning(name, df.columns))
             written = obs.get["rows"]
             status, err, snap = "success", None, _run_id()
-            res.processed += 1
-            res.messages.append(f"build {table}: {written:,} rows")
+            msg = f"build {table}: {written:,} rows"
         except Exception as e:
             written, status, err, snap = 0, "failed", str(e).splitlines()[0][:1000], None
+            msg = f"Failed to build {table}: {err}"
+        row = {"source_table": source, "target_table": table, "status": status, "rows_read": rows_read,
+               "rows_written": written, "snapshot_id": snap, "started_at": started,
+               "finished_at": _now(), "error_message": err}
+        return row, msg, status == "success"
+
+    targets = [t for t in gold_targets(silver_df, quarantine_df, bronze_rows, tlog, shared)
+               if not only or t[0] in only]
+    with ThreadPoolExecutor(max_workers=max(1, cfg.gold_concurrency)) as pool:
+        # Results are taken in table order, so the ledger and the messages
+        # do not depend on which job finished first.
+        results = [f.result() for f in [pool.submit(build_one, *t) for t in targets]]
+    log_rows = []
+    for row, msg, ok in results:
+        log_rows.append(row)
+        res.messages.append(msg)
+        if ok:
+            res.processed += 1
+        else:
             res.failed += 1
-            res.messages.append(f"Failed to build {table}: {err}")
-        log_rows.append({"source_table": source, "target_table": table, "status": status, "rows_read": rows_read,
-                         "rows_written": written, "snapshot_id": snap, "started_at": started,
-                         "finished_at": _now(), "error_message": err})
     ledger.append_rows(spark, wh, spec.GOLD_LOG_TABLE, ledger.GOLD_LOG_SCHEMA, log_rows)
     res.exit_code = 1 if res.failed else 0
     return res
@@ -374,9 +392,11 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--warehouse", required=True)
     ap.add_argument("--master", default=None)
     ap.add_argument("--step", choices=["all", "bronze", "silver", "gold"], default="all")
+    ap.add_argument("--gold-concurrency", type=int, default=4, help="Gold tables built at the same time")
     args = ap.parse_args(argv)
     spark = get_session(args.master)
-    cfg = spec.PipelineConfig(warehouse=args.warehouse, raw_dir=args.raw_dir)
+    cfg = spec.PipelineConfig(warehouse=args.warehouse, raw_dir=args.raw_dir,
+                              gold_concurrency=args.gold_concurrency)
     if args.step == "all":
         return run_all(spark, cfg)
     step = {"bronze": ingest_bronze, "silver": transform_silver, "gold": build_gold}[args.step]

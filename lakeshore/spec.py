@@ -149,6 +149,9 @@ class PipelineConfig:
     min_pickup: str = MIN_PICKUP
     max_pickup: str = MAX_PICKUP
     months: tuple[str, ...] = ("2026-01", "2026-02", "2026-03")
+    # Gold tables are independent jobs; this many are submitted at once so
+    # small tables do not leave the cluster idle while one table finishes.
+    gold_concurrency: int = 4
     table_names: dict = field(default_factory=lambda: {
         "bronze": BRONZE_TABLE,
         "silver": SILVER_TABLE,
