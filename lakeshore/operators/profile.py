@@ -172,13 +172,19 @@ def duplicate_groups(df: DataFrame, key_columns: list[str]) -> DataFrame:
     64-bit hash of the key columns (an 8-byte shuffle key, map-side combined);
     (2) re-group exactly, on the full columns, only the rows whose hash
     occurs more than once. Hash collisions are resolved by phase 2.
+
+    Phase 2 groups on the key columns without the hash. Grouping on (hash,
+    keys) would be satisfied by a shuffled semi-join's partitioning on the
+    hash, so Spark would add no partial aggregate and AQE could not split a
+    skewed join partition: one hot duplicate key would run as one task.
+    Without the hash, a partial aggregate follows every join task (a hot key
+    becomes one row per task) and AQE may split the skewed join side.
     """
     h = F.xxhash64(*[F.col(c) for c in key_columns]).alias("_h")
     keyed = df.select(h, *key_columns)
     hot = keyed.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).select("_h")
-    candidates = keyed.join(hot, "_h", "left_semi")
-    return (candidates.groupBy("_h", *key_columns).agg(F.count(F.lit(1)).alias("count"))
-            .filter(F.col("count") > 1).drop("_h"))
+    candidates = keyed.join(hot, "_h", "left_semi").drop("_h")
+    return candidates.groupBy(*key_columns).agg(F.count(F.lit(1)).alias("count")).filter(F.col("count") > 1)
 
 
 def duplicate_summary(df: DataFrame, exclude: tuple[str, ...] = ()) -> DataFrame:
