@@ -42,6 +42,7 @@ from .. import spec
 from ..operators import bronze as bronze_ops
 from ..operators import gold, quality, silver
 from ..sources import ledger
+from ..session import checkpoint_dir
 from ..sources.tables import Warehouse, check_schema
 
 QUARANTINE_MIN_SCHEMA = StructType([
@@ -290,6 +291,9 @@ def build_gold(spark: SparkSession, cfg: spec.PipelineConfig, only: list[str] |
         res.exit_code = 1
         res.messages.append(f"Silver table {spec.SILVER_TABLE} does not exist. Run the Silver step first.")
         return res
+    # The shared pre-aggregate is checkpointed: use the cluster's folder, or
+    # one beside the warehouse tables when the session names none.
+    checkpoint_dir(spark, fallback=f"{wh.root}/_checkpoints/spark")
     silver_df = wh.read(spec.SILVER_TABLE)
     quarantine_df = wh.read(spec.QUARANTINE_TABLE, QUARANTINE_MIN_SCHEMA)
     bronze_n = wh.row_count(spec.BRONZE_TABLE)

@@ -39,10 +39,12 @@ def get_session(master: str | None = None, *, app: str = "lakeshore",
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
+def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared checkpoint folder named by the cluster (spark.checkpoint.dir).
 
-    Only when the session has none (local tests) is a private one created.
+    Only when the session has none is one chosen: `fallback` (a folder on the
+    same shared storage as the tables, as the pipeline passes), else a private
+    temporary folder (local tests).
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -50,7 +52,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="lakeshore-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        configured = fallback or tempfile.mkdtemp(prefix="lakeshore-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 

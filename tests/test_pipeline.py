@@ -136,3 +136,27 @@ def test_breakdown_from_outputs_equals_direct(spark):
     derived = silver_ops.breakdown_from_outputs(r.silver, r.quarantine).select(*direct.columns)
     assert direct.count() == 3
     assert direct.exceptAll(derived).count() == 0 and derived.exceptAll(direct).count() == 0
+
+
+def test_cli_without_checkpoint_dir(spark, scratch):
+    # A fresh session that names no spark.checkpoint.dir: the Gold step must
+    # still checkpoint its shared pre-aggregate, in a folder beside the
+    # warehouse (shared storage), and build every table.
+    import subprocess
+    import sys
+
+    cfg = _cfg(scratch)
+    _write_raw(spark, cfg.raw_dir, FILES[:1])
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    # An empty conf folder: no spark-defaults.conf, so no spark.checkpoint.dir.
+    conf_dir = os.path.join(scratch, "empty-conf")
+    os.makedirs(conf_dir)
+    env = {**os.environ, "PYTHONPATH": repo, "SPARK_CONF_DIR": conf_dir}
+    out = subprocess.run(
+        [sys.executable, "-m", "lakeshore.plans.pipeline", "--raw-dir", cfg.raw_dir, "--warehouse", cfg.warehouse,
+         "--master", "local[2]"], cwd=repo, env=env, capture_output=True, text=True, timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    wh = Warehouse(spark, cfg.warehouse)
+    log = wh.read(spec.GOLD_LOG_TABLE).collect()
+    assert len(log) == len(spec.GOLD_TABLES) and {r.status for r in log} == {"success"}
+    assert os.path.isdir(os.path.join(cfg.warehouse, "_checkpoints", "spark"))
