@@ -327,20 +327,29 @@ def build_from_shared(shared: DataFrame, table: str) -> DataFrame:
 # payment_null_profile: long table, one row per payment type x profile field.
 # ---------------------------------------------------------------------------
 
-def payment_null_profile(silver: DataFrame) -> DataFrame:
+def _null_profile_atoms() -> list[Column]:
     fields = spec.PAYMENT_NULL_PROFILE_FIELDS
     all_null = F.lit(True)
     for f in fields:
         all_null = all_null & F.col(f).isNull()
-    pre = silver.groupBy(
-        F.col("payment_type"),
-        F.coalesce(F.col(ZD), F.lit(False)).alias("_zd"),
-        F.coalesce(F.col(ZDIST), F.lit(False)).alias("_zdist"),
-    ).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.count_if(F.col(f).isNull()).alias(f"_null_{f}") for f in fields],
-        F.count_if(all_null).alias("_all_null"),
-    )
+    return [*[F.count_if(F.col(f).isNull()).alias(f"_null_{f}") for f in fields],
+            F.count_if(all_null).alias("_all_null")]
+
+
+def _flag_keys() -> list[Column]:
+    return [F.coalesce(F.col(ZD), F.lit(False)).alias("_zd"),
+            F.coalesce(F.col(ZDIST), F.lit(False)).alias("_zdist")]
+
+
+def payment_null_profile(silver: DataFrame) -> DataFrame:
+    pre = silver.groupBy(F.col("payment_type"), *_flag_keys()).agg(
+        F.count(F.lit(1)).alias("_n"), *_null_profile_atoms())
+    return null_profile_finish(pre)
+
+
+def null_profile_finish(pre: DataFrame) -> DataFrame:
+    """The long profile from counts at (payment_type, _zd, _zdist)."""
+    fields = spec.PAYMENT_NULL_PROFILE_FIELDS
     fanned = pre.withColumn("data_variant", F.explode(variant_list(F.col("_zd"), F.col("_zdist"))))
     merged = fanned.groupBy("data_variant", "payment_type").agg(
         F.sum("_n").alias("row_count"),
@@ -364,6 +373,45 @@ def payment_null_profile(silver: DataFrame) -> DataFrame:
     )
 
 
+# ---------------------------------------------------------------------------
+# Shared daily pre-aggregate for the pipeline: the daily table and the payment
+# null profile both roll up from one reduction of Silver at (trip date,
+# payment type, zero flags), at most days x payment types x 4 rows, so the
+# Gold step scans Silver once for the two of them.
+# ---------------------------------------------------------------------------
+
+def daily_preaggregate(silver: DataFrame) -> DataFrame:
+    src = prepare(silver, "daily_trip_summary")
+    sums, counts = _atoms(DAILY_MEASURES)
+    return src.groupBy(F.col("trip_date"), F.col("payment_type"), *_flag_keys()).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.sum(c).alias(f"_s_{c}") for c in sums],
+        *[F.count(c).alias(f"_c_{c}") for c in counts],
+        *_null_profile_atoms(),
+    )
+
+
+def daily_from_shared(pre: DataFrame) -> DataFrame:
+    """`daily_trip_summary` rolled up from `daily_preaggregate`."""
+    d = GOLD_DEFS["daily_trip_summary"]
+    sums, counts = _atoms(d.measures)
+    rolled = pre.groupBy("trip_date", "_zd", "_zdist").agg(
+        F.sum("_n").alias("_n"),
+        *[F.sum(f"_s_{c}").alias(f"_s_{c}") for c in sums],
+        *[F.sum(f"_c_{c}").alias(f"_c_{c}") for c in counts],
+    )
+    return finish(fan_out(rolled, False), d.keys, d.measures, False)
+
+
+def null_profile_from_shared(pre: DataFrame) -> DataFrame:
+    """`payment_null_profile` rolled up from `daily_preaggregate`."""
+    fields = spec.PAYMENT_NULL_PROFILE_FIELDS
+    rolled = pre.groupBy("payment_type", "_zd", "_zdist").agg(
+        F.sum("_n").alias("_n"), *[F.sum(f"_null_{f}").alias(f"_null_{f}") for f in fields],
+        F.sum("_all_null").alias("_all_null"))
+    return null_profile_finish(rolled)
+
+
 # ---------------------------------------------------------------------------
 # Direct form (filter per variant, group per basis, union): the reference
 # semantics written out literally. Used by tests to prove the plan above.

@@ -262,22 +262,30 @@ def transform_silver(spark: SparkSession, cfg: spec.PipelineConfig) -> StepResul
 # ---------------------------------------------------------------------------
 
 def gold_targets(silver_df: DataFrame, quarantine_df: DataFrame, bronze_rows: DataFrame,
-                 transform_log: DataFrame, shared: Callable[[], DataFrame] | None = None
+                 transform_log: DataFrame, shared: Callable[[], DataFrame] | None = None,
+                 daily_shared: Callable[[], DataFrame] | None = None
                  ) -> list[tuple[str, str, Callable[[], DataFrame]]]:
     """(table, source, builder) for the 11 Gold tables. With `shared` (a
     thunk returning the materialised shared pre-aggregate) the monthly
-    tables roll up from it instead of scanning Silver each."""
+    tables roll up from it instead of scanning Silver each; with
+    `daily_shared` (the materialised `gold.daily_preaggregate`) so do the
+    daily table and the payment null profile."""
     src = spec.SILVER_TABLE
 
     def builder(n: str) -> Callable[[], DataFrame]:
         if shared is not None and n in gold.MONTHLY_TABLES:
             return lambda: gold.build_from_shared(shared(), n)
+        if daily_shared is not None and n == "daily_trip_summary":
+            return lambda: gold.daily_from_shared(daily_shared())
         return lambda: gold.build(silver_df, n)
 
     targets: list[tuple[str, str, Callable[[], DataFrame]]] = [
         (name, src, builder(name)) for name in gold.GOLD_DEFS
     ]
-    targets.append(("payment_null_profile", src, lambda: gold.payment_null_profile(silver_df)))
+    if daily_shared is not None:
+        targets.append(("payment_null_profile", src, lambda: gold.null_profile_from_shared(daily_shared())))
+    else:
+        targets.append(("payment_null_profile", src, lambda: gold.payment_null_profile(silver_df)))
     targets.append(("data_quality_summary", f"{src}+{spec.QUARANTINE_TABLE}",
                     lambda: quality.data_quality_summary(silver_df, quarantine_df, bronze_rows, transform_log)))
     order = {n: i for i, n in enumerate(spec.GOLD_TABLES)}
@@ -306,15 +314,21 @@ def build_gold(spark: SparkSession, cfg: spec.PipelineConfig, only: list[str] |
         _log(f"Warning: current table counts are not balanced: bronze={bronze_n:,}, silver={silver_n:,}, "
              f"quarantine={quarantine_n:,}, accounted={silver_n + quarantine_n:,}.")
     cache: dict[str, DataFrame] = {}
-    lock = threading.Lock()
+    locks = {"monthly": threading.Lock(), "daily": threading.Lock()}
 
-    def shared() -> DataFrame:
+    def materialised(key: str, make: Callable[[], DataFrame]) -> DataFrame:
         # Materialised once (reliable checkpoint) on first use; a failure
         # here fails only the tables that need it.
-        with lock:
-            if "p" not in cache:
-                cache["p"] = gold.shared_preaggregate(silver_df).checkpoint(eager=True)
-            return cache["p"]
+        with locks[key]:
+            if key not in cache:
+                cache[key] = make().checkpoint(eager=True)
+            return cache[key]
+
+    def shared() -> DataFrame:
+        return materialised("monthly", lambda: gold.shared_preaggregate(silver_df))
+
+    def daily_shared() -> DataFrame:
+        return materialised("daily", lambda: gold.daily_preaggregate(silver_df))
 
     def build_one(name: str, source: str, builder: Callable[[], DataFrame]) -> tuple[dict, str, bool]:
         table = f"{spec.GOLD_NAMESPACE}.{name}"
@@ -337,7 +351,7 @@ def build_gold(spark: SparkSession, cfg: spec.PipelineConfig, only: list[str] |
                "finished_at": _now(), "error_message": err}
         return row, msg, status == "success"
 
-    targets = [t for t in gold_targets(silver_df, quarantine_df, bronze_rows, tlog, shared)
+    targets = [t for t in gold_targets(silver_df, quarantine_df, bronze_rows, tlog, shared, daily_shared)
                if not only or t[0] in only]
     with ThreadPoolExecutor(max_workers=max(1, cfg.gold_concurrency)) as pool:
         # Results are taken in table order, so the ledger and the messages

@@ -58,3 +58,14 @@ def test_variant_filter_is_not_a_partition(spark):
     got = [sorted(r[0]) for r in df.select(variant_list(F.col("zd"), F.col("zdist"))).collect()]
     assert got == [sorted(spec.DATA_VARIANTS), ["all", "exclude_zero_distance"], ["all", "exclude_zero_duration"],
                    ["all"], sorted(spec.DATA_VARIANTS)]
+
+
+def test_daily_shared_preaggregate_equals_direct(spark, silver_df):
+    # The pipeline builds the daily table and the null profile from one
+    # reduction of Silver; both must equal their one-table builds.
+    pre = gold.daily_preaggregate(silver_df)
+    for fast, direct in ((gold.daily_from_shared(pre), gold.build(silver_df, "daily_trip_summary")),
+                         (gold.null_profile_from_shared(pre), gold.payment_null_profile(silver_df))):
+        a, b = registry.stable(fast), registry.stable(direct)
+        assert a.schema.simpleString() == b.schema.simpleString()
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
