@@ -6,7 +6,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeshore.llm import decontam, secrets, toxicity
+from lakeshore.llm import decontam, secrets, simhash, toxicity
 from lakeshore.llm.common import staged
 
 
@@ -15,6 +15,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.keep_clean(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies one document stays: shingles of 3 words, up to 2 differing bits."""
+    return simhash.keep_one(docs, size=3, most=2)
+
+
 def drop_leaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     return decontam.keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -27,6 +32,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("toxicity", drop_toxic),
+    ("SimHash near-dedup", drop_copies),
     ("benchmark decontamination", drop_leaked),
     ("secret scans", redact_secrets),
 ]
