@@ -6,7 +6,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, secrets, simhash, toxicity
+from . import decontam, langid, secrets, simhash, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,11 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digest(_table(spark, sf_dir, "documents"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = warc.archive_pages(_table(spark, sf_dir, "pages"))
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), size=3, most=2)
 
@@ -34,7 +39,22 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scan, op6_simhash, op7_toxicity, op9_decontamination, op10_language_id)
+    f.__name__: f for f in (op1_secret_scan, op2_warc, op6_simhash, op7_toxicity, op9_decontamination, op10_language_id)
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: DuckDB has no SHA-1 in base32: its hex digest's bytes are spelt out in groups of 5 bits.
+OP2_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+d AS (SELECT page_id, strlen(payload) AS payload_bytes, payload, sha1(payload) AS hex,
+             row_number() OVER (PARTITION BY payload ORDER BY page_id NULLS LAST) AS nth,
+             first_value(page_id) OVER (PARTITION BY payload ORDER BY page_id NULLS LAST) AS first_id FROM p),
+b AS (SELECT *, list_transform(range(8), lambda g: ('0x' || hex[g * 5 + 1:g * 5 + 5])::BIGINT) AS quints FROM d)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+       list_aggregate(list_transform(range(32), lambda i:
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[(quints[i // 4 + 1] >> (15 - 5 * (i % 4))) % 32 + 1]), 'string_agg', '') AS payload_digest,
+       CASE WHEN nth = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN nth > 1 THEN first_id END AS refers_to
+FROM b
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_warc": OP2_SQL}
