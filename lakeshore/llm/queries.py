@@ -6,7 +6,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, secrets, simhash, toxicity, warc
+from . import decontam, langid, secrets, simhash, substrings, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), size=3, most=2)
 
@@ -39,7 +43,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scan, op2_warc, op6_simhash, op7_toxicity, op9_decontamination, op10_language_id)
+    f.__name__: f for f in (op1_secret_scan, op2_warc, op5_substrings, op6_simhash, op7_toxicity, op9_decontamination, op10_language_id)
 }
 
 #: DuckDB has no SHA-1 in base32: its hex digest's bytes are spelt out in groups of 5 bits.
