@@ -6,7 +6,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, secrets, simhash, substrings, toxicity, warc
+from . import decontam, langid, lm, secrets, simhash, substrings, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -43,7 +47,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scan, op2_warc, op5_substrings, op6_simhash, op7_toxicity, op9_decontamination, op10_language_id)
+    f.__name__: f for f in (op1_secret_scan, op2_warc, op5_substrings, op6_simhash, op7_toxicity, op8_language_model, op9_decontamination, op10_language_id)
 }
 
 #: DuckDB has no SHA-1 in base32: its hex digest's bytes are spelt out in groups of 5 bits.
