@@ -6,7 +6,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeshore.llm import decontam, secrets, simhash, toxicity
+from lakeshore.llm import bpe, decontam, secrets, simhash, toxicity
 from lakeshore.llm.common import staged
 
 
@@ -30,11 +30,17 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return secrets.redact(docs)
 
 
+def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every text; the ids decode to the text's bytes."""
+    return bpe.encode(docs, "doc_id", "lang", "source", "n_chars")
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("toxicity", drop_toxic),
     ("SimHash near-dedup", drop_copies),
     ("benchmark decontamination", drop_leaked),
     ("secret scans", redact_secrets),
+    ("byte-level BPE encoding and decoding", encode_texts),
 ]
 
 #: No SQL: the classifier, the edit matching and the guess-cost model are beyond it.
