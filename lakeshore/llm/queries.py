@@ -6,7 +6,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, langid, lm, secrets, simhash, substrings, toxicity, warc
+from . import ann, bpe, decontam, langid, lm, secrets, simhash, substrings, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digest(_table(spark, sf_dir, "documents"))
 
 
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(_table(spark, sf_dir, "embeddings"))
+
+
 def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(_table(spark, sf_dir, "documents")).drop("kept")
 
@@ -51,7 +55,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scan, op2_warc, op3_byte_bpe, op5_substrings, op6_simhash, op7_toxicity, op8_language_model, op9_decontamination, op10_language_id)
+    f.__name__: f for f in (op1_secret_scan, op2_warc, op3_byte_bpe, op4_nearest_neighbours, op5_substrings, op6_simhash, op7_toxicity, op8_language_model, op9_decontamination, op10_language_id)
 }
 
 #: DuckDB has no SHA-1 in base32: its hex digest's bytes are spelt out in groups of 5 bits.
