@@ -18,8 +18,8 @@ Defined results: vectors that are null, zero, or hold null or non-finite
 components take no part, as query or candidate, nor does a row whose id is
 null. Vectors compare with those of the same length only. Of equal vectors
 only those with the k + 1 smallest ids can be among the k nearest, so the
-others are left out of the index, not of the answer. Rows that repeat an id
-count as one candidate for each different vector.
+others are left out of the index, not of the answer. Equal rows count
+once; an id with several vectors is a candidate by each of them.
 """
 
 from __future__ import annotations
@@ -204,7 +204,7 @@ def usable(vectors: DataFrame, k: int) -> DataFrame:
         & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists("embedding", lambda x: x != 0))
     same = Window.partitionBy("v").orderBy("vec_id")
     # row_number with a limit: Spark keeps at most k + 1 rows of a vector in each task before the shuffle
-    return (rows.select("vec_id", v.alias("v")).withColumn("nth", F.row_number().over(same)).where(F.col("nth") <= k + 1)
+    return (rows.select("vec_id", v.alias("v")).distinct().withColumn("nth", F.row_number().over(same)).where(F.col("nth") <= k + 1)
             .select("vec_id", "v", F.size("v").alias("n")))
 
 
@@ -240,7 +240,7 @@ def nearest(vectors: DataFrame, k: int = K, every: int = EVERY, dims: int = DIMS
     clean = usable(vectors, k)
     index = staged(clean, "ann-vectors")
     # A query is looked up among all rows: the index leaves out ids that are not small among equal vectors.
-    queries = pick(vectors, "vec_id", "embedding").where(F.col("vec_id") % every == 0).dropDuplicates()
+    queries = pick(vectors, "vec_id", "embedding").where(F.col("vec_id") % every == 0)
     queries = staged(usable(queries, 1 << 30), "ann-queries")
     totals = {r.n: r["count"] for r in index.groupBy("n").count().collect()}
     empty = "query_id long, rank int, vec_id long, score double"
