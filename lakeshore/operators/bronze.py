@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,25 +13,32 @@ from .. import spec
 # the directory a writer produced for it (`<name>.parquet/part-*.parquet`).
 FILE_NAME_REGEX = r"([^/]+\.parquet)(/[^/]+)?$"
 
+FILES_SCHEMA = "path string, source_file string, file_size_bytes bigint, modified_at timestamp"
+
 
 def source_file_name(path: Column) -> Column:
-    return F.regexp_extract(path, FILE_NAME_REGEX, 1)
+    """The source file of a row's `_metadata.file_path`, which is URL-encoded
+    (a literal `+` is not, so it must not be taken for a space)."""
+    return F.regexp_extract(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), FILE_NAME_REGEX, 1)
 
 
 def discover_files(spark: SparkSession, raw_dir: str) -> DataFrame:
-    """(path, source_file, file_size_bytes, modified_at) of raw Parquet files.
-
-    A listing only: the `binaryFile` source prunes its `content` column when
-    it is not selected, so no data is read.
+    """(path, source_file, file_size_bytes, modified_at): one row for each
+    `*.parquet` entry directly in the raw folder, a file or the folder of part
+    files that a writer made of it. A listing only; nested folders are not
+    searched and no part-file paths are gathered.
     """
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "*.parquet").load(raw_dir))
-    return files.select(
-        F.col("path"),
-        source_file_name(F.col("path")).alias("source_file"),
-        F.col("length").alias("file_size_bytes"),
-        F.col("modificationTime").alias("modified_at"),
-    )
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(raw_dir)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    rows = []
+    if fs.exists(root):
+        for st in fs.listStatus(root):
+            p = st.getPath()
+            if p.getName().endswith(".parquet") and not p.getName().startswith((".", "_")):
+                size = fs.getContentSummary(p).getLength() if st.isDirectory() else st.getLen()
+                rows.append((p.toString(), p.getName(), size, datetime.fromtimestamp(st.getModificationTime() / 1000, timezone.utc)))
+    return spark.createDataFrame(rows, FILES_SCHEMA)
 
 
 def add_lineage(df: DataFrame, source_file: Column | None = None, ingested_at: Column | None = None) -> DataFrame:
@@ -41,11 +50,6 @@ def add_lineage(df: DataFrame, source_file: Column | None = None, ingested_at: C
     })
 
 
-def read_raw(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Read raw Parquet files and add lineage from each row's file path."""
-    return add_lineage(spark.read.parquet(*paths))
-
-
 def successful(ledger: DataFrame, target_table: str | None = None) -> DataFrame:
     """Distinct source files with a success entry (optionally per target)."""
     ok = ledger.filter(F.col("status") == "success")

@@ -22,23 +22,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import spec
-from ..functions.common import finite_or_null, percent_of, safe_ratio, source_month_label, variant_list
+from ..functions.common import finite_or_null, keep_for_variant, percent_of, safe_ratio, source_month_label, variant_list
 
 ZD = "_silver_zero_duration"
 ZDIST = "_silver_zero_distance"
 
 
-def with_gold_columns(silver: DataFrame) -> DataFrame:
-    """trip_date, pickup_month, source_month and finite_speed_mph."""
-    p = F.col("pickup_datetime")
-    return silver.withColumns({
-        "trip_date": F.to_date(p),
-        "pickup_month": F.date_format(p, "yyyy-MM"),
-        "source_month": source_month_label(F.col(spec.SOURCE_FILE_COLUMN)),
-        "finite_speed_mph": finite_or_null(F.col("avg_speed_mph")),
-    })
-
-
+# The output columns of the Gold tables, in order.
 # Output column -> (kind, source). Kinds: count | sum | sum0 | mean | ratio.
 COUNT = ("count", None)
 
@@ -243,7 +233,12 @@ def finish(fanned: DataFrame, keys, measures, monthly: bool) -> DataFrame:
         by_file = "_source_file" in fanned.columns
         cols += [_label(spec.MONTH_BASES, F.col("_b")).alias("month_basis"),
                  _month_text(F.col("_m"), by_file, F.col("_b")).alias("year_month")]
-    cols += [F.col(k).cast(KEY_TYPES[k]).alias(k) if k in KEY_TYPES else F.col(k) for k in keys]
+    return merged.select(*cols, *_outputs(keys, measures))
+
+
+def _outputs(keys, measures) -> list[Column]:
+    """The typed keys and the measures, from merged sums and counts."""
+    cols = [F.col(k).cast(KEY_TYPES[k]).alias(k) if k in KEY_TYPES else F.col(k) for k in keys]
     for name, (kind, src) in measures:
         if kind == "count":
             expr = F.col("_n").cast("bigint")
@@ -260,7 +255,7 @@ def finish(fanned: DataFrame, keys, measures, monthly: bool) -> DataFrame:
         else:
             raise ValueError(kind)
         cols.append(expr.alias(name))
-    return merged.select(*cols)
+    return cols
 
 
 def prepare(silver: DataFrame, table: str) -> DataFrame:
@@ -274,11 +269,38 @@ def prepare(silver: DataFrame, table: str) -> DataFrame:
     return src
 
 
-def build(silver: DataFrame, table: str) -> DataFrame:
-    """Build one Gold table (all variants and bases) from Silver rows."""
+def build(silver: DataFrame, table: str, variants: tuple[str, ...] | None = None,
+          bases: tuple[str, ...] | None = None) -> DataFrame:
+    """Build one Gold table from Silver rows: all variants and bases, or the chosen ones.
+
+    A single variant (and, for a monthly table, a single basis) needs no
+    fan-out: its rows are filtered before the only aggregate.
+    """
     d = GOLD_DEFS[table]
-    pre = preaggregate(prepare(silver, table), d.keys, d.measures, d.monthly)
-    return finish(fan_out(pre, d.monthly), d.keys, d.measures, d.monthly)
+    src = prepare(silver, table)
+    if variants is not None and len(variants) == 1 and (not d.monthly or bases is not None and len(bases) == 1):
+        return _build_one(src, d, variants[0], bases[0] if d.monthly else None)
+    pre = preaggregate(src, d.keys, d.measures, d.monthly)
+    out = finish(fan_out(pre, d.monthly), d.keys, d.measures, d.monthly)
+    if variants is not None:
+        out = out.filter(F.col("data_variant").isin(list(variants)))
+    return out.filter(F.col("month_basis").isin(list(bases))) if d.monthly and bases is not None else out
+
+
+def _build_one(src: DataFrame, d: GoldTable, variant: str, basis: str | None) -> DataFrame:
+    sums, counts = _atoms(d.measures)
+    keys = [F.col(k) for k in d.keys]
+    if basis is not None:
+        month = dict(zip(spec.MONTH_BASES, _month_keys(src)))[basis]
+        keys.append(month.alias("_m"))
+    merged = src.filter(keep_for_variant(variant)).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_s_{c}") for c in sums], *[F.count(c).alias(f"_c_{c}") for c in counts])
+    lead = [F.lit(variant).alias("data_variant")]
+    if basis is not None:
+        by_file = basis == spec.MONTH_BASES[1] and spec.OFFSET_COLUMN not in src.columns
+        lead += [F.lit(basis).alias("month_basis"),
+                 (source_month_label(F.col("_m")) if by_file else _idx_label(F.col("_m"))).alias("year_month")]
+    return merged.select(*lead, *_outputs(d.keys, d.measures))
 
 
 # ---------------------------------------------------------------------------
@@ -410,41 +432,3 @@ def null_profile_from_shared(pre: DataFrame) -> DataFrame:
         F.sum("_n").alias("_n"), *[F.sum(f"_null_{f}").alias(f"_null_{f}") for f in fields],
         F.sum("_all_null").alias("_all_null"))
     return null_profile_finish(rolled)
-
-
-# ---------------------------------------------------------------------------
-# Direct form (filter per variant, group per basis, union): the reference
-# semantics written out literally. Used by tests to prove the plan above.
-# ---------------------------------------------------------------------------
-
-def build_direct(silver: DataFrame, table: str) -> DataFrame:
-    from ..functions.common import keep_for_variant
-
-    d = GOLD_DEFS[table]
-    g = with_gold_columns(silver)
-    parts = []
-    for variant in spec.DATA_VARIANTS:
-        sub = g.filter(keep_for_variant(variant))
-        bases = spec.MONTH_BASES if d.monthly else (None,)
-        for basis in bases:
-            keys = ([F.lit(basis).alias("month_basis"), F.col(basis).alias("year_month")] if basis else [])
-            keys += [F.col(k) for k in d.keys]
-            aggs = []
-            for name, (kind, src) in d.measures:
-                if kind == "count":
-                    aggs.append(F.count(F.lit(1)).alias(name))
-                elif kind == "sum0":
-                    aggs.append(F.coalesce(F.sum(src), F.lit(0)).cast("bigint").alias(name))
-                elif kind == "sum":
-                    aggs.append(F.sum(src).cast("double").alias(name))
-                elif kind == "mean":
-                    aggs.append(F.avg(src).alias(name))
-                else:
-                    num, den = src
-                    aggs.append(safe_ratio(F.sum(num), F.sum(den)).alias(name))
-            grouped = sub.groupBy(*keys).agg(*aggs)
-            parts.append(grouped.select(F.lit(variant).alias("data_variant"), "*"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out

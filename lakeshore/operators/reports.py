@@ -1,62 +1,68 @@
-"""Reporting layer over the Gold tables: parameterised SQL and the
-dashboard-side aggregations, as Spark jobs.
+"""Reporting layer over the Gold tables, as Spark jobs.
 
-SQL texts live in `plans/sql/*.sql` and use named parameter markers
-(`:data_variant`); a NULL parameter means "no filter" and folds away when
-bound. Gold tables are registered as temp views under their table names.
+Each report is described once (`REPORTS`): its Gold table, the columns whose
+value must be given, those whose value may be given (None means all rows) and
+the order. `run_report` makes the query of it.
 """
 
 from __future__ import annotations
 
-import re
-from pathlib import Path
+from dataclasses import dataclass
 from typing import Any, Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.common import as_category_string, optional_eq
 
-SQL_DIR = Path(__file__).resolve().parent.parent / "plans" / "sql"
+
+@dataclass(frozen=True)
+class Report:
+    table: str
+    required: tuple[str, ...]
+    optional: tuple[str, ...] = ()
+    #: Column names in order; "-" before a name: descending, "^": nulls first.
+    order: tuple[str, ...] = ()
+    limited: bool = False
+
 
 REPORTS = {
-    "daily_metrics": "daily_trip_summary",
-    "monthly_kpi": "monthly_kpi",
-    "zone_analysis": "zone_flow_monthly",
-    "payment_analysis": "payment_monthly",
-    "vendor_analysis": "vendor_monthly",
-    "data_quality": "data_quality_summary",
-    "payment_null_profile": "payment_null_profile",
+    "daily_metrics": Report("daily_trip_summary", ("data_variant",), order=("trip_date",)),
+    "monthly_kpi": Report("monthly_kpi", ("data_variant", "month_basis"), order=("year_month",)),
+    "zone_analysis": Report(
+        "zone_flow_monthly", ("data_variant", "month_basis"), ("year_month", "pickup_location_id", "dropoff_location_id"),
+        ("-trip_count", "year_month", "pickup_location_id", "dropoff_location_id"), limited=True),
+    "payment_analysis": Report("payment_monthly", ("data_variant", "month_basis"), ("year_month", "payment_type"), ("year_month", "payment_type")),
+    "vendor_analysis": Report("vendor_monthly", ("data_variant", "month_basis"), ("year_month", "vendor_id"), ("year_month", "vendor_id")),
+    "data_quality": Report(
+        "data_quality_summary", (), ("month_basis", "metric_category", "source_month"),
+        ("month_basis", "^source_month", "metric_category", "metric_name")),
+    "payment_null_profile": Report("payment_null_profile", ("data_variant",), ("payment_type",), ("payment_type", "field_name")),
 }
 
 
-def read_sql(name: str) -> str:
-    path = SQL_DIR / f"{name}.sql"
-    if not path.exists():
-        raise FileNotFoundError(f"SQL file not found: {path}")
-    return path.read_text(encoding="utf-8")
-
+def order_key(key: str) -> Column:
+    if key.startswith("-"):
+        return F.desc_nulls_last(key[1:])
+    return F.asc_nulls_first(key[1:]) if key.startswith("^") else F.asc_nulls_last(key)
 
-def register_views(frames: dict[str, DataFrame]) -> None:
-    for name, df in frames.items():
-        df.createOrReplaceTempView(name)
 
+def run_report(report: str, table: DataFrame, params: dict[str, Any], row_limit: int | None = None,
+               extra_order: tuple[str, ...] = ()) -> DataFrame:
+    """The rows of one report from its Gold table, in its order (then `extra_order`, for ties)."""
+    r = REPORTS[report]
+    if unknown := set(params) - set(r.required) - set(r.optional):
+        raise ValueError(f"{report} takes no {', '.join(sorted(unknown))}")
+    if missing := [c for c in r.required if params.get(c) is None]:
+        raise ValueError(f"{report} needs {', '.join(missing)}")
+    out = filter_equal(table, **{c: params.get(c) for c in (*r.required, *r.optional)})
+    out = out.orderBy(*map(order_key, (*r.order, *extra_order)))
+    return out.limit(row_limit) if r.limited and row_limit is not None else out
 
-def run_report(spark: SparkSession, report: str, params: dict[str, Any],
-               frames: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Run one parameterised report.
 
-    With `frames` (table name -> DataFrame) the frames are bound to the
-    query itself (`FROM {name}` DataFrame arguments), so nothing is
-    registered in the session; without, the names resolve to existing views
-    or catalog tables (see `register_views`).
-    """
-    text = read_sql(report)
-    if not frames:
-        return spark.sql(text, args=params)
-    for name in frames:
-        text = re.sub(rf"(\bFROM\s+){name}\b", rf"\g<1>{{{name}}}", text)
-    return spark.sql(text, args=params, **frames)
+def numbered(df: DataFrame, keys: list[Column]) -> DataFrame:
+    """df with `row_no`, each row's place in the given order (for results of a few pages: one window over all rows)."""
+    return df.withColumn("row_no", F.row_number().over(Window.orderBy(*keys)))
 
 
 # ---------------------------------------------------------------------------
@@ -182,6 +188,9 @@ def dimension_values(frames: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     return out
 
 
+QUALITY_ORDER = ("month_basis", "source_month", "metric_category", "metric_name")
+
+
 def quality_metrics(quality: DataFrame, categories: list[str] | None = None,
                     include_overall: bool = True) -> DataFrame:
     """Raw DQ metrics for the chosen categories, sorted with NULLs last."""
@@ -190,8 +199,7 @@ def quality_metrics(quality: DataFrame, categories: list[str] | None = None,
         out = out.filter(F.col("metric_category").isin(categories))
     if not include_overall:
         out = out.filter(F.col("month_basis") != "overall")
-    return out.orderBy(*[F.asc_nulls_last(c) for c in ("month_basis", "source_month", "metric_category",
-                                                       "metric_name")])
+    return out.orderBy(*map(order_key, QUALITY_ORDER))
 
 
 def profile_as_metrics(profile: DataFrame, data_variant: str = "all", payment_type: int = 0) -> DataFrame:

@@ -10,7 +10,6 @@ so agreement also checks the pre-aggregate + fan-out plans on the Spark side.
 from __future__ import annotations
 
 from . import spec
-from .operators import gold
 from .sources.fixture import trips_sql
 
 D = "::DOUBLE"
@@ -23,13 +22,13 @@ def _amount_rule(c: str) -> str:
     return f"coalesce({c} >= 0 AND NOT isnan({c}), {default})"
 
 
-def base_ctes() -> str:
+def base_ctes(edge: bool = False) -> str:
     """bronze, flagged (rules), silver, quarantine CTE bodies (no WITH)."""
     renamed = ", ".join(
         f"{k} AS {v}" for k, v in spec.COLUMN_RENAMES.items())
     amounts = " AND ".join(_amount_rule(c) for c in spec.AMOUNT_COLUMNS)
     return f"""
-bronze AS ({trips_sql('duckdb')}),
+bronze AS ({trips_sql('duckdb', edge)}),
 renamed AS (
   SELECT * EXCLUDE ({', '.join(spec.COLUMN_RENAMES)}), {renamed} FROM bronze),
 flagged AS (
@@ -80,8 +79,8 @@ quarantine AS (
 """
 
 
-def with_base(body: str) -> str:
-    return "WITH " + base_ctes() + body
+def with_base(body: str, edge: bool = False) -> str:
+    return "WITH " + base_ctes(edge) + body
 
 
 VARIANT_FILTERS = {
@@ -91,20 +90,42 @@ VARIANT_FILTERS = {
     "exclude_both": "NOT _silver_zero_duration AND NOT _silver_zero_distance",
 }
 
-SQL_TYPES = {"date": "DATE", "string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT"}
 
 
-def _measure_sql(kind, src) -> str:
-    if kind == "count":
-        return "count(*)"
-    if kind == "sum0":
-        return f"CAST(coalesce(sum({src}), 0) AS BIGINT)"
-    if kind == "sum":
-        return f"CAST(sum({src}) AS DOUBLE)"
-    if kind == "mean":
-        return f"avg({src})"
-    num, den = src
-    return f"CASE WHEN sum({den}) IS NOT NULL AND sum({den}) <> 0 THEN sum({num}) / sum({den}) END"
+def _mean(c: str, name: str | None = None) -> str:
+    return f"avg({c}) AS avg_{name or c}"
+
+
+def _sum(c: str, name: str | None = None) -> str:
+    return f"CAST(sum({c}) AS DOUBLE) AS total_{name or c}"
+
+
+_TRIPS = "count(*) AS trip_count"
+_PASSENGERS = "CAST(coalesce(sum(passenger_count), 0) AS BIGINT) AS passenger_count_total"
+_SPEED = _mean("finite_speed_mph", "speed_mph")
+_KPI = [_TRIPS, _PASSENGERS, _sum("trip_distance"), _sum("fare_amount"), _sum("tip_amount"), _sum("total_amount", "revenue"),
+        _mean("trip_distance"), _mean("trip_duration_min"), _SPEED, _mean("fare_amount"), _mean("total_amount")]
+_ZONE = [_TRIPS, _sum("total_amount", "revenue"), _mean("total_amount"), _mean("fare_amount"), _mean("tip_amount"),
+         _mean("trip_distance"), _mean("trip_duration_min"), _SPEED]
+_PAYMENT = [_TRIPS, _sum("total_amount", "revenue"), _sum("fare_amount"), _sum("tip_amount"), _mean("total_amount"), _mean("fare_amount"),
+            _mean("tip_amount"), "CASE WHEN sum(fare_amount) <> 0 THEN sum(tip_amount) / sum(fare_amount) END AS recorded_tip_to_fare_rate",
+            _mean("trip_distance"), _mean("trip_duration_min")]
+_PICKUP, _DROPOFF = "CAST(pickup_location_id AS INTEGER)", "CAST(dropoff_location_id AS INTEGER)"
+
+#: Table -> (key column -> its expression, measures, whether it has months); written out here, apart from the Spark side.
+GOLD = {
+    "daily_trip_summary": ({"trip_date": "trip_date"}, _KPI, False),
+    "monthly_kpi": ({}, _KPI, True),
+    "pickup_zone_monthly": ({"pickup_location_id": _PICKUP}, _ZONE, True),
+    "dropoff_zone_monthly": ({"dropoff_location_id": _DROPOFF}, _ZONE, True),
+    "zone_flow_monthly": ({"pickup_location_id": _PICKUP, "dropoff_location_id": _DROPOFF}, _ZONE, True),
+    "payment_monthly": ({"payment_type": "CAST(payment_type AS BIGINT)"}, _PAYMENT, True),
+    "payment_zone_flow_monthly": (
+        {"payment_type": "CAST(payment_type AS BIGINT)", "pickup_location_id": _PICKUP, "dropoff_location_id": _DROPOFF}, _ZONE, True),
+    "vendor_monthly": ({"vendor_id": "CAST(vendor_id AS INTEGER)"}, _ZONE, True),
+    "vendor_zone_flow_monthly": (
+        {"vendor_id": "CAST(vendor_id AS INTEGER)", "pickup_location_id": _PICKUP, "dropoff_location_id": _DROPOFF}, _ZONE, True),
+}
 
 
 def gold_sql(table: str) -> str:
@@ -113,22 +134,14 @@ def gold_sql(table: str) -> str:
 
 def gold_body(table: str) -> str:
     """Literal form: 4 filtered copies x (1 or 2) bases, UNION ALL."""
-    d = gold.GOLD_DEFS[table]
+    keys, measures, monthly = GOLD[table]
     parts = []
     for variant, cond in VARIANT_FILTERS.items():
-        bases = spec.MONTH_BASES if d.monthly else (None,)
-        for basis in bases:
-            sel = [f"'{variant}' AS data_variant"]
-            grp = []
-            if basis:
-                sel += [f"'{basis}' AS month_basis", f"{basis} AS year_month"]
-                grp.append(basis)
-            for k in d.keys:
-                sel.append(f"CAST({k} AS {SQL_TYPES[gold.KEY_TYPES[k]]}) AS {k}")
-                grp.append(k)
-            sel += [f"{_measure_sql(kind, src)} AS {name}" for name, (kind, src) in d.measures]
-            group_by = f" GROUP BY {', '.join(grp)}" if grp else ""
-            parts.append(f"SELECT {', '.join(sel)} FROM gsilver WHERE {cond}{group_by}")
+        for basis in ("pickup_month", "source_month") if monthly else (None,):
+            lead = [f"'{variant}' AS data_variant"] + ([f"'{basis}' AS month_basis", f"{basis} AS year_month"] if basis else [])
+            by = [*([basis] if basis else []), *keys]
+            parts.append(f"SELECT {', '.join([*lead, *(f'{e} AS {k}' for k, e in keys.items()), *measures])} FROM gsilver WHERE {cond}"
+                         + (f" GROUP BY {', '.join(by)}" if by else ""))
     return "\nUNION ALL\n".join(parts)
 
 
@@ -302,10 +315,10 @@ offf AS (
 """ + "\nUNION ALL\n".join(parts))
 
 
-def with_tables(tables: dict[str, str], body: str) -> str:
+def with_tables(tables: dict[str, str], body: str, edge: bool = False) -> str:
     """Base CTEs plus named derived tables (name -> SQL body), then `body`."""
     extra = "".join(f",\n{name} AS (\n{sql}\n)" for name, sql in tables.items())
-    return with_base(extra + "\n" + body)
+    return with_base(extra + "\n" + body, edge)
 
 
 def gold_tables(*names: str) -> dict[str, str]:

@@ -3,9 +3,10 @@
 Each step is a handful of distributed jobs, not a per-file loop:
 
 * Bronze: list raw files (no data read), anti-join the ingestion ledger,
-  read every pending file in one job and write it partitioned by source file
-  with dynamic partition overwrite, so a rerun of a file replaces only that
-  file's partitions (idempotent).
+  compare each pending file's schema (a file that does not fit is logged as
+  failed and left out), read the others in one job and write them partitioned
+  by source file with dynamic partition overwrite, so a rerun of a file
+  replaces only that file's partitions (idempotent).
 * Silver: anti-join Bronze's successful files against the transform ledger,
   read those partitions (partition pruning), validate once, write clean rows
   partitioned by (source file, pickup month) and rejected rows by source file.
@@ -25,7 +26,6 @@ The driver only ever holds file lists, counts and ledger rows.
 from __future__ import annotations
 
 import argparse
-import re
 import sys
 import threading
 import time
@@ -43,7 +43,7 @@ from ..operators import bronze as bronze_ops
 from ..operators import gold, quality, silver
 from ..sources import ledger
 from ..session import checkpoint_dir
-from ..sources.tables import Warehouse, check_schema
+from ..sources.tables import Warehouse, check_schema, differences
 
 QUARANTINE_MIN_SCHEMA = StructType([
     StructField("pickup_datetime", TimestampNTZType()),
@@ -82,28 +82,42 @@ def _log(msg: str) -> None:
 # Bronze
 # ---------------------------------------------------------------------------
 
-def _raw_schema(spark: SparkSession, wh: Warehouse, first_path: str) -> StructType:
+def _raw_schema(wh: Warehouse, schemas: list[StructType]) -> StructType:
     """Bronze's raw column set: the existing table's, else the first file's."""
     existing = wh.schema(spec.BRONZE_TABLE)
-    src = existing if existing is not None else spark.read.parquet(first_path).schema
+    src = existing if existing is not None else schemas[0]
     lineage = (spec.SOURCE_FILE_COLUMN, spec.INGESTED_AT_COLUMN)
     return StructType([f for f in src.fields if f.name not in lineage])
 
 
-def _ingest(spark: SparkSession, wh: Warehouse, paths: list[str], schema: StructType, ingested_at) -> DataFrame:
-    raw = spark.read.schema(schema).parquet(*paths)
+def _file_schemas(spark: SparkSession, pending: list) -> dict[str, StructType | str]:
+    """Each pending file's schema (one footer a file), or why it cannot be read."""
+    def one(path: str) -> StructType | str:
+        try:
+            return spark.read.parquet(path).schema
+        except Exception as e:
+            return str(e).splitlines()[0][:1000]
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        return dict(zip([r.source_file for r in pending], pool.map(one, [r.path for r in pending])))
+
+
+def _ingest(spark: SparkSession, wh: Warehouse, pending: list, schema: StructType, ingested_at) -> dict[str, int]:
+    """Land the files (one root path each) and count what landed of each."""
+    raw = spark.read.schema(schema).parquet(*[r.path for r in pending])
     batch = bronze_ops.add_lineage(raw, ingested_at=F.lit(ingested_at).cast("timestamp"))
+    for r in pending:
+        wh.drop_partition(spec.BRONZE_TABLE, spec.SOURCE_FILE_COLUMN, r.source_file)
     wh.write(batch, spec.BRONZE_TABLE, mode="overwrite", partition_by=[spec.SOURCE_FILE_COLUMN], dynamic=True)
-    names = sorted({source_file_of(p) for p in paths})
-    landed = wh.read(spec.BRONZE_TABLE).filter(F.col(spec.SOURCE_FILE_COLUMN).isin(names))
-    return landed.groupBy(F.col(spec.SOURCE_FILE_COLUMN).alias("source_file")).agg(
-        F.count(F.lit(1)).alias("row_count"))
+    names = [r.source_file for r in pending]
+    landed = wh.read(spec.BRONZE_TABLE, batch.schema).filter(F.col(spec.SOURCE_FILE_COLUMN).isin(names))
+    found = {r[0]: r[1] for r in landed.groupBy(spec.SOURCE_FILE_COLUMN).count().collect()}  # one row a file
+    return {n: found.get(n, 0) for n in names}
 
 
-def source_file_of(path: str) -> str:
-    """Driver-side twin of `bronze.source_file_name` for a listed path."""
-    m = re.search(bronze_ops.FILE_NAME_REGEX, path)
-    return m.group(1) if m else path.rsplit("/", 1)[-1]
+def _lost(spark: SparkSession, pending: list, counts: dict[str, int]) -> dict[str, str]:
+    """Files of which nothing landed although they hold rows."""
+    return {r.source_file: f"no row of {r.source_file} landed" for r in pending
+            if not counts.get(r.source_file) and spark.read.parquet(r.path).count()}
 
 
 def ingest_bronze(spark: SparkSession, cfg: spec.PipelineConfig) -> StepResult:
@@ -111,9 +125,7 @@ def ingest_bronze(spark: SparkSession, cfg: spec.PipelineConfig) -> StepResult:
     wh = Warehouse(spark, cfg.warehouse)
     files = bronze_ops.discover_files(spark, cfg.raw_dir)
     log = ledger.read(wh, spec.INGESTION_LOG_TABLE, ledger.INGESTION_LOG_SCHEMA)
-    listing = files.groupBy("source_file").agg(F.collect_list("path").alias("paths"),
-                                                F.sum("file_size_bytes").alias("file_size_bytes"))
-    status = bronze_ops.file_status(listing, log)
+    status = bronze_ops.file_status(files, log)
     # One row per raw file: a listing, bounded by the number of files.
     rows = status.orderBy("source_file").collect()
     if not rows:
@@ -125,9 +137,15 @@ def ingest_bronze(spark: SparkSession, cfg: spec.PipelineConfig) -> StepResult:
     if not pending:
         return res
     run_id, started = _run_id(), _now()
-    paths = [p for r in pending for p in sorted(r.paths)]
     sizes = {r.source_file: r.file_size_bytes for r in pending}
-    schema = _raw_schema(spark, wh, paths[0])
+    schemas = _file_schemas(spark, pending)
+    failed = {n: x for n, x in schemas.items() if isinstance(x, str)}
+    schema = None
+    if readable := [x for x in schemas.values() if not isinstance(x, str)]:
+        schema = _raw_schema(wh, readable)
+        failed |= {n: f"schema differs from {spec.BRONZE_TABLE}: {why}" for n, x in schemas.items()
+                   if n not in failed and (why := differences(x, schema))}
+    fitting = [r for r in pending if r.source_file not in failed]
 
     def ledger_rows(counts: dict[str, int], failed: dict[str, str]) -> list[dict]:
         finished = _now()
@@ -141,18 +159,18 @@ def ingest_bronze(spark: SparkSession, cfg: spec.PipelineConfig) -> StepResult:
                         "error_message": None if ok else failed[name]})
         return out
 
+    counts: dict[str, int] = {}
     try:
-        counts = {r.source_file: r.row_count for r in _ingest(spark, wh, paths, schema, started).collect()}
-        failed: dict[str, str] = {}
+        if fitting:
+            counts = _ingest(spark, wh, fitting, schema, started)
     except Exception as batch_error:  # isolate the failing file(s)
         _log(f"bronze batch failed ({batch_error.__class__.__name__}); retrying file by file")
-        counts, failed = {}, {}
-        for r in pending:
+        for r in fitting:
             try:
-                for row in _ingest(spark, wh, sorted(r.paths), schema, started).collect():
-                    counts[row.source_file] = row.row_count
+                counts |= _ingest(spark, wh, [r], schema, started)
             except Exception as e:
                 failed[r.source_file] = str(e).splitlines()[0][:1000]
+    failed |= _lost(spark, [r for r in fitting if r.source_file not in failed], counts)
     ledger.append_rows(spark, wh, spec.INGESTION_LOG_TABLE, ledger.INGESTION_LOG_SCHEMA,
                        ledger_rows(counts, failed))
     res.processed = len(sizes) - len(failed)
@@ -186,12 +204,17 @@ def _transform(wh: Warehouse, files: list[str], cfg: spec.PipelineConfig) -> Dat
     flagged = silver.flag_rules(batch, cfg.min_pickup, cfg.max_pickup)
     clean = silver.silver_rows(flagged).withColumn("pickup_month", F.date_format("pickup_datetime", "yyyy-MM"))
     rejected = silver.quarantine_rows(flagged)
+    for name in files:  # what an earlier run of the file left, also in partitions that this one does not write
+        wh.drop_partition(spec.SILVER_TABLE, spec.SOURCE_FILE_COLUMN, name)
+        wh.drop_partition(spec.QUARANTINE_TABLE, spec.SOURCE_FILE_COLUMN, name)
     wh.write(clean, spec.SILVER_TABLE, mode="overwrite",
              partition_by=[spec.SOURCE_FILE_COLUMN, "pickup_month"], dynamic=True)
     wh.write(rejected, spec.QUARANTINE_TABLE, mode="overwrite", partition_by=[spec.SOURCE_FILE_COLUMN],
              dynamic=True)
+    wh.declare(spec.SILVER_TABLE, clean.schema)
+    wh.declare(spec.QUARANTINE_TABLE, rejected.schema)
     ok = [f for f, good in _file_name_status(wh.spark, files).items() if good]
-    # (A table with no rows yet reads back as a typed empty frame.)
+    # (A table without rows reads back as a typed empty frame.)
     written = wh.read(spec.SILVER_TABLE, clean.schema).filter(F.col(spec.SOURCE_FILE_COLUMN).isin(ok))
     quarantined = wh.read(spec.QUARANTINE_TABLE, rejected.schema).filter(F.col(spec.SOURCE_FILE_COLUMN).isin(ok))
     return silver.breakdown_from_outputs(written, quarantined)
@@ -336,10 +359,11 @@ def build_gold(spark: SparkSession, cfg: spec.PipelineConfig, only: list[str] |
         started = _now()
         try:
             df = builder()
-            check_schema(wh.schema(table), df.schema, table)
+            check_schema(wh, table, df.schema)
             obs = Observation(f"rows_{name}")
             wh.write(df.observe(obs, F.count(F.lit(1)).alias("rows")), table, mode="overwrite",
                      partition_by=gold_partitioning(name, df.columns))
+            wh.declare(table, df.schema)
             written = obs.get["rows"]
             status, err, snap = "success", None, _run_id()
             msg = f"build {table}: {written:,} rows"

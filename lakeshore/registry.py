@@ -16,9 +16,6 @@ hit ties constantly on such data). The library itself keeps full precision.
 
 from __future__ import annotations
 
-import hashlib
-import os
-import threading
 from dataclasses import dataclass, field
 from typing import Callable
 
@@ -28,8 +25,7 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from . import oracle, spec
 from .operators import gold, quality, silver
-from .session import checkpoint_dir, path_exists
-from .sources.fixture import load_table, raw_trips
+from .sources.fixture import raw_trips
 
 STABLE_SCALE = 1048576.0  # 2^20
 
@@ -63,51 +59,18 @@ class Query:
 # Shared derivations (lazy; each query re-plans from the given tables).
 # ---------------------------------------------------------------------------
 
-def bronze_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_trips(spark, sf_dir)
+def bronze_frame(spark: SparkSession, sf_dir: str, edge: bool = False) -> DataFrame:
+    return raw_trips(spark, sf_dir, edge)
 
 
+def flagged_table(spark: SparkSession, sf_dir: str, edge: bool = False) -> DataFrame:
+    """Validated Bronze (raw rows + rule columns): lazy, so every query's own
+    columns and filters reach the scan of the given table."""
+    return silver.flag_rules(bronze_frame(spark, sf_dir, edge))
 
-_FLAGGED: dict[tuple[str, str], str] = {}
-_FLAGGED_LOCK = threading.Lock()
 
-
-def flagged_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Validated Bronze (raw rows + rule columns), written once per
-    application and input folder as Parquet under spark.checkpoint.dir.
-
-    This is the lazy twin of the pipeline's Bronze table: every query then
-    reads a columnar table (column pruning, pushdown) instead of re-deriving
-    the rows, and the lineage is cut at a reliable, shared location.
-    """
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    with _FLAGGED_LOCK:  # one writer per (application, folder)
-        path = _materialize_flagged(spark, sf_dir, key)
-    return spark.read.parquet(path)
-
-
-def _materialize_flagged(spark: SparkSession, sf_dir: str, key: tuple[str, str]) -> str:
-    path = _FLAGGED.get(key)
-    if path is not None and not path_exists(spark, f"{path}/_SUCCESS"):
-        path = None  # the checkpoint folder was cleared: write it again
-    if path is None:
-        base = checkpoint_dir(spark).rstrip("/")
-        digest = hashlib.sha1(repr(key).encode()).hexdigest()[:16]
-        path = f"{base}/lakeshore-validated-bronze-{digest}"
-        flagged = silver.flag_rules(bronze_frame(spark, sf_dir))
-        # Few input files (small data, maybe one row group) would pin every
-        # later scan to one task; spread such rows round-robin first. Large
-        # inputs already arrive as many files and are never reshuffled here.
-        parallelism = spark.sparkContext.defaultParallelism
-        if len(load_table(spark, sf_dir, "lineitem").inputFiles()) < parallelism:
-            flagged = flagged.repartition(parallelism)
-        flagged.write.mode("overwrite").parquet(path)
-        _FLAGGED[key] = path
-    return path
-
-
-def silver_result(spark: SparkSession, sf_dir: str) -> silver.SilverResult:
-    flagged = flagged_table(spark, sf_dir)
+def silver_result(spark: SparkSession, sf_dir: str, edge: bool = False) -> silver.SilverResult:
+    flagged = flagged_table(spark, sf_dir, edge)
     return silver.SilverResult(flagged, silver.silver_rows(flagged), silver.quarantine_rows(flagged))
 
 
@@ -167,13 +130,8 @@ def core_queries() -> dict[str, Query]:
 
 
 def all_queries() -> dict[str, Query]:
-    out = core_queries()
-    try:
-        from . import registry_more
-        out.update(registry_more.more_queries())
-    except ImportError:
-        pass
-    return out
+    from .registry_more import more_queries  # it imports this module
+    return core_queries() | more_queries()
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -1,12 +1,16 @@
 """Registered queries beyond the core tables: incremental selection,
-profiling/validation jobs, reports and dashboard operators, Gold checks.
+profiling/validation jobs, reports and dashboard operators, Gold checks, and
+runs of the file-based pipeline.
 
-Each entry pairs the Spark builder with its DuckDB twin. Report twins inline
-the parameter values the reference notebooks use.
+Each entry pairs the Spark builder with its DuckDB twin, which is written by
+itself. Where the plain trips would leave a check at zero, the edge trips
+(sources/fixture.py) or deliberately broken tables give it something to find.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,13 +18,20 @@ from . import oracle as O
 from . import spec
 from .operators import bronze as B
 from .operators import checks, gold, profile, quality, reports
+from .plans import pipeline
 from .registry import Query, silver_result, success_log
+from .session import checkpoint_dir
 from .sources.fixture import RAW_COLUMNS, RAW_NUMERIC_COLUMNS, raw_trips
 
 WB = O.with_base
 WT = O.with_tables
 
 
+def WE(body: str) -> str:
+    """A twin over the edge trips."""
+    return O.with_base(body, edge=True)
+
+
 # ---------------------------------------------------------------------------
 # Shared Spark derivations
 # ---------------------------------------------------------------------------
@@ -36,8 +47,10 @@ def _transform_log(flagged: DataFrame) -> DataFrame:
         "rows_read", "rows_rejected", "rows_written")
 
 
-def _gold_frames(spark, sf, names) -> dict[str, DataFrame]:
+def _gold_frames(spark, sf, names, variant: str | None = None, basis: str | None = None) -> dict[str, DataFrame]:
+    """Gold tables by name; given a variant and a basis, only that slice is built."""
     r = silver_result(spark, sf)
+    variants, bases = (variant,) if variant else None, (basis,) if basis else None
     out = {}
     for n in names:
         if n == "payment_null_profile":
@@ -47,60 +60,57 @@ def _gold_frames(spark, sf, names) -> dict[str, DataFrame]:
             out[n] = quality.data_quality_summary(r.silver, r.quarantine, bronze_rows, success_log(r.flagged),
                                                   with_run_columns=False)
         else:
-            out[n] = gold.build(r.silver, n)
+            out[n] = gold.build(r.silver, n, variants, bases)
     return out
 
 
-def _report(report: str, params: dict):
-    table = reports.REPORTS[report]
+def _report(report: str, params: dict, row_limit: int | None, extra_order: tuple[str, ...]):
+    r = reports.REPORTS[report]
 
     def run(spark, sf):
-        return reports.run_report(spark, report, params, _gold_frames(spark, sf, [table]))
+        frame = _gold_frames(spark, sf, [r.table], params.get("data_variant"), params.get("month_basis"))[r.table]
+        rows = reports.run_report(report, frame, params, row_limit, extra_order)
+        return reports.numbered(rows, [reports.order_key(k) for k in (*r.order, *extra_order)])
     return run
 
 
-def _lit(v) -> str:
-    if v is None:
-        return "NULL"
-    if isinstance(v, str):
-        return f"'{v}'"
-    return str(v)
-
-
-def _report_sql(report: str, params: dict) -> str:
-    """DuckDB twin: the same report text with parameter values inlined."""
-    table = reports.REPORTS[report]
-    text = reports.read_sql(report)
-    for k in sorted(params, key=len, reverse=True):
-        text = text.replace(f":{k}", _lit(params[k]))
-    return WT(O.gold_tables(table), text)
-
-
 GOLD_DOUBLES = {t: [n for n, (k, _) in gold.GOLD_DEFS[t].measures if k in ("sum", "mean", "ratio")]
                 for t in gold.GOLD_DEFS}
 GOLD_DOUBLES["payment_null_profile"] = ["null_percent", "all_profile_fields_null_percent"]
 GOLD_DOUBLES["data_quality_summary"] = ["metric_value", "metric_percent"]
 
-REPORT_PARAMS = {
-    "report_daily": ("daily_metrics", {"data_variant": "all"}),
-    "report_monthly": ("monthly_kpi", {"data_variant": "all", "month_basis": "pickup_month"}),
-    "report_monthly_source": ("monthly_kpi", {"data_variant": "all", "month_basis": "source_month"}),
-    "report_zone_topk": ("zone_analysis", {"data_variant": "all", "month_basis": "pickup_month",
-                                           "year_month": None, "pickup_location_id": 132,
-                                           "dropoff_location_id": None, "row_limit": 25}),
-    "report_payment": ("payment_analysis", {"data_variant": "all", "month_basis": "source_month",
-                                            "year_month": None, "payment_type": None}),
-    "report_vendor": ("vendor_analysis", {"data_variant": "all", "month_basis": "pickup_month",
-                                          "year_month": None, "vendor_id": None}),
-    "report_quality": ("data_quality", {"month_basis": "overall", "metric_category": "silver_warning",
-                                        "source_month": None}),
-    "report_quality_month": ("data_quality", {"month_basis": "pickup_month",
-                                              "metric_category": "zero_filter_impact_month",
-                                              "source_month": None}),
-    "report_null_profile": ("payment_null_profile", {"data_variant": "all", "payment_type": 0}),
+#: Query -> (report, parameters, row limit, order of ties, and the twin's table, condition and order).
+REPORT_QUERIES = {
+    "report_daily": ("daily_metrics", {"data_variant": "all"}, None, (), "data_variant = 'all'", "trip_date"),
+    "report_monthly": ("monthly_kpi", {"data_variant": "all", "month_basis": "pickup_month"}, None, (),
+                       "data_variant = 'all' AND month_basis = 'pickup_month'", "year_month"),
+    "report_monthly_source": ("monthly_kpi", {"data_variant": "all", "month_basis": "source_month"}, None, (),
+                              "data_variant = 'all' AND month_basis = 'source_month'", "year_month"),
+    "report_zone_topk": ("zone_analysis", {"data_variant": "all", "month_basis": "pickup_month", "pickup_location_id": 132}, 25, (),
+                         "data_variant = 'all' AND month_basis = 'pickup_month' AND pickup_location_id = 132",
+                         "trip_count DESC, year_month, pickup_location_id, dropoff_location_id"),
+    "report_payment": ("payment_analysis", {"data_variant": "all", "month_basis": "source_month"}, None, (),
+                       "data_variant = 'all' AND month_basis = 'source_month'", "year_month, payment_type"),
+    "report_vendor": ("vendor_analysis", {"data_variant": "all", "month_basis": "pickup_month", "vendor_id": 2}, None, (),
+                      "data_variant = 'all' AND month_basis = 'pickup_month' AND vendor_id = 2", "year_month, vendor_id"),
+    "report_quality": ("data_quality", {"month_basis": "overall", "metric_category": "silver_warning"}, None, (),
+                       "month_basis = 'overall' AND metric_category = 'silver_warning'", "metric_name"),
+    "report_quality_month": ("data_quality", {"month_basis": "pickup_month", "metric_category": "zero_filter_impact_month"}, None, (),
+                             "month_basis = 'pickup_month' AND metric_category = 'zero_filter_impact_month'", "source_month, metric_name"),
+    "report_quality_all": ("data_quality", {}, None, ("source_file",), "true",
+                           "month_basis ASC, source_month ASC NULLS FIRST, metric_category, metric_name, source_file ASC NULLS LAST"),
+    "report_null_profile": ("payment_null_profile", {"data_variant": "all", "payment_type": 0}, None, (),
+                            "data_variant = 'all' AND payment_type = 0", "payment_type, field_name"),
 }
 
 
+def _report_sql(report: str, row_limit: int | None, where: str, order: str) -> str:
+    table = reports.REPORTS[report].table
+    limit = f" WHERE row_no <= {row_limit}" if row_limit else ""
+    return WT(O.gold_tables(table), f"SELECT * FROM (SELECT *, CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS row_no "
+                                    f"FROM {table} WHERE {where}) t{limit}")
+
+
 # ---------------------------------------------------------------------------
 # Bronze / incremental
 # ---------------------------------------------------------------------------
@@ -113,21 +123,24 @@ def bronze_queries() -> dict[str, Query]:
   'success' AS status, count(*) AS row_count FROM bronze GROUP BY 1"""))
 
     def _files(s, sf):
-        return B.ingestion_summary(_bronze(s, sf)).select("source_file", "row_count")
+        return B.ingestion_summary(raw_trips(s, sf, edge=True)).select("source_file", "row_count")
+
+    def _ledger(s, sf):
+        """The first two months succeeded, the third failed, the fourth is new."""
+        log = _transform_log(silver_result(s, sf).flagged)
+        return log.withColumn("status", F.when(F.col("source_file") == "demo_tripdata_2026-03.parquet", "failed").otherwise(F.col("status")))
 
     def _pending(s, sf):
-        r = silver_result(s, sf)
-        return B.pending_files(_files(s, sf), _transform_log(r.flagged), spec.SILVER_TABLE)
+        return B.pending_files(_files(s, sf), _ledger(s, sf), spec.SILVER_TABLE)
 
     def _status(s, sf):
-        r = silver_result(s, sf)
-        return B.file_status(_files(s, sf), _transform_log(r.flagged), spec.SILVER_TABLE)
+        return B.file_status(_files(s, sf), _ledger(s, sf), spec.SILVER_TABLE)
 
     files_sql = "SELECT _bronze_source_file AS source_file, count(*) AS row_count FROM bronze GROUP BY 1"
-    done_sql = "SELECT DISTINCT _bronze_source_file AS source_file FROM flagged2 WHERE file_ok"
-    q["incremental_pending_files"] = Query(_pending, WB(
+    done_sql = "SELECT unnest(['demo_tripdata_2026-01.parquet', 'demo_tripdata_2026-02.parquet'])"
+    q["incremental_pending_files"] = Query(_pending, WE(
         f"SELECT f.* FROM ({files_sql}) f WHERE f.source_file NOT IN ({done_sql})"))
-    q["incremental_file_status"] = Query(_status, WB(
+    q["incremental_file_status"] = Query(_status, WE(
         f"SELECT f.*, f.source_file IN ({done_sql}) AS already_processed FROM ({files_sql}) f"))
     return q
 
@@ -142,6 +155,28 @@ def _offset_expr() -> str:
             f"CAST(regexp_extract(_bronze_source_file, '{O.RX}', 2) AS INTEGER)) AS INTEGER)")
 
 
+#: Faults put into Silver: column -> expression (the same text in Spark and DuckDB).
+BROKEN_SILVER = {
+    "pickup_datetime": "CASE WHEN pickup_location_id % 31 = 1 THEN pickup_datetime + INTERVAL '400' DAY WHEN pickup_location_id % 31 = 2 "
+                       "THEN pickup_datetime - INTERVAL '400' DAY WHEN pickup_location_id % 31 = 3 THEN NULL ELSE pickup_datetime END",
+    "dropoff_datetime": "CASE WHEN pickup_location_id % 29 = 1 THEN NULL WHEN pickup_location_id % 29 = 2 "
+                        "THEN dropoff_datetime - INTERVAL '3' DAY ELSE dropoff_datetime END",
+    "trip_distance": "CASE WHEN pickup_location_id % 37 = 1 THEN -1 - trip_distance ELSE trip_distance END",
+    "passenger_count": "CASE WHEN pickup_location_id % 37 = 2 THEN passenger_count - passenger_count ELSE passenger_count END",
+    **{c: f"CASE WHEN pickup_location_id % 37 = {5 + i} THEN {c} - 1000 WHEN pickup_location_id % 37 = {17 + i} THEN NULL ELSE {c} END"
+       for i, c in enumerate(spec.AMOUNT_COLUMNS)},
+    "trip_duration_min": "CASE WHEN pickup_location_id % 41 = 1 THEN trip_duration_min + 1 WHEN pickup_location_id % 41 = 2 "
+                         "THEN -1 - trip_duration_min WHEN pickup_location_id % 41 = 3 THEN NULL ELSE trip_duration_min END",
+    "avg_speed_mph": "CASE WHEN pickup_location_id % 41 = 4 THEN NULL WHEN pickup_location_id % 41 = 5 THEN -1 - avg_speed_mph "
+                     "WHEN pickup_location_id % 41 = 6 THEN avg_speed_mph + 1000 ELSE avg_speed_mph END",
+    "_silver_source_month_offset": "CASE WHEN pickup_location_id % 43 = 1 THEN _silver_source_month_offset + 1 ELSE _silver_source_month_offset END",
+}
+
+
+def _broken_silver(s, sf) -> DataFrame:
+    return silver_result(s, sf).silver.withColumns({c: F.expr(e) for c, e in BROKEN_SILVER.items()})
+
+
 def silver_queries() -> dict[str, Query]:
     q = {}
     q["month_offset_hist"] = Query(
@@ -185,6 +220,14 @@ def silver_queries() -> dict[str, Query]:
 FROM silver"""
     q["silver_revalidation"] = Query(lambda s, sf: profile.silver_revalidation(silver_result(s, sf).silver),
                                      WB(reval))
+    # The same checks over a Silver with every kind of fault in it.
+    replaced = ", ".join(f"{e} AS {c}" for c, e in BROKEN_SILVER.items())
+    q["silver_revalidation_broken"] = Query(
+        lambda s, sf: profile.silver_revalidation(_broken_silver(s, sf)),
+        WB(f", broken AS (SELECT * REPLACE ({replaced}) FROM silver)\n" + reval.replace("FROM silver", "FROM broken")))
+    q["warning_totals_broken"] = Query(
+        lambda s, sf: profile.warning_totals(_broken_silver(s, sf)),
+        WB(f", broken AS (SELECT * REPLACE ({replaced}) FROM silver)\nSELECT " + ",\n  ".join(cols) + " FROM broken"))
     q["month_by_file"] = Query(
         lambda s, sf: profile.month_by_file(silver_result(s, sf).silver),
         WB("""SELECT strftime(pickup_datetime, '%Y-%m') AS pickup_month, _bronze_source_file, count(*) AS rows,
@@ -201,10 +244,16 @@ FROM silver"""
         lambda s, sf: profile.quarantine_no_reason(silver_result(s, sf).quarantine),
         WB(f"SELECT count(*) AS quarantined_rows, count(*) FILTER (WHERE {none}) AS rows_without_reason "
            "FROM quarantine"))
+    cleared = ", ".join(f"({f} AND pickup_location_id % 10 <> 0) AS {f}" for f in spec.REJECTION_FLAGS)
+    q["quarantine_no_reason_broken"] = Query(
+        lambda s, sf: profile.quarantine_no_reason(silver_result(s, sf).quarantine.withColumns(
+            {f: F.col(f) & (F.col("pickup_location_id") % 10 != 0) for f in spec.REJECTION_FLAGS})),
+        WB(f", broken AS (SELECT * REPLACE ({cleared}) FROM quarantine)\nSELECT count(*) AS quarantined_rows, "
+           f"count(*) FILTER (WHERE {none}) AS rows_without_reason FROM broken"))
 
     def _dups(s, sf):
-        r = silver_result(s, sf)
-        b = profile.bronze_duplicates(_bronze(s, sf)).select(F.lit("bronze").alias("table"), "*")
+        r = silver_result(s, sf, edge=True)
+        b = profile.bronze_duplicates(raw_trips(s, sf, edge=True)).select(F.lit("bronze").alias("table"), "*")
         sv = profile.silver_duplicates(r.silver).select(F.lit("silver").alias("table"), "*")
         return b.unionByName(sv)
 
@@ -214,7 +263,7 @@ FROM (SELECT * EXCLUDE (_bronze_source_file), count(*) AS c FROM bronze GROUP BY
 UNION ALL
 SELECT 'silver' AS "table", count(*) AS duplicate_groups, CAST(coalesce(sum(c - 1), 0) AS BIGINT) AS duplicate_rows
 FROM (SELECT *, count(*) AS c FROM silver GROUP BY ALL HAVING count(*) > 1) d"""
-    q["duplicates"] = Query(_dups, WB(dup_sql))
+    q["duplicates"] = Query(_dups, WE(dup_sql))
 
     def _ledger(s, sf):
         r = silver_result(s, sf)
@@ -255,6 +304,21 @@ def _share(cnt: str) -> str:
     return f"CASE WHEN count(*) <> 0 THEN {_r2(f'({cnt})::DOUBLE / count(*)::DOUBLE * 100.0')} ELSE 0.0 END"
 
 
+def _numeric_summary(s, sf) -> DataFrame:
+    """`profile.numeric_summary` as one row a column, with each quartile's rank checked against all rows."""
+    bronze = _bronze(s, sf)
+    stats = {r["summary"]: r for r in profile.numeric_summary(bronze).collect()}  # eight rows
+
+    def holds(c: str, p: int):
+        v, share = F.lit(stats[f"{p}%"][c]).cast("double"), p / 100
+        below, upto, n = F.count_if(F.col(c) < v), F.count_if(F.col(c) <= v), F.count(c)
+        return (below <= (share + 0.001) * n + 1) & (upto >= (share - 0.001) * n - 1)
+    one = F.struct
+    columns = [one(F.lit(c).alias("column"), F.count(c).alias("count"), *(F.lit(stats[k][c]).cast("double").alias(k) for k in ("mean", "stddev", "min", "max")),
+                   *(holds(c, p).alias(f"rank_{p}_holds") for p in (25, 50, 75))) for c in RAW_NUMERIC_COLUMNS]
+    return bronze.agg(F.array(*columns).alias("a")).select(F.inline("a"))
+
+
 def profile_queries() -> dict[str, Query]:
     q = {}
     nulls = "\nUNION ALL\n".join(
@@ -273,8 +337,12 @@ def profile_queries() -> dict[str, Query]:
         WB(f"SELECT count(*) FILTER (WHERE {anyneg}) AS negative_row_count, "
            f"{_share(f'count(*) FILTER (WHERE {anyneg})')} AS negative_percentage FROM bronze"),
         ["negative_percentage"])
-    # Approximate quartiles: no exact SQL twin (rows-only check).
-    q["numeric_summary"] = Query(lambda s, sf: profile.numeric_summary(_bronze(s, sf)), None)
+    # The quartiles are sketches, so their ranks are checked, not their values.
+    numeric = "\nUNION ALL\n".join(
+        f"""SELECT '{c}' AS "column", count("{c}") AS count, CAST(avg("{c}") AS DOUBLE) AS mean, stddev_samp("{c}") AS stddev,
+  CAST(min("{c}") AS DOUBLE) AS min, CAST(max("{c}") AS DOUBLE) AS max,
+  true AS rank_25_holds, true AS rank_50_holds, true AS rank_75_holds FROM bronze""" for c in RAW_NUMERIC_COLUMNS)
+    q["numeric_summary"] = Query(_numeric_summary, WB(numeric), ["mean", "stddev", "min", "max"])
     for name, col in (("freq_by_payment", "payment_type"), ("freq_by_passenger", "passenger_count"),
                       ("freq_by_file", spec.SOURCE_FILE_COLUMN)):
         q[name] = Query((lambda c: lambda s, sf: profile.frequency(_bronze(s, sf), c))(col),
@@ -294,7 +362,7 @@ def profile_queries() -> dict[str, Query]:
   count(*) FILTER (WHERE {p} IS NOT NULL AND {d} IS NOT NULL
                    AND CAST(epoch({d}) AS BIGINT) - CAST(epoch({p}) AS BIGINT) > 86400) AS duration_over_24_hours
 FROM bronze"""))
-    q["duration_days"] = Query(lambda s, sf: profile.duration_days(_bronze(s, sf)), WB(
+    q["duration_days"] = Query(lambda s, sf: profile.duration_days(raw_trips(s, sf, edge=True)), WE(
         f"SELECT datesub('day', {p}, {d}) AS trip_duration_days, count(*) AS count FROM bronze "
         f"WHERE {p} IS NOT NULL AND {d} IS NOT NULL GROUP BY 1"))
     lab = f"regexp_extract(_bronze_source_file, '{O.RX_LABEL}', 1)"
@@ -322,7 +390,7 @@ FROM bronze"""))
   count(*) FILTER (WHERE total_amount < fare_amount) AS total_lt_fare
 FROM bronze"""))
     flex_null = " AND ".join(f"{c} IS NULL" for c in spec.FLEX_FARE_FIELDS_RAW)
-    q["flex_violations"] = Query(lambda s, sf: profile.flex_violations(_bronze(s, sf)), WB(f"""SELECT
+    q["flex_violations"] = Query(lambda s, sf: profile.flex_violations(raw_trips(s, sf, edge=True)), WE(f"""SELECT
   count(*) FILTER (WHERE {flex_null}) AS all_profile_fields_null_rows,
   count(*) FILTER (WHERE NOT ((payment_type = 0) = ({flex_null}))) AS flex_fare_violations
 FROM bronze"""))
@@ -343,15 +411,30 @@ SELECT 'payment_type' AS dimension, CAST(payment_type AS VARCHAR) AS value, coun
 
 def report_queries() -> dict[str, Query]:
     q = {}
-    for name, (report, params) in REPORT_PARAMS.items():
-        q[name] = Query(_report(report, params), _report_sql(report, params),
-                        GOLD_DOUBLES[reports.REPORTS[report]])
+    for name, (report, params, limit, ties, where, order) in REPORT_QUERIES.items():
+        q[name] = Query(_report(report, params, limit, ties), _report_sql(report, limit, where, order),
+                        GOLD_DOUBLES[reports.REPORTS[report].table])
 
     def _sel(table, variant="all", basis="pickup_month"):
         def run(s, sf):
-            return reports.filter_variant_and_basis(_gold_frames(s, sf, [table])[table], variant, basis)
+            return _gold_frames(s, sf, [table], variant, basis)[table]
         return run
 
+    def _months(s, sf):
+        """The month choice of the monthly figures (F6: in order)."""
+        chosen = reports.filter_months(_sel("monthly_kpi")(s, sf), ["2026-01", "2026-03"])
+        return reports.numbered(chosen.select("year_month", "trip_count", "total_revenue"), [F.asc("year_month")])
+
+    q["overview_months"] = Query(_months, WT(O.gold_tables("monthly_kpi"), """SELECT year_month, trip_count, total_revenue,
+  CAST(row_number() OVER (ORDER BY year_month) AS INTEGER) AS row_no
+FROM monthly_kpi WHERE data_variant = 'all' AND month_basis = 'pickup_month' AND year_month IN ('2026-01', '2026-03')"""), ["total_revenue"])
+
+    def _vendor_labels(s, sf):
+        return reports.as_category_strings(_sel("vendor_monthly")(s, sf), ["vendor_id"]).select("vendor_id", "year_month", "trip_count")
+
+    q["vendor_labels"] = Query(_vendor_labels, WT(O.gold_tables("vendor_monthly"), """SELECT CAST(vendor_id AS VARCHAR) AS vendor_id,
+  year_month, trip_count FROM vendor_monthly WHERE data_variant = 'all' AND month_basis = 'pickup_month'"""))
+
     def _weighted(s, sf):
         return reports.weighted_kpis(_sel("monthly_kpi")(s, sf))
 
@@ -416,19 +499,18 @@ FROM {table} WHERE data_variant = 'all' AND month_basis = 'pickup_month' AND {ke
                            GOLD_DOUBLES["zone_flow_monthly"])
 
     def _top_pay_flows(s, sf):
-        flows = reports.filter_equal(_sel("payment_zone_flow_monthly")(s, sf), payment_type=1)
+        flows = reports.filter_equal(_sel("payment_zone_flow_monthly")(s, sf), payment_type=2)
         return reports.top_k(flows, 100, tie_keys=tie)
 
     q["top_payment_flows"] = Query(_top_pay_flows, WT(
         O.gold_tables("payment_zone_flow_monthly"),
         "SELECT * FROM payment_zone_flow_monthly WHERE data_variant = 'all' AND month_basis = 'pickup_month' "
-        f"AND payment_type = 1 ORDER BY {order} LIMIT 100"), GOLD_DOUBLES["payment_zone_flow_monthly"])
+        f"AND payment_type = 2 ORDER BY {order} LIMIT 100"), GOLD_DOUBLES["payment_zone_flow_monthly"])
 
     months = ["2026-01", "2026-02"]
 
     def _overview(s, sf):
-        daily = reports.filter_variant_and_basis(_gold_frames(s, sf, ["daily_trip_summary"])["daily_trip_summary"],
-                                                 "all")
+        daily = _gold_frames(s, sf, ["daily_trip_summary"], "all")["daily_trip_summary"]
         return reports.filter_daily_months(daily, months, "pickup_month")
 
     q["overview_daily"] = Query(_overview, WT(
@@ -439,13 +521,14 @@ FROM {table} WHERE data_variant = 'all' AND month_basis = 'pickup_month' AND {ke
     cats = ["rejection_reason", "rejection_detail", "silver_warning"]
 
     def _quality_raw(s, sf):
-        return reports.quality_metrics(_gold_frames(s, sf, ["data_quality_summary"])["data_quality_summary"],
+        rows = reports.quality_metrics(_gold_frames(s, sf, ["data_quality_summary"])["data_quality_summary"],
                                        cats, include_overall=True)
+        return reports.numbered(rows, [reports.order_key(c) for c in reports.QUALITY_ORDER])
 
     q["quality_raw"] = Query(_quality_raw, WT(
         O.gold_tables("data_quality_summary"),
-        "SELECT * FROM data_quality_summary WHERE metric_category IN ('rejection_reason', 'rejection_detail', "
-        "'silver_warning')"), GOLD_DOUBLES["data_quality_summary"])
+        "SELECT *, CAST(row_number() OVER (ORDER BY month_basis, source_month NULLS LAST, metric_category, metric_name) AS INTEGER) AS row_no "
+        "FROM data_quality_summary WHERE metric_category IN ('rejection_reason', 'rejection_detail', 'silver_warning')"), GOLD_DOUBLES["data_quality_summary"])
 
     def _profile_metrics(s, sf):
         return reports.profile_as_metrics(_gold_frames(s, sf, ["payment_null_profile"])["payment_null_profile"])
@@ -462,12 +545,18 @@ FROM {table} WHERE data_variant = 'all' AND month_basis = 'pickup_month' AND {ke
             "payment_types": ("payment_monthly", "payment_type"), "vendors": ("vendor_monthly", "vendor_id")}
 
     def _dims(s, sf):
-        frames = _gold_frames(s, sf, sorted({t for t, _ in dims.values()}))
-        sel = {n: (reports.filter_variant_and_basis(frames[t], "all", "pickup_month"), c) for n, (t, c) in dims.items()}
-        quality_df = _gold_frames(s, sf, ["data_quality_summary"])["data_quality_summary"]
-        sel["metric_categories"] = (quality_df, "metric_category")
+        # The values come straight from Silver: a Gold key's values are those of its rows.
+        sil = silver_result(s, sf).silver.withColumn("year_month", F.date_format("pickup_datetime", "yyyy-MM"))
+        sel = {n: (sil, c) for n, (_, c) in dims.items()}
+        sel["metric_categories"] = (_gold_frames(s, sf, ["data_quality_summary"])["data_quality_summary"], "metric_category")
         return reports.dimension_values(sel)
 
+    def _zones(s, sf):
+        return reports.numbered(reports.distinct_sorted(silver_result(s, sf).silver, "pickup_location_id"), [F.asc("pickup_location_id")])
+
+    q["zone_choices"] = Query(_zones, WB("""SELECT pickup_location_id, CAST(row_number() OVER (ORDER BY pickup_location_id) AS INTEGER) AS row_no
+FROM (SELECT DISTINCT pickup_location_id FROM silver WHERE pickup_location_id IS NOT NULL) z"""))
+
     parts = [f"SELECT DISTINCT '{n}' AS dimension, CAST({c} AS VARCHAR) AS value FROM {t} "
              f"WHERE data_variant = 'all' AND month_basis = 'pickup_month' AND {c} IS NOT NULL"
              for n, (t, c) in dims.items()]
@@ -483,10 +572,20 @@ FROM {table} WHERE data_variant = 'all' AND month_basis = 'pickup_month' AND {ke
 # Gold checks
 # ---------------------------------------------------------------------------
 
+#: Faults put into Gold: table -> (rows that stay, column -> expression), the same text in Spark and DuckDB.
+BROKEN_GOLD = {
+    "daily_trip_summary": ("data_variant <> 'exclude_zero_distance'", {}),
+    "monthly_kpi": ("true", {"trip_count": "CASE WHEN data_variant = 'exclude_both' AND year_month = '2026-02' THEN trip_count + 1000000000 ELSE trip_count END"}),
+    "pickup_zone_monthly": ("pickup_location_id % 2 = 0", {}),
+    "dropoff_zone_monthly": ("month_basis = 'pickup_month'", {}),
+    "vendor_monthly": ("true", {"data_variant": "CASE WHEN data_variant = 'all' THEN 'every' ELSE data_variant END"}),
+    "data_quality_summary": ("month_basis <> 'source_month'", {}),
+}
+
 RECONCILE_TABLES = list(gold.GOLD_DEFS) + ["payment_null_profile", "data_quality_summary"]
 
 
-def _reconcile_sql() -> str:
+def _reconcile_sql(broken: bool = False) -> str:
     variants = "[" + ", ".join(f"'{v}'" for v in spec.DATA_VARIANTS) + "]"
     bases = "[" + ", ".join(f"'{b}'" for b in spec.MONTH_BASES) + "]"
 
@@ -529,14 +628,22 @@ def _reconcile_sql() -> str:
   ON x.data_variant IS NOT DISTINCT FROM y.data_variant AND x.month_basis IS NOT DISTINCT FROM y.month_basis
      AND x.year_month IS NOT DISTINCT FROM y.year_month
   WHERE l IS DISTINCT FROM r""")
-    return WT(O.gold_tables(*RECONCILE_TABLES), "\nUNION ALL\n".join(parts))
+    tables = O.gold_tables(*RECONCILE_TABLES)
+    if broken:
+        for t, (kept, changed) in BROKEN_GOLD.items():
+            replace = f" REPLACE ({', '.join(f'{e} AS {c}' for c, e in changed.items())})" if changed else ""
+            tables[t] = f"SELECT *{replace} FROM ({tables[t]}) g WHERE {kept}"
+    return WT(tables, "\nUNION ALL\n".join(parts))
 
 
 def check_queries() -> dict[str, Query]:
     def _reconcile(s, sf):
-        # The checks read each Gold table several times; in production they
-        # read the written tables, here the frames are checkpointed likewise.
-        frames = {n: df.checkpoint(eager=True) for n, df in _gold_frames(s, sf, RECONCILE_TABLES).items()}
+        return checks.gold_reconcile(s, _gold_frames(s, sf, RECONCILE_TABLES))
+
+    def _reconcile_broken(s, sf):
+        frames = _gold_frames(s, sf, RECONCILE_TABLES)
+        for t, (kept, changed) in BROKEN_GOLD.items():
+            frames[t] = frames[t].where(kept).withColumns({c: F.expr(e) for c, e in changed.items()})
         return checks.gold_reconcile(s, frames)
 
     def _inventory(s, sf):
@@ -544,6 +651,7 @@ def check_queries() -> dict[str, Query]:
 
     return {
         "gold_reconcile": Query(_reconcile, _reconcile_sql()),
+        "gold_reconcile_broken": Query(_reconcile_broken, _reconcile_sql(broken=True)),
         "dq_inventory": Query(_inventory, WT(
             O.gold_tables("data_quality_summary"),
             "SELECT month_basis, metric_category, metric_name, count(*) AS rows FROM data_quality_summary "
@@ -551,8 +659,78 @@ def check_queries() -> dict[str, Query]:
     }
 
 
+# ---------------------------------------------------------------------------
+# The file-based pipeline: raw files written, run, and read back
+# ---------------------------------------------------------------------------
+
+def _run_pipeline(s, sf, **settings) -> spec.PipelineConfig:
+    """Write the trips as monthly raw files below the checkpoint folder and run all steps over them."""
+    root = f"{checkpoint_dir(s).rstrip('/')}/lakeshore-run-{uuid.uuid4().hex}"
+    trips = raw_trips(s, sf)
+    for r in trips.select(spec.SOURCE_FILE_COLUMN).distinct().collect():  # three files
+        trips.filter(F.col(spec.SOURCE_FILE_COLUMN) == r[0]).drop(spec.SOURCE_FILE_COLUMN).write.parquet(f"{root}/raw/{r[0]}")
+    cfg = spec.PipelineConfig(warehouse=f"{root}/warehouse", raw_dir=f"{root}/raw", **settings)
+    for step in (pipeline.ingest_bronze, pipeline.transform_silver, pipeline.build_gold):
+        res = step(s, cfg)
+        if res.exit_code:
+            raise RuntimeError(f"{res.step}: {'; '.join(res.messages)}")
+    return cfg
+
+
+def _ledgers(s, sf) -> DataFrame:
+    """What the three ledgers hold after a run, without run ids, sizes and times."""
+    wh = pipeline.Warehouse(s, _run_pipeline(s, sf).warehouse)
+    none = F.lit(None)
+    parts = [
+        wh.read(spec.INGESTION_LOG_TABLE).select(F.lit("ingestion").alias("ledger"), "source_file", "target_table", "status",
+                                                 F.col("row_count").alias("rows_read"), none.cast("bigint").alias("rows_rejected"), F.col("row_count").alias("rows_written")),
+        wh.read(spec.TRANSFORM_LOG_TABLE).select(F.lit("transform").alias("ledger"), "source_file", "target_table", "status", "rows_read", "rows_rejected", "rows_written"),
+        wh.read(spec.GOLD_LOG_TABLE).select(F.lit("gold").alias("ledger"), none.cast("string").alias("source_file"), "target_table", "status",
+                                            "rows_read", none.cast("bigint").alias("rows_rejected"), "rows_written"),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def _ledgers_sql() -> str:
+    gold_parts = "\nUNION ALL\n".join(
+        f"SELECT 'gold' AS ledger, NULL AS source_file, '{spec.GOLD_NAMESPACE}.{t}' AS target_table, 'success' AS status, "
+        f"(SELECT count(*) FROM silver){' + (SELECT count(*) FROM quarantine)' if t == 'data_quality_summary' else ''} AS rows_read, "
+        f"CAST(NULL AS BIGINT) AS rows_rejected, (SELECT count(*) FROM {t}) AS rows_written" for t in spec.GOLD_TABLES)
+    return WT(O.gold_tables(*spec.GOLD_TABLES), f"""SELECT 'ingestion' AS ledger, _bronze_source_file AS source_file, '{spec.BRONZE_TABLE}' AS target_table,
+  'success' AS status, count(*) AS rows_read, CAST(NULL AS BIGINT) AS rows_rejected, count(*) AS rows_written FROM bronze GROUP BY 2
+UNION ALL
+SELECT 'transform', _bronze_source_file, '{spec.SILVER_TABLE}', 'success', count(*), count(*) FILTER (WHERE NOT is_valid),
+  count(*) FILTER (WHERE is_valid) FROM flagged2 WHERE file_ok GROUP BY 2
+UNION ALL
+{gold_parts}""")
+
+
+def pipeline_queries() -> dict[str, Query]:
+    def _partitions(s, sf):
+        wh = pipeline.Warehouse(s, _run_pipeline(s, sf).warehouse)
+        return profile.partition_inventory(wh.read(spec.SILVER_TABLE)).select("pickup_month", "record_count", (F.col("file_count") > 0).alias("has_files"))
+
+    def _loaded(s, sf):
+        return pipeline.load_gold(s, _run_pipeline(s, sf).warehouse, "payment_monthly")
+
+    def _empty(s, sf):
+        """A run whose bounds reject every trip: Gold is there, without rows."""
+        cfg = _run_pipeline(s, sf, min_pickup="1990-01-01 00:00:00", max_pickup="1990-01-02 00:00:00")
+        frame = pipeline.load_gold(s, cfg.warehouse, "vendor_monthly")
+        return frame.agg(F.count("*").alias("rows")).select("rows", F.lit(len(frame.columns)).alias("n_columns"))
+
+    return {
+        "pipeline_ledgers": Query(_ledgers, _ledgers_sql()),
+        "silver_partitions": Query(_partitions, WB("SELECT strftime(pickup_datetime, '%Y-%m') AS pickup_month, count(*) AS record_count, "
+                                                   "true AS has_files FROM silver GROUP BY 1")),
+        "gold_from_warehouse": Query(_loaded, O.gold_sql("payment_monthly"), GOLD_DOUBLES["payment_monthly"]),
+        "gold_without_rows": Query(_empty, WT(O.gold_tables("vendor_monthly"), """SELECT (SELECT count(*) FROM silver WHERE pickup_datetime < TIMESTAMP '1990-01-02')
+  AS rows, CAST(3 + 8 + (SELECT count(*) FROM vendor_monthly WHERE false) + 1 AS INTEGER) AS n_columns""")),
+    }
+
+
 def more_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
-    for part in (bronze_queries, silver_queries, profile_queries, report_queries, check_queries):
+    for part in (bronze_queries, silver_queries, profile_queries, report_queries, check_queries, pipeline_queries):
         out.update(part())
     return out

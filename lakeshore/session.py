@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -43,22 +44,18 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared checkpoint folder named by the cluster (spark.checkpoint.dir).
 
     Only when the session has none is one chosen: `fallback` (a folder on the
-    same shared storage as the tables, as the pipeline passes), else a private
-    temporary folder (local tests).
+    same shared storage as the tables, as the pipeline passes), else, in local
+    mode only, a private temporary folder. On a cluster a folder of one machine
+    would lose data, so there the setting is required.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not configured and fallback is None and not re.fullmatch(r"local(\[[^-]*\])?", sc.master):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
     if not configured:
         configured = fallback or tempfile.mkdtemp(prefix="lakeshore-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through Hadoop's FileSystem (local, HDFS, object stores)."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)

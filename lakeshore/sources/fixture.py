@@ -63,21 +63,42 @@ RAW_NUMERIC_COLUMNS = tuple(c for c in RAW_COLUMNS if c not in (
     "tpep_pickup_datetime", "tpep_dropoff_datetime", "store_and_fwd_flag", "_bronze_source_file"))
 
 
-def trips_sql(dialect: str = "spark") -> str:
+def _edge_rows(where: str, **changed: str) -> str:
+    cols = ", ".join(f"{changed[c]} AS {c}" if c in changed else c for c in RAW_COLUMNS)
+    return f"SELECT {cols} FROM trips WHERE {where}"
+
+
+#: Rows that the plain trips lack, added to them: exact duplicates, trips of
+#: one to three days, flex-fare trips whose profile fields are set, card
+#: payments, and a fourth monthly file. `trips` are the plain ones.
+EDGE_SQL = "\nUNION ALL\n".join([
+    "SELECT * FROM trips",
+    _edge_rows("PULocationID % 40 = 0"),
+    _edge_rows("PULocationID % 80 = 0"),
+    _edge_rows("PULocationID % 41 = 1", tpep_dropoff_datetime="tpep_dropoff_datetime + (1 + PULocationID % 3) * INTERVAL '1' DAY"),
+    _edge_rows("PULocationID % 43 = 2 AND payment_type <> 0", payment_type="payment_type - payment_type"),
+    _edge_rows("PULocationID % 47 = 3 AND payment_type <> 0", payment_type="payment_type - payment_type + 1"),
+    _edge_rows("PULocationID % 53 = 5", _bronze_source_file="'demo_tripdata_2026-04.parquet'"),
+])
+
+
+def trips_sql(dialect: str = "spark", edge: bool = False) -> str:
     base = SPARK_BASE_TS if dialect == "spark" else DUCKDB_BASE_TS
-    return TRIPS_SQL.replace("{B}", base)
+    plain = TRIPS_SQL.replace("{B}", base)
+    return f"WITH trips AS ({plain})\n{EDGE_SQL}" if edge else plain
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw trip rows (with `_bronze_source_file`) derived from `lineitem`.
+def raw_trips(spark: SparkSession, sf_dir: str, edge: bool = False) -> DataFrame:
+    """Raw trip rows (with `_bronze_source_file`) derived from `lineitem`;
+    with `edge`, those of EDGE_SQL too.
 
     Uses a DataFrame-bound SQL so no session-wide view is registered; only the
     six lineitem columns used are read (column pruning reaches the scan).
     """
     lineitem = load_table(spark, sf_dir, "lineitem")
-    text = trips_sql("spark").replace("FROM lineitem", "FROM {lineitem}")
+    text = trips_sql("spark", edge).replace("FROM lineitem", "FROM {lineitem}")
     return spark.sql(text, lineitem=lineitem)

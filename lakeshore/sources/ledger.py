@@ -1,15 +1,11 @@
 """Append-only run ledgers (ingestion, Silver transform, Gold build).
 
-Ledger rows are tiny; successful rows are written from the job's own
-per-file statistics frame, so nothing large passes through the driver.
+Ledger rows are tiny, one for each source file or Gold table of a run.
 """
 
 from __future__ import annotations
 
-from datetime import datetime
-
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from .tables import Warehouse
@@ -53,14 +49,6 @@ GOLD_LOG_SCHEMA = StructType([
 ])
 
 
-def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-
-
-def ts(value: datetime) -> Column:
-    return F.lit(value).cast("timestamp")
-
-
 def append_rows(spark: SparkSession, wh: Warehouse, table: str, schema: StructType, rows: list[dict]) -> None:
     """Append literal ledger rows (a handful per run: failures, Gold targets)."""
     if not rows:
@@ -69,10 +57,5 @@ def append_rows(spark: SparkSession, wh: Warehouse, table: str, schema: StructTy
     wh.write(df.coalesce(1), table, mode="append")
 
 
-def append_frame(wh: Warehouse, table: str, schema: StructType, df: DataFrame) -> None:
-    """Append ledger rows computed by a job (one row per source file)."""
-    wh.write(conform(df, schema).coalesce(1), table, mode="append")
-
-
 def read(wh: Warehouse, table: str, schema: StructType) -> DataFrame:
     return wh.read(table, schema)

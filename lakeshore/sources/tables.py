@@ -7,10 +7,14 @@ frames where the pipeline allows it.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+#: Hidden file in a table's folder that holds its declared schema.
+SCHEMA_FILE = "_declared_schema.json"
+
 
 def _visible(name: str) -> bool:
     """Spark's rule: names starting with '.' or '_' are hidden, except
@@ -34,18 +38,50 @@ class Warehouse:
 
     def exists(self, table: str) -> bool:
         """A table exists once a committed write left a data file or a
-        partition directory (an empty partitioned write leaves neither)."""
+        partition directory, or its schema was declared."""
+        return self.declared(table) is not None or self._has_data(table)
+
+    def _has_data(self, table: str) -> bool:
         fs, p = self._fs_path(self.path(table))
+        return fs.exists(p) and any(_visible(s.getPath().getName()) for s in fs.listStatus(p))
+
+    def declared(self, table: str) -> StructType | None:
+        """The schema that the last `declare` recorded, with column order and nullability."""
+        fs, p = self._fs_path(f"{self.path(table)}/{SCHEMA_FILE}")
         if not fs.exists(p):
-            return False
-        return any(_visible(s.getPath().getName()) for s in fs.listStatus(p))
+            return None
+        stream = fs.open(p)
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return StructType.fromJson(json.loads(text))
+
+    def declare(self, table: str, schema: StructType) -> None:
+        """Record a table's schema beside its data. Parquet gives neither the
+        order of partition columns nor nullability back, and a partitioned
+        write without rows leaves no file at all."""
+        fs, p = self._fs_path(f"{self.path(table)}/{SCHEMA_FILE}")
+        out = fs.create(p, True)
+        try:
+            out.write(bytearray(schema.json().encode()))
+        finally:
+            out.close()
+
+    def drop_partition(self, table: str, column: str, value: str) -> None:
+        """Delete one first-level partition folder, if it is there."""
+        escape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+        fs, p = self._fs_path(f"{self.path(table)}/{column}={escape(value)}")
+        if fs.exists(p):
+            fs.delete(p, True)
 
     def read(self, table: str, schema: StructType | None = None, *, required: bool = False) -> DataFrame:
         """Read a table; a missing one is an error if `required`, else a typed
         empty frame (which needs `schema`)."""
-        if self.exists(table):
+        if self._has_data(table):
             return self.spark.read.option("basePath", self.path(table)).parquet(self.path(table))
-        if required or schema is None:
+        schema = self.declared(table) or (None if required else schema)
+        if schema is None:
             raise FileNotFoundError(f"table {table} does not exist at {self.path(table)}")
         return self.spark.createDataFrame([], schema)
 
@@ -68,24 +104,31 @@ class Warehouse:
         return self.read(table).schema if self.exists(table) else None
 
 
-def comparable(schema: StructType) -> list[tuple[str, str]]:
-    """(name, type) pairs; Parquet reads every column back as nullable."""
-    return [(f.name, f.dataType.simpleString()) for f in schema.fields]
+def as_stored(schema: StructType) -> list[tuple[str, str]]:
+    """(name, type) pairs by name, all that stored Parquet files tell of a schema."""
+    return sorted((f.name, f.dataType.simpleString()) for f in schema.fields)
+
 
+def differences(have: StructType, want: StructType) -> str:
+    """Missing, additional and retyped columns of `have` against `want`, as text; empty if none."""
+    a, b = dict(as_stored(have)), dict(as_stored(want))
+    said = [("missing", sorted(b.keys() - a.keys())), ("additional", sorted(a.keys() - b.keys())),
+            ("retyped", sorted(f"{c} {a[c]} for {b[c]}" for c in a.keys() & b.keys() if a[c] != b[c]))]
+    return "; ".join(f"{k} columns: {', '.join(v)}" for k, v in said if v)
 
-def check_schema(existing: StructType | None, new: StructType, table: str) -> None:
-    """Refuse to overwrite a table whose columns or types changed."""
-    if existing is None:
-        return
-    a = sorted(comparable(existing))
-    b = sorted(comparable(new))
-    if a != b:
-        raise ValueError(
-            f"Schema mismatch for existing table {table}: drop the old table or migrate it explicitly "
-            f"before rerunning (existing={a}, new={b})")
 
+def check_schema(wh: Warehouse, table: str, new: StructType) -> None:
+    """Refuse to overwrite a table whose columns, types, order or nullability changed.
 
-def select_like(df: DataFrame, schema: StructType) -> DataFrame:
-    """Re-select a frame in a declared column order and types (partition
-    columns move to the end on read)."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    A table whose schema was never declared is compared by what its files tell.
+    """
+    declared = wh.declared(table)
+    if declared is not None:
+        same = [(f.name, f.dataType, f.nullable) for f in declared] == [(f.name, f.dataType, f.nullable) for f in new]
+    else:
+        declared = wh.schema(table)
+        same = declared is None or as_stored(declared) == as_stored(new)
+    if not same:
+        raise ValueError(f"Schema mismatch for existing table {table}: drop the old table or migrate it explicitly "
+                         f"before rerunning (existing={declared.simpleString()}, new={new.simpleString()}; "
+                         f"{differences(new, declared) or 'order or nullability differs'})")

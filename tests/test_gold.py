@@ -9,6 +9,7 @@ from lakeshore.operators import checks, gold
 from lakeshore.registry_more import RECONCILE_TABLES, _gold_frames
 
 from .conftest import SF001
+from .gold_direct import build_direct
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +20,7 @@ def silver_df(spark):
 @pytest.mark.parametrize("table", list(gold.GOLD_DEFS))
 def test_preaggregate_equals_direct(spark, silver_df, table):
     fast = registry.stable(gold.build(silver_df, table))
-    direct = registry.stable(gold.build_direct(silver_df, table).select(*fast.columns))
+    direct = registry.stable(build_direct(silver_df, table).select(*fast.columns))
     assert fast.schema.simpleString() == direct.schema.simpleString()
     assert fast.exceptAll(direct).count() == 0
     assert direct.exceptAll(fast).count() == 0
@@ -69,3 +70,16 @@ def test_daily_shared_preaggregate_equals_direct(spark, silver_df):
         a, b = registry.stable(fast), registry.stable(direct)
         assert a.schema.simpleString() == b.schema.simpleString()
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+@pytest.mark.parametrize("table", list(gold.GOLD_DEFS))
+def test_one_slice_needs_one_exchange_and_no_fan_out(spark, silver_df, table):
+    basis = ("source_month",) if gold.GOLD_DEFS[table].monthly else None
+    one = gold.build(silver_df, table, ("exclude_both",), basis)
+    want = gold.build(silver_df, table).where("data_variant = 'exclude_both'" + (" AND month_basis = 'source_month'" if basis else ""))
+    a, b = registry.stable(one), registry.stable(want)
+    assert a.columns == b.columns and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    plan = one._jdf.queryExecution().sparkPlan().toString()
+    assert "Generate" not in plan and "Expand" not in plan
+    planned = one._jdf.queryExecution().executedPlan().toString()
+    assert planned.count("Exchange hashpartitioning") + planned.count("Exchange SinglePartition") == 1

@@ -1,5 +1,6 @@
-"""Parameterised reports: NULL parameters mean no filter, LIMIT binds,
-and views registered in the session give the same result as bound frames."""
+"""Reports: parameters left out mean no filter, limits bind, rows come in order."""
+
+import pytest
 
 from lakeshore import registry
 from lakeshore.operators import gold, reports
@@ -7,23 +8,33 @@ from lakeshore.operators import gold, reports
 from .conftest import SF001
 
 
-def test_report_parameters_and_binding(spark):
+def test_report_parameters(spark):
     flows = gold.build(registry.silver_result(spark, SF001).silver, "zone_flow_monthly")
-    base = {"data_variant": "all", "month_basis": "pickup_month", "year_month": None,
-            "pickup_location_id": None, "dropoff_location_id": None}
-    everything = reports.run_report(spark, "zone_analysis", {**base, "row_limit": 10 ** 9},
-                                    frames={"zone_flow_monthly": flows})
+    base = {"data_variant": "all", "month_basis": "pickup_month"}
+    everything = reports.run_report("zone_analysis", flows, base, row_limit=10 ** 9)
     assert everything.count() == flows.filter("data_variant = 'all' AND month_basis = 'pickup_month'").count()
-    top5 = reports.run_report(spark, "zone_analysis", {**base, "row_limit": 5}, frames={"zone_flow_monthly": flows})
-    rows = top5.collect()
+    rows = reports.run_report("zone_analysis", flows, {**base, "year_month": None}, row_limit=5).collect()
     assert len(rows) == 5 and rows == sorted(rows, key=lambda r: -r.trip_count)
-    # A18: the same report against a view registered in the session.
-    reports.register_views({"zone_flow_monthly": flows})
-    via_view = reports.run_report(spark, "zone_analysis", {**base, "row_limit": 5})
-    assert via_view.collect() == rows
-    one_zone = reports.run_report(spark, "zone_analysis", {**base, "pickup_location_id": rows[0].pickup_location_id,
-                                                           "row_limit": 1000}, frames={"zone_flow_monthly": flows})
+    one_zone = reports.run_report("zone_analysis", flows, {**base, "pickup_location_id": rows[0].pickup_location_id}, row_limit=1000)
     assert {r.pickup_location_id for r in one_zone.collect()} == {rows[0].pickup_location_id}
+    with pytest.raises(ValueError, match="needs month_basis"):
+        reports.run_report("zone_analysis", flows, {"data_variant": "all"})
+    with pytest.raises(ValueError, match="takes no vendor_id"):
+        reports.run_report("zone_analysis", flows, {**base, "vendor_id": 1})
+
+
+@pytest.mark.parametrize("name", ["report_daily", "report_zone_topk", "report_quality_all", "report_payment", "quality_raw", "zone_choices"])
+def test_rows_come_in_order(spark, name):
+    rows = registry.all_queries()[name].build(spark, SF001).collect()
+    assert [r.row_no for r in rows] == list(range(1, len(rows) + 1))
+
+
+def test_order_of_nulls(spark):
+    df = spark.createDataFrame([("overall", None, "a", "x"), ("overall", "2026-01", "a", "x"), (None, None, "a", "x")],
+                               "month_basis string, source_month string, metric_category string, metric_name string")
+    assert [(r[0], r[1]) for r in reports.run_report("data_quality", df, {}).collect()] == [
+        ("overall", None), ("overall", "2026-01"), (None, None)]
+    assert [(r[0], r[1]) for r in reports.quality_metrics(df).collect()] == [("overall", "2026-01"), ("overall", None), (None, None)]
 
 
 def test_share_and_topk_operators(spark):
