@@ -29,6 +29,7 @@ import argparse
 import sys
 import threading
 import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
@@ -84,7 +85,7 @@ def _log(msg: str) -> None:
 
 def _raw_schema(wh: Warehouse, schemas: list[StructType]) -> StructType:
     """Bronze's raw column set: the existing table's, else the first file's."""
-    existing = wh.schema(spec.BRONZE_TABLE)
+    existing = wh.schema(wh.tables.bronze)
     src = existing if existing is not None else schemas[0]
     lineage = (spec.SOURCE_FILE_COLUMN, spec.INGESTED_AT_COLUMN)
     return StructType([f for f in src.fields if f.name not in lineage])
@@ -106,10 +107,10 @@ def _ingest(spark: SparkSession, wh: Warehouse, pending: list, schema: StructTyp
     raw = spark.read.schema(schema).parquet(*[r.path for r in pending])
     batch = bronze_ops.add_lineage(raw, ingested_at=F.lit(ingested_at).cast("timestamp"))
     for r in pending:
-        wh.drop_partition(spec.BRONZE_TABLE, spec.SOURCE_FILE_COLUMN, r.source_file)
-    wh.write(batch, spec.BRONZE_TABLE, mode="overwrite", partition_by=[spec.SOURCE_FILE_COLUMN], dynamic=True)
+        wh.drop_partition(wh.tables.bronze, spec.SOURCE_FILE_COLUMN, r.source_file)
+    wh.write(batch, wh.tables.bronze, mode="overwrite", partition_by=[spec.SOURCE_FILE_COLUMN], dynamic=True)
     names = [r.source_file for r in pending]
-    landed = wh.read(spec.BRONZE_TABLE, batch.schema).filter(F.col(spec.SOURCE_FILE_COLUMN).isin(names))
+    landed = wh.read(wh.tables.bronze, batch.schema).filter(F.col(spec.SOURCE_FILE_COLUMN).isin(names))
     found = {r[0]: r[1] for r in landed.groupBy(spec.SOURCE_FILE_COLUMN).count().collect()}  # one row a file
     return {n: found.get(n, 0) for n in names}
 
@@ -122,9 +123,9 @@ def _lost(spark: SparkSession, pending: list, counts: dict[str, int]) -> dict[st
 
 def ingest_bronze(spark: SparkSession, cfg: spec.PipelineConfig) -> StepResult:
     res = StepResult("bronze")
-    wh = Warehouse(spark, cfg.warehouse)
+    wh = Warehouse(spark, cfg.warehouse, cfg.tables)
     files = bronze_ops.discover_files(spark, cfg.raw_dir)
-    log = ledger.read(wh, spec.INGESTION_LOG_TABLE, ledger.INGESTION_LOG_SCHEMA)
+    log = ledger.read(wh, wh.tables.ingestion_log, ledger.INGESTION_LOG_SCHEMA)
     status = bronze_ops.file_status(files, log)
     # One row per raw file: a listing, bounded by the number of files.
     rows = status.orderBy("source_file").collect()
@@ -143,7 +144,7 @@ def ingest_bronze(spark: SparkSession, cfg: spec.PipelineConfig) -> StepResult:
     schema = None
     if readable := [x for x in schemas.values() if not isinstance(x, str)]:
         schema = _raw_schema(wh, readable)
-        failed |= {n: f"schema differs from {spec.BRONZE_TABLE}: {why}" for n, x in schemas.items()
+        failed |= {n: f"schema differs from {wh.tables.bronze}: {why}" for n, x in schemas.items()
                    if n not in failed and (why := differences(x, schema))}
     fitting = [r for r in pending if r.source_file not in failed]
 
@@ -152,7 +153,7 @@ def ingest_bronze(spark: SparkSession, cfg: spec.PipelineConfig) -> StepResult:
         out = []
         for name in sizes:
             ok = name not in failed
-            out.append({"source_file": name, "target_table": spec.BRONZE_TABLE,
+            out.append({"source_file": name, "target_table": wh.tables.bronze,
                         "status": "success" if ok else "failed", "row_count": counts.get(name, 0),
                         "file_size_bytes": sizes[name], "snapshot_id": run_id if ok else None,
                         "started_at": started, "finished_at": finished,
@@ -171,7 +172,7 @@ def ingest_bronze(spark: SparkSession, cfg: spec.PipelineConfig) -> StepResult:
             except Exception as e:
                 failed[r.source_file] = str(e).splitlines()[0][:1000]
     failed |= _lost(spark, [r for r in fitting if r.source_file not in failed], counts)
-    ledger.append_rows(spark, wh, spec.INGESTION_LOG_TABLE, ledger.INGESTION_LOG_SCHEMA,
+    ledger.append_rows(spark, wh, wh.tables.ingestion_log, ledger.INGESTION_LOG_SCHEMA,
                        ledger_rows(counts, failed))
     res.processed = len(sizes) - len(failed)
     res.failed = len(failed)
@@ -200,37 +201,37 @@ def _transform(wh: Warehouse, files: list[str], cfg: spec.PipelineConfig) -> Dat
     read back from the written partitions: quarantine (small) plus Silver's
     row counts and one boolean column, not a third validation pass.
     """
-    batch = wh.read(spec.BRONZE_TABLE).filter(F.col(spec.SOURCE_FILE_COLUMN).isin(files))
+    batch = wh.read(wh.tables.bronze).filter(F.col(spec.SOURCE_FILE_COLUMN).isin(files))
     flagged = silver.flag_rules(batch, cfg.min_pickup, cfg.max_pickup)
     clean = silver.silver_rows(flagged).withColumn("pickup_month", F.date_format("pickup_datetime", "yyyy-MM"))
     rejected = silver.quarantine_rows(flagged)
     for name in files:  # what an earlier run of the file left, also in partitions that this one does not write
-        wh.drop_partition(spec.SILVER_TABLE, spec.SOURCE_FILE_COLUMN, name)
-        wh.drop_partition(spec.QUARANTINE_TABLE, spec.SOURCE_FILE_COLUMN, name)
-    wh.write(clean, spec.SILVER_TABLE, mode="overwrite",
+        wh.drop_partition(wh.tables.silver, spec.SOURCE_FILE_COLUMN, name)
+        wh.drop_partition(wh.tables.quarantine, spec.SOURCE_FILE_COLUMN, name)
+    wh.write(clean, wh.tables.silver, mode="overwrite",
              partition_by=[spec.SOURCE_FILE_COLUMN, "pickup_month"], dynamic=True)
-    wh.write(rejected, spec.QUARANTINE_TABLE, mode="overwrite", partition_by=[spec.SOURCE_FILE_COLUMN],
+    wh.write(rejected, wh.tables.quarantine, mode="overwrite", partition_by=[spec.SOURCE_FILE_COLUMN],
              dynamic=True)
-    wh.declare(spec.SILVER_TABLE, clean.schema)
-    wh.declare(spec.QUARANTINE_TABLE, rejected.schema)
+    wh.declare(wh.tables.silver, clean.schema)
+    wh.declare(wh.tables.quarantine, rejected.schema)
     ok = [f for f, good in _file_name_status(wh.spark, files).items() if good]
     # (A table without rows reads back as a typed empty frame.)
-    written = wh.read(spec.SILVER_TABLE, clean.schema).filter(F.col(spec.SOURCE_FILE_COLUMN).isin(ok))
-    quarantined = wh.read(spec.QUARANTINE_TABLE, rejected.schema).filter(F.col(spec.SOURCE_FILE_COLUMN).isin(ok))
+    written = wh.read(wh.tables.silver, clean.schema).filter(F.col(spec.SOURCE_FILE_COLUMN).isin(ok))
+    quarantined = wh.read(wh.tables.quarantine, rejected.schema).filter(F.col(spec.SOURCE_FILE_COLUMN).isin(ok))
     return silver.breakdown_from_outputs(written, quarantined)
 
 
 def transform_silver(spark: SparkSession, cfg: spec.PipelineConfig) -> StepResult:
     res = StepResult("silver")
-    wh = Warehouse(spark, cfg.warehouse)
-    if not wh.exists(spec.BRONZE_TABLE):
+    wh = Warehouse(spark, cfg.warehouse, cfg.tables)
+    if not wh.exists(wh.tables.bronze):
         res.exit_code = 1
-        res.messages.append(f"Bronze table {spec.BRONZE_TABLE} does not exist. Run the Bronze step first.")
+        res.messages.append(f"Bronze table {wh.tables.bronze} does not exist. Run the Bronze step first.")
         return res
-    ing = ledger.read(wh, spec.INGESTION_LOG_TABLE, ledger.INGESTION_LOG_SCHEMA)
-    bronze_files = bronze_ops.successful(ing, spec.BRONZE_TABLE)
-    tlog = ledger.read(wh, spec.TRANSFORM_LOG_TABLE, ledger.TRANSFORM_LOG_SCHEMA)
-    status = bronze_ops.file_status(bronze_files, tlog, spec.SILVER_TABLE).orderBy("source_file").collect()
+    ing = ledger.read(wh, wh.tables.ingestion_log, ledger.INGESTION_LOG_SCHEMA)
+    bronze_files = bronze_ops.successful(ing, wh.tables.bronze)
+    tlog = ledger.read(wh, wh.tables.transform_log, ledger.TRANSFORM_LOG_SCHEMA)
+    status = bronze_ops.file_status(bronze_files, tlog, wh.tables.silver).orderBy("source_file").collect()
     if not status:
         res.exit_code = 1
         res.messages.append("No successfully ingested bronze files found in the ingestion log.")
@@ -249,7 +250,7 @@ def transform_silver(spark: SparkSession, cfg: spec.PipelineConfig) -> StepResul
             s = by_file.get(name)
             ok = s is not None and s.file_ok and name not in failed
             err = failed.get(name) or (None if ok else f"Cannot determine month from source filename: {name}")
-            out.append({"source_table": spec.BRONZE_TABLE, "source_file": name, "target_table": spec.SILVER_TABLE,
+            out.append({"source_table": wh.tables.bronze, "source_file": name, "target_table": wh.tables.silver,
                         "status": "success" if ok else "failed",
                         "rows_read": s.rows_read if ok else 0,
                         "rows_rejected": s.rows_rejected if ok else 0,
@@ -270,7 +271,7 @@ def transform_silver(spark: SparkSession, cfg: spec.PipelineConfig) -> StepResul
             except Exception as e:
                 failed[name] = str(e).splitlines()[0][:1000]
     rows = stats_rows(stats, failed)
-    ledger.append_rows(spark, wh, spec.TRANSFORM_LOG_TABLE, ledger.TRANSFORM_LOG_SCHEMA, rows)
+    ledger.append_rows(spark, wh, wh.tables.transform_log, ledger.TRANSFORM_LOG_SCHEMA, rows)
     n_failed = sum(r["status"] == "failed" for r in rows)
     res.processed, res.failed = len(rows) - n_failed, n_failed
     res.exit_code = 1 if n_failed else 0
@@ -286,14 +287,15 @@ def transform_silver(spark: SparkSession, cfg: spec.PipelineConfig) -> StepResul
 
 def gold_targets(silver_df: DataFrame, quarantine_df: DataFrame, bronze_rows: DataFrame,
                  transform_log: DataFrame, shared: Callable[[], DataFrame] | None = None,
-                 daily_shared: Callable[[], DataFrame] | None = None
+                 daily_shared: Callable[[], DataFrame] | None = None,
+                 tables: spec.TableNames = spec.TableNames()
                  ) -> list[tuple[str, str, Callable[[], DataFrame]]]:
     """(table, source, builder) for the 11 Gold tables. With `shared` (a
     thunk returning the materialised shared pre-aggregate) the monthly
     tables roll up from it instead of scanning Silver each; with
     `daily_shared` (the materialised `gold.daily_preaggregate`) so do the
     daily table and the payment null profile."""
-    src = spec.SILVER_TABLE
+    src = tables.silver
 
     def builder(n: str) -> Callable[[], DataFrame]:
         if shared is not None and n in gold.MONTHLY_TABLES:
@@ -309,7 +311,7 @@ def gold_targets(silver_df: DataFrame, quarantine_df: DataFrame, bronze_rows: Da
         targets.append(("payment_null_profile", src, lambda: gold.null_profile_from_shared(daily_shared())))
     else:
         targets.append(("payment_null_profile", src, lambda: gold.payment_null_profile(silver_df)))
-    targets.append(("data_quality_summary", f"{src}+{spec.QUARANTINE_TABLE}",
+    targets.append(("data_quality_summary", f"{src}+{tables.quarantine}",
                     lambda: quality.data_quality_summary(silver_df, quarantine_df, bronze_rows, transform_log)))
     order = {n: i for i, n in enumerate(spec.GOLD_TABLES)}
     return sorted(targets, key=lambda t: order[t[0]])
@@ -317,20 +319,20 @@ def gold_targets(silver_df: DataFrame, quarantine_df: DataFrame, bronze_rows: Da
 
 def build_gold(spark: SparkSession, cfg: spec.PipelineConfig, only: list[str] | None = None) -> StepResult:
     res = StepResult("gold")
-    wh = Warehouse(spark, cfg.warehouse)
-    if not wh.exists(spec.SILVER_TABLE):
+    wh = Warehouse(spark, cfg.warehouse, cfg.tables)
+    if not wh.exists(wh.tables.silver):
         res.exit_code = 1
-        res.messages.append(f"Silver table {spec.SILVER_TABLE} does not exist. Run the Silver step first.")
+        res.messages.append(f"Silver table {wh.tables.silver} does not exist. Run the Silver step first.")
         return res
-    # The shared pre-aggregate is checkpointed: use the cluster's folder, or
+    # The shared pre-aggregates lie in the cluster's checkpoint folder, or in
     # one beside the warehouse tables when the session names none.
-    checkpoint_dir(spark, fallback=f"{wh.root}/_checkpoints/spark")
-    silver_df = wh.read(spec.SILVER_TABLE)
-    quarantine_df = wh.read(spec.QUARANTINE_TABLE, QUARANTINE_MIN_SCHEMA)
-    bronze_n = wh.row_count(spec.BRONZE_TABLE)
+    shared_folder = checkpoint_dir(spark, fallback=f"{wh.root}/_checkpoints/spark")
+    silver_df = wh.read(wh.tables.silver)
+    quarantine_df = wh.read(wh.tables.quarantine, QUARANTINE_MIN_SCHEMA)
+    bronze_n = wh.row_count(wh.tables.bronze)
     bronze_rows = spark.range(1).select(F.lit(bronze_n).cast("bigint").alias("bronze_rows"))
-    tlog = (ledger.read(wh, spec.TRANSFORM_LOG_TABLE, ledger.TRANSFORM_LOG_SCHEMA)
-            .filter((F.col("status") == "success") & (F.col("target_table") == spec.SILVER_TABLE))
+    tlog = (ledger.read(wh, wh.tables.transform_log, ledger.TRANSFORM_LOG_SCHEMA)
+            .filter((F.col("status") == "success") & (F.col("target_table") == wh.tables.silver))
             .select("source_file", "rows_read", "rows_rejected", "rows_written"))
     silver_n, quarantine_n = silver_df.count(), quarantine_df.count()
     if bronze_n and silver_n + quarantine_n != bronze_n:
@@ -338,13 +340,15 @@ def build_gold(spark: SparkSession, cfg: spec.PipelineConfig, only: list[str] |
              f"quarantine={quarantine_n:,}, accounted={silver_n + quarantine_n:,}.")
     cache: dict[str, DataFrame] = {}
     locks = {"monthly": threading.Lock(), "daily": threading.Lock()}
+    scratch = f"{shared_folder.rstrip('/')}/lakeshore-gold-{uuid.uuid4().hex}"
 
     def materialised(key: str, make: Callable[[], DataFrame]) -> DataFrame:
-        # Materialised once (reliable checkpoint) on first use; a failure
-        # here fails only the tables that need it.
+        # Written once as Parquet on first use, so each table reads only its
+        # columns of it; a failure here fails only the tables that need it.
         with locks[key]:
             if key not in cache:
-                cache[key] = make().checkpoint(eager=True)
+                make().write.parquet(f"{scratch}/{key}")
+                cache[key] = spark.read.parquet(f"{scratch}/{key}")
             return cache[key]
 
     def shared() -> DataFrame:
@@ -354,7 +358,7 @@ def build_gold(spark: SparkSession, cfg: spec.PipelineConfig, only: list[str] |
         return materialised("daily", lambda: gold.daily_preaggregate(silver_df))
 
     def build_one(name: str, source: str, builder: Callable[[], DataFrame]) -> tuple[dict, str, bool]:
-        table = f"{spec.GOLD_NAMESPACE}.{name}"
+        table = f"{wh.tables.gold_namespace}.{name}"
         rows_read = silver_n + (quarantine_n if name == "data_quality_summary" else 0)
         started = _now()
         try:
@@ -375,12 +379,13 @@ def build_gold(spark: SparkSession, cfg: spec.PipelineConfig, only: list[str] |
                "finished_at": _now(), "error_message": err}
         return row, msg, status == "success"
 
-    targets = [t for t in gold_targets(silver_df, quarantine_df, bronze_rows, tlog, shared, daily_shared)
+    targets = [t for t in gold_targets(silver_df, quarantine_df, bronze_rows, tlog, shared, daily_shared, wh.tables)
                if not only or t[0] in only]
     with ThreadPoolExecutor(max_workers=max(1, cfg.gold_concurrency)) as pool:
         # Results are taken in table order, so the ledger and the messages
         # do not depend on which job finished first.
         results = [f.result() for f in [pool.submit(build_one, *t) for t in targets]]
+    wh.delete(scratch)
     log_rows = []
     for row, msg, ok in results:
         log_rows.append(row)
@@ -389,7 +394,7 @@ def build_gold(spark: SparkSession, cfg: spec.PipelineConfig, only: list[str] |
             res.processed += 1
         else:
             res.failed += 1
-    ledger.append_rows(spark, wh, spec.GOLD_LOG_TABLE, ledger.GOLD_LOG_SCHEMA, log_rows)
+    ledger.append_rows(spark, wh, wh.tables.gold_log, ledger.GOLD_LOG_SCHEMA, log_rows)
     res.exit_code = 1 if res.failed else 0
     return res
 
@@ -406,10 +411,11 @@ def gold_partitioning(name: str, columns: list[str]) -> list[str]:
     return [c for c in GOLD_PARTITION_COLUMNS if c in columns]
 
 
-def load_gold(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
+def load_gold(spark: SparkSession, warehouse: str, name: str, namespace: str = spec.GOLD_NAMESPACE) -> DataFrame:
     """A Gold table for reporting, with its leading dimension columns back
-    in front (partition columns read back last); a missing table is an error."""
-    df = Warehouse(spark, warehouse).read(f"{spec.GOLD_NAMESPACE}.{name}", required=True)
+    in front (partition columns read back last). A table built without rows
+    is an empty frame; one that was never built is an error."""
+    df = Warehouse(spark, warehouse).read(f"{namespace}.{name}", required=True)
     lead = [c for c in GOLD_PARTITION_COLUMNS if c in gold_partitioning(name, df.columns)]
     return df.select(*lead, *[c for c in df.columns if c not in lead])
 
@@ -430,15 +436,24 @@ def main(argv: list[str] | None = None) -> int:
     from ..session import get_session
 
     ap = argparse.ArgumentParser(description="Run the trip medallion pipeline on Spark.")
-    ap.add_argument("--raw-dir", required=True)
-    ap.add_argument("--warehouse", required=True)
+    ap.add_argument("--config", default=None, help="TOML file with the settings below and table names")
+    ap.add_argument("--raw-dir", default=None)
+    ap.add_argument("--warehouse", default=None)
+    ap.add_argument("--min-pickup", default=None, help="first pickup time that is valid")
+    ap.add_argument("--max-pickup", default=None, help="last pickup time that is valid")
     ap.add_argument("--master", default=None)
     ap.add_argument("--step", choices=["all", "bronze", "silver", "gold"], default="all")
-    ap.add_argument("--gold-concurrency", type=int, default=4, help="Gold tables built at the same time")
+    ap.add_argument("--gold-concurrency", type=int, default=None, help="Gold tables built at the same time")
     args = ap.parse_args(argv)
+    given = {"warehouse": args.warehouse, "raw_dir": args.raw_dir, "min_pickup": args.min_pickup, "max_pickup": args.max_pickup,
+             "gold_concurrency": args.gold_concurrency}
+    if args.config:
+        cfg = spec.load_config(args.config, **given)
+    elif args.warehouse:
+        cfg = spec.PipelineConfig(**{k: v for k, v in given.items() if v is not None})
+    else:
+        ap.error("--warehouse or --config is needed")
     spark = get_session(args.master)
-    cfg = spec.PipelineConfig(warehouse=args.warehouse, raw_dir=args.raw_dir,
-                              gold_concurrency=args.gold_concurrency)
     if args.step == "all":
         return run_all(spark, cfg)
     step = {"bronze": ingest_bronze, "silver": transform_silver, "gold": build_gold}[args.step]

@@ -12,6 +12,8 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from .. import spec
+
 #: Hidden file in a table's folder that holds its declared schema.
 SCHEMA_FILE = "_declared_schema.json"
 
@@ -23,9 +25,10 @@ def _visible(name: str) -> bool:
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, tables: spec.TableNames | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.tables = tables or spec.TableNames()
 
     def path(self, table: str) -> str:
         namespace, name = table.split(".", 1)
@@ -68,12 +71,15 @@ class Warehouse:
         finally:
             out.close()
 
+    def delete(self, path: str) -> None:
+        fs, p = self._fs_path(path)
+        if fs.exists(p):
+            fs.delete(p, True)
+
     def drop_partition(self, table: str, column: str, value: str) -> None:
         """Delete one first-level partition folder, if it is there."""
         escape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-        fs, p = self._fs_path(f"{self.path(table)}/{column}={escape(value)}")
-        if fs.exists(p):
-            fs.delete(p, True)
+        self.delete(f"{self.path(table)}/{column}={escape(value)}")
 
     def read(self, table: str, schema: StructType | None = None, *, required: bool = False) -> DataFrame:
         """Read a table; a missing one is an error if `required`, else a typed

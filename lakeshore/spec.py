@@ -6,7 +6,8 @@ so the same functions run on any table that follows this spec.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import tomllib
+from dataclasses import dataclass, field, fields
 
 # ---------------------------------------------------------------------------
 # These must equal the original pipeline's for identical output
@@ -140,6 +141,19 @@ GOLD_TABLES = (
 )
 
 
+@dataclass(frozen=True)
+class TableNames:
+    """Where the tables lie in the warehouse, as namespace.table."""
+
+    bronze: str = BRONZE_TABLE
+    silver: str = SILVER_TABLE
+    quarantine: str = QUARANTINE_TABLE
+    ingestion_log: str = INGESTION_LOG_TABLE
+    transform_log: str = TRANSFORM_LOG_TABLE
+    gold_log: str = GOLD_LOG_TABLE
+    gold_namespace: str = GOLD_NAMESPACE
+
+
 @dataclass(frozen=True)
 class PipelineConfig:
     """Run-time settings; the defaults mirror the original project config."""
@@ -148,15 +162,22 @@ class PipelineConfig:
     raw_dir: str | None = None
     min_pickup: str = MIN_PICKUP
     max_pickup: str = MAX_PICKUP
-    months: tuple[str, ...] = ("2026-01", "2026-02", "2026-03")
     # Gold tables are independent jobs; this many are submitted at once so
     # small tables do not leave the cluster idle while one table finishes.
     gold_concurrency: int = 4
-    table_names: dict = field(default_factory=lambda: {
-        "bronze": BRONZE_TABLE,
-        "silver": SILVER_TABLE,
-        "quarantine": QUARANTINE_TABLE,
-        "ingestion_log": INGESTION_LOG_TABLE,
-        "transform_log": TRANSFORM_LOG_TABLE,
-        "gold_log": GOLD_LOG_TABLE,
-    })
+    tables: TableNames = field(default_factory=TableNames)
+
+
+def load_config(path: str, **given) -> PipelineConfig:
+    """Settings from a TOML file: `warehouse`, `raw_dir`, `min_pickup`, `max_pickup`,
+    `gold_concurrency` and a table `[tables]`; what is given otherwise (not None) goes first."""
+    with open(path, "rb") as f:
+        found = tomllib.load(f)
+    tables = found.pop("tables", {})
+    for where, have, known in (("settings", found, PipelineConfig), ("[tables]", tables, TableNames)):
+        if unknown := set(have) - {f.name for f in fields(known)}:
+            raise ValueError(f"{path}: unknown {where}: {', '.join(sorted(unknown))}")
+    found |= {k: v for k, v in given.items() if v is not None}
+    if not found.get("warehouse"):
+        raise ValueError(f"{path}: warehouse is not set")
+    return PipelineConfig(tables=TableNames(**tables), **{k: str(v) if k.endswith("_pickup") else v for k, v in found.items()})

@@ -129,6 +129,105 @@ def test_missing_inputs(spark, scratch):
     assert pipeline.build_gold(spark, cfg).exit_code == 1
 
 
+def _counts(spark, cfg):
+    wh = Warehouse(spark, cfg.warehouse)
+    return wh.row_count(spec.BRONZE_TABLE), wh.row_count(spec.SILVER_TABLE), wh.row_count(spec.QUARANTINE_TABLE)
+
+
+def test_awkward_file_names_keep_their_rows(spark, scratch):
+    cfg = _cfg(scratch)
+    names = {FILES[0]: "demo trip+a_2026-01.parquet", FILES[1]: "demo 100%_2026-02.parquet"}
+    _write_raw(spark, cfg.raw_dir, FILES[:2], rename=names)
+    # A nested folder is not searched.
+    _write_raw(spark, os.path.join(cfg.raw_dir, "nested"), FILES[2:])
+    assert pipeline.ingest_bronze(spark, cfg).exit_code == 0 and pipeline.transform_silver(spark, cfg).exit_code == 0
+    want = {names[r[0]]: r[1] for r in raw_trips(spark, SF001).groupBy(spec.SOURCE_FILE_COLUMN).count().collect() if r[0] in names}
+    log = Warehouse(spark, cfg.warehouse).read(spec.INGESTION_LOG_TABLE).collect()
+    assert {r.source_file: r.row_count for r in log} == want and {r.status for r in log} == {"success"}
+    n_bronze, n_silver, n_quarantine = _counts(spark, cfg)
+    assert n_bronze == sum(want.values()) == n_silver + n_quarantine and n_silver > 0
+    again = pipeline.ingest_bronze(spark, cfg)
+    assert (again.processed, again.skipped) == (0, 2)
+
+
+def test_rerun_with_other_bounds_leaves_no_stale_rows(spark, scratch):
+    cfg = _cfg(scratch)
+    _write_raw(spark, cfg.raw_dir, FILES[:1])
+    assert pipeline.ingest_bronze(spark, cfg).exit_code == 0 and pipeline.transform_silver(spark, cfg).exit_code == 0
+    before = _counts(spark, cfg)
+    narrow = spec.PipelineConfig(warehouse=cfg.warehouse, raw_dir=cfg.raw_dir, min_pickup="2026-01-15 00:00:00", max_pickup="2026-01-20 00:00:00")
+    pipeline._transform(Warehouse(spark, cfg.warehouse), [FILES[0]], narrow).collect()
+    n_bronze, n_silver, n_quarantine = _counts(spark, cfg)
+    assert n_silver + n_quarantine == n_bronze == before[0] and 0 < n_silver < before[1]
+    pipeline._transform(Warehouse(spark, cfg.warehouse), [FILES[0]], cfg).collect()
+    assert _counts(spark, cfg) == before
+
+
+def test_files_that_do_not_fit_the_schema_fail_alone(spark, scratch):
+    cfg = _cfg(scratch)
+    _write_raw(spark, cfg.raw_dir, FILES)
+    good = raw_trips(spark, SF001).filter(F.col(spec.SOURCE_FILE_COLUMN) == FILES[1]).drop(spec.SOURCE_FILE_COLUMN)
+    bad = good.drop("cbd_congestion_fee").withColumn("new_fee", F.lit(1.0)).withColumn("VendorID", F.col("VendorID").cast("string"))
+    bad.write.mode("overwrite").parquet(os.path.join(cfg.raw_dir, FILES[1]))
+    res = pipeline.ingest_bronze(spark, cfg)
+    assert (res.processed, res.failed, res.exit_code) == (2, 1, 1)
+    log = {r.source_file: r for r in Warehouse(spark, cfg.warehouse).read(spec.INGESTION_LOG_TABLE).collect()}
+    assert {n: r.status for n, r in log.items()} == {FILES[0]: "success", FILES[1]: "failed", FILES[2]: "success"}
+    for said in ("missing columns: cbd_congestion_fee", "additional columns: new_fee", "retyped columns: VendorID"):
+        assert said in log[FILES[1]].error_message
+    # Mended, the file is taken up by the next run.
+    good.write.mode("overwrite").parquet(os.path.join(cfg.raw_dir, FILES[1]))
+    again = pipeline.ingest_bronze(spark, cfg)
+    assert (again.processed, again.skipped, again.exit_code) == (1, 2, 0)
+    assert _counts(spark, cfg)[0] == raw_trips(spark, SF001).count()
+
+
+def test_declared_schema_guards_order_and_nullability(spark, scratch):
+    import pytest
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+    from lakeshore.sources.tables import check_schema
+    wh = Warehouse(spark, scratch)
+    a, b = StructField("a", LongType(), True), StructField("b", StringType(), True)
+    spark.createDataFrame([(1, "x")], StructType([a, b])).write.parquet(wh.path("gold.t"))
+    check_schema(wh, "gold.t", StructType([b, a]))  # undeclared: files tell neither order nor nullability
+    wh.declare("gold.t", StructType([a, b]))
+    check_schema(wh, "gold.t", StructType([a, b]))
+    for other in (StructType([b, a]), StructType([StructField("a", LongType(), False), b]), StructType([a])):
+        with pytest.raises(ValueError, match="Schema mismatch"):
+            check_schema(wh, "gold.t", other)
+    wh.declare("gold.empty", StructType([a]))
+    assert wh.exists("gold.empty") and wh.read("gold.empty", required=True).columns == ["a"]
+
+
+def test_settings_from_a_file(tmp_path):
+    import pytest
+    path = tmp_path / "c.toml"
+    path.write_text('warehouse = "/w"\nmin_pickup = "2025-01-01 00:00:00"\n[tables]\nsilver = "clean.trips"\n')
+    cfg = spec.load_config(str(path), raw_dir="/r", min_pickup=None)
+    assert (cfg.warehouse, cfg.raw_dir, cfg.min_pickup, cfg.tables.silver, cfg.tables.bronze) == (
+        "/w", "/r", "2025-01-01 00:00:00", "clean.trips", spec.BRONZE_TABLE)
+    path.write_text('warehouse = "/w"\nmonths = 3\n')
+    with pytest.raises(ValueError, match="months"):
+        spec.load_config(str(path))
+
+
+def test_a_cluster_needs_a_shared_checkpoint_folder():
+    import types
+
+    import pytest
+
+    from lakeshore.session import checkpoint_dir
+    sc = types.SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: {}, master="spark://host:7077")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(types.SimpleNamespace(sparkContext=sc, conf={}))
+
+
+def test_no_plan_deals_rows_round_robin(spark):
+    plan = registry.silver_result(spark, SF001).silver._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobin" not in plan and "Exchange" not in plan
+
+
 def test_breakdown_from_outputs_equals_direct(spark):
     r = registry.silver_result(spark, SF001)
     from lakeshore.operators import silver as silver_ops
