@@ -1,13 +1,17 @@
 """Long-form data-quality summary (one row per metric) and source balance.
 
-No driver loops: every metric family is a small aggregate turned long with
-`stack`. Silver is reduced once to a tiny frame at (file, month offset,
-pickup month, zero flags); all Silver metrics derive from it, so the scan
-and its shuffle are shared (Spark reuses the identical exchange).
+No driver loops and no copies: Silver is reduced once to a tiny frame at (file,
+month offset, pickup month, zero flags). One explode sends each of its rows to
+every scope that counts it (all rows, its two months, its offset, its file's
+offset), one aggregate sums the scopes, and one explode of each scope's metrics
+makes the long rows. The quarantine's metrics come the same way from one
+aggregate of their own.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,30 +22,31 @@ METRIC_COLUMNS = ["month_basis", "source_file", "source_month", "metric_category
                   "metric_value", "metric_percent", "percent_denominator"]
 
 
-def _long(df: DataFrame, names_values: list[tuple[str, str]], keep: list[str]) -> DataFrame:
-    """Unpivot `(metric_name, column)` pairs into (metric_name, metric_value)."""
-    pairs = ", ".join(f"'{name}', CAST(`{col}` AS DOUBLE)" for name, col in names_values)
-    return df.select(*keep, F.expr(f"stack({len(names_values)}, {pairs}) AS (metric_name, metric_value)"))
-
-
-def _metrics(df: DataFrame, *, category: str, denominator: str, denom_col: Column | None,
-             percent: Column | None = None, basis: Column | None = None,
-             source_file: Column | None = None, source_month: Column | None = None) -> DataFrame:
-    sf = source_file if source_file is not None else F.lit(None).cast("string")
-    sm = source_month if source_month is not None else source_month_label(sf)
-    pct = percent if percent is not None else percent_of(F.col("metric_value"), denom_col)
-    return df.select(
+def _metric(name: Column | str, value: Column, percent: Column, category: str, denominator: str, *, basis: Column | None = None,
+            source_file: Column | None = None, source_month: Column | None = None) -> Column:
+    """One metric as a struct of METRIC_COLUMNS."""
+    text = lambda c: F.lit(None).cast("string") if c is None else c
+    month = source_month if source_month is not None else None if source_file is None else source_month_label(source_file)
+    return F.struct(
         (basis if basis is not None else F.lit(spec.OVERALL_BASIS)).alias("month_basis"),
-        sf.alias("source_file"),
-        sm.alias("source_month"),
+        text(source_file).alias("source_file"),
+        text(month).alias("source_month"),
         F.lit(category).alias("metric_category"),
-        F.col("metric_name"),
-        F.col("metric_value").cast("double").alias("metric_value"),
-        pct.cast("double").alias("metric_percent"),
+        (F.lit(name) if isinstance(name, str) else name).alias("metric_name"),
+        value.cast("double").alias("metric_value"),
+        percent.cast("double").alias("metric_percent"),
         F.lit(denominator).alias("percent_denominator"),
     )
 
 
+def _share(name: str, column: str, of: str, category: str, denominator: str, **where: Column) -> Column:
+    return _metric(name, F.col(column), percent_of(F.col(column), F.col(of)), category, denominator, **where)
+
+
+def _explode(df: DataFrame, metrics: Column) -> DataFrame:
+    return df.select(F.inline(metrics)).select(*METRIC_COLUMNS)
+
+
 def silver_profile(silver: DataFrame) -> DataFrame:
     """Silver reduced to (file, offset, pickup_month, zero flags) + counts."""
     zd = F.coalesce(F.col("_silver_zero_duration"), F.lit(False))
@@ -84,20 +89,29 @@ def _with_remaining(df: DataFrame) -> DataFrame:
     })
 
 
-def overall_totals(prof: DataFrame) -> DataFrame:
-    """Exactly one row (a global aggregate), also when Silver is empty."""
-    return _with_remaining(prof.agg(*_zero_sums(F.col("zd"), F.col("zdist"))))
+def scope_totals(prof: DataFrame) -> DataFrame:
+    """Counts of every scope: kind (overall, a month basis, offset, offset_file), file, month, offset.
 
-
-def month_totals(prof: DataFrame) -> DataFrame:
-    """Counts per (month basis, month) for months that have a value."""
-    scopes = F.array(
-        F.struct(F.lit("pickup_month").alias("b"), F.col("pickup_month").alias("m")),
-        F.struct(F.lit("source_month").alias("b"), source_month_label(F.col("file")).alias("m")),
-    )
-    fanned = prof.select("*", F.explode(scopes).alias("s")).filter(F.col("s.m").isNotNull())
-    return _with_remaining(fanned.groupBy(F.col("s.b").alias("basis"), F.col("s.m").alias("month"))
-                           .agg(*_zero_sums(F.col("zd"), F.col("zdist"))))
+    The overall scope is there also when Silver is empty, by a row that counts nothing.
+    """
+    none = F.lit(None)
+
+    def scope(kind: str, file=none, month=none, offset=none) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), file.cast("string").alias("file"), month.cast("string").alias("month"),
+                        offset.cast("int").alias("offset"))
+    source_month = source_month_label(F.col("file"))
+    scopes = F.filter(F.array(
+        scope("overall"),
+        scope("pickup_month", month=F.col("pickup_month")),
+        scope("source_month", month=source_month),
+        scope("offset", offset=F.col("offset")),
+        scope("offset_file", file=F.col("file"), offset=F.col("offset")),
+    ), lambda x: x["month"].isNotNull() | ~x["kind"].endswith("_month"))
+    empty = prof.sparkSession.range(1).select(
+        *(F.lit(None).cast(f.dataType).alias(f.name) if f.name in ("file", "offset", "pickup_month")
+          else F.lit(f.name == "x").cast(f.dataType).alias(f.name) for f in prof.schema.fields), F.array(scope("overall")).alias("scopes"))
+    fanned = prof.withColumn("scopes", scopes).unionByName(empty).withColumn("s", F.explode("scopes"))
+    return _with_remaining(fanned.groupBy("s.kind", "s.file", "s.month", "s.offset").agg(*_zero_sums(F.col("zd"), F.col("zdist"))))
 
 
 def quarantine_profile(quarantine: DataFrame) -> DataFrame:
@@ -114,102 +128,53 @@ def quarantine_profile(quarantine: DataFrame) -> DataFrame:
 
 
 def data_quality_summary(silver: DataFrame, quarantine: DataFrame, bronze_rows: DataFrame,
-                         transform_log: DataFrame, *, with_run_columns: bool = True,
-                         materialize: bool = True) -> DataFrame:
+                         transform_log: DataFrame, *, with_run_columns: bool = True) -> DataFrame:
     """All metric families of the quality table.
 
     `bronze_rows` is a one-row frame with column `bronze_rows`; `transform_log`
     holds successful Silver runs (source_file, rows_read, rows_rejected,
     rows_written).
     """
-    prof = silver_profile(silver)
+    totals = scope_totals(silver_profile(silver)).withColumn("scope_rows", F.sum("rows").over(Window.partitionBy("kind", "file")))
     qp = quarantine_profile(quarantine)
-    if materialize:
-        # Both reductions are tiny (files x offsets x months x 4 rows, and one
-        # row); checkpointing them means every metric family below re-reads
-        # them instead of re-scanning Silver or quarantine.
-        prof = prof.checkpoint(eager=True)
-        qp = qp.checkpoint(eager=True)
-    overall = overall_totals(prof)
-    months = month_totals(prof)
-
-    # pipeline: bronze, silver, rejected, accounted (percent of bronze rows).
-    # Bronze and rejected counts enter as scalar subqueries (no joins).
-    pipe = overall.select(
-        bronze_rows.select(F.col("bronze_rows").cast("bigint")).scalar().alias("bronze_rows"),
-        F.col("rows").alias("silver_rows"),
-        qp.select("rejected").scalar().alias("rows_rejected_unique"),
-    ).withColumn("rows_accounted_for", F.col("silver_rows") + F.col("rows_rejected_unique"))
-    pipe_long = _long(pipe, [("bronze_rows", "bronze_rows"), ("silver_rows", "silver_rows"),
-                             ("rows_rejected_unique", "rows_rejected_unique"),
-                             ("rows_accounted_for", "rows_accounted_for")], ["bronze_rows"])
-    pipeline = _metrics(
-        pipe_long, category="pipeline", denominator="bronze_rows", denom_col=None,
-        percent=F.when(F.col("metric_name") == "bronze_rows", F.lit(100.0))
-        .otherwise(percent_of(F.col("metric_value"), F.col("bronze_rows"))))
 
-    # pipeline_file: one triple per successful Silver run.
-    log_long = _long(transform_log, [("rows_read", "rows_read"), ("rows_written", "rows_written"),
-                                     ("rows_rejected", "rows_rejected")], ["source_file", "rows_read"])
-    pipeline_file = _metrics(
-        log_long, category="pipeline_file", denominator="file_rows_read", denom_col=None,
-        percent=F.when(F.col("metric_name") == "rows_read", F.lit(100.0))
-        .otherwise(percent_of(F.col("metric_value"), F.col("rows_read"))),
-        source_file=F.col("source_file"))
+    # Metrics of the zero filters, for all rows and for each month of either basis.
+    monthly = {"basis": F.col("kind"), "source_month": F.col("month")}
+    impact = [(n, n) for n in spec.ZERO_IMPACT_NAMES]
+    remaining = [(v, f"v_{v}") for v in spec.DATA_VARIANTS]
+    overall = [
+        *(_share(spec.WARNING_NAMES[f], spec.WARNING_NAMES[f], "rows", "silver_warning", "silver_rows") for f in spec.WARNING_FLAGS),
+        *(_share(n, c, "rows", "zero_filter_impact", "silver_rows") for n, c in impact),
+        *(_share(n, c, "rows", "zero_filter_remaining", "silver_rows") for n, c in remaining)]
+    by_month = [
+        *(_share(n, c, "rows", "zero_filter_impact_month", "silver_rows_in_month", **monthly) for n, c in impact),
+        *(_share(n, c, "rows", "zero_filter_remaining_month", "silver_rows_in_month", **monthly) for n, c in remaining)]
+    # The denominator of an offset is its scope's rows (a window over one scope's distinct offsets).
+    offset = F.concat(F.lit("offset_"), F.col("offset").cast("string"))
+    offset_share = percent_of(F.col("rows"), F.col("scope_rows"))
+    by_offset = [_metric(offset, F.col("rows"), offset_share, "month_offset", "silver_rows")]
+    by_file = [_metric(offset, F.col("rows"), offset_share, "month_offset_file", "silver_rows_in_source_file", source_file=F.col("file"))]
+    # pipeline: bronze, silver, rejected, accounted (percent of bronze rows). The
+    # bronze and rejected counts enter as scalar subqueries (no joins).
+    totals = totals.withColumns({
+        "bronze_rows": bronze_rows.select(F.col("bronze_rows").cast("bigint")).scalar(),
+        "rows_rejected_unique": quarantine.agg(F.count(F.lit(1))).scalar()})
+    accounted = F.col("rows") + F.col("rows_rejected_unique")
+    pipeline = [_metric("bronze_rows", F.col("bronze_rows"), F.lit(100.0), "pipeline", "bronze_rows")] + [
+        _metric(n, c, percent_of(c, F.col("bronze_rows")), "pipeline", "bronze_rows")
+        for n, c in (("silver_rows", F.col("rows")), ("rows_rejected_unique", F.col("rows_rejected_unique")), ("rows_accounted_for", accounted))]
+    of_silver = _explode(totals, F.when(F.col("kind") == "overall", F.array(*pipeline, *overall))
+                         .when(F.col("kind") == "offset", F.array(*by_offset)).when(F.col("kind") == "offset_file", F.array(*by_file))
+                         .otherwise(F.array(*by_month)))
 
+    # pipeline_file: one triple per successful Silver run.
+    runs = [_metric(n, F.col(n), F.lit(100.0) if n == "rows_read" else percent_of(F.col(n), F.col("rows_read")), "pipeline_file",
+                    "file_rows_read", source_file=F.col("source_file")) for n in ("rows_read", "rows_written", "rows_rejected")]
     # rejection_reason / rejection_detail over quarantine rows.
-    reasons = _long(qp, [(spec.REJECTION_REASON_NAMES[f], f) for f in spec.REJECTION_FLAGS], ["rejected"])
-    rejection_reason = _metrics(reasons, category="rejection_reason", denominator="rejected_rows",
-                                denom_col=F.col("rejected"))
-    details = _long(qp, [(n, n) for n in ("negative_trip_distance", "negative_fare_amount",
-                                          "negative_total_amount", "dropoff_before_pickup")], ["rejected"])
-    rejection_detail = _metrics(details, category="rejection_detail", denominator="rejected_rows",
-                                denom_col=F.col("rejected"))
-
-    # silver_warning, zero_filter_impact, zero_filter_remaining (overall).
-    warn = _long(overall, [(spec.WARNING_NAMES[f], spec.WARNING_NAMES[f]) for f in spec.WARNING_FLAGS],
-                 ["rows"])
-    silver_warning = _metrics(warn, category="silver_warning", denominator="silver_rows",
-                              denom_col=F.col("rows"))
-    impact = _long(overall, [(n, n) for n in spec.ZERO_IMPACT_NAMES], ["rows"])
-    zero_impact = _metrics(impact, category="zero_filter_impact", denominator="silver_rows",
-                           denom_col=F.col("rows"))
-    remaining = _long(overall, [(v, f"v_{v}") for v in spec.DATA_VARIANTS], ["rows"])
-    zero_remaining = _metrics(remaining, category="zero_filter_remaining", denominator="silver_rows",
-                              denom_col=F.col("rows"))
-
-    # Monthly versions under both bases (months with a value only).
-    m_impact = _long(months, [(n, n) for n in spec.ZERO_IMPACT_NAMES], ["basis", "month", "rows"])
-    zero_impact_month = _metrics(m_impact, category="zero_filter_impact_month",
-                                 denominator="silver_rows_in_month", denom_col=F.col("rows"),
-                                 basis=F.col("basis"), source_month=F.col("month"))
-    m_remaining = _long(months, [(v, f"v_{v}") for v in spec.DATA_VARIANTS], ["basis", "month", "rows"])
-    zero_remaining_month = _metrics(m_remaining, category="zero_filter_remaining_month",
-                                    denominator="silver_rows_in_month", denom_col=F.col("rows"),
-                                    basis=F.col("basis"), source_month=F.col("month"))
-
-    # month_offset overall and per source file; denominators via small windows
-    # (a partition holds one scope's distinct offsets only).
-    scopes = F.array(F.struct(F.lit(True).alias("overall"), F.lit(None).cast("string").alias("file")),
-                     F.struct(F.lit(False).alias("overall"), F.col("file").alias("file")))
-    off = (prof.select("offset", "n", F.explode(scopes).alias("s"))
-           .groupBy(F.col("s.overall").alias("overall"), F.col("s.file").alias("file"), "offset")
-           .agg(F.sum("n").alias("metric_value")))
-    off = off.withColumns({
-        "scope_rows": F.sum("metric_value").over(Window.partitionBy("overall", "file")),
-        "metric_name": F.concat(F.lit("offset_"), F.col("offset").cast("string")),
-    })
-    month_offset = _metrics(off.filter(F.col("overall")), category="month_offset", denominator="silver_rows",
-                            denom_col=F.col("scope_rows"))
-    month_offset_file = _metrics(off.filter(~F.col("overall")), category="month_offset_file",
-                                 denominator="silver_rows_in_source_file", denom_col=F.col("scope_rows"),
-                                 source_file=F.col("file"))
-
-    parts = [pipeline, pipeline_file, rejection_reason, rejection_detail, silver_warning, month_offset,
-             month_offset_file, zero_impact, zero_remaining, zero_impact_month, zero_remaining_month]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    rejected = [_share(spec.REJECTION_REASON_NAMES[f], f, "rejected", "rejection_reason", "rejected_rows") for f in spec.REJECTION_FLAGS]
+    rejected += [_share(n, n, "rejected", "rejection_detail", "rejected_rows")
+                 for n in ("negative_trip_distance", "negative_fare_amount", "negative_total_amount", "dropoff_before_pickup")]
+    out = reduce(DataFrame.unionByName, [of_silver, _explode(transform_log, F.array(*runs)), _explode(qp, F.array(*rejected))])
     if with_run_columns:
         out = out.select(
             "month_basis", F.current_date().alias("metric_date"), "source_file", "source_month",
