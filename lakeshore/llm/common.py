@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 from typing import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -16,13 +19,30 @@ from ..session import checkpoint_dir
 _STAGED: list[tuple[SparkSession, str]] = []
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this library to the tasks, which run functions of it, once for each application."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        _SHIPPED.add(sc.applicationId)
+        package = Path(__file__).resolve().parent.parent
+        target = Path(tempfile.mkdtemp(prefix="lakeshore-")) / f"lakeshore-{uuid.uuid4().hex}.zip"
+        with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+            for f in sorted(package.rglob("*.py")):
+                z.write(f, f.relative_to(package.parent))
+        sc.addPyFile(str(target))
+
+
 def pick(df: DataFrame, *names: str) -> DataFrame:
-    """Only the named columns, in that order, found by exact name.
+    """Only the named columns, in that order, found by exact name. Every operator begins with it, so it ships the library.
 
     Extra columns (also such that differ from a wanted name in case only, or
     that repeat a wanted name) cannot clash with an operator's own columns:
     they go before anything else happens. Of repeated names the first counts.
     """
+    ship(df.sparkSession)
     if [c.lower() for c in df.columns].count(names[0].lower()) == 1 and len({c.lower() for c in df.columns}) == len(df.columns):
         return df.select(*names)
     flat = df.toDF(*(f"_c{i}" for i in range(len(df.columns))))
@@ -56,6 +76,25 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def frequent(counts: DataFrame, most: int, name: str) -> DataFrame:
+    """The rows of counts (with a count n) of the largest n, at most `most` of them; written once.
+
+    A histogram of n on a fine logarithmic scale (some thousand steps, on the
+    driver) gives the least n that keeps the bound, and a filter the rows. So
+    no task and no driver gets more than `most` rows, as a sort with a limit
+    would: that takes so many from every task. Rows that tie at the limit stay
+    out together.
+    """
+    counts = staged(counts, name)
+    step = F.floor(F.log2("n") * 64)
+    left, least = most, None
+    for r in sorted(counts.groupBy(step.alias("step")).count().collect(), reverse=True):
+        if r["count"] > left:
+            break
+        left, least = left - r["count"], r.step
+    return counts.where(F.lit(False) if least is None else step >= least)
+
+
 def remainder(doc_id: Column, by: int) -> Column:
     """crc32(doc_id as text) mod `by`; a null id counts as the empty text (remainder 0)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % by

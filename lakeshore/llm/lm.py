@@ -1,7 +1,7 @@
 """Operator 8: document log-likelihood under a gated recurrent language model.
 
 Counts: all training words are counted exactly (combined in the tasks, then by
-shuffle). The `VOCAB` most frequent ones are the model's words, in classes of
+shuffle). The `VOCAB` most frequent of the cached ones (below) are the model's words, in classes of
 `PER_CLASS`; every other word belongs to one of a few shape classes (last byte
 and ASCII or not) in which add-one counts share the mass, unseen words
 included. So the model gives every text a probability.
@@ -15,7 +15,7 @@ averaged by tokens, chunk by chunk, in a shuffle. To the driver come the
 weights and the most frequent words only, both of fixed size.
 
 Scoring carries the state through windows to the end of each whole document.
-Counts of the `CACHE` most frequent words travel with the tasks; other words'
+Counts of the most frequent words, `CACHE` at most, travel with the tasks; other words'
 counts are joined.
 
 Defined results: null texts count as empty and have the end token only; a null
@@ -34,21 +34,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick, remainder, staged
+from .common import frequent, pick, remainder, staged
 
 FOLDS, HELD = 7, 2
 #: The end token; no word can hold a space.
 END = b" "
 HIDDEN = 16
-PER_CLASS, WORD_CLASSES = 64, 64
+PER_CLASS, WORD_CLASSES = 64, 32
 VOCAB = PER_CLASS * WORD_CLASSES
 SHAPES = 12
 CLASSES = WORD_CLASSES + SHAPES
 #: Words whose counts travel with the tasks: so many, of so many bytes at most.
 CACHE, CACHE_BYTES = 1 << 18, 64
 WARM_DOCS, WARM_EPOCHS = 1_000, 2
-STREAMS, STEPS = 128, 32
+STREAMS, STEPS = 512, 32
 RATE = 0.1
+#: Updates that a training sequence should give at least.
+UPDATES = 50
 BATCH = 2048
 CHUNK = 1 << 14
 F32 = np.float32
@@ -88,9 +90,10 @@ class Lexicon:
     """What a token is to the model: frequent words by rank, and the mass of the shape classes."""
 
     def __init__(self, counts: DataFrame):
-        top = (counts.where(F.length("word") <= CACHE_BYTES).select("word", "n").orderBy(F.desc("n"), "word").limit(CACHE)).toArrow()
-        self.words = [bytes(w) for w in top["word"].to_pylist()]
-        self.n = np.array(top["n"].to_pylist(), np.int64)
+        top = frequent(counts.where(F.length("word") <= CACHE_BYTES).select("word", "n"), CACHE, "lm-words").toArrow()
+        rows = sorted(zip(top["n"].to_pylist(), top["word"].to_pylist()), key=lambda r: (-r[0], r[1]))
+        self.words = [w for _, w in rows]
+        self.n = np.array([n for n, _ in rows], np.int64)
         self.vocab = min(VOCAB, len(self.words))
         by_shape = {r["shape"]: r for r in counts.groupBy("shape").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()}
         mass = np.array([by_shape[s]["n"] if s in by_shape else 0 for s in range(SHAPES)], np.int64)
@@ -125,9 +128,24 @@ def class_of(sym: np.ndarray) -> np.ndarray:
     return np.where(sym < VOCAB, sym // PER_CLASS, sym - VOCAB + WORD_CLASSES)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _exp_sum(x: np.ndarray) -> np.ndarray:
+    """Turns logits into their exponentials, in place; the sum of each row. (Logits start as log shares; 60 is out of reach.)"""
+    np.minimum(x, 60, out=x)
+    np.exp(x, out=x)
+    return x @ np.ones(x.shape[1], x.dtype)
+
+
+def _log_share(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Log softmax of one entry of each row of logits."""
+    picked = np.minimum(x[np.arange(len(at)), at], 60)
+    return picked - np.log(_exp_sum(x))
+
+
+def _softmax_less_one(x: np.ndarray, at: np.ndarray, scale: float) -> np.ndarray:
+    """Gradient of the loss by the logits: softmax less 1 at the right entry, times scale; in place."""
+    x *= (scale / _exp_sum(x))[:, None]
+    x[np.arange(len(at)), at] -= scale
+    return x
 
 
 class Gru:
@@ -143,8 +161,9 @@ class Gru:
         n = np.zeros(VOCAB)
         n[:lexicon.vocab] = lexicon.n[:lexicon.vocab]
         by_class = np.concatenate([n.reshape(WORD_CLASSES, PER_CLASS).sum(axis=1), lexicon.mass])
-        self.cb = np.log(by_class + 1).astype(F32)
-        self.wb = np.where(n > 0, np.log(np.maximum(n, 1)), -30).reshape(WORD_CLASSES, PER_CLASS).astype(F32)
+        self.cb = np.log((by_class + 1) / (by_class + 1).sum()).astype(F32)
+        n = n.reshape(WORD_CLASSES, PER_CLASS)
+        self.wb = np.where(n > 0, np.log(np.maximum(n, 1) / np.maximum(n.sum(axis=1, keepdims=True), 1)), -30).astype(F32)
         self.squares: dict | None = None
 
     def flat(self) -> np.ndarray:
@@ -167,13 +186,13 @@ class Gru:
     def log_probs(self, h: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Natural log of P(y | h), up to a shape class for other words; row by row."""
         cls = class_of(y)
-        out = _log_softmax(h @ self.c + self.cb)[np.arange(len(y)), cls]
+        out = _log_share(h @ self.c + self.cb, cls)
         order = np.argsort(cls, kind="stable")
         bounds = np.searchsorted(cls[order], np.arange(WORD_CLASSES + 1))
         for k in range(WORD_CLASSES):
             if bounds[k] < bounds[k + 1]:
                 rows = order[bounds[k]:bounds[k + 1]]
-                out[rows] += _log_softmax(h[rows] @ self.w[k] + self.wb[k])[np.arange(len(rows)), y[rows] - k * PER_CLASS]
+                out[rows] += _log_share(h[rows] @ self.w[k] + self.wb[k], y[rows] - k * PER_CLASS)
         return out
 
     def _update(self, name: str, grad: np.ndarray, rows: np.ndarray | slice = slice(None)) -> None:
@@ -193,10 +212,8 @@ class Gru:
             kept.append((before, z, r, n, an))
             states.append(h)
         hs, y = np.concatenate(states), x[:, 1:].T.ravel()
-        cls, scale = class_of(y), F32(1 / STEPS)
-        d = np.exp(_log_softmax(hs @ self.c + self.cb))
-        d[np.arange(len(y)), cls] -= 1
-        d *= scale / b
+        cls, scale = class_of(y), F32(1 / (STEPS * b))
+        d = _softmax_less_one(hs @ self.c + self.cb, cls, scale)
         dh = d @ self.c.T
         grads = [("c", hs.T @ d, slice(None)), ("cb", d.sum(axis=0), slice(None))]
         order = np.argsort(cls, kind="stable")
@@ -204,9 +221,7 @@ class Gru:
         for j in range(WORD_CLASSES):
             if bounds[j] < bounds[j + 1]:
                 rows = order[bounds[j]:bounds[j + 1]]
-                dw = np.exp(_log_softmax(hs[rows] @ self.w[j] + self.wb[j]))
-                dw[np.arange(len(rows)), y[rows] - j * PER_CLASS] -= 1
-                dw *= scale / b
+                dw = _softmax_less_one(hs[rows] @ self.w[j] + self.wb[j], y[rows] - j * PER_CLASS, scale)
                 dh[rows] += dw @ self.w[j].T
                 grads += [("w", hs[rows].T @ dw, j), ("wb", dw.sum(axis=0), j)]
         dh = dh.reshape(t, b, k)
@@ -230,7 +245,7 @@ class Gru:
 
     def fit(self, stream: np.ndarray) -> int:
         """Train on a sequence of symbols, cut into parallel streams; the tokens used."""
-        b = max(1, min(STREAMS, len(stream) // (2 * STEPS)))
+        b = max(1, min(STREAMS, len(stream) // (UPDATES * STEPS)))  # short sequences: fewer streams, not fewer updates
         n = len(stream) // b
         if n < 2:
             return 0
