@@ -33,13 +33,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import pick, staged
+from .common import hash_sample, pick, staged
 
 K = 10
 EVERY = 100
 DIMS = 8
 SURE = 0.99
-#: Vectors from which the cells' cuts are taken, at most.
+#: Vectors from which the cells' cuts are taken, about, at most.
 SAMPLE = 20_000
 #: Vectors a cell should hold, and a task index at a time.
 CELL_ROWS = 8_192
@@ -251,8 +251,8 @@ def nearest(vectors: DataFrame, k: int = K, every: int = EVERY, dims: int = DIMS
     cells: dict[int, Cells] = {}
     share = max(1, SAMPLE // len(totals))
     for n, rows in totals.items():
-        part = index.where(F.col("n") == n).orderBy(F.xxhash64("vec_id"), "vec_id").limit(share).select("v").toPandas()["v"]
-        cells[n] = Cells(np.stack(part.to_numpy()) @ proj[n], rows)
+        part = hash_sample(index.where(F.col("n") == n), F.col("vec_id"), share, rows).select("v").toPandas()["v"]
+        cells[n] = Cells(np.stack(part.to_numpy()) @ proj[n] if len(part) else np.zeros((0, dims)), rows)
     placed = staged(_with_cells(index, cells, proj), "ann-index")
     size = {(r.n, r.cell): r["count"] for r in placed.groupBy("n", "cell").count().collect()}  # one row a cell
     parts = {c: max(1, -(-rows // (2 * CELL_ROWS))) for c, rows in size.items()}

@@ -95,6 +95,16 @@ def frequent(counts: DataFrame, most: int, name: str) -> DataFrame:
     return counts.where(F.lit(False) if least is None else step >= least)
 
 
+def hash_sample(df: DataFrame, key: Column, most: int, rows: int) -> DataFrame:
+    """About `most` of df's rows (all, if they are no more), those whose key hashes low; twice as many at most.
+
+    A filter: unlike with a sort and a limit, a task sends no more than its
+    share. The limit holds where a key repeats often; null keys stay out.
+    """
+    low = F.pmod(F.xxhash64(key), F.lit(1 << 40)) < int((1 << 40) * most / max(rows, 1))
+    return df if rows <= most else df.where(key.isNotNull() & low).limit(2 * most)
+
+
 def remainder(doc_id: Column, by: int) -> Column:
     """crc32(doc_id as text) mod `by`; a null id counts as the empty text (remainder 0)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % by

@@ -8,7 +8,7 @@ included. So the model gives every text a probability.
 
 Model: a GRU in numpy with a class-factored softmax, P(class | state) *
 P(word | class, state), the latter from add-one counts in a shape class. It
-starts as the unigram model (the biases hold the counts), warms up on
+starts as the unigram model (the biases hold the counts), warms up on about
 `WARM_DOCS` documents on the driver, then every task goes on with truncated
 back-propagation through all its training documents, and the weights are
 averaged by tokens, chunk by chunk, in a shuffle. To the driver come the
@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import frequent, pick, remainder, staged
+from .common import frequent, hash_sample, pick, remainder, staged
 
 FOLDS, HELD = 7, 2
 #: The end token; no word can hold a space.
@@ -254,7 +254,7 @@ class Gru:
             h = self.train(x[:, at:at + STEPS + 1], h)
         return b * n
 
-    def score(self, seqs: list[np.ndarray], start: int, width: int = 64, group: int = 512) -> np.ndarray:
+    def score(self, seqs: list[np.ndarray], start: int, width: int = 128, group: int = 1024) -> np.ndarray:
         """Natural log-likelihood of each symbol sequence; the state goes through windows of `width` to the end."""
         out = np.zeros(len(seqs))
         order = sorted(range(len(seqs)), key=lambda i: -len(seqs[i]))
@@ -315,9 +315,9 @@ def _mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def learn(train: DataFrame, lexicon: Lexicon) -> Gru:
-    """The model of all rows of train (text, order)."""
+    """The model of all rows of train (text, key)."""
     model = Gru(lexicon)
-    warm = [r.text for r in train.orderBy("order").limit(WARM_DOCS).select("text").collect()]
+    warm = [r.text for r in hash_sample(train, F.col("key"), WARM_DOCS, train.select("key").count()).select("text").collect()]
     if not warm:
         return model
     stream = np.concatenate([lexicon.symbols(tokens(t))[0] for t in warm])
@@ -341,8 +341,8 @@ def _score_tasks(lexicon, model):
         start = int(lex.symbols([END])[0][0])
         logs = np.log10(lex.n + 1.0)
         for b in batches:
-            for lo in range(0, b.num_rows, BATCH):
-                part = b.slice(lo, BATCH)
+            for lo in range(0, b.num_rows, 2 * BATCH):
+                part = b.slice(lo, 2 * BATCH)
                 seqs, rows = [], []
                 for t in part.column(0).to_pylist():
                     toks = tokens(t)
@@ -367,7 +367,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
     fold = remainder(F.col("doc_id"), FOLDS)
     rows = pick(docs, "doc_id", "text").select(F.col("text").cast("binary").alias("text"), "doc_id", (fold == HELD).alias("held_out"))
-    train = rows.where(~F.col("held_out")).select("text", F.xxhash64("doc_id", "text").alias("order"))
+    train = rows.where(~F.col("held_out")).select("text", F.col("doc_id").alias("key"))
     counts = count_words(train.select("text"))
     lexicon = Lexicon(counts)
     model = learn(train, lexicon)

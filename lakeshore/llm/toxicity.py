@@ -24,11 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_text, pick, remainder, staged
+from .common import hash_sample, map_text, pick, remainder, staged
 from .langid import PAD, letters
 
 FOLDS = 5
-#: Labelled rows of either label that the classifier is fitted on, at most.
+#: Labelled rows of either label that the classifier is fitted on, about, at most.
 SAMPLE = 8_000
 FEATURES = 1024
 ORDER = 5
@@ -100,18 +100,18 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def sample_rows(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE) -> DataFrame:
-    """(text, toxic, weight): up to per_label training rows of either label, chosen by a hash of doc_id.
+    """(text, toxic, weight): about per_label training rows of either label (all, if there are fewer), chosen by a hash of doc_id.
 
     weight is the label's number of rows over the number sampled, so that the
-    sample stands for all rows. The chosen ids (at most 2 * per_label) are
-    small enough to broadcast, so texts are not shuffled.
+    sample stands for all rows. The chosen ids (about 2 * per_label) are
+    few enough to broadcast, so texts are not shuffled.
     """
     train = pick(labels, "doc_id", "toxic").where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()
                                                   & (remainder(F.col("doc_id"), FOLDS) != 0))
     totals = {r.toxic: r["count"] for r in train.groupBy("toxic").count().collect()}
     ids = None
     for label in (0, 1):
-        part = train.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_label)
+        part = hash_sample(train.where(F.col("toxic") == label), F.col("doc_id"), per_label, totals.get(label, 0))
         part = part.withColumn("weight", F.lit(max(1.0, totals.get(label, 0) / per_label)))
         ids = part if ids is None else ids.unionByName(part)
     chosen = pick(docs, "doc_id", "text").join(F.broadcast(ids), "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), "toxic", "weight")
