@@ -44,7 +44,7 @@ SAMPLE = 20_000
 #: Vectors a cell should hold, and a task index at a time.
 CELL_ROWS = 8_192
 MAX_CELLS = 4_096
-LEAF = 32
+LEAF = 256
 #: Queries that visit a part of a cell at a time.
 QUERY_BLOCK = 16_384
 
@@ -130,7 +130,12 @@ def search(tree: KdTree, vectors: np.ndarray, ids: np.ndarray, q: np.ndarray, qp
             continue
         diff = vectors[at] - q
         dist = np.sqrt((diff * diff).sum(axis=1))
-        best += [(float(d), int(i)) for d, i in zip(dist, ids[at]) if i != q_id and d <= limit]
+        closer = np.flatnonzero((dist <= limit) & (ids[at] != q_id))
+        if not len(closer):
+            continue
+        if len(closer) > 4 * k:  # only the k nearest of them, and what ties with those, can matter
+            closer = closer[dist[closer] <= np.partition(dist[closer], k)[k]]
+        best += zip(dist[closer].tolist(), ids[at[closer]].tolist())
         best = sorted(set(best))[:k]
         if len(best) == k:
             limit = min(limit, best[-1][0])
