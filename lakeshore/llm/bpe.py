@@ -6,11 +6,11 @@ merges, step by step, the leftmost adjacent pair of lowest rank, looked up in a
 literal rank map (`rank_map`: buckets of small maps, since a map's lookup is
 linear). Bytes are carried as ISO-8859-1 characters.
 
-The `CACHE` most frequent words of the input are folded once and travel with
-the tasks (a bound on memory; it changes no result); of the others each bundle
-of documents folds its distinct ones. So nothing but word counts is shuffled.
-The fold's cost is quadratic in the word; words over `LONG` bytes are merged
-by a heap in Python instead, with the same result in n log n steps.
+The most frequent words of the input, `CACHE` at most, are folded once and
+travel with the tasks (a bound on memory; it changes no result); of the others
+each bundle of documents folds its distinct ones. So nothing but word counts
+is shuffled. The fold's cost is quadratic in the word; words over `LONG` bytes
+are merged by a heap in Python instead, with the same result in n log n steps.
 
 Decoding concatenates the binary pieces of the ids.
 
@@ -25,29 +25,27 @@ import hashlib
 import heapq
 import json
 import zlib
-from collections import Counter
 from functools import lru_cache
-from itertools import repeat
-from typing import Iterator
+from typing import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
-import regex
 import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick, staged
+from .common import frequent, pick
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 BUCKETS = 1 << 13
 #: Words that travel with the tasks: so many, of so many bytes at most.
-CACHE, CACHE_BYTES = 1 << 18, 64
+CACHE, CACHE_BYTES = 1 << 19, 64
 #: Bytes from which on a word is merged by a heap.
 LONG = 256
-#: A bundle of documents: so many rows or so many characters.
-BUNDLE_ROWS, BUNDLE_CHARS = 1024, 2_000_000
+#: A bundle of documents: so many rows or so many characters; split so many characters at a time.
+BUNDLE_ROWS, BUNDLE_CHARS, SPLIT_CHARS = 4096, 3_000_000, 500_000
 
 
 @lru_cache(maxsize=4)
@@ -59,52 +57,101 @@ def ranks(path: str) -> dict[bytes, int]:
 
 # --- splitting -------------------------------------------------------------
 
+SPACE, LETTER, NUMBER, OTHER = range(4)
+#: The pattern that `split` carries out: contractions, then runs of one class with one space before, then white space.
+SPLIT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
+
+
 @lru_cache(maxsize=1)
-def odd_characters() -> dict[int, str]:
-    """Characters that `regex` and the tokenizer library put into different classes, with a stand-in of the right class.
+def character_classes() -> np.ndarray:
+    """Class of each code point as the tokenizer's library sees it.
 
-    The two know different Unicode versions; the library's classes are asked
-    from itself, by encoding all characters with a pattern of one class.
+    Unicode versions differ between libraries, so it is asked itself, by
+    encoding all characters with a pattern of one class.
     """
-    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
     bytes_only = {bytes([i]): i for i in range(256)}
-
-    def of(cls: str) -> set[str]:
-        e = tiktoken.Encoding("class", pat_str=cls, mergeable_ranks=bytes_only, special_tokens={})
-        return set(bytes(e.encode_ordinary(every)).decode())
-    theirs = {c: of(c) for c in (r"\p{L}", r"\p{N}", r"\s")}
-    out = {}
-    for cls, stand in ((r"\p{L}", "a"), (r"\p{N}", "0"), (r"\s", "\n")):
-        for c in theirs[cls] ^ set(regex.findall(cls, every)):
-            out[ord(c)] = next((s for k, s in ((r"\p{L}", "a"), (r"\p{N}", "0"), (r"\s", "\n")) if c in theirs[k]), "!")
+    out = np.full(0x110000, OTHER, np.uint8)
+    for kind, pattern in ((LETTER, r"\p{L}"), (NUMBER, r"\p{N}"), (SPACE, r"\s")):
+        e = tiktoken.Encoding("class", pat_str=pattern, mergeable_ranks=bytes_only, special_tokens={})
+        for lo in [*range(0, 0xD800, 0x800), *range(0xE000, 0x110000, 0x2000)]:
+            every = "".join(map(chr, range(lo, lo + (0x800 if lo < 0xD800 else 0x2000))))
+            out[np.frombuffer(bytes(e.encode_ordinary(every)).decode().encode("utf-32-le"), np.uint32)] = kind
     return out
 
 
-class Splitter:
-    """Splits texts by the tokenizer's pattern, as its library does."""
+def split(cp: np.ndarray, first: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """Starts of the words of several texts, end to end: cp are their code points, first tells where a text begins.
 
-    def __init__(self, odd: dict[int, str], pattern: str = public_tokenizers.PATTERN):
-        self.pattern, self.odd = pattern, odd
-        self._prepare()
+    A run of letters, numbers or others is a word, with a single space before
+    it if there is one. Of white space before such a run the last character
+    stands apart (it is that space, or a word); at a text's end it does not.
+    """
+    n = len(cp)
+    kind = classes[cp]
+    run = first.copy()
+    run[1:] |= kind[1:] != kind[:-1]
+    space = kind == SPACE
+    before = np.zeros(n, bool)  # the character before, in the same text, is a space
+    before[1:] = (cp[:-1] == 32) & ~first[1:]
+    start = run & (space | ~before)
+    start[:-1] |= space[:-1] & ~space[1:] & ~first[1:]
+    # Contractions: an apostrophe that is a word by itself, and the letters behind it.
+    at = np.flatnonzero(start[:-1] & (cp[:-1] == 39) & (kind[1:] == LETTER) & ~first[1:])
+    if len(at):
+        nxt = cp[at + 1]
+        short = np.isin(nxt, [ord(c) for c in "stmd"])
+        two = np.zeros(len(at), bool)
+        inside = at + 2 < n
+        j = at[inside]
+        pair = nxt[inside].astype(np.int64) * 65536 + np.where(first[j + 2], 0, cp[j + 2])
+        two[inside] = np.isin(pair, [ord(a) * 65536 + ord(b) for a, b in ("re", "ve", "ll")])
+        at, size = at[short | two], np.where(two[short | two], 3, 2)
+        start[at + 1] = False
+        rest = at + size
+        ok = rest < n
+        rest = rest[ok]
+        start[rest[~first[rest] & (kind[rest] == LETTER)]] = True
+    return np.flatnonzero(start)
+
+
+def word_hashes(cp: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> list[np.ndarray]:
+    """Two independent polynomial hashes modulo 2^64 of each word, by prefix sums."""
+    out = []
+    for m in _MIX:
+        x = (cp.astype(np.uint64) + np.uint64(1)) * m
+        x ^= x >> np.uint64(29)
+        odd = int(m) | 1
+        x *= np.cumprod(np.full(len(cp), odd, np.uint64))
+        sums = np.zeros(len(cp) + 1, np.uint64)
+        np.cumsum(x, out=sums[1:])
+        h = (sums[stops] - sums[starts]) * np.cumprod(np.full(len(cp) + 1, pow(odd, -1, 1 << 64), np.uint64))[starts]
+        out.append(h ^ (h >> np.uint64(32)) ^ (stops - starts).astype(np.uint64) * _MIX[1])
+    return out
 
-    def _prepare(self) -> None:
-        self.match = regex.compile(self.pattern)
-        self.any_odd = regex.compile("[" + "".join(f"\\U{c:08x}" for c in sorted(self.odd)) + "]") if self.odd else None
-        self.least_odd = chr(min(self.odd)) if self.odd else None
 
-    def __getstate__(self) -> tuple:
-        return self.pattern, self.odd
+class Words:
+    """The distinct words of several texts, each text's number of words, and each word's number among the distinct ones."""
 
-    def __setstate__(self, state: tuple) -> None:
-        self.pattern, self.odd = state
-        self._prepare()
+    def __init__(self, texts: list[str | None], classes: np.ndarray):
+        self.whole = "".join(t for t in texts if t)
+        cp = np.frombuffer(self.whole.encode("utf-32-le", "replace"), np.uint32)
+        lengths = np.fromiter((len(t) if t else 0 for t in texts), np.int64, len(texts))
+        ends = np.cumsum(lengths)
+        first = np.zeros(len(cp), bool)
+        first[(ends - lengths)[lengths > 0]] = True
+        starts = split(cp, first, classes)
+        self.sizes = np.diff(np.searchsorted(starts, np.concatenate([[0], ends])))
+        stops = np.concatenate([starts[1:], [len(cp)]]) if len(starts) else starts
+        h = word_hashes(cp, starts, stops)
+        _, at, self.number, self.counts = np.unique(h[0], return_index=True, return_inverse=True, return_counts=True)
+        if len(starts) and (h[1] != h[1][at][self.number]).any():  # two words with one hash: tell them apart by both
+            _, at, self.number, self.counts = np.unique(np.stack(h, axis=1), axis=0, return_index=True, return_inverse=True, return_counts=True)
+            self.number = self.number.ravel()
+        self.h1, self.h2, self.starts, self.stops = h[0][at], h[1][at], starts[at], stops[at]
 
-    def __call__(self, text: str | None) -> list[str]:
-        if not text:
-            return []
-        if self.any_odd and not text.isascii() and max(text) >= self.least_odd and self.any_odd.search(text):
-            return [text[m.start():m.end()] for m in self.match.finditer(text.translate(self.odd))]
-        return self.match.findall(text)
+    def word(self, i: int) -> str:
+        return self.whole[self.starts[i]:self.stops[i]]
 
 
 # --- encoding words --------------------------------------------------------
@@ -117,32 +164,42 @@ def rank_map(table: dict[bytes, int]) -> Column:
     return F.from_json(F.lit(json.dumps(maps)), "array<map<string,int>>")  # constant: folded into one literal when planned
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with value computed once (a one-element transform names it)."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def fold_word(word: Column, maps: Column) -> Column:
-    """Ids of a word (bytes as ISO-8859-1 characters): the lowest-ranked, leftmost pair merges first."""
+    """Ids of a word (bytes as ISO-8859-1 characters): the lowest-ranked, leftmost pair merges first.
+
+    The state holds the pieces and the ranks of the adjacent pairs; a merge
+    ranks its two new pairs only.
+    """
     def rank(token: Column) -> Column:
         return F.element_at(F.get(maps, (F.crc32(token.cast("binary")) % BUCKETS).cast("int")), token)
 
-    def merge(pieces: Column, pair_ranks: Column) -> Column:
-        at = F.array_position(pair_ranks, F.array_min(pair_ranks)).cast("int")
-        return F.when(F.array_min(pair_ranks).isNull(), pieces).otherwise(
-            F.concat(F.slice(pieces, 1, at - 1), F.array(F.concat(F.get(pieces, at - 1), F.get(pieces, at))),
-                     F.slice(pieces, at + 2, F.size(pieces))))
+    none = F.array().cast("array<int>")
 
-    def step(state: Column, _: Column) -> Column:
-        """Merge by the ranks of the state, then rank the new pairs; without a ranked pair nothing changes."""
-        done = F.array_min(state["ranks"]).isNull()
-        return F.when(done, state).otherwise(ranked(merge(state["pieces"], state["ranks"])))
+    def merge(state: Column, at: Column, piece: Column) -> Column:
+        """The state after the pair at position `at` (from 1) has become `piece`."""
+        p, r = state["pieces"], state["ranks"]
+        return F.struct(
+            F.concat(F.slice(p, 1, at - 1), F.array(piece), F.slice(p, at + 2, F.size(p))).alias("pieces"),
+            F.concat(F.slice(r, 1, F.greatest(at - 2, F.lit(0))),
+                     F.when(at > 1, F.array(rank(F.concat(F.get(p, at - 2), piece)))).otherwise(none),
+                     F.when(at < F.size(r), F.array(rank(F.concat(piece, F.get(p, at + 1))))).otherwise(none),
+                     F.slice(r, at + 2, F.size(p))).alias("ranks"))
 
-    def ranked(pieces: Column) -> Column:
-        # one-element transform: the pieces are computed once and named
-        return F.get(F.transform(F.array(pieces), lambda p: F.struct(
-            p.alias("pieces"),
-            F.zip_with(F.slice(p, 1, F.size(p) - 1), F.slice(p, 2, F.size(p)), lambda a, b: F.when(b.isNotNull(), rank(F.concat(a, b)))).alias("ranks"))), 0)
+    def step(state: Column, _: Column) -> Column:
+        return _let(F.array_min(state["ranks"]), lambda least: F.when(least.isNull(), state).otherwise(
+            _let(F.array_position(state["ranks"], least).cast("int"), lambda at: _let(
+                F.concat(F.get(state["pieces"], at - 1), F.get(state["pieces"], at)), lambda piece: merge(state, at, piece)))))
 
-    first = ranked(F.split(word, ""))
-    pieces = F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(word) - 1, F.lit(1))), first, step)["pieces"]
-    whole = rank(word)  # a word that is a token needs no merges
-    return F.when(whole.isNotNull(), F.array(whole)).otherwise(F.transform(pieces, rank))
+    first = _let(F.split(word, ""), lambda p: F.struct(p.alias("pieces"), F.zip_with(
+        F.slice(p, 1, F.size(p) - 1), F.slice(p, 2, F.size(p)), lambda a, b: rank(F.concat(a, b))).alias("ranks")))
+    merged = F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(word) - 1, F.lit(1))), first, step)["pieces"]
+    # A word that is a token needs no merges.
+    return _let(rank(word), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(F.transform(merged, rank)))
 
 
 def merge_long(word: bytes, table: dict[bytes, int]) -> list[int]:
@@ -175,34 +232,61 @@ def merge_long(word: bytes, table: dict[bytes, int]) -> list[int]:
 
 # --- encoding documents ----------------------------------------------------
 
-def _count_words(split):
+def _groups(lengths: list[int], rows: int, most: int) -> Iterator[tuple[int, int]]:
+    """(from, to) of consecutive texts of these lengths, up to so many rows or just over so many characters."""
+    lo, chars = 0, 0
+    for i, n in enumerate(lengths):
+        chars += n
+        if i + 1 - lo >= rows or chars >= most:
+            yield lo, i + 1
+            lo, chars = i + 1, 0
+    if lo < len(lengths):
+        yield lo, len(lengths)
+
+
+def _parts(b: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of bounded text, so that few texts are held as strings at a time."""
+    lengths = pc.fill_null(pc.utf8_length(b.column(0)), 0).to_pylist()
+    for lo, hi in _groups(lengths, BUNDLE_ROWS, most):
+        yield b.slice(lo, hi - lo)
+
+
+def _count_words(classes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lo in range(0, b.num_rows, 2 * BUNDLE_ROWS):
-                c: Counter = Counter()
-                for t in b.column(0).slice(lo, 2 * BUNDLE_ROWS).to_pylist():
-                    c.update(split.value(t))
-                yield pa.RecordBatch.from_arrays([pa.array([w.encode("utf-8", "replace") for w in c], pa.binary()), pa.array(list(c.values()), pa.int64())], names=["word", "n"])
+            for part in _parts(b, 2 * SPLIT_CHARS):
+                w = Words(part.column(0).to_pylist(), classes.value)
+                yield pa.RecordBatch.from_arrays([pa.array([w.word(i).encode("utf-8", "replace") for i in range(len(w.h1))], pa.binary()),
+                                                  pa.array(w.counts.astype(np.int64))], names=["word", "n"])
     return run
 
 
-class Cache:
-    """Ids of the frequent words, end to end: word i has values[starts[i]:starts[i] + sizes[i]]."""
+def _hash_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words with their two hashes."""
+    for b in batches:
+        words = [w.decode() for w in b.column(0).to_pylist()]
+        stops = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        starts = np.concatenate([[0], stops[:-1]]) if len(stops) else stops
+        h = word_hashes(np.frombuffer("".join(words).encode("utf-32-le"), np.uint32), starts, stops)
+        yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x.view(np.int64)) for x in h)], names=["word", "h1", "h2"])
 
-    def __init__(self, words: list[bytes], ids: list[list[int]]):
-        self.words = words
-        self.sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.values = np.fromiter((x for i in ids for x in i), np.int32, int(self.sizes.sum()))
-        self._index: dict | None = None
 
-    def __getstate__(self) -> dict:
-        return self.__dict__ | {"_index": None}
+class Cache:
+    """Ids of words known by two hashes, in order of the first: word i has values[starts[i]:starts[i] + sizes[i]]."""
+
+    def __init__(self, h1: np.ndarray, h2: np.ndarray, ids: pa.ListArray):
+        order = np.argsort(h1, kind="stable")
+        self.h1, self.h2 = h1[order], h2[order]
+        sizes = np.diff(ids.offsets.to_numpy()).astype(np.int64)
+        self.values = ragged(ids.values.to_numpy(zero_copy_only=False)[ids.offsets[0].as_py():], sizes, order).astype(np.int32)
+        self.sizes = sizes[order]
 
-    @property
-    def index(self) -> dict[str, int]:
-        if self._index is None:
-            self._index = {w.decode(): i for i, w in enumerate(self.words)}
-        return self._index
+    def find(self, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
+        """Number of each word, -1 if it is not there."""
+        if not len(self.h1):
+            return np.full(len(h1), -1)
+        at = np.minimum(np.searchsorted(self.h1, h1), len(self.h1) - 1)
+        return np.where((self.h1[at] == h1) & (self.h2[at] == h2), at, -1)
 
 
 def ragged(values: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -212,80 +296,85 @@ def ragged(values: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> np.ndarray:
     return values[np.repeat(starts[at] - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)]
 
 
-def _bundles(split, cache, keep: list[str]):
+def _bundles(classes, cache, keep: list[str]):
     """Rows of documents in, bundles out: word numbers of all documents, and the distinct words that the cache lacks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = cache.value.index.get
-        n_cached = len(cache.value.words)
-
-        def out(part: pa.RecordBatch, codes: list[np.ndarray], rare: dict) -> pa.RecordBatch:
-            kept = pa.StructArray.from_arrays([part.column(i) for i in range(1, part.num_columns)], names=keep)
-            every = np.concatenate(codes).astype(np.int32) if codes else np.zeros(0, np.int32)
-            one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
-            words = list(rare)
-            return pa.RecordBatch.from_arrays(
-                [one(kept), one(pa.array([len(c) for c in codes], pa.int32())), one(pa.array(every)),
-                 one(pa.array([w.encode("utf-8", "replace").decode("latin-1") for w in words], pa.string()))],
-                names=["kept", "sizes", "codes", "rare"])
-
+        cached = cache.value
+        one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
         for b in batches:
-            lo, codes, rare, chars = 0, [], {}, 0
-            for i, t in enumerate(b.column(0).to_pylist()):
-                ws = split.value(t)
-                c = np.fromiter(map(get, ws, repeat(-1)), np.int64, len(ws))
-                for k in np.flatnonzero(c < 0).tolist():
-                    c[k] = n_cached + rare.setdefault(ws[k], len(rare))
-                codes.append(c)
-                chars += len(t) if t else 0
-                if i + 1 - lo >= BUNDLE_ROWS or chars >= BUNDLE_CHARS:
-                    yield out(b.slice(lo, i + 1 - lo), codes, rare)
-                    lo, codes, rare, chars = i + 1, [], {}, 0
-            if codes:
-                yield out(b.slice(lo), codes, rare)
+            for part in _parts(b, BUNDLE_CHARS):
+                rare: dict[str, int] = {}
+                sizes, codes = [], []
+                for some in _parts(part, SPLIT_CHARS):
+                    w = Words(some.column(0).to_pylist(), classes.value)
+                    code = cached.find(w.h1, w.h2)
+                    for i in np.flatnonzero(code < 0).tolist():
+                        code[i] = len(cached.h1) + rare.setdefault(w.word(i), len(rare))
+                    sizes.append(w.sizes.astype(np.int32))
+                    codes.append(code[w.number].astype(np.int32))
+                kept = pa.StructArray.from_arrays([part.column(i) for i in range(1, part.num_columns)], names=keep)
+                yield pa.RecordBatch.from_arrays(
+                    [one(kept), one(pa.array(np.concatenate(sizes))), one(pa.array(np.concatenate(codes))),
+                     one(pa.array([x.encode("utf-8", "replace").decode("latin-1") for x in rare], pa.string()))],
+                    names=["kept", "sizes", "codes", "rare"])
     return run
 
 
-def _unbundle(cache, path: str, kinds: pa.Schema):
-    """Bundles with the ids of their rare words in, documents with ids out."""
+def _unbundle(cache, path: str, kinds: pa.Schema, finish: Callable):
+    """Bundles with the ids of their rare words in, what `finish` makes of each document's ids out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = ranks(path)
+        made = finish(path)
+        cached = cache.value
         for b in batches:
             for i in range(b.num_rows):
                 kept, sizes, codes, rare, ids = (b.column(c)[i].values for c in range(5))
-                ids = [x if x is not None else merge_long(w.encode("latin-1"), table) for x, w in zip(ids.to_pylist(), rare.to_pylist())]
-                more = Cache([], ids)
-                all_sizes = np.concatenate([cache.value.sizes, more.sizes])
+                if ids.null_count:
+                    words = rare.to_pylist()
+                    ids = pa.array([x if x is not None else merge_long(w.encode("latin-1"), table) for x, w in zip(ids.to_pylist(), words)], pa.list_(pa.int32()))
+                lengths = np.diff(ids.offsets.to_numpy()).astype(np.int64)
+                all_sizes = np.concatenate([cached.sizes, lengths])
                 codes = codes.to_numpy(zero_copy_only=False)
-                values = ragged(np.concatenate([cache.value.values, more.values]), all_sizes, codes)
+                more = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
+                values = ragged(np.concatenate([cached.values, more]), all_sizes, codes)
                 n = np.zeros(len(codes) + 1, np.int64)
                 np.cumsum(all_sizes[codes], out=n[1:])
                 cuts = n[np.concatenate([[0], np.cumsum(sizes.to_numpy(zero_copy_only=False))])]
-                yield pa.RecordBatch.from_arrays(
-                    [c.cast(t) for c, t in zip(kept.flatten(), kinds.types)] + [pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(values, pa.int32()))],
-                    names=[*kinds.names, "ids"])
+                columns = made(values, cuts)
+                yield pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip(kept.flatten(), kinds.types)] + list(columns.values()),
+                                                 names=[*kinds.names, *columns])
     return run
 
 
-def encode(docs: DataFrame, *keep: str, path: str | None = None) -> DataFrame:
-    """The kept columns (doc_id if none is named) and `ids`, the token ids of text, for every row of docs."""
-    path = path or public_tokenizers.path(VOCABULARY)
-    keep = list(keep) or ["doc_id"]
+def _encoded(docs: DataFrame, keep: list[str], path: str, finish: Callable, schema: str) -> DataFrame:
+    """The kept columns and what finish(path)(values, cuts) gives: row i's ids are values[cuts[i]:cuts[i + 1]]."""
+    if public_tokenizers.PATTERN != SPLIT_PATTERN:
+        raise ValueError("the tokenizer's pattern is not the one that split() carries out")
     rows = pick(docs, "text", *keep)
-    sc = docs.sparkSession.sparkContext
-    split, maps = sc.broadcast(Splitter(odd_characters())), rank_map(ranks(path))
-    counts = rows.select("text").mapInArrow(_count_words(split), "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.where(F.length("word") <= CACHE_BYTES).orderBy(F.desc("n"), "word").limit(CACHE).select("word")
-    # At most CACHE words come back to the driver.
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    folded = staged(top, "bpe-words").repartition(n).select("word", fold_word(F.decode("word", "ISO-8859-1"), maps).alias("ids")).toArrow()
-    cache = sc.broadcast(Cache(folded["word"].to_pylist(), folded["ids"].to_pylist()))
+    spark = docs.sparkSession
+    classes, maps = spark.sparkContext.broadcast(character_classes()), rank_map(ranks(path))
+    counts = rows.select("text").mapInArrow(_count_words(classes), "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    top = frequent(counts.where(F.length("word") <= CACHE_BYTES), CACHE, "bpe-words")
+    # At most CACHE words' hashes and ids come back to the driver.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    folded = (top.select("word").repartition(parts).mapInArrow(_hash_words, "word binary, h1 bigint, h2 bigint")
+              .select("h1", "h2", fold_word(F.decode("word", "ISO-8859-1"), maps).alias("ids")).toArrow())
+    cache = spark.sparkContext.broadcast(Cache(*(folded[c].to_numpy().view(np.uint64) for c in ("h1", "h2")), folded["ids"].combine_chunks()))
     types = dict(rows.dtypes)
     kinds = ", ".join(f"{c}:{types[c]}" for c in keep)
-    bundles = rows.mapInArrow(_bundles(split, cache, keep), f"kept array<struct<{kinds}>>, sizes array<int>, codes array<int>, rare array<string>")
-    short = lambda w: F.when(F.length(w) <= LONG, fold_word(w, maps))
-    done = bundles.withColumn("ids", F.transform("rare", short))
-    arrow = docs.sparkSession.createDataFrame([], rows.select(*keep).schema).toArrow().schema
-    return done.mapInArrow(_unbundle(cache, path, arrow), ", ".join(f"{c} {types[c]}" for c in keep) + ", ids array<int>")
+    bundles = rows.mapInArrow(_bundles(classes, cache, keep), f"kept array<struct<{kinds}>>, sizes array<int>, codes array<int>, rare array<string>")
+    done = bundles.withColumn("ids", F.transform("rare", lambda w: F.when(F.length(w) <= LONG, fold_word(w, maps))))
+    arrow = spark.createDataFrame([], rows.select(*keep).schema).toArrow().schema
+    return done.mapInArrow(_unbundle(cache, path, arrow, finish), ", ".join(f"{c} {types[c]}" for c in keep) + ", " + schema)
+
+
+def _as_list(path: str) -> Callable:
+    return lambda values, cuts: {"ids": pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(values, pa.int32()))}
+
+
+def encode(docs: DataFrame, *keep: str, path: str | None = None) -> DataFrame:
+    """The kept columns (doc_id if none is named) and `ids`, the token ids of text, for every row of docs."""
+    return _encoded(docs, list(keep) or ["doc_id"], path or public_tokenizers.path(VOCABULARY), _as_list, "ids array<int>")
 
 
 # --- decoding --------------------------------------------------------------
@@ -320,17 +409,19 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     return encoded.mapInArrow(run, f"{types}, decoded binary")
 
 
-def token_digest(docs: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 (little-endian unsigned 32-bit) and decoded_sha256."""
-    decoded = decode(encode(docs))
+def _as_digest(path: str) -> Callable:
+    """Number and digest of the ids, and digest of what they decode to, in the task that has them."""
+    decoder = Decoder(path)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            n = [len(x.values) for x in b.column(1)]
-            sha = [hashlib.sha256(x.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes()).hexdigest() for x in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(sha, pa.string()), b.column(2)],
-                                             names=["doc_id", "n_tokens", "ids_sha256", "decoded"])
-
-    kind = dict(decoded.dtypes)["doc_id"]
-    digest = decoded.select("doc_id", "ids", "decoded").mapInArrow(run, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded binary")
-    return digest.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    def digest(values: np.ndarray, cuts: np.ndarray) -> dict[str, pa.Array]:
+        parts = [values[a:b] for a, b in zip(cuts, cuts[1:])]
+        return {"n_tokens": pa.array(np.diff(cuts)),
+                "ids_sha256": pa.array([hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in parts], pa.string()),
+                "decoded_sha256": pa.array([hashlib.sha256(decoder(x)).hexdigest() for x in parts], pa.string())}
+    return digest
+
+
+def token_digest(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 (little-endian unsigned 32-bit) and decoded_sha256."""
+    return _encoded(docs, ["doc_id"], path or public_tokenizers.path(VOCABULARY), _as_digest,
+                    "n_tokens bigint, ids_sha256 string, decoded_sha256 string")

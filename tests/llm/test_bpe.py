@@ -16,7 +16,7 @@ REFERENCE = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeabl
 def texts():
     rng = random.Random(3)
     out = [None, "", "a", " \n\n  x", "it's we'll 12,000 ﬁ", "ab" * 1500, " " * 700, "<|endoftext|>", "日本語テキスト🎉 é",
-           "x" + chr(0x558) * 5 + " " + chr(0x10D40) * 3, "".join(rng.choice("abcdefgh") for _ in range(2000)), "same", "same"]
+           "x" + chr(0x558) * 5 + " " + chr(0x10D40) * 3, "".join(rng.choice("abcdefgh") for _ in range(2000)), "same", "same", "don't I'll we're you've I'm he'd it's 'llama 's's ''s --'s 'S can'' '", "'", "'r", "x've", " 's", "a  b\n\n c\u3000d\t\u00a0e  ", " ", "  "]
     for _ in range(25):
         out.append("".join(chr(rng.choice([rng.randrange(32, 127), rng.randrange(0xA0, 0x3000), rng.randrange(0xE000, 0x20000)]))
                            if rng.random() < .6 else rng.choice(" \n\t'asd1") for _ in range(200)))
