@@ -86,6 +86,29 @@ def test_gradients_by_differences(monkeypatch):
         assert abs(slope - full[at]) < 1e-4 * max(1e-3, abs(slope)) + 1e-7, name
 
 
+class Wide:
+    vocab, n, mass = 4096, np.arange(9000, 4904, -1), np.arange(lm.SHAPES) + 5
+
+
+def test_words_up_to_rank_4096_are_learnt_by_themselves():
+    g, last = lm.Gru(Wide), 4095
+    assert np.unique(lm.class_of(np.arange(4096)), return_counts=True)[1].tolist() == [64] * 64
+    h = np.zeros((2, lm.HIDDEN), np.float32)
+    before, e = g.log_probs(h, np.array([last, last - 1])), g.e.copy()
+    for _ in range(20):
+        g.train(np.full((2, 9), last), h)
+    after = g.log_probs(h, np.array([last, last - 1]))
+    assert after[0] - before[0] > max(0, after[1] - before[1])
+    assert np.flatnonzero((g.e != e).any(axis=1)).tolist() == [last]
+
+
+def test_a_full_slice_gives_an_update_for_every_128_windows(monkeypatch):
+    sizes = []
+    monkeypatch.setattr(lm.Gru, "train", lambda self, x, h: (sizes.append(x.shape), h)[1])
+    lm.Gru(Tiny).fit(np.zeros(614_400, np.int64))
+    assert len(sizes) >= 150 and {b for b, _ in sizes} == {128}
+
+
 def test_state_is_carried_across_windows():
     g, rng = lm.Gru(Tiny), np.random.default_rng(4)
     g.c += rng.standard_normal(g.c.shape).astype(np.float32)
