@@ -201,19 +201,20 @@ class Gru:
         getattr(self, name)[rows] -= RATE * grad / np.sqrt(s[rows] + 1e-8)
 
     def train(self, x: np.ndarray, h: np.ndarray) -> np.ndarray:
-        """One update from a window of symbols (streams, steps + 1); the state behind it."""
+        """One update from a window of symbols (streams, steps + 1); the state behind it. Symbols of -1 fill a stream up: they are not learnt."""
         if self.squares is None:
             self.squares = {k: np.full_like(getattr(self, k), 1e-4) for k in self.NAMES}
         b, t, k = len(x), x.shape[1] - 1, HIDDEN
-        kept, states = [], []
+        kept, states, given = [], [], np.maximum(x[:, :-1], 0)
         for i in range(t):
             before = h
-            h, z, r, n, an = self.step(h, x[:, i])
+            h, z, r, n, an = self.step(h, given[:, i])
             kept.append((before, z, r, n, an))
             states.append(h)
         hs, y = np.concatenate(states), x[:, 1:].T.ravel()
         cls, scale = class_of(y), F32(1 / (STEPS * b))
         d = _softmax_less_one(hs @ self.c + self.cb, cls, scale)
+        d[y < 0] = 0  # their class is below all others, so they have no part in the loop either
         dh = d @ self.c.T
         grads = [("c", hs.T @ d, slice(None)), ("cb", d.sum(axis=0), slice(None))]
         order = np.argsort(cls, kind="stable")
@@ -235,7 +236,7 @@ class Gru:
             da = np.concatenate([dz, dr, dn * r], axis=1)
             du += before.T @ da
             carry = g * z + da @ self.u.T
-        xs, dg = x[:, :-1].T.ravel(), dg.reshape(t * b, 3 * k)
+        xs, dg = given.T.ravel(), dg.reshape(t * b, 3 * k)
         order = np.argsort(xs, kind="stable")
         rows, first = np.unique(xs[order], return_index=True)
         grads += [("u", du, slice(None)), ("e", np.add.reduceat(dg[order], first, axis=0), rows)]
@@ -244,15 +245,21 @@ class Gru:
         return h
 
     def fit(self, stream: np.ndarray) -> int:
-        """Train on a sequence of symbols, cut into parallel streams; the tokens used."""
-        b = max(1, min(STREAMS, len(stream) // (UPDATES * STEPS)))  # short sequences: fewer streams, not fewer updates
-        n = len(stream) // b
-        if n < 2:
+        """Train on all of a sequence of symbols that ends with the end token, cut into parallel streams; the tokens used.
+
+        Every symbol is learnt once: a stream starts behind the symbol before
+        it, the first one behind the end token, and the last is filled up.
+        """
+        size = len(stream)
+        if not size:
             return 0
-        x, h = stream[:b * n].reshape(b, n), np.zeros((b, HIDDEN), F32)
-        for at in range(0, n - 1, STEPS):
+        b = max(1, min(STREAMS, size // (UPDATES * STEPS)))  # short sequences: fewer streams, not fewer updates
+        n = -(-size // b)
+        whole = np.concatenate([stream[-1:], stream, np.full(b * n - size, -1)])
+        x, h = whole[np.arange(b)[:, None] * n + np.arange(n + 1)], np.zeros((b, HIDDEN), F32)
+        for at in range(0, n, STEPS):
             h = self.train(x[:, at:at + STEPS + 1], h)
-        return b * n
+        return size
 
     def score(self, seqs: list[np.ndarray], start: int, width: int = 128, group: int = 1024) -> np.ndarray:
         """Natural log-likelihood of each symbol sequence; the state goes through windows of `width` to the end."""

@@ -109,6 +109,34 @@ def test_a_full_slice_gives_an_update_for_every_128_windows(monkeypatch):
     assert len(sizes) >= 150 and {b for b, _ in sizes} == {128}
 
 
+def test_every_token_of_a_slice_is_learnt_once(monkeypatch):
+    for size in (1, 2, 33, 5_000, 204_800 + 127, 300_001):
+        seen = []
+        monkeypatch.setattr(lm.Gru, "train", lambda self, x, h: (seen.append(x[:, 1:]), h)[1])
+        stream = np.arange(size)
+        assert lm.Gru(Tiny).fit(stream) == size
+        learnt = np.concatenate([x.ravel() for x in seen])
+        assert np.array_equal(np.sort(learnt[learnt >= 0]), stream)
+
+
+def test_symbols_that_fill_up_give_no_gradient():
+    def gradients(x):
+        g = lm.Gru(Tiny)
+        rng, full = np.random.default_rng(6), {k: np.zeros(getattr(g, k).shape) for k in g.NAMES}
+        g.c, g.w = (g.c + rng.standard_normal(g.c.shape)).astype(np.float32), (g.w + rng.standard_normal(g.w.shape)).astype(np.float32)
+
+        def add(name, grad, rows=slice(None)):
+            full[name][rows] += grad * len(x)  # the loss is a mean over the streams
+        g._update = add
+        g.train(x, np.zeros((len(x), lm.HIDDEN), np.float32))
+        return full
+    x = np.random.default_rng(5).integers(0, 200, (2, 9))
+    padded = x.copy()
+    padded[1, 4:] = -1
+    got, one, two = gradients(padded), gradients(x[:1]), gradients(x[1:, :4])
+    assert all(np.allclose(got[k], one[k] + two[k], atol=1e-5) for k in got)
+
+
 def test_state_is_carried_across_windows():
     g, rng = lm.Gru(Tiny), np.random.default_rng(4)
     g.c += rng.standard_normal(g.c.shape).astype(np.float32)
