@@ -31,8 +31,8 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text; the ids decode to the text's bytes."""
-    return bpe.encode(docs, "doc_id", "lang", "source", "n_chars")
+    """Token ids of every text, and `decoded`, the bytes that the ids decode to: the text's."""
+    return bpe.encode_and_decode(docs, "doc_id", "lang", "source", "n_chars")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -409,6 +409,17 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     return encoded.mapInArrow(run, f"{types}, decoded binary")
 
 
+def _as_list_and_bytes(path: str) -> Callable:
+    """The ids, and the bytes that they decode to, in the task that has them."""
+    decoder, ids = Decoder(path), _as_list(path)
+    return lambda values, cuts: ids(values, cuts) | {"decoded": pa.array([decoder(values[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary())}
+
+
+def encode_and_decode(docs: DataFrame, *keep: str, path: str | None = None) -> DataFrame:
+    """`encode`, with `decoded` (binary) beside `ids`: what decoding the ids gives."""
+    return _encoded(docs, list(keep) or ["doc_id"], path or public_tokenizers.path(VOCABULARY), _as_list_and_bytes, "ids array<int>, decoded binary")
+
+
 def _as_digest(path: str) -> Callable:
     """Number and digest of the ids, and digest of what they decode to, in the task that has them."""
     decoder = Decoder(path)

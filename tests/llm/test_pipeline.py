@@ -1,9 +1,12 @@
 import importlib
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+
 from lakeshore.llm import decontam, secrets, toxicity
 
 from ..conftest import SF001
+from .helpers import documents
 from .test_bpe import REFERENCE
 from .test_simhash import brute_components, brute_fingerprint
 
@@ -38,6 +41,17 @@ def test_run_against_brute_force(spark):
     assert got == want
 
 
+def test_last_stage_decodes_its_ids_to_the_text(spark):
+    docs = corpus_pipeline.redact_secrets(spark, spark.read.parquet(f"{SF001}/documents.parquet"), SF001).unionByName(
+        documents(spark, [None, "", "Ünï  çødé \n\t 漢字 🙂", "x" * 1000 + "'ll 12"]).withColumn("doc_id", F.col("doc_id") - 10))
+    want = {r.doc_id: (r.text or "").encode() for r in docs.collect()}
+    got = corpus_pipeline.encode_texts(spark, docs, SF001)
+    assert got.columns == ["doc_id", "lang", "source", "n_chars", "ids", "decoded"]
+    rows = got.collect()
+    assert {r.doc_id: bytes(r.decoded) for r in rows} == want
+    assert all(REFERENCE.decode_bytes(list(r.ids)) == bytes(r.decoded) for r in rows)
+
+
 def test_empty_and_null_documents_pass_through(spark, scratch):
     for t in ("labels", "benchmark"):
         spark.read.parquet(f"{SF001}/{t}.parquet").write.parquet(f"{scratch}/{t}.parquet")
