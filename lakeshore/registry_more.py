@@ -91,8 +91,10 @@ REPORT_QUERIES = {
                          "trip_count DESC, year_month, pickup_location_id, dropoff_location_id"),
     "report_payment": ("payment_analysis", {"data_variant": "all", "month_basis": "source_month"}, None, (),
                        "data_variant = 'all' AND month_basis = 'source_month'", "year_month, payment_type"),
-    "report_vendor": ("vendor_analysis", {"data_variant": "all", "month_basis": "pickup_month", "vendor_id": 2}, None, (),
-                      "data_variant = 'all' AND month_basis = 'pickup_month' AND vendor_id = 2", "year_month, vendor_id"),
+    "report_vendor": ("vendor_analysis", {"data_variant": "all", "month_basis": "pickup_month", "vendor_id": None}, None, (),
+                      "data_variant = 'all' AND month_basis = 'pickup_month'", "year_month, vendor_id"),
+    "report_vendor_one": ("vendor_analysis", {"data_variant": "all", "month_basis": "pickup_month", "vendor_id": 2}, None, (),
+                          "data_variant = 'all' AND month_basis = 'pickup_month' AND vendor_id = 2", "year_month, vendor_id"),
     "report_quality": ("data_quality", {"month_basis": "overall", "metric_category": "silver_warning"}, None, (),
                        "month_basis = 'overall' AND metric_category = 'silver_warning'", "metric_name"),
     "report_quality_month": ("data_quality", {"month_basis": "pickup_month", "metric_category": "zero_filter_impact_month"}, None, (),

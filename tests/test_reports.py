@@ -29,6 +29,14 @@ def test_rows_come_in_order(spark, name):
     assert [r.row_no for r in rows] == list(range(1, len(rows) + 1))
 
 
+def test_vendor_report_has_all_vendors_and_one(spark):
+    vendors = gold.build(registry.silver_result(spark, SF001).silver, "vendor_monthly").filter(
+        "data_variant = 'all' AND month_basis = 'pickup_month'").select("year_month", "vendor_id").collect()
+    everything, one = (registry.all_queries()[n].build(spark, SF001).collect() for n in ("report_vendor", "report_vendor_one"))
+    assert {(r.year_month, r.vendor_id) for r in everything} == {tuple(r) for r in vendors} and len({r.vendor_id for r in everything}) > 1
+    assert [r[:-1] for r in one] == [r[:-1] for r in everything if r.vendor_id == 2] and one
+
+
 def test_order_of_nulls(spark):
     df = spark.createDataFrame([("overall", None, "a", "x"), ("overall", "2026-01", "a", "x"), (None, None, "a", "x")],
                                "month_basis string, source_month string, metric_category string, metric_name string")
