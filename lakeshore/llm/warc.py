@@ -1,7 +1,8 @@
 """Operator 2: legacy ARC archives to WARC.
 
 `write_arc` packs pages into ARC archives (URL-record header lines of version
-1 or 2, a declared length for each record). `convert` parses them by the rules
+1 or 2, a declared length for each record; if no version is asked for, the
+archives of a task take turns, and so do the first ones of neighbouring tasks). `convert` parses them by the rules
 of the version that the archive's first record states, and synthesises for
 each record a WARC one: a name-based identifier, an ISO timestamp from the
 14-digit one, the record type and SHA-1 digests. Of equal payloads the one
@@ -32,6 +33,7 @@ from typing import Iterator
 
 import pyarrow as pa
 import pyarrow.fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,6 +51,7 @@ ARC_FIELDS = {
     "1": "URL IP-address Archive-date Content-type Archive-length",
     "2": "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length",
 }
+VERSIONS = tuple(ARC_FIELDS)
 
 
 def digest32(data: bytes) -> str:
@@ -158,18 +161,19 @@ def parse_arc(path: str) -> Iterator[tuple[int, dict, bytes]]:
         yield offset, header, rest[:size]
 
 
-def write_arc(pages: DataFrame, version: str = "1") -> DataFrame:
-    """Write page_id, url, html as ARC archives; the manifest of the files."""
+def write_arc(pages: DataFrame, version: str | None = None) -> DataFrame:
+    """Write page_id, url, html as ARC archives of the version, or of either in turn; the manifest of the files."""
     folder = stage_dir(pages.sparkSession, "arc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, done = None, []
+        out, done, task = None, [], TaskContext.get().partitionId()
         for b in batches:
             for i in range(b.num_rows):
                 if out is None:
+                    kind = version or VERSIONS[(task + len(done)) % 2]
                     out = Archive(folder, ".arc.gz")
-                    out.add(arc_first(version, out.name), counted=False)
-                out.add(arc_record(version, out.name, out.offset, *(b.column(c)[i].as_py() for c in range(3))))
+                    out.add(arc_first(kind, out.name), counted=False)
+                out.add(arc_record(kind, out.name, out.offset, *(b.column(c)[i].as_py() for c in range(3))))
                 if out.full:
                     done.append(out.close())
                     out = None
@@ -304,6 +308,6 @@ def read_warc(manifest: DataFrame) -> DataFrame:
     return _spread(manifest).mapInArrow(run, "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, record_id string, url string")
 
 
-def archive_pages(pages: DataFrame, version: str = "1", least_bytes: int = 0) -> DataFrame:
+def archive_pages(pages: DataFrame, version: str | None = None, least_bytes: int = 0) -> DataFrame:
     """Pages through ARC and WARC archives, and back."""
     return read_warc(convert(write_arc(pages, version), least_bytes))

@@ -48,6 +48,16 @@ def test_many_records_roll_over_archives(spark, monkeypatch):
     assert all(g.refers_to == (g.page_id % 30 if g.page_id >= 30 else None) for g in got)
 
 
+def test_archives_of_both_versions_in_turn(spark, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE_RECORDS", 7)
+    rows = pages(spark, [(i, f"http://{i}", f"text {i % 30}") for i in range(100)]).repartition(3)
+    m = warc.write_arc(rows)
+    fields = [{len(header) for _, header, _ in warc.parse_arc(r.path)} for r in m.collect()]
+    assert sorted(set(map(tuple, fields))) == [(5,), (10,)]
+    got = warc.read_warc(warc.convert(m)).collect()
+    assert sorted((g.page_id, g.refers_to) for g in got) == [(i, i % 30 if i >= 30 else None) for i in range(100)]
+
+
 def test_header_rules():
     assert warc.iso_time("20260102030405") == "2026-01-02T03:04:05Z" and warc.iso_time("199912") == "1999-12-01T00:00:00Z"
     line = warc.arc_record("2", "n.arc.gz", 99, 5, "http://u", "hi").split(b"\n", 1)[0].split(b" ")
