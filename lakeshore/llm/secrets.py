@@ -7,8 +7,14 @@ programming over its positions picks the cheapest segmentation into common
 words, dates, repeats, sequences, keyboard walks and brute-force spans. Values
 that cost at least `MIN_LOG10_GUESSES` become spans of kind `guess`.
 
-Defined results: null text counts as empty; rows are independent, so repeated
-rows give repeated rows; values of any length are costed in linear time.
+Common words are a fixed list of password words and the input's own: words of
+letters, counted over all its documents outside of credential values and base
+spans (a secret cannot make itself common), that occur `SEEN` times at least;
+the `KEPT` most frequent ones, a bound on memory, ranked by count.
+
+Defined results: null text counts as empty; rows depend on each other by the
+common words only, repeated rows count and are scanned each; values of any
+length are costed in linear time.
 """
 
 from __future__ import annotations
@@ -16,14 +22,16 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from collections import Counter
 from functools import lru_cache
+from typing import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_text, pick
+from .common import frequent, map_text, pick
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -53,12 +61,25 @@ WORDS = (
     "january february march april june july august september october november december monday friday sunday "
     "london paris berlin madrid america england france germany spain blue red green black white silver gold"
 ).split()
-RANK = {w: i + 1 for i, w in enumerate(WORDS)}
-LONGEST_WORD = max(map(len, WORDS))
+#: The input's own words: at most so many, each seen so often at least.
+KEPT, SEEN = 1 << 16, 5
+WORD = re.compile(r"\b[^\W\d_]{3,24}\b")
 LEET = str.maketrans("@431!05$7", "aaeiiosst")
 ROWS = ("`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
 
 
+class Common:
+    """Ranks of common words: the fixed ones, and others in order of frequency, whichever is lower."""
+
+    def __init__(self, others: list[str] = ()):
+        self.rank = {w: i + 1 for i, w in enumerate(others)}
+        self.rank |= {w: min(i + 1, self.rank.get(w, i + 1)) for i, w in enumerate(WORDS)}
+        self.longest = max(map(len, self.rank))
+
+
+FIXED = Common()
+
+
 @lru_cache(maxsize=1)
 def _adjacent() -> frozenset:
     """Pairs of keys that touch on a keyboard whose rows are shifted by half a key."""
@@ -71,14 +92,14 @@ _DATE = re.compile(r"(?:19|20)\d\d(?:([-/.]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d
                    r"|(?:0[1-9]|[12]\d|3[01])([-/.]?)(?:0[1-9]|1[0-2])\2(?:19|20)\d\d")
 
 
-def _segments(v: str) -> list[tuple[int, int, float]]:
+def _segments(v: str, common: Common = FIXED) -> list[tuple[int, int, float]]:
     """(start, end, log10 guesses) of every word, date, repeat, sequence and keyboard walk in v."""
     low, out = v.lower(), []
     plain = low.translate(LEET)
     for i in range(len(v)):
-        for j in range(i + 3, min(len(v), i + LONGEST_WORD) + 1):
+        for j in range(i + 3, min(len(v), i + common.longest) + 1):
             for form, extra in ((low, 0.0), (plain, 0.6)):
-                if (rank := RANK.get(form[i:j])) is not None:
+                if (rank := common.rank.get(form[i:j])) is not None:
                     upper = sum(c.isupper() for c in v[i:j])
                     case = 0.0 if not upper else 0.3 if upper in (1, j - i) else math.log10(math.comb(j - i, upper) + 1)
                     out.append((i, j, math.log10(rank + 1) + case + extra))
@@ -115,13 +136,13 @@ def _char_cost(c: str) -> float:
     return math.log10(10 if "0" <= c <= "9" else 26 if c.isascii() and c.isalpha() else 33 if c.isascii() else 500)
 
 
-def log10_guesses(value: str) -> float:
+def log10_guesses(value: str, common: Common = FIXED) -> float:
     """log10 of the least guesses over all segmentations of value (0 for the empty one)."""
     n = len(value)
     if not n:
         return 0.0
     ends: dict[int, list[tuple[int, float]]] = {}
-    for i, j, cost in _segments(value):
+    for i, j, cost in _segments(value, common):
         ends.setdefault(j, []).append((i, cost))
     best, brute = [0.0] * (n + 1), math.inf  # best cost of a prefix; of one that ends inside a brute-force span
     for j in range(1, n + 1):
@@ -138,40 +159,65 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(out, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
-def guess_spans(text: str, least: float = MIN_LOG10_GUESSES) -> list[tuple[int, int, str]]:
+def guess_spans(text: str, least: float = MIN_LOG10_GUESSES, common: Common = FIXED) -> list[tuple[int, int, str]]:
     """Credential-context values whose guess cost reaches `least`; closing punctuation is not part of one."""
     out = []
     for m in CONTEXT.finditer(text):
         value = m[1].rstrip(".:!?)]}")
-        if value and log10_guesses(value) >= least:
+        if value and log10_guesses(value, common) >= least:
             out.append((m.start(1), m.start(1) + len(value), "guess"))
     return out
 
 
-def find_secrets(text: str | None) -> list[tuple[int, int, str]]:
+def find_secrets(text: str | None, common: Common = FIXED) -> list[tuple[int, int, str]]:
     """All spans of one text: the base ones and those that the guess-cost model adds."""
     if not text:
         return []
-    return sorted(base_spans(text) + guess_spans(text), key=lambda s: (s[0], KINDS.index(s[2])))
+    return sorted(base_spans(text) + guess_spans(text, common=common), key=lambda s: (s[0], KINDS.index(s[2])))
 
 
 def _may_have(texts: list) -> list[bool]:
     return pc.match_substring_regex(pa.array(texts, pa.string()), ANY).to_pylist()
 
 
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for lo in range(0, b.num_rows, 2048):
+            texts, c = b.column(0).slice(lo, 2048).to_pylist(), Counter()
+            for t, may in zip(texts, _may_have(texts)):
+                for pattern in (CONTEXT, ASSIGN, ACCESS, LONG_HEX) if may else ():
+                    t = pattern.sub(" ", t)
+                c.update(WORD.findall(t.lower()) if t else ())
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())], names=["word", "n"])
+
+
+def common_words(docs: DataFrame) -> Common:
+    """The fixed words and the most frequent ones of docs (text); at most KEPT come to the driver."""
+    counts = docs.select("text").mapInArrow(_count_words, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= SEEN)
+    rows = frequent(counts, KEPT, "secrets-words").toArrow().to_pylist()
+    return Common([r["word"] for r in sorted(rows, key=lambda r: (-r["n"], r["word"]))])
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id and the array `spans` of (start, end, kind), code points, end exclusive."""
+    rows = pick(docs, "doc_id", "text")
+    common = docs.sparkSession.sparkContext.broadcast(common_words(rows))
+
     def fn(texts: list) -> list:
-        return [[[{"start": a, "end": b, "kind": k} for a, b, k in find_secrets(t)] if may else []
+        return [[[{"start": a, "end": b, "kind": k} for a, b, k in find_secrets(t, common.value)] if may else []
                  for t, may in zip(texts, _may_have(texts))]]
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())]))
-    return map_text(pick(docs, "doc_id", "text"), fn, [("spans", "array<struct<start:bigint,end:bigint,kind:string>>", kind)])
+    return map_text(rows, fn, [("spans", "array<struct<start:bigint,end:bigint,kind:string>>", kind)])
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """docs, with every span's characters in text replaced by `mark` (overlapping spans by one) and n_chars set anew."""
+    cols = ["doc_id", "text", "lang", "source", "n_chars"]
+    rows = pick(docs, *cols)
+    common = docs.sparkSession.sparkContext.broadcast(common_words(rows))
+
     def hide(text: str | None) -> str | None:
-        spans = find_secrets(text)
+        spans = find_secrets(text, common.value)
         if not spans:
             return text
         out, done = [], 0
@@ -183,8 +229,7 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
 
     def fn(texts: list) -> list:
         return [[hide(t) if may else t for t, may in zip(texts, _may_have(texts))]]
-    cols = ["doc_id", "text", "lang", "source", "n_chars"]
-    hidden = map_text(pick(docs, *cols), fn, [("hidden", "string", pa.string())])
+    hidden = map_text(rows, fn, [("hidden", "string", pa.string())])
     return hidden.select("doc_id", F.col("hidden").alias("text"), "lang", "source",
                          F.when(F.col("hidden").isNull(), F.col("n_chars")).otherwise(F.length("hidden").cast("bigint")).alias("n_chars"))
 

@@ -57,6 +57,16 @@ def test_weak_values_cost_less_than_random_ones():
     assert [TEXTS[10][a:b] for a, b, _ in spans] == ["Tr0ub4dor&3xQ!z9"]
 
 
+def test_ordinary_words_of_the_input_are_no_secrets(spark):
+    texts = ["please continue with the original text"] * 6 + ["login: continue", "credentials: original, Login=OriginalContinue"]
+    texts += ["login: kqzvbnwtrpm"] * 6  # as frequent, but in credential values only
+    docs = documents(spark, texts)
+    got, hidden = by_id(S.secret_digest(docs)), by_id(S.redact(docs))
+    for i, t in enumerate(texts):
+        assert got[i].spans == ("guess:7:18" if "kq" in t else "")
+        assert hidden[i].text == ("login: [SECRET]" if "kq" in t else t)
+
+
 def test_redaction_hides_every_span(spark):
     got = by_id(S.redact(documents(spark, TEXTS)))
     assert got[0].text is None and got[2].text == TEXTS[2] and got[3].text == "[SECRET] x"
