@@ -39,7 +39,7 @@ from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import hash_sample, pick, staged
@@ -282,13 +282,16 @@ def hard_negatives(vectors: DataFrame, positives: int = POSITIVES, negatives: in
     pos = staged(ranked(near.unionByName(rest), positives).select(*who, F.col("vec_id").alias("positive_id"), F.col("score").alias("target")), "negatives-positives")
 
     targets = pos.where("target >= 0").groupBy(*who).agg(F.sort_array(F.collect_set("target")).alias("targets"))  # `positives` scores at most
-    bottom = F.ceil(F.array_min("targets") * F.lit(low) / 100.0 - 1e-6).cast("long")  # not above the lowest window's begin
-    start = asked.join(targets, who).withColumn("least", bottom)
+
+    def begin(score: str) -> Column:
+        """Least whole number of `low` percent of a score, which is not negative; without overflow."""
+        return F.expr(f"{low} * ({score} div 100) + ({low} * ({score} % 100) + 99) div 100")
+    start = asked.join(targets, who).withColumn("least", begin("array_min(targets)"))
     near = search(start, negatives, True, "negatives-near2")
     full = ranked(near, negatives).where(F.col("rank") == negatives).select(*who, "target", F.col("score").alias("kth"))
     # Each window asks for its last score so far or, if it is not full, for its own begin; an anchor for the least of these.
     needs = (start.select(*who, F.explode("targets").alias("target")).join(full, [*who, "target"], "left")
-             .groupBy(*who).agg(F.min(F.coalesce("kth", F.ceil(F.col("target") * F.lit(low) / 100.0 - 1e-6).cast("long"))).alias("least")))
+             .groupBy(*who).agg(F.min(F.coalesce(F.col("kth"), begin("target"))).alias("least")))
     rest = search(start.drop("least").join(needs, who), negatives, False, "negatives-rest2")
     neg = ranked(near.unionByName(rest), negatives).select(*who, "target", "rank", F.col("vec_id").alias("negative_id"), F.col("score").alias("negative_score"))
     return pos.join(neg, [*who, "target"]).select(
