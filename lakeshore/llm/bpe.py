@@ -60,7 +60,7 @@ def ranks(path: str) -> dict[bytes, int]:
 SPACE, LETTER, NUMBER, OTHER = range(4)
 #: The pattern that `split` carries out: contractions, then runs of one class with one space before, then white space.
 SPLIT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-_MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 @lru_cache(maxsize=1)
@@ -115,19 +115,25 @@ def split(cp: np.ndarray, first: np.ndarray, classes: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start)
 
 
-def word_hashes(cp: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> list[np.ndarray]:
-    """Two independent polynomial hashes modulo 2^64 of each word, by prefix sums."""
-    out = []
-    for m in _MIX:
-        x = (cp.astype(np.uint64) + np.uint64(1)) * m
-        x ^= x >> np.uint64(29)
-        odd = int(m) | 1
-        x *= np.cumprod(np.full(len(cp), odd, np.uint64))
-        sums = np.zeros(len(cp) + 1, np.uint64)
-        np.cumsum(x, out=sums[1:])
-        h = (sums[stops] - sums[starts]) * np.cumprod(np.full(len(cp) + 1, pow(odd, -1, 1 << 64), np.uint64))[starts]
-        out.append(h ^ (h >> np.uint64(32)) ^ (stops - starts).astype(np.uint64) * _MIX[1])
-    return out
+def word_hashes(cp: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """A polynomial hash modulo 2^64 of each word, by prefix sums. Words can share one (such as Thue-Morse words): where it is used, code points are compared."""
+    x = (cp.astype(np.uint64) + np.uint64(1)) * _MIX
+    x ^= x >> np.uint64(29)
+    odd = int(_MIX) | 1
+    x *= np.cumprod(np.full(len(cp), odd, np.uint64))
+    sums = np.zeros(len(cp) + 1, np.uint64)
+    np.cumsum(x, out=sums[1:])
+    h = (sums[stops] - sums[starts]) * np.cumprod(np.full(len(cp) + 1, pow(odd, -1, 1 << 64), np.uint64))[starts]
+    return h ^ (h >> np.uint64(32)) ^ (stops - starts).astype(np.uint64) * _MIX
+
+
+def same_words(cp: np.ndarray, starts: np.ndarray, sizes: np.ndarray, others: np.ndarray, other_starts: np.ndarray) -> np.ndarray:
+    """Whether the code points cp[starts:starts + sizes] of each word equal those of another one of that size."""
+    ends = np.cumsum(sizes)
+    place = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - sizes, sizes)
+    unlike = cp[np.repeat(starts, sizes) + place] != others[np.repeat(other_starts, sizes) + place]
+    count = np.concatenate([[0], np.cumsum(unlike)])
+    return count[ends] == count[ends - sizes]
 
 
 class Words:
@@ -143,12 +149,20 @@ class Words:
         starts = split(cp, first, classes)
         self.sizes = np.diff(np.searchsorted(starts, np.concatenate([[0], ends])))
         stops = np.concatenate([starts[1:], [len(cp)]]) if len(starts) else starts
+        sizes = stops - starts
         h = word_hashes(cp, starts, stops)
-        _, at, self.number, self.counts = np.unique(h[0], return_index=True, return_inverse=True, return_counts=True)
-        if len(starts) and (h[1] != h[1][at][self.number]).any():  # two words with one hash: tell them apart by both
-            _, at, self.number, self.counts = np.unique(np.stack(h, axis=1), axis=0, return_index=True, return_inverse=True, return_counts=True)
-            self.number = self.number.ravel()
-        self.h1, self.h2, self.starts, self.stops = h[0][at], h[1][at], starts[at], stops[at]
+        _, at, self.number, self.counts = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
+        twin = at[self.number]  # the first word with that hash
+        if len(starts) and ((sizes[twin] != sizes).any() or not same_words(cp, starts, sizes, cp, starts[twin]).all()):
+            known: dict[str, int] = {}  # different words share a hash: number them by themselves
+            first_at: list[int] = []
+            self.number = np.zeros(len(starts), np.int64)
+            for i, (a, b) in enumerate(zip(starts.tolist(), stops.tolist())):
+                self.number[i] = k = known.setdefault(self.whole[a:b], len(known))
+                if k == len(first_at):
+                    first_at.append(i)
+            at, self.counts = np.array(first_at), np.bincount(self.number)
+        self.cp, self.h, self.starts, self.stops = cp, h[at], starts[at], stops[at]
 
     def word(self, i: int) -> str:
         return self.whole[self.starts[i]:self.stops[i]]
@@ -172,9 +186,13 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 def fold_word(word: Column, maps: Column) -> Column:
     """Ids of a word (bytes as ISO-8859-1 characters): the lowest-ranked, leftmost pair merges first.
 
-    The state holds the pieces and the ranks of the adjacent pairs; a merge
-    ranks its two new pairs only.
+    The rank map stands in the plan once, by a name that all look-ups use.
     """
+    return _let(maps, lambda named: _fold(word, named))
+
+
+def _fold(word: Column, maps: Column) -> Column:
+    """The state holds the pieces and the ranks of the adjacent pairs; a merge ranks its two new pairs only."""
     def rank(token: Column) -> Column:
         return F.element_at(F.get(maps, (F.crc32(token.cast("binary")) % BUCKETS).cast("int")), token)
 
@@ -256,37 +274,34 @@ def _count_words(classes):
         for b in batches:
             for part in _parts(b, 2 * SPLIT_CHARS):
                 w = Words(part.column(0).to_pylist(), classes.value)
-                yield pa.RecordBatch.from_arrays([pa.array([w.word(i).encode("utf-8", "replace") for i in range(len(w.h1))], pa.binary()),
+                yield pa.RecordBatch.from_arrays([pa.array([w.word(i).encode("utf-8", "replace") for i in range(len(w.h))], pa.binary()),
                                                   pa.array(w.counts.astype(np.int64))], names=["word", "n"])
     return run
 
 
-def _hash_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words with their two hashes."""
-    for b in batches:
-        words = [w.decode() for w in b.column(0).to_pylist()]
-        stops = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
-        starts = np.concatenate([[0], stops[:-1]]) if len(stops) else stops
-        h = word_hashes(np.frombuffer("".join(words).encode("utf-32-le"), np.uint32), starts, stops)
-        yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x.view(np.int64)) for x in h)], names=["word", "h1", "h2"])
-
-
 class Cache:
-    """Ids of words known by two hashes, in order of the first: word i has values[starts[i]:starts[i] + sizes[i]]."""
-
-    def __init__(self, h1: np.ndarray, h2: np.ndarray, ids: pa.ListArray):
-        order = np.argsort(h1, kind="stable")
-        self.h1, self.h2 = h1[order], h2[order]
+    """Ids of words, in order of the words' hashes: word i has values[starts[i]:starts[i] + sizes[i]]."""
+
+    def __init__(self, words: list[str], ids: pa.ListArray):
+        length = np.fromiter(map(len, words), np.int64, len(words))
+        cp = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+        ends = np.cumsum(length)
+        h = word_hashes(cp, ends - length, ends)
+        order = np.argsort(h, kind="stable")
+        self.h, self.cp, self.length, self.at = h[order], cp, length[order], (ends - length)[order]
         sizes = np.diff(ids.offsets.to_numpy()).astype(np.int64)
         self.values = ragged(ids.values.to_numpy(zero_copy_only=False)[ids.offsets[0].as_py():], sizes, order).astype(np.int32)
         self.sizes = sizes[order]
 
-    def find(self, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
-        """Number of each word, -1 if it is not there."""
-        if not len(self.h1):
-            return np.full(len(h1), -1)
-        at = np.minimum(np.searchsorted(self.h1, h1), len(self.h1) - 1)
-        return np.where((self.h1[at] == h1) & (self.h2[at] == h2), at, -1)
+    def find(self, w: Words) -> np.ndarray:
+        """Number of each distinct word, -1 if it is not there: of words that share a hash only one is found."""
+        out = np.full(len(w.h), -1)
+        if len(self.h):
+            at = np.minimum(np.searchsorted(self.h, w.h), len(self.h) - 1)
+            hit = np.flatnonzero((self.h[at] == w.h) & (self.length[at] == w.stops - w.starts))
+            same = same_words(w.cp, w.starts[hit], self.length[at[hit]], self.cp, self.at[at[hit]])
+            out[hit[same]] = at[hit[same]]
+        return out
 
 
 def ragged(values: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -307,9 +322,9 @@ def _bundles(classes, cache, keep: list[str]):
                 sizes, codes = [], []
                 for some in _parts(part, SPLIT_CHARS):
                     w = Words(some.column(0).to_pylist(), classes.value)
-                    code = cached.find(w.h1, w.h2)
+                    code = cached.find(w)
                     for i in np.flatnonzero(code < 0).tolist():
-                        code[i] = len(cached.h1) + rare.setdefault(w.word(i), len(rare))
+                        code[i] = len(cached.h) + rare.setdefault(w.word(i), len(rare))
                     sizes.append(w.sizes.astype(np.int32))
                     codes.append(code[w.number].astype(np.int32))
                 kept = pa.StructArray.from_arrays([part.column(i) for i in range(1, part.num_columns)], names=keep)
@@ -355,11 +370,11 @@ def _encoded(docs: DataFrame, keep: list[str], path: str, finish: Callable, sche
     classes, maps = spark.sparkContext.broadcast(character_classes()), rank_map(ranks(path))
     counts = rows.select("text").mapInArrow(_count_words(classes), "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     top = frequent(counts.where(F.length("word") <= CACHE_BYTES), CACHE, "bpe-words")
-    # At most CACHE words' hashes and ids come back to the driver.
+    # At most CACHE words and their ids come back to the driver.
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    folded = (top.select("word").repartition(parts).mapInArrow(_hash_words, "word binary, h1 bigint, h2 bigint")
-              .select("h1", "h2", fold_word(F.decode("word", "ISO-8859-1"), maps).alias("ids")).toArrow())
-    cache = spark.sparkContext.broadcast(Cache(*(folded[c].to_numpy().view(np.uint64) for c in ("h1", "h2")), folded["ids"].combine_chunks()))
+    folded = top.select("word").repartition(parts).select("word", fold_word(F.decode("word", "ISO-8859-1"), maps).alias("ids")).toArrow()
+    cache = spark.sparkContext.broadcast(Cache([w.decode() for w in folded["word"].to_pylist()], folded["ids"].combine_chunks()))
+    del folded
     types = dict(rows.dtypes)
     kinds = ", ".join(f"{c}:{types[c]}" for c in keep)
     bundles = rows.mapInArrow(_bundles(classes, cache, keep), f"kept array<struct<{kinds}>>, sizes array<int>, codes array<int>, rare array<string>")

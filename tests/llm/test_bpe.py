@@ -33,6 +33,33 @@ def test_ids_and_decoding_match_the_library(spark):
         assert got[i].decoded_sha256 == hashlib.sha256((t or "").encode()).hexdigest()
 
 
+def thue_morse(n, a, b):
+    return "".join(b if bin(i).count("1") % 2 else a for i in range(n))
+
+
+def test_words_that_share_a_hash(spark, monkeypatch):
+    pair = [thue_morse(1024, "a", "b"), thue_morse(1024, "b", "a")]
+    cp = np.frombuffer("".join(pair).encode("utf-32-le"), np.uint32)
+    a, b = bpe.word_hashes(cp, np.array([0, 1024]), np.array([1024, 2048]))
+    assert a == b  # else this test needs another pair
+    rows = [*pair, " ".join(pair), pair[1] + " and " + pair[0], "plain words"]
+
+    def right():
+        got = by_id(bpe.token_digest(documents(spark, rows).repartition(2)))
+        for i, t in enumerate(rows):
+            assert got[i].ids_sha256 == hashlib.sha256(np.array(REFERENCE.encode_ordinary(t), "<u4").tobytes()).hexdigest()
+            assert got[i].decoded_sha256 == hashlib.sha256(t.encode()).hexdigest()
+    right()
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 4096)  # the pair among the words known beforehand
+    monkeypatch.setattr(bpe, "LONG", 64)
+    right()
+
+
+def test_the_rank_map_stands_in_a_plan_once(spark):
+    folded = spark.range(1).select(bpe.fold_word(bpe.F.lit("word"), bpe.rank_map(RANKS)).alias("ids"))
+    assert folded._jdf.queryExecution().analyzed().toString().count("from_json") == 1
+
+
 def test_heap_merges_like_the_fold():
     rng = random.Random(5)
     for n in (1, 2, 3, 50, 400):
