@@ -33,7 +33,9 @@ def test_held_out_accuracy(spark):
     held = [(r.toxic, got[r.doc_id]) for r in labels.collect() if crc32(str(r.doc_id).encode()) % 5 == 0]
     assert all(g.held_out and 0 <= g.score <= 1 and g.predicted == int(g.score >= 0.5) for _, g in held)
     assert np.mean([t == g.predicted for t, g in held]) > 0.9
-    # where English stems tell, they are learnt from a few hundred labels
+    toxic = [g.predicted for t, g in held if t == 1]
+    print(f"held-out recall {np.mean(toxic):.2f} of {len(toxic)}")
+    assert np.mean(toxic) >= 0.5  # learnt from about 40 toxic documents
     assert len(got) == docs.count()
 
 
@@ -52,8 +54,62 @@ def test_naming_a_group_counts_little(spark, monkeypatch):
 
 
 def test_counterfactuals_stay_in_the_family():
-    assert T.counterfactual("A Muslim and a gay man") == "a jewish and a lesbian mujeres" or "muslim" not in T.counterfactual("A Muslim and a gay man")
-    assert T.counterfactual("nothing here") is None
+    made = T.Swaps().counterfactuals("A Muslim and a gay man")
+    assert "a jewish and a gay man" in made and "a muslim and a lesbian man" in made and "a muslim and a gay woman" in made
+    words = {w for t in made for w in t.split()}
+    english = {w for f in T.FAMILIES[:9] for w in f}
+    assert words <= english | {"a", "and"} and len(made) == len(set(made)) == 7 + 7 + 3
+    assert T.Swaps().counterfactuals("nothing here") == []
+    # a word of two languages goes with the text's other terms
+    assert all("femmes" not in t and "women" not in t for t in T.Swaps().counterfactuals("negro y blanco"))
+
+
+def test_every_member_of_a_family_scores_alike(spark):
+    docs, labels, _ = made(spark)
+    m = T.train(docs, labels)
+    odds = lambda t: np.log(m.score(t) / (1 - m.score(t)))
+    for group in ("muslim", "jewish", "christian", "hindu", "women", "gay", "refugees", "disabled", "mujeres", "juif", "jüdisch"):
+        text = f"harbour river {group} window letter garden " * 3
+        assert m.score(text) < 0.5
+        assert abs(odds(text) - odds(text.replace(group, "stone"))) < 1.5
+
+
+def test_families_grow_by_shared_contexts(spark):
+    rows = [(f"the {w} people of the town {x}", i % 2, 1.0) for x in range(6) for w in ("muslim", "jewish", "yazidi", "tall") for i in range(2)]
+    rows += [(f"our {w} friends {x}", i % 2, 1.0) for x in range(6) for w in ("muslim", "yazidi") for i in range(2)]
+    rows += [("our rude friends and the rude people", 1, 1.0)] * 9  # in one label only
+    grown = T.grown_families(spark.createDataFrame(rows, "text string, toxic int, weight double"))
+    family = next(f for f in grown if "muslim" in f)
+    assert "yazidi" in family and "tall" not in family and "rude" not in family
+    assert sum(map(len, grown)) == sum(map(len, T.FAMILIES)) + 1
+
+
+def test_fit_is_the_least_of_its_objective():
+    """The fitted weights against plain dense arrays: no direction lowers the penalised loss."""
+    rng = np.random.default_rng(3)
+    n, d, k = 90, 7, 25
+    x = (rng.random((n, d)) < 0.4).astype(float)
+    y, weight = (rng.random(n) < 0.2 + 0.6 * x[:, 0]).astype(float), rng.uniform(0.5, 3, n)
+    a, b, share = (rng.random((k, d)) < 0.3).astype(float), (rng.random((k, d)) < 0.3).astype(float), rng.uniform(0.1, 1, k)
+
+    def held(m):
+        at = [np.flatnonzero(r) for r in m]
+        return T.Held(np.concatenate([[0], np.cumsum([len(i) for i in at])]), np.concatenate(at), m.shape[1])
+
+    def loss(w, bias):
+        z = x @ w + bias
+        return ((weight * (np.logaddexp(0, z) - y * z)).sum() + 0.5 * T.RIDGE * (w ** 2).sum() + 0.5e-6 * bias ** 2
+                + T.FAIRNESS * (share * ((a - b) @ w) ** 2).sum())
+    block = T.BLOCK
+    try:
+        T.BLOCK = 16
+        w, bias = T.fit(held(x), y, weight, held(a), held(b), share)
+    finally:
+        T.BLOCK = block
+    at = loss(w, bias)
+    for _ in range(200):
+        step = rng.standard_normal(d + 1) * 10.0 ** rng.uniform(-3, 0)
+        assert loss(w + step[:d], bias + step[d]) > at - 1e-7
 
 
 def test_nulls_long_texts_and_missing_labels(spark):
