@@ -120,23 +120,22 @@ def source_month_offset(pickup: Column, label: Column) -> Column:
     return (pickup_number - file_number).cast("int")
 
 
-def micros_between(start: Column, end: Column) -> Column:
-    """end - start in microseconds for zone-less timestamps.
+def interval_micros(iv: Column) -> Column:
+    """A day-time interval in microseconds.
 
-    TIMESTAMP_NTZ subtraction yields a day-time interval computed on the wall
+    TIMESTAMP_NTZ subtraction yields such an interval, computed on the wall
     clock alone; `timestamp_diff` would cast to the session time zone first,
     which skews trips that span a daylight-saving change in non-UTC sessions.
     """
-    iv = end - start
     return (F.extract(F.lit("DAY"), iv).cast("long") * 86_400_000_000
             + F.extract(F.lit("HOUR"), iv).cast("long") * 3_600_000_000
             + F.extract(F.lit("MINUTE"), iv).cast("long") * 60_000_000
             + (F.extract(F.lit("SECOND"), iv) * 1_000_000).cast("long"))
 
 
-def duration_minutes() -> Column:
-    us = micros_between(F.col("pickup_datetime"), F.col("dropoff_datetime"))
-    return us.cast("double") / F.lit(60_000_000.0)
+def duration_minutes(iv: Column) -> Column:
+    """Minutes of the interval between pickup and dropoff, which the caller names once as a column."""
+    return interval_micros(iv).cast("double") / F.lit(60_000_000.0)
 
 
 def avg_speed_mph(duration_min: Column) -> Column:

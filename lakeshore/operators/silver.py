@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from .. import spec
 from ..functions import rules
 from ..functions.common import count_true
+from ..session import compiled
 
 RULE_PREFIX = "_rule_"
 # Working columns of the validated frame, never part of Silver or quarantine.
@@ -32,6 +33,7 @@ def rename_columns(bronze: DataFrame) -> DataFrame:
 def flag_rules(bronze: DataFrame, min_pickup: str = spec.MIN_PICKUP,
                max_pickup: str = spec.MAX_PICKUP) -> DataFrame:
     """Renamed Bronze plus one boolean per rule, `_valid` and `_file_ok`."""
+    compiled(bronze.sparkSession)
     renamed = rename_columns(bronze)
     rule_cols = rules.rule_columns(renamed.schema, min_pickup, max_pickup)
     flagged = renamed.withColumns({RULE_PREFIX + k: v for k, v in rule_cols.items()})
@@ -51,15 +53,15 @@ def silver_rows(flagged: DataFrame, processed_at: Column | None = None) -> DataF
     """Clean rows with Silver's derived columns, in the Silver column order."""
     base_cols = [c for c in flagged.columns if not c.startswith(RULE_PREFIX) and c not in INTERNAL]
     clean = flagged.filter(F.col("_valid") & F.col("_file_ok"))
-    duration = rules.duration_minutes()
     selected = [rules.encode_flag().alias("store_and_fwd_flag") if c == "store_and_fwd_flag" else F.col(c)
                 for c in base_cols]
     out = clean.select(
         *selected,
         rules.source_month_offset(F.col("pickup_datetime"), F.col("_file_ym")).alias(spec.OFFSET_COLUMN),
         *[c.alias(name) for name, c in rules.warning_columns().items()],
-        duration.alias("trip_duration_min"),
+        (F.col("dropoff_datetime") - F.col("pickup_datetime")).alias("_interval"),
     )
+    out = out.withColumn("trip_duration_min", rules.duration_minutes(F.col("_interval"))).drop("_interval")
     out = out.withColumn("avg_speed_mph", rules.avg_speed_mph(F.col("trip_duration_min")))
     return out.withColumn(spec.PROCESSED_AT_COLUMN,
                           processed_at if processed_at is not None else F.current_timestamp())

@@ -20,6 +20,10 @@ BASE_CONF = {
     # many rows plan a distributed sort + limit instead (a user-supplied
     # report row_limit of 10^9 must not allocate a 10^9-slot queue).
     "spark.sql.execution.topKSortFallbackThreshold": "100000",
+    # The JVM interprets methods over 8,000 bytes of bytecode. A stage whose
+    # fused method would be longer (Silver's rules and derived columns) runs
+    # operator by operator instead, in methods that are compiled.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -40,6 +44,13 @@ def get_session(master: str | None = None, *, app: str = "lakeshore",
     return spark
 
 
+def compiled(spark: SparkSession) -> None:
+    """Hold a session that the caller made to the method size that the JVM compiles, unless it has a lower limit."""
+    key, limit = "spark.sql.codegen.hugeMethodLimit", BASE_CONF["spark.sql.codegen.hugeMethodLimit"]
+    if int(spark.conf.get(key, "65535")) > int(limit):
+        spark.conf.set(key, limit)
+
+
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared checkpoint folder named by the cluster (spark.checkpoint.dir).
 
