@@ -1,95 +1,93 @@
-"""Gold invariants as Spark jobs: each check returns (check, violations).
+"""Gold invariants as one Spark job: (check, violations), 0 where the invariant holds.
 
-0 violations means the invariant holds. Set comparisons use `exceptAll`
-both ways; totals are compared with a full outer join on the keys, so a key
-missing on either side counts as a violation.
+Each Gold table is read once and reduced to its facts: rows and trips by
+(variant, basis, month). A fact goes to every check that it bears on, as a
+value in one of the check's slots under a key; one aggregate by (check, key)
+sums the slots, and a condition of the check's kind tells a violated key:
+
+* `set`: a value is there (slot 0) but not expected (slot 1), or the reverse;
+* `has`: an expected value is not there;
+* `order`: all >= either single exclusion >= both exclusions;
+* `equal`: two tables' totals differ, or one has no such key.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import spec
 
-
-def _check(name: str, violations: DataFrame) -> DataFrame:
-    return violations.agg(F.count(F.lit(1)).alias("violations")).select(
-        F.lit(name).alias("check"), "violations")
-
-
-def set_difference(spark: SparkSession, df: DataFrame, column: str, expected: tuple[str, ...]) -> DataFrame:
-    """Rows of the symmetric difference between a column's distinct
-    non-null values and an expected (fixed, small) set."""
-    exp = spark.createDataFrame([(v,) for v in expected], f"{column} string")
-    got = df.select(F.col(column).cast("string").alias(column)).filter(F.col(column).isNotNull()).distinct()
-    return got.exceptAll(exp).unionByName(exp.exceptAll(got))
-
-
-def variant_completeness(spark: SparkSession, name: str, gold: DataFrame) -> DataFrame:
-    return _check(f"{name}:data_variant", set_difference(spark, gold, "data_variant", spec.DATA_VARIANTS))
+FACTS = ("table", "data_variant", "month_basis", "year_month")
 
 
-def basis_completeness(spark: SparkSession, name: str, gold: DataFrame) -> DataFrame:
-    return _check(f"{name}:month_basis", set_difference(spark, gold, "month_basis", spec.MONTH_BASES))
+def table_facts(name: str, gold: DataFrame) -> DataFrame:
+    """Trips of a Gold table by its dimensions (null where it lacks one)."""
+    keys = [F.col(c) if c in gold.columns else F.lit(None).cast("string").alias(c) for c in FACTS[1:]]
+    trips = F.sum("trip_count") if "trip_count" in gold.columns else F.lit(None).cast("bigint")
+    return gold.groupBy(*keys).agg(trips.cast("bigint").alias("trips")).select(F.lit(name).alias("table"), *FACTS[1:], "trips")
 
 
-def quality_bases(quality: DataFrame) -> DataFrame:
-    """The quality table must carry 'overall' and both month bases."""
-    wanted = (spec.OVERALL_BASIS,) + spec.MONTH_BASES
-    have = quality.select("month_basis").filter(F.col("month_basis").isin(*wanted)).distinct()
-    return have.agg((F.lit(len(wanted)) - F.count(F.lit(1))).alias("violations")).select(
-        F.lit("data_quality_summary:month_basis").alias("check"), F.col("violations").cast("bigint"))
+def _entry(check: Column | str, kind: str, key: Column, slot: int | Column, value: Column) -> Column:
+    return F.struct((F.lit(check) if isinstance(check, str) else check).alias("check"), F.lit(kind).alias("kind"), key.cast("string").alias("key"),
+                    (F.lit(slot) if isinstance(slot, int) else slot).cast("int").alias("slot"), value.cast("bigint").alias("value"))
 
 
-def variant_monotonic(monthly: DataFrame) -> DataFrame:
-    """all >= each single exclusion >= exclude_both, per basis and month."""
-    piv = (monthly.groupBy("month_basis", "year_month").pivot("data_variant", list(spec.DATA_VARIANTS))
-           .agg(F.sum("trip_count")))
-    a, d, z, b = (F.coalesce(F.col(v), F.lit(0)) for v in spec.DATA_VARIANTS)
-    bad = piv.filter(~((a >= d) & (a >= z) & (d >= b) & (z >= b)))
-    return _check("monthly_kpi:variant_monotonic", bad)
+def _named(*columns: str) -> Column:
+    """Several columns as one key; nulls keep apart from texts."""
+    return F.to_json(F.struct(*columns))
 
 
-def totals_mismatch(left: DataFrame, right: DataFrame, keys: list[str], measure: str = "trip_count") -> DataFrame:
-    lt = left.groupBy(*keys).agg(F.sum(measure).alias("_l"))
-    rt = right.groupBy(*keys).agg(F.sum(measure).alias("_r"))
-    joined = lt.join(rt, [lt[k].eqNullSafe(rt[k]) for k in keys], "full_outer")
-    return joined.filter(~F.col("_l").eqNullSafe(F.col("_r")))
-
-
-def daily_vs_monthly(daily: DataFrame, monthly: DataFrame) -> DataFrame:
-    pickup = monthly.filter(F.col("month_basis") == "pickup_month")
-    return _check("daily_vs_pickup_month_totals", totals_mismatch(daily, pickup, ["data_variant"]))
-
-
-def zones_vs_flow(pickup: DataFrame, dropoff: DataFrame, flow: DataFrame) -> DataFrame:
-    keys = ["data_variant", "month_basis", "year_month"]
-    return _check("pickup_zone_vs_flow_totals", totals_mismatch(pickup, flow, keys)).unionByName(
-        _check("dropoff_zone_vs_flow_totals", totals_mismatch(dropoff, flow, keys)))
+def _tables_of(tables: dict[str, DataFrame]) -> tuple[list[str], list[str], list[str]]:
+    """Tables whose variants are checked, tables whose bases are, and pairs of totals as check names."""
+    variants = [n for n in tables if n != "data_quality_summary"]
+    bases = [n for n in variants if "month_basis" in tables[n].columns]
+    pairs = []
+    if {"monthly_kpi", "daily_trip_summary"} <= tables.keys():
+        pairs.append("daily_vs_pickup_month_totals")
+    if {"pickup_zone_monthly", "dropoff_zone_monthly", "zone_flow_monthly"} <= tables.keys():
+        pairs += ["pickup_zone_vs_flow_totals", "dropoff_zone_vs_flow_totals"]
+    return variants, bases, pairs
 
 
 def gold_reconcile(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
-    """All Gold invariants over the given tables (name -> DataFrame)."""
-    parts = []
-    for name, df in tables.items():
-        if name == "data_quality_summary":
-            parts.append(quality_bases(df))
-            continue
-        parts.append(variant_completeness(spark, name, df))
-        if "month_basis" in df.columns:
-            parts.append(basis_completeness(spark, name, df))
+    """All Gold invariants over the given tables (name -> DataFrame), each read once."""
+    variants, bases, pairs = _tables_of(tables)
+    facts = reduce(DataFrame.unionByName, [table_facts(n, df) for n, df in tables.items()])
+    t, one, trips = F.col("table"), F.lit(1), F.col("trips")
+    total_key = _named("data_variant", "month_basis", "year_month")
+    entries = [
+        (t.isin(variants) & F.col("data_variant").isNotNull(), _entry(F.concat(t, F.lit(":data_variant")), "set", F.col("data_variant"), 0, one)),
+        (t.isin(bases) & F.col("month_basis").isNotNull(), _entry(F.concat(t, F.lit(":month_basis")), "set", F.col("month_basis"), 0, one)),
+        ((t == "data_quality_summary") & F.col("month_basis").isNotNull(), _entry("data_quality_summary:month_basis", "has", F.col("month_basis"), 0, one)),
+    ]
     if "monthly_kpi" in tables:
-        parts.append(variant_monotonic(tables["monthly_kpi"]))
-        if "daily_trip_summary" in tables:
-            parts.append(daily_vs_monthly(tables["daily_trip_summary"], tables["monthly_kpi"]))
-    if {"pickup_zone_monthly", "dropoff_zone_monthly", "zone_flow_monthly"} <= tables.keys():
-        parts.append(zones_vs_flow(tables["pickup_zone_monthly"], tables["dropoff_zone_monthly"],
-                                   tables["zone_flow_monthly"]))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        place = F.array_position(F.array(*map(F.lit, spec.DATA_VARIANTS)), F.col("data_variant")) - 1
+        entries.append(((t == "monthly_kpi"), _entry("monthly_kpi:variant_monotonic", "order", _named("month_basis", "year_month"), place, trips)))
+    sides = {"daily_vs_pickup_month_totals": (t == "daily_trip_summary", (t == "monthly_kpi") & (F.col("month_basis") == "pickup_month"), F.col("data_variant")),
+             "pickup_zone_vs_flow_totals": (t == "pickup_zone_monthly", t == "zone_flow_monthly", total_key),
+             "dropoff_zone_vs_flow_totals": (t == "dropoff_zone_monthly", t == "zone_flow_monthly", total_key)}
+    for check in pairs:
+        left, right, key = sides[check]
+        entries += [(left, _entry(check, "equal", key, 0, trips)), (right, _entry(check, "equal", key, 1, trips))]
+    found = facts.select(F.explode(F.filter(F.array(*[F.when(cond, e) for cond, e in entries]), lambda e: e.isNotNull())).alias("e")).select("e.*")
+
+    expected = [(f"{n}:data_variant", "set", v) for n in variants for v in spec.DATA_VARIANTS]
+    expected += [(f"{n}:month_basis", "set", v) for n in bases for v in spec.MONTH_BASES]
+    if "data_quality_summary" in tables:
+        expected += [("data_quality_summary:month_basis", "has", v) for v in (spec.OVERALL_BASIS, *spec.MONTH_BASES)]
+    expected += [(c, "none", None) for c in (["monthly_kpi:variant_monotonic"] if "monthly_kpi" in tables else []) + pairs]  # a row also without keys
+    known = spark.createDataFrame(expected, "check string, kind string, key string").select("*", F.lit(1).alias("slot"), F.lit(1).cast("bigint").alias("value"))
+
+    slots = found.unionByName(known).groupBy("check", "kind", "key").agg(
+        *[F.sum(F.when(F.col("slot") == i, F.col("value"))).alias(f"s{i}") for i in range(4)])
+    a, d, z, b = (F.coalesce(F.col(f"s{i}"), F.lit(0)) for i in range(4))
+    kind = F.col("kind")
+    bad = (F.when(kind == "set", F.col("s0").isNull() != F.col("s1").isNull()).when(kind == "has", F.col("s0").isNull())
+           .when(kind == "order", ~((a >= d) & (a >= z) & (d >= b) & (z >= b))).when(kind == "equal", ~F.col("s0").eqNullSafe(F.col("s1"))).otherwise(False))
+    return slots.groupBy("check").agg(F.count_if(bad).alias("violations"))
 
 
 def dq_inventory(quality: DataFrame) -> DataFrame:

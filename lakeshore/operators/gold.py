@@ -323,11 +323,11 @@ def _shared_measures() -> list:
     return out
 
 
-def shared_preaggregate(silver: DataFrame) -> DataFrame:
+def shared_preaggregate(silver: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
     """Silver reduced at (payment, vendor, pickup zone, dropoff zone, month
-    keys, zero flags) with every atom the monthly tables need."""
+    keys, zero flags, the columns `more`) with every atom the monthly tables need."""
     src = prepare(silver, "monthly_kpi")
-    return preaggregate(src, SHARED_KEYS, _shared_measures(), monthly=True)
+    return preaggregate(src, (*SHARED_KEYS, *more), _shared_measures(), monthly=True)
 
 
 def build_from_shared(shared: DataFrame, table: str) -> DataFrame:
@@ -402,10 +402,10 @@ def null_profile_finish(pre: DataFrame) -> DataFrame:
 # Gold step scans Silver once for the two of them.
 # ---------------------------------------------------------------------------
 
-def daily_preaggregate(silver: DataFrame) -> DataFrame:
+def daily_preaggregate(silver: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
     src = prepare(silver, "daily_trip_summary")
     sums, counts = _atoms(DAILY_MEASURES)
-    return src.groupBy(F.col("trip_date"), F.col("payment_type"), *_flag_keys()).agg(
+    return src.groupBy(F.col("trip_date"), F.col("payment_type"), *more, *_flag_keys()).agg(
         F.count(F.lit(1)).alias("_n"),
         *[F.sum(c).alias(f"_s_{c}") for c in sums],
         *[F.count(c).alias(f"_c_{c}") for c in counts],

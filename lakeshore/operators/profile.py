@@ -7,9 +7,10 @@ column names, Silver/quarantine functions the renamed ones.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ByteType, DecimalType, DoubleType, FloatType, IntegerType, LongType,
                                ShortType)
@@ -19,6 +20,7 @@ from ..functions import rules
 from ..functions.common import count_true
 
 NUMERIC_TYPES = (ByteType, ShortType, IntegerType, LongType, FloatType, DoubleType, DecimalType)
+DERIVED_COLUMNS = (spec.OFFSET_COLUMN, *spec.WARNING_FLAGS, "trip_duration_min", "avg_speed_mph", "pickup_month")
 RUN_STAMP_COLUMNS = (spec.INGESTED_AT_COLUMN, spec.PROCESSED_AT_COLUMN, spec.REJECTED_AT_COLUMN)
 
 
@@ -65,13 +67,83 @@ def negative_rows(df: DataFrame) -> DataFrame:
         "negative_row_count", _share(F.col("negative_row_count"), F.col("_rows")).alias("negative_percentage"))
 
 
+#: Buckets of a histogram pass, and passes: a last bucket holds 1/BUCKETS^PASSES of a column's range.
+BUCKETS, PASSES = 1024, 2
+QUARTILES = (0.25, 0.5, 0.75)
+
+
 def numeric_summary(df: DataFrame) -> DataFrame:
-    """count/mean/stddev/min/quartiles/max per numeric column.
+    """count, mean, stddev, min, exact quartiles (p25, p50, p75) and max of each numeric column, one row a column.
 
-    Quartiles come from Spark's bounded-memory approximate percentile sketch
-    (as `DataFrame.summary` does), so they are not exact order statistics.
+    Quartiles interpolate linearly between order statistics, which are found by
+    selection, without sorting: one aggregate for counts and ranges, PASSES
+    histograms of all columns at once, each of the buckets that hold a wanted
+    rank of the one before, and a last pass over the rows of the last buckets,
+    which counts their values. Missing values (NULL, NaN) do not count.
     """
-    return df.select(*numeric_columns(df)).summary()
+    cols = numeric_columns(df)
+    value = lambda c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+    finite = lambda c: F.when(F.abs(value(c)) < float("inf"), value(c))
+    stats = df.agg(F.array(*[F.struct(
+        F.lit(c).alias("column"), F.count(value(c)).alias("count"), F.avg(value(c)).alias("mean"), F.stddev(value(c)).alias("stddev"),
+        F.min(value(c)).alias("min"), F.max(value(c)).alias("max"), F.min(finite(c)).alias("low"), F.max(finite(c)).alias("high")) for c in cols]).alias("a"))
+    stats = {r["column"]: r for r in stats.select(F.inline("a")).collect()}  # one row a column
+    spark = df.sparkSession
+
+    # ranks (from 0) of the order statistics that a column's quartiles lie between
+    ranks = {c: sorted({f(q * (s["count"] - 1)) for q in QUARTILES for f in (math.floor, math.ceil)}) for c, s in stats.items() if s["count"]}
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), value(c).alias("x")) for i, c in enumerate(cols)])
+    rows = df.select(F.explode(pairs).alias("p")).where(F.col("p.x").isNotNull()).select("p.i", "p.x")
+    low = _literal([stats[c].low for c in cols])
+    width = _literal([None if stats[c].low is None else (stats[c].high - stats[c].low) or 1.0 for c in cols])
+    # Position within the range, from 0 to 1; infinite values lie before and behind. Each step keeps the order of the values.
+    place = (F.when(F.col("x") == float("inf"), F.lit(2.0)).when(F.col("x") == float("-inf"), F.lit(-1.0))
+             .otherwise((F.col("x") - F.get(low, F.col("i"))) / F.get(width, F.col("i"))))
+    rows = rows.withColumn("b", F.floor(place * float(BUCKETS ** PASSES)))  # the number of its last bucket
+    prefix = {(i, None): (0, list(ranks.get(c, []))) for i, c in enumerate(cols) if c in ranks}
+    for step in range(PASSES):
+        # prefix: (column, bucket of the pass before) -> (rows before it, ranks that lie in it)
+        size = BUCKETS ** (PASSES - 1 - step)
+        outer = F.floor(F.col("b") / (size * BUCKETS))
+        wanted = None if step == 0 else [(i, p) for i, p in prefix]
+        part = rows
+        if wanted is not None:  # six buckets a column at most
+            part = rows.withColumn("o", outer).join(F.broadcast(spark.createDataFrame(wanted or [], "i int, o long")), ["i", "o"], "left_semi")
+        counts = part.groupBy("i", F.floor(F.col("b") / size).alias("k")).count().collect()  # BUCKETS rows a wanted bucket at most
+        held: dict = {}
+        for r in sorted(counts):
+            held.setdefault((r.i, None if step == 0 else r.k // BUCKETS), []).append((r.k, r["count"]))
+        following = {}
+        for key, (before, want) in prefix.items():
+            for k, n in held[key]:
+                inside = [x for x in want if before <= x < before + n]
+                if inside:
+                    following[key[0], k] = (before, inside)
+                before += n
+        prefix = following
+    start = spark.createDataFrame([(i, k, before, want) for (i, k), (before, want) in prefix.items()], "i int, b long, before long, want array<long>")
+    values = rows.join(F.broadcast(start), ["i", "b"]).groupBy("i", "b", "before", "want", "x").count()  # a few buckets a column
+    order = Window.partitionBy("i", "b").orderBy("x")
+    upto = F.col("before") + F.sum("count").over(order)
+    found = (values.select("i", "x", "want", upto.alias("upto"), F.col("count")).where(F.exists("want", lambda w: (w >= F.col("upto") - F.col("count")) & (w < F.col("upto"))))
+             .select("i", F.col("x"), F.explode(F.filter("want", lambda w: (w >= F.col("upto") - F.col("count")) & (w < F.col("upto")))).alias("rank")))
+    at = {(r.i, r["rank"]): r.x for r in found.collect()}  # six a column at most
+    out = []
+    for i, c in enumerate(cols):
+        s, cut = stats[c], []
+        for q in QUARTILES:
+            if not s["count"]:
+                cut.append(None)
+                continue
+            place = q * (s["count"] - 1)
+            a, b = at[i, math.floor(place)], at[i, math.ceil(place)]
+            cut.append(a if a == b else a + (b - a) * (place - math.floor(place)))
+        out.append((c, s["count"], s["mean"], s["stddev"], s["min"], *cut, s["max"]))
+    return spark.createDataFrame(out, "column string, count long, mean double, stddev double, min double, p25 double, p50 double, p75 double, max double")
+
+
+def _literal(values: list) -> Column:
+    return F.array(*[F.lit(v) for v in values])
 
 
 def frequency(df: DataFrame, column: str, nulls_first: bool = True) -> DataFrame:
@@ -147,6 +219,7 @@ def misdated(bronze: DataFrame, first_day: str = "2026-01-01", end_day: str = "2
 
 
 def anomaly_crosstab(bronze: DataFrame) -> DataFrame:
+    # The output names.
     fare, dist, total, pax = (F.col("fare_amount"), F.col("trip_distance"), F.col("total_amount"),
                               F.col("passenger_count"))
     return bronze.agg(
@@ -200,7 +273,8 @@ def bronze_duplicates(bronze: DataFrame) -> DataFrame:
 
 
 def silver_duplicates(silver: DataFrame) -> DataFrame:
-    return duplicate_summary(silver, exclude=(spec.INGESTED_AT_COLUMN, spec.PROCESSED_AT_COLUMN))
+    """Duplicates by the source columns: the derived ones are functions of those (`silver_revalidation` checks that)."""
+    return duplicate_summary(silver, exclude=(*RUN_STAMP_COLUMNS, *DERIVED_COLUMNS))
 
 
 def silver_revalidation(silver: DataFrame, min_pickup: str = spec.MIN_PICKUP,
@@ -257,10 +331,13 @@ def month_by_file(silver: DataFrame) -> DataFrame:
 
 
 def partition_inventory(silver_table: DataFrame) -> DataFrame:
-    """Per pickup-month partition: rows and data files (A17)."""
-    return silver_table.groupBy("pickup_month").agg(
-        F.count(F.lit(1)).alias("record_count"),
-        F.count_distinct(F.col("_metadata.file_path")).alias("file_count"))
+    """Per pickup-month partition: rows and data files (A17).
+
+    Reads no column: rows come from the files' footers, the month from their
+    paths. Rows are counted by file first, so each task sends a row a file.
+    """
+    files = silver_table.groupBy("pickup_month", F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("n"))
+    return files.groupBy("pickup_month").agg(F.sum("n").alias("record_count"), F.count(F.lit(1)).alias("file_count"))
 
 
 def rejection_combos(quarantine: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .. import spec
 from ..functions.common import count_true, percent_of, source_month_label
@@ -114,10 +115,9 @@ def scope_totals(prof: DataFrame) -> DataFrame:
     return _with_remaining(fanned.groupBy("s.kind", "s.file", "s.month", "s.offset").agg(*_zero_sums(F.col("zd"), F.col("zdist"))))
 
 
-def quarantine_profile(quarantine: DataFrame) -> DataFrame:
-    """One row: rejected rows, the 5 reason counts and 4 detail counts."""
-    q = quarantine
-    return q.agg(
+def quarantine_profile(quarantine: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Rejected rows, the 5 reason counts and 4 detail counts: one row (or one for each value of `by`)."""
+    return quarantine.groupBy(*by).agg(
         F.count(F.lit(1)).alias("rejected"),
         *[count_true(F.col(flag)).alias(flag) for flag in spec.REJECTION_FLAGS],
         count_true(F.col("trip_distance") < 0.0).alias("negative_trip_distance"),
@@ -127,6 +127,12 @@ def quarantine_profile(quarantine: DataFrame) -> DataFrame:
     )
 
 
+def quarantine_profile_schema() -> StructType:
+    """Counts of a `quarantine_profile` row."""
+    names = ("rejected", *spec.REJECTION_FLAGS, "negative_trip_distance", "negative_fare_amount", "negative_total_amount", "dropoff_before_pickup")
+    return StructType([StructField(n, LongType()) for n in names])
+
+
 def data_quality_summary(silver: DataFrame, quarantine: DataFrame, bronze_rows: DataFrame,
                          transform_log: DataFrame, *, with_run_columns: bool = True) -> DataFrame:
     """All metric families of the quality table.
@@ -135,8 +141,15 @@ def data_quality_summary(silver: DataFrame, quarantine: DataFrame, bronze_rows:
     holds successful Silver runs (source_file, rows_read, rows_rejected,
     rows_written).
     """
-    totals = scope_totals(silver_profile(silver)).withColumn("scope_rows", F.sum("rows").over(Window.partitionBy("kind", "file")))
-    qp = quarantine_profile(quarantine)
+    return summary_of_profiles(silver_profile(silver), quarantine_profile(quarantine), bronze_rows, transform_log, with_run_columns=with_run_columns)
+
+
+def summary_of_profiles(profile: DataFrame, rejected_profile: DataFrame, bronze_rows: DataFrame,
+                        transform_log: DataFrame, *, with_run_columns: bool = True) -> DataFrame:
+    """The quality table from (stored) rows of `silver_profile` and `quarantine_profile`, which may be several a scope."""
+    totals = scope_totals(profile).withColumn("scope_rows", F.sum("rows").over(Window.partitionBy("kind", "file")))
+    counts = [f.name for f in quarantine_profile_schema()]
+    qp = rejected_profile.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in counts])
 
     # Metrics of the zero filters, for all rows and for each month of either basis.
     monthly = {"basis": F.col("kind"), "source_month": F.col("month")}
@@ -158,7 +171,7 @@ def data_quality_summary(silver: DataFrame, quarantine: DataFrame, bronze_rows:
     # bronze and rejected counts enter as scalar subqueries (no joins).
     totals = totals.withColumns({
         "bronze_rows": bronze_rows.select(F.col("bronze_rows").cast("bigint")).scalar(),
-        "rows_rejected_unique": quarantine.agg(F.count(F.lit(1))).scalar()})
+        "rows_rejected_unique": qp.select("rejected").scalar()})
     accounted = F.col("rows") + F.col("rows_rejected_unique")
     pipeline = [_metric("bronze_rows", F.col("bronze_rows"), F.lit(100.0), "pipeline", "bronze_rows")] + [
         _metric(n, c, percent_of(c, F.col("bronze_rows")), "pipeline", "bronze_rows")

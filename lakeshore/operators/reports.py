@@ -69,13 +69,6 @@ def numbered(df: DataFrame, keys: list[Column]) -> DataFrame:
 # Dashboard data operators.
 # ---------------------------------------------------------------------------
 
-def filter_variant_and_basis(df: DataFrame, data_variant: str, month_basis: str | None = None) -> DataFrame:
-    out = df.filter(F.col("data_variant") == data_variant)
-    if month_basis is not None and "month_basis" in df.columns:
-        out = out.filter(F.col("month_basis") == month_basis)
-    return out
-
-
 def filter_months(df: DataFrame, months: Iterable[str] | None, column: str = "year_month") -> DataFrame:
     """Keep rows in the chosen months; an empty choice means no filter."""
     months = list(months or [])
@@ -163,13 +156,14 @@ def pipeline_funnel(quality: DataFrame) -> DataFrame:
     pipe = quality.filter((F.col("month_basis") == "overall") & (F.col("metric_category") == "pipeline")
                           & F.col("metric_name").isin(*FUNNEL_ORDER) & F.col("metric_value").isNotNull())
     pipe = pipe.withColumn("step", F.array_position(order, F.col("metric_name")).cast("int"))
-    # First row per name (deterministically the smallest value), then the
-    # first step's value as a scalar subquery over at most three rows.
+    # First row per name (deterministically the smallest value); the first step's value is
+    # that of the first of at most three rows, by a window over them: one plan of the table.
     first = pipe.groupBy("metric_name", "step").agg(F.min("metric_value").alias("metric_value"))
-    initial = first.orderBy("step").limit(1).select("metric_value").scalar()
+    initial = F.first("metric_value").over(Window.orderBy("step").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    first = first.withColumn("initial", initial)
     return first.select(
         "step", "metric_name", "metric_value",
-        F.when(initial != 0, F.col("metric_value") / initial * 100.0).alias("percent_initial"),
+        F.when(F.col("initial") != 0, F.col("metric_value") / F.col("initial") * 100.0).alias("percent_initial"),
     )
 
 
@@ -177,15 +171,10 @@ def distinct_sorted(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).filter(F.col(column).isNotNull()).distinct().orderBy(column)
 
 
-def dimension_values(frames: dict[str, tuple[DataFrame, str]]) -> DataFrame:
-    """Distinct non-null values of several dimensions as (dimension, value)."""
-    parts = [df.select(F.lit(name).alias("dimension"), F.col(col).cast("string").alias("value"))
-             .filter(F.col("value").isNotNull()).distinct()
-             for name, (df, col) in frames.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def dimension_values(df: DataFrame, dimensions: dict[str, str]) -> DataFrame:
+    """Distinct non-null values of several columns (dimension name -> column) as (dimension, value), in one scan."""
+    pairs = F.array(*[F.struct(F.lit(n).alias("dimension"), F.col(c).cast("string").alias("value")) for n, c in dimensions.items()])
+    return df.select(F.explode(pairs).alias("p")).select("p.*").filter(F.col("value").isNotNull()).distinct()
 
 
 QUALITY_ORDER = ("month_basis", "source_month", "metric_category", "metric_name")

@@ -2,7 +2,8 @@
 
 One lazy plan: the five rules are computed once in a single projection
 (`flag_rules`), then two filters over that plan give the clean and the
-rejected rows. Rows of files whose name carries no valid month cannot be
+rejected rows. The file pipeline writes both in one job, by outcome
+(`outcome_rows`), and counts them on the way (`outcome_metrics`). Rows of files whose name carries no valid month cannot be
 processed at all; they are split off as failed files (the per-file failure
 isolation of the original, without failing the whole job).
 """
@@ -23,6 +24,9 @@ from ..session import compiled
 RULE_PREFIX = "_rule_"
 # Working columns of the validated frame, never part of Silver or quarantine.
 INTERNAL = ("_valid", "_file_ok", "_file_ym")
+# How the outcome write tells clean rows from rejected ones, and where it keeps a rejected row's flag as it came.
+OUTCOME, CLEAN, REJECTED = "_outcome", "clean", "rejected"
+FLAG_TEXT = "_bronze_store_and_fwd_flag"
 
 
 def rename_columns(bronze: DataFrame) -> DataFrame:
@@ -49,27 +53,35 @@ def _rule_names() -> list[str]:
     return ["timestamp_order", "pickup_range", "distance", "amounts", "passengers"]
 
 
-def silver_rows(flagged: DataFrame, processed_at: Column | None = None) -> DataFrame:
-    """Clean rows with Silver's derived columns, in the Silver column order."""
-    base_cols = [c for c in flagged.columns if not c.startswith(RULE_PREFIX) and c not in INTERNAL]
-    clean = flagged.filter(F.col("_valid") & F.col("_file_ok"))
+def _base_columns(flagged: DataFrame) -> list[str]:
+    return [c for c in flagged.columns if not c.startswith(RULE_PREFIX) and c not in INTERNAL]
+
+
+def _derive(rows: DataFrame, processed_at: Column, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Silver's columns in their order (and those of `keep`) for every given row, clean or not."""
     selected = [rules.encode_flag().alias("store_and_fwd_flag") if c == "store_and_fwd_flag" else F.col(c)
-                for c in base_cols]
-    out = clean.select(
+                for c in _base_columns(rows)]
+    out = rows.select(
         *selected,
         rules.source_month_offset(F.col("pickup_datetime"), F.col("_file_ym")).alias(spec.OFFSET_COLUMN),
         *[c.alias(name) for name, c in rules.warning_columns().items()],
         (F.col("dropoff_datetime") - F.col("pickup_datetime")).alias("_interval"),
+        *[F.col(c) if c != "store_and_fwd_flag" else F.col(c).alias(FLAG_TEXT) for c in keep],
     )
     out = out.withColumn("trip_duration_min", rules.duration_minutes(F.col("_interval"))).drop("_interval")
     out = out.withColumn("avg_speed_mph", rules.avg_speed_mph(F.col("trip_duration_min")))
-    return out.withColumn(spec.PROCESSED_AT_COLUMN,
-                          processed_at if processed_at is not None else F.current_timestamp())
+    return out.withColumn(spec.PROCESSED_AT_COLUMN, processed_at)
+
+
+def silver_rows(flagged: DataFrame, processed_at: Column | None = None) -> DataFrame:
+    """Clean rows with Silver's derived columns, in the Silver column order."""
+    clean = flagged.filter(F.col("_valid") & F.col("_file_ok"))
+    return _derive(clean, processed_at if processed_at is not None else F.current_timestamp())
 
 
 def quarantine_rows(flagged: DataFrame, rejected_at: Column | None = None) -> DataFrame:
     """Rejected rows: renamed Bronze (flag still text) + 5 reason flags + stamp."""
-    base_cols = [c for c in flagged.columns if not c.startswith(RULE_PREFIX) and c not in INTERNAL]
+    base_cols = _base_columns(flagged)
     rejected = flagged.filter(~F.col("_valid") & F.col("_file_ok"))
     reasons = [(~F.col(RULE_PREFIX + rule)).alias(flag) for flag, rule in spec.REJECTION_FLAGS.items()]
     return rejected.select(
@@ -105,44 +117,51 @@ def rule_breakdown(flagged: DataFrame) -> DataFrame:
     )
 
 
-def breakdown_from_outputs(silver_df: DataFrame, quarantine_df: DataFrame) -> DataFrame:
-    """The per-file breakdown of `rule_breakdown`, read back from the written
-    Silver and quarantine rows instead of re-validating Bronze.
+def outcome_rows(flagged: DataFrame, at: Column) -> DataFrame:
+    """Every row of a usable file once, with its outcome, as Silver or as quarantine stores it.
 
-    Every rule failure is a rejected row, so rule and amount failures come
-    from the (small) quarantine; Silver contributes only its row count and
-    one boolean column (zero-duration warnings, which also count clean rows).
-    Covers files that were processed (valid names); rows_read = written +
-    rejected because nothing is dropped as a duplicate.
+    The columns are those of both tables; what belongs to the other outcome is
+    NULL. The text flag of rejected rows has a column of its own (FLAG_TEXT),
+    since Silver's flag is a number.
     """
-    f = spec.SOURCE_FILE_COLUMN
-    clean = silver_df.groupBy(F.col(f).alias("source_file")).agg(
-        F.count(F.lit(1)).alias("_written"),
-        count_true(F.col("_silver_zero_duration")).alias("_zero_clean"))
-    amount_fail = {f"invalid_{c}": count_true(~rules.amount_valid(c, quarantine_df.schema))
-                   for c in spec.AMOUNT_COLUMNS}
-    rejected = quarantine_df.groupBy(F.col(f).alias("source_file")).agg(
-        F.count(F.lit(1)).alias("_rejected"),
-        count_true(rules.zero_duration_warning()).alias("_zero_rejected"),
-        *[count_true(F.col(flag)).alias(rule) for flag, rule in spec.REJECTION_FLAGS.items()],
-        *[v.alias(k) for k, v in amount_fail.items()])
-    both = clean.join(rejected, "source_file", "full_outer")
-    n = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
-    return both.select(
-        "source_file",
-        (n("_written") + n("_rejected")).alias("rows_read"),
-        n("_written").alias("rows_written"),
-        n("_rejected").alias("rows_rejected"),
-        F.lit(0).cast("bigint").alias("rows_rejected_duplicate"),
-        n("_rejected").alias("rows_quarantined"),
-        n("timestamp_order").alias("timestamp_order"),
-        (n("_zero_clean") + n("_zero_rejected")).alias("zero_duration_warning"),
-        *[n(r).alias(r) for r in ("pickup_range", "distance", "amounts", "passengers")],
-        *[n(k).alias(k) for k in amount_fail],
-        F.lit(True).alias("file_ok"),
+    rule_cols = [RULE_PREFIX + r for r in spec.REJECTION_FLAGS.values()]
+    rows = _derive(flagged.filter(F.col("_file_ok")), at, keep=("store_and_fwd_flag", "_valid", *rule_cols))
+    both = [c for c in _base_columns(flagged) if c != "store_and_fwd_flag"]
+    clean_only = [c for c in rows.columns if c not in (*both, "_valid", FLAG_TEXT, *rule_cols)]
+    valid = F.col("_valid")
+    return rows.select(
+        *both, *[F.when(valid, F.col(c)).alias(c) for c in clean_only],
+        F.when(~valid, F.col(FLAG_TEXT)).alias(FLAG_TEXT),
+        *[F.when(~valid, ~F.col(RULE_PREFIX + rule)).alias(flag) for flag, rule in spec.REJECTION_FLAGS.items()],
+        F.when(~valid, at).alias(spec.REJECTED_AT_COLUMN),
+        F.when(valid, F.date_format("pickup_datetime", "yyyy-MM")).alias("pickup_month"),
+        F.when(valid, F.lit(CLEAN)).otherwise(F.lit(REJECTED)).alias(OUTCOME),
     )
 
 
+def outcome_metrics(rows: DataFrame, files: list[str]) -> list[Column]:
+    """What `rule_breakdown` counts, of outcome rows, as one aggregate for each file and count (for an Observation)."""
+    rejected = F.col(OUTCOME) == REJECTED
+    counts = {
+        "rows_written": ~rejected, "rows_rejected": rejected,
+        "zero_duration_warning": rules.zero_duration_warning(),
+        **{rule: F.coalesce(F.col(flag), F.lit(False)) for flag, rule in spec.REJECTION_FLAGS.items()},
+        **{f"invalid_{c}": rejected & ~rules.amount_valid(c, rows.schema) for c in spec.AMOUNT_COLUMNS},
+    }
+    return [F.count_if((F.col(spec.SOURCE_FILE_COLUMN) == name) & cond).alias(f"{i}:{k}")
+            for i, name in enumerate(files) for k, cond in counts.items()]
+
+
+def breakdown_of_metrics(metrics: dict[str, int], files: list[str]) -> list[dict]:
+    """One `rule_breakdown` row a file, from observed metrics."""
+    out = []
+    for i, name in enumerate(files):
+        n = {k.split(":", 1)[1]: v for k, v in metrics.items() if k.startswith(f"{i}:")}
+        out.append({"source_file": name, "rows_read": n["rows_written"] + n["rows_rejected"], "rows_written": n.pop("rows_written"),
+                    "rows_rejected": n["rows_rejected"], "rows_rejected_duplicate": 0, "rows_quarantined": n.pop("rows_rejected"), **n})
+    return out
+
+
 @dataclass
 class SilverResult:
     flagged: DataFrame

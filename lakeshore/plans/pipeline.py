@@ -5,19 +5,23 @@ Each step is a handful of distributed jobs, not a per-file loop:
 * Bronze: list raw files (no data read), anti-join the ingestion ledger,
   compare each pending file's schema (a file that does not fit is logged as
   failed and left out), read the others in one job and write them partitioned
-  by source file with dynamic partition overwrite, so a rerun of a file
-  replaces only that file's partitions (idempotent).
+  by source file; a rerun of a file replaces only that file's partition.
 * Silver: anti-join Bronze's successful files against the transform ledger,
-  read those partitions (partition pruning), validate once, write clean rows
-  partitioned by (source file, pickup month) and rejected rows by source file.
+  read those partitions (partition pruning), validate once and write clean and
+  rejected rows in one job, by outcome, source file and pickup month.
   Files whose name carries no month are logged as failed, without failing
   the others.
-* Gold: each table is one job over Silver (see operators/gold.py) and a full
-  overwrite; a failing table is logged and the rest still build. The table
+* Gold: source files that are new or written again are reduced to stored
+  partial states (see partials.py); each table is one job that merges all
+  states, and replaces the table whole; a failing table is logged and the rest still build. The table
   jobs are independent and are submitted a few at a time from driver
   threads, so Spark's scheduler fills idle executors with the next table
   while one table's last tasks finish.
 
+Everything is written beside the live table and put in place by renames once
+the write has succeeded; renames that a crash cut short are finished by the
+next step (`Warehouse.recover`).
+
 Only when a whole batch job fails does a step fall back to one job per file,
 to isolate the failing file (the original's per-file failure semantics).
 The driver only ever holds file lists, counts and ledger rows.
@@ -27,9 +31,7 @@ from __future__ import annotations
 
 import argparse
 import sys
-import threading
 import time
-import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
@@ -43,8 +45,8 @@ from .. import spec
 from ..operators import bronze as bronze_ops
 from ..operators import gold, quality, silver
 from ..sources import ledger
-from ..session import checkpoint_dir
-from ..sources.tables import Warehouse, check_schema, differences
+from .partials import Partials
+from ..sources.tables import STORED_AS, Warehouse, check_schema, differences
 
 QUARANTINE_MIN_SCHEMA = StructType([
     StructField("pickup_datetime", TimestampNTZType()),
@@ -106,10 +108,8 @@ def _ingest(spark: SparkSession, wh: Warehouse, pending: list, schema: StructTyp
     """Land the files (one root path each) and count what landed of each."""
     raw = spark.read.schema(schema).parquet(*[r.path for r in pending])
     batch = bronze_ops.add_lineage(raw, ingested_at=F.lit(ingested_at).cast("timestamp"))
-    for r in pending:
-        wh.drop_partition(wh.tables.bronze, spec.SOURCE_FILE_COLUMN, r.source_file)
-    wh.write(batch, wh.tables.bronze, mode="overwrite", partition_by=[spec.SOURCE_FILE_COLUMN], dynamic=True)
     names = [r.source_file for r in pending]
+    wh.publish(batch, wh.tables.bronze, partition_by=[spec.SOURCE_FILE_COLUMN], replace=names)
     landed = wh.read(wh.tables.bronze, batch.schema).filter(F.col(spec.SOURCE_FILE_COLUMN).isin(names))
     found = {r[0]: r[1] for r in landed.groupBy(spec.SOURCE_FILE_COLUMN).count().collect()}  # one row a file
     return {n: found.get(n, 0) for n in names}
@@ -124,6 +124,7 @@ def _lost(spark: SparkSession, pending: list, counts: dict[str, int]) -> dict[st
 def ingest_bronze(spark: SparkSession, cfg: spec.PipelineConfig) -> StepResult:
     res = StepResult("bronze")
     wh = Warehouse(spark, cfg.warehouse, cfg.tables)
+    wh.recover()
     files = bronze_ops.discover_files(spark, cfg.raw_dir)
     log = ledger.read(wh, wh.tables.ingestion_log, ledger.INGESTION_LOG_SCHEMA)
     status = bronze_ops.file_status(files, log)
@@ -194,36 +195,47 @@ def _file_name_status(spark: SparkSession, files: list[str]) -> dict[str, bool]:
         "name", rules.source_file_valid(F.col("name")).alias("ok")).collect()}
 
 
-def _transform(wh: Warehouse, files: list[str], cfg: spec.PipelineConfig) -> DataFrame:
+#: Files that one job validates: their counts are aggregates of its plan.
+FILES_PER_JOB = 12
+
+
+def _transform(wh: Warehouse, files: list[str], cfg: spec.PipelineConfig) -> list[dict]:
     """Validate and write the files' rows; return their per-file breakdown.
 
-    Bronze is scanned twice (clean rows, rejected rows); the breakdown is
-    read back from the written partitions: quarantine (small) plus Silver's
-    row counts and one boolean column, not a third validation pass.
+    One scan of Bronze: a single job writes clean and rejected rows by outcome
+    into a staging folder and observes the counts. Then each file's folders
+    take the place of its old ones in Silver and quarantine, in one swap; a
+    write that fails leaves both tables as they were.
     """
-    batch = wh.read(wh.tables.bronze).filter(F.col(spec.SOURCE_FILE_COLUMN).isin(files))
-    flagged = silver.flag_rules(batch, cfg.min_pickup, cfg.max_pickup)
-    clean = silver.silver_rows(flagged).withColumn("pickup_month", F.date_format("pickup_datetime", "yyyy-MM"))
-    rejected = silver.quarantine_rows(flagged)
-    for name in files:  # what an earlier run of the file left, also in partitions that this one does not write
-        wh.drop_partition(wh.tables.silver, spec.SOURCE_FILE_COLUMN, name)
-        wh.drop_partition(wh.tables.quarantine, spec.SOURCE_FILE_COLUMN, name)
-    wh.write(clean, wh.tables.silver, mode="overwrite",
-             partition_by=[spec.SOURCE_FILE_COLUMN, "pickup_month"], dynamic=True)
-    wh.write(rejected, wh.tables.quarantine, mode="overwrite", partition_by=[spec.SOURCE_FILE_COLUMN],
-             dynamic=True)
-    wh.declare(wh.tables.silver, clean.schema)
-    wh.declare(wh.tables.quarantine, rejected.schema)
-    ok = [f for f, good in _file_name_status(wh.spark, files).items() if good]
-    # (A table without rows reads back as a typed empty frame.)
-    written = wh.read(wh.tables.silver, clean.schema).filter(F.col(spec.SOURCE_FILE_COLUMN).isin(ok))
-    quarantined = wh.read(wh.tables.quarantine, rejected.schema).filter(F.col(spec.SOURCE_FILE_COLUMN).isin(ok))
-    return silver.breakdown_from_outputs(written, quarantined)
+    out = []
+    for lo in range(0, len(files), FILES_PER_JOB):
+        some = files[lo:lo + FILES_PER_JOB]
+        batch = wh.read(wh.tables.bronze).filter(F.col(spec.SOURCE_FILE_COLUMN).isin(some))
+        flagged = silver.flag_rules(batch, cfg.min_pickup, cfg.max_pickup)
+        rows = silver.outcome_rows(flagged, F.lit(_now()).cast("timestamp"))
+        counted = Observation()
+        staged = wh.staging("outcome")
+        (rows.observe(counted, *silver.outcome_metrics(rows, some)).write
+         .partitionBy(silver.OUTCOME, spec.SOURCE_FILE_COLUMN, "pickup_month").parquet(staged))
+        clean = silver.silver_rows(flagged).withColumn("pickup_month", F.lit("").cast("string")).schema
+        wh.declare(wh.tables.silver, clean)
+        wh.declare(wh.tables.quarantine, StructType([
+            StructField(f.name, f.dataType, f.nullable, {STORED_AS: silver.FLAG_TEXT} if f.name == "store_and_fwd_flag" else {})
+            for f in silver.quarantine_rows(flagged).schema]))
+        moves = []
+        for table, outcome in ((wh.tables.silver, silver.CLEAN), (wh.tables.quarantine, silver.REJECTED)):
+            live = [wh.partition(table, spec.SOURCE_FILE_COLUMN, n) for n in some]
+            moves += [(f"{staged}/{silver.OUTCOME}={outcome}/{p.rsplit('/', 1)[1]}", p) for p in live]
+        wh.swap(moves, staged)
+        ok = _file_name_status(wh.spark, some)
+        out += [r | {"file_ok": ok[r["source_file"]]} for r in silver.breakdown_of_metrics(counted.get, some)]
+    return out
 
 
 def transform_silver(spark: SparkSession, cfg: spec.PipelineConfig) -> StepResult:
     res = StepResult("silver")
     wh = Warehouse(spark, cfg.warehouse, cfg.tables)
+    wh.recover()
     if not wh.exists(wh.tables.bronze):
         res.exit_code = 1
         res.messages.append(f"Bronze table {wh.tables.bronze} does not exist. Run the Bronze step first.")
@@ -244,30 +256,28 @@ def transform_silver(spark: SparkSession, cfg: spec.PipelineConfig) -> StepResul
 
     def stats_rows(stats: list, failed: dict[str, str]) -> list[dict]:
         finished = _now()
-        by_file = {s.source_file: s for s in stats}
+        by_file = {s["source_file"]: s for s in stats}
         out = []
         for name in pending:
             s = by_file.get(name)
-            ok = s is not None and s.file_ok and name not in failed
+            ok = s is not None and s["file_ok"] and name not in failed
             err = failed.get(name) or (None if ok else f"Cannot determine month from source filename: {name}")
             out.append({"source_table": wh.tables.bronze, "source_file": name, "target_table": wh.tables.silver,
                         "status": "success" if ok else "failed",
-                        "rows_read": s.rows_read if ok else 0,
-                        "rows_rejected": s.rows_rejected if ok else 0,
-                        "rows_written": s.rows_written if ok else 0,
+                        **{k: s[k] if ok else 0 for k in ("rows_read", "rows_rejected", "rows_written")},
                         "snapshot_id": run_id if ok else None, "started_at": started, "finished_at": finished,
                         "error_message": None if ok else err})
         return out
 
     try:
-        stats = _transform(wh, pending, cfg).collect()  # one row per file
+        stats = _transform(wh, pending, cfg)
         failed: dict[str, str] = {}
     except Exception as batch_error:
         _log(f"silver batch failed ({batch_error.__class__.__name__}); retrying file by file")
         stats, failed = [], {}
         for name in pending:
             try:
-                stats.extend(_transform(wh, [name], cfg).collect())
+                stats += _transform(wh, [name], cfg)
             except Exception as e:
                 failed[name] = str(e).splitlines()[0][:1000]
     rows = stats_rows(stats, failed)
@@ -276,8 +286,8 @@ def transform_silver(spark: SparkSession, cfg: spec.PipelineConfig) -> StepResul
     res.processed, res.failed = len(rows) - n_failed, n_failed
     res.exit_code = 1 if n_failed else 0
     for s in stats:
-        breakdown = ", ".join(f"{k}={s[k]:,}" for k in s.asDict() if k not in ("source_file", "file_ok"))
-        res.messages.append(f"process {s.source_file}: {breakdown}")
+        breakdown = ", ".join(f"{k}={v:,}" for k, v in s.items() if k not in ("source_file", "file_ok"))
+        res.messages.append(f"process {s['source_file']}: {breakdown}")
     return res
 
 
@@ -285,48 +295,31 @@ def transform_silver(spark: SparkSession, cfg: spec.PipelineConfig) -> StepResul
 # Gold
 # ---------------------------------------------------------------------------
 
-def gold_targets(silver_df: DataFrame, quarantine_df: DataFrame, bronze_rows: DataFrame,
-                 transform_log: DataFrame, shared: Callable[[], DataFrame] | None = None,
-                 daily_shared: Callable[[], DataFrame] | None = None,
-                 tables: spec.TableNames = spec.TableNames()
-                 ) -> list[tuple[str, str, Callable[[], DataFrame]]]:
-    """(table, source, builder) for the 11 Gold tables. With `shared` (a
-    thunk returning the materialised shared pre-aggregate) the monthly
-    tables roll up from it instead of scanning Silver each; with
-    `daily_shared` (the materialised `gold.daily_preaggregate`) so do the
-    daily table and the payment null profile."""
-    src = tables.silver
-
+def gold_targets(parts: Partials, bronze_rows: DataFrame, transform_log: DataFrame,
+                 tables: spec.TableNames = spec.TableNames()) -> list[tuple[str, str, Callable[[], DataFrame]]]:
+    """(table, source, builder) for the 11 Gold tables, each merged from stored partial states."""
     def builder(n: str) -> Callable[[], DataFrame]:
-        if shared is not None and n in gold.MONTHLY_TABLES:
-            return lambda: gold.build_from_shared(shared(), n)
-        if daily_shared is not None and n == "daily_trip_summary":
-            return lambda: gold.daily_from_shared(daily_shared())
-        return lambda: gold.build(silver_df, n)
-
-    targets: list[tuple[str, str, Callable[[], DataFrame]]] = [
-        (name, src, builder(name)) for name in gold.GOLD_DEFS
-    ]
-    if daily_shared is not None:
-        targets.append(("payment_null_profile", src, lambda: gold.null_profile_from_shared(daily_shared())))
-    else:
-        targets.append(("payment_null_profile", src, lambda: gold.payment_null_profile(silver_df)))
-    targets.append(("data_quality_summary", f"{src}+{tables.quarantine}",
-                    lambda: quality.data_quality_summary(silver_df, quarantine_df, bronze_rows, transform_log)))
-    order = {n: i for i, n in enumerate(spec.GOLD_TABLES)}
-    return sorted(targets, key=lambda t: order[t[0]])
+        if n in gold.MONTHLY_TABLES:
+            return lambda: gold.build_from_shared(parts.get("monthly"), n)
+        return {
+            "daily_trip_summary": lambda: gold.daily_from_shared(parts.get("daily")),
+            "payment_null_profile": lambda: gold.null_profile_from_shared(parts.get("daily")),
+            "data_quality_summary": lambda: quality.summary_of_profiles(
+                parts.get("quality").withColumnRenamed(spec.SOURCE_FILE_COLUMN, "file"), parts.get("rejected"), bronze_rows, transform_log),
+        }[n]
+
+    both = f"{tables.silver}+{tables.quarantine}"
+    return [(n, both if n == "data_quality_summary" else tables.silver, builder(n)) for n in spec.GOLD_TABLES]
 
 
 def build_gold(spark: SparkSession, cfg: spec.PipelineConfig, only: list[str] | None = None) -> StepResult:
     res = StepResult("gold")
     wh = Warehouse(spark, cfg.warehouse, cfg.tables)
+    wh.recover()
     if not wh.exists(wh.tables.silver):
         res.exit_code = 1
         res.messages.append(f"Silver table {wh.tables.silver} does not exist. Run the Silver step first.")
         return res
-    # The shared pre-aggregates lie in the cluster's checkpoint folder, or in
-    # one beside the warehouse tables when the session names none.
-    shared_folder = checkpoint_dir(spark, fallback=f"{wh.root}/_checkpoints/spark")
     silver_df = wh.read(wh.tables.silver)
     quarantine_df = wh.read(wh.tables.quarantine, QUARANTINE_MIN_SCHEMA)
     bronze_n = wh.row_count(wh.tables.bronze)
@@ -338,24 +331,7 @@ def build_gold(spark: SparkSession, cfg: spec.PipelineConfig, only: list[str] |
     if bronze_n and silver_n + quarantine_n != bronze_n:
         _log(f"Warning: current table counts are not balanced: bronze={bronze_n:,}, silver={silver_n:,}, "
              f"quarantine={quarantine_n:,}, accounted={silver_n + quarantine_n:,}.")
-    cache: dict[str, DataFrame] = {}
-    locks = {"monthly": threading.Lock(), "daily": threading.Lock()}
-    scratch = f"{shared_folder.rstrip('/')}/lakeshore-gold-{uuid.uuid4().hex}"
-
-    def materialised(key: str, make: Callable[[], DataFrame]) -> DataFrame:
-        # Written once as Parquet on first use, so each table reads only its
-        # columns of it; a failure here fails only the tables that need it.
-        with locks[key]:
-            if key not in cache:
-                make().write.parquet(f"{scratch}/{key}")
-                cache[key] = spark.read.parquet(f"{scratch}/{key}")
-            return cache[key]
-
-    def shared() -> DataFrame:
-        return materialised("monthly", lambda: gold.shared_preaggregate(silver_df))
-
-    def daily_shared() -> DataFrame:
-        return materialised("daily", lambda: gold.daily_preaggregate(silver_df))
+    parts = Partials(wh, silver_df, quarantine_df)
 
     def build_one(name: str, source: str, builder: Callable[[], DataFrame]) -> tuple[dict, str, bool]:
         table = f"{wh.tables.gold_namespace}.{name}"
@@ -365,9 +341,8 @@ def build_gold(spark: SparkSession, cfg: spec.PipelineConfig, only: list[str] |
             df = builder()
             check_schema(wh, table, df.schema)
             obs = Observation(f"rows_{name}")
-            wh.write(df.observe(obs, F.count(F.lit(1)).alias("rows")), table, mode="overwrite",
-                     partition_by=gold_partitioning(name, df.columns))
-            wh.declare(table, df.schema)
+            wh.publish(df.observe(obs, F.count(F.lit(1)).alias("rows")), table,
+                       partition_by=gold_partitioning(name, df.columns), schema=df.schema)
             written = obs.get["rows"]
             status, err, snap = "success", None, _run_id()
             msg = f"build {table}: {written:,} rows"
@@ -379,13 +354,12 @@ def build_gold(spark: SparkSession, cfg: spec.PipelineConfig, only: list[str] |
                "finished_at": _now(), "error_message": err}
         return row, msg, status == "success"
 
-    targets = [t for t in gold_targets(silver_df, quarantine_df, bronze_rows, tlog, shared, daily_shared, wh.tables)
+    targets = [t for t in gold_targets(parts, bronze_rows, tlog, wh.tables)
                if not only or t[0] in only]
     with ThreadPoolExecutor(max_workers=max(1, cfg.gold_concurrency)) as pool:
         # Results are taken in table order, so the ledger and the messages
         # do not depend on which job finished first.
         results = [f.result() for f in [pool.submit(build_one, *t) for t in targets]]
-    wh.delete(scratch)
     log_rows = []
     for row, msg, ok in results:
         log_rows.append(row)

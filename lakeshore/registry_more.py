@@ -9,7 +9,7 @@ itself. Where the plain trips would leave a check at zero, the edge trips
 
 from __future__ import annotations
 
-import uuid
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 from . import oracle as O
 from . import spec
 from .operators import bronze as B
-from .operators import checks, gold, profile, quality, reports
+from .operators import checks, gold, profile, quality, relations, reports
 from .plans import pipeline
 from .registry import Query, silver_result, success_log
-from .session import checkpoint_dir
+from .session import scratch_dir
 from .sources.fixture import RAW_COLUMNS, RAW_NUMERIC_COLUMNS, raw_trips
 
 WB = O.with_base
@@ -306,21 +306,6 @@ def _share(cnt: str) -> str:
     return f"CASE WHEN count(*) <> 0 THEN {_r2(f'({cnt})::DOUBLE / count(*)::DOUBLE * 100.0')} ELSE 0.0 END"
 
 
-def _numeric_summary(s, sf) -> DataFrame:
-    """`profile.numeric_summary` as one row a column, with each quartile's rank checked against all rows."""
-    bronze = _bronze(s, sf)
-    stats = {r["summary"]: r for r in profile.numeric_summary(bronze).collect()}  # eight rows
-
-    def holds(c: str, p: int):
-        v, share = F.lit(stats[f"{p}%"][c]).cast("double"), p / 100
-        below, upto, n = F.count_if(F.col(c) < v), F.count_if(F.col(c) <= v), F.count(c)
-        return (below <= (share + 0.001) * n + 1) & (upto >= (share - 0.001) * n - 1)
-    one = F.struct
-    columns = [one(F.lit(c).alias("column"), F.count(c).alias("count"), *(F.lit(stats[k][c]).cast("double").alias(k) for k in ("mean", "stddev", "min", "max")),
-                   *(holds(c, p).alias(f"rank_{p}_holds") for p in (25, 50, 75))) for c in RAW_NUMERIC_COLUMNS]
-    return bronze.agg(F.array(*columns).alias("a")).select(F.inline("a"))
-
-
 def profile_queries() -> dict[str, Query]:
     q = {}
     nulls = "\nUNION ALL\n".join(
@@ -339,12 +324,12 @@ def profile_queries() -> dict[str, Query]:
         WB(f"SELECT count(*) FILTER (WHERE {anyneg}) AS negative_row_count, "
            f"{_share(f'count(*) FILTER (WHERE {anyneg})')} AS negative_percentage FROM bronze"),
         ["negative_percentage"])
-    # The quartiles are sketches, so their ranks are checked, not their values.
     numeric = "\nUNION ALL\n".join(
         f"""SELECT '{c}' AS "column", count("{c}") AS count, CAST(avg("{c}") AS DOUBLE) AS mean, stddev_samp("{c}") AS stddev,
-  CAST(min("{c}") AS DOUBLE) AS min, CAST(max("{c}") AS DOUBLE) AS max,
-  true AS rank_25_holds, true AS rank_50_holds, true AS rank_75_holds FROM bronze""" for c in RAW_NUMERIC_COLUMNS)
-    q["numeric_summary"] = Query(_numeric_summary, WB(numeric), ["mean", "stddev", "min", "max"])
+  CAST(min("{c}") AS DOUBLE) AS min, quantile_cont("{c}"::DOUBLE, 0.25) AS p25, quantile_cont("{c}"::DOUBLE, 0.5) AS p50,
+  quantile_cont("{c}"::DOUBLE, 0.75) AS p75, CAST(max("{c}") AS DOUBLE) AS max FROM bronze""" for c in RAW_NUMERIC_COLUMNS)
+    q["numeric_summary"] = Query(lambda s, sf: profile.numeric_summary(_bronze(s, sf)), WB(numeric),
+                                 ["mean", "stddev", "min", "p25", "p50", "p75", "max"])
     for name, col in (("freq_by_payment", "payment_type"), ("freq_by_passenger", "passenger_count"),
                       ("freq_by_file", spec.SOURCE_FILE_COLUMN)):
         q[name] = Query((lambda c: lambda s, sf: profile.frequency(_bronze(s, sf), c))(col),
@@ -432,10 +417,11 @@ def report_queries() -> dict[str, Query]:
 FROM monthly_kpi WHERE data_variant = 'all' AND month_basis = 'pickup_month' AND year_month IN ('2026-01', '2026-03')"""), ["total_revenue"])
 
     def _vendor_labels(s, sf):
-        return reports.as_category_strings(_sel("vendor_monthly")(s, sf), ["vendor_id"]).select("vendor_id", "year_month", "trip_count")
+        rows = gold.build(silver_result(s, sf, edge=True).silver, "vendor_monthly", ("all",), ("pickup_month",))
+        return reports.as_category_strings(rows, ["vendor_id"]).select("vendor_id", "year_month", "trip_count")
 
-    q["vendor_labels"] = Query(_vendor_labels, WT(O.gold_tables("vendor_monthly"), """SELECT CAST(vendor_id AS VARCHAR) AS vendor_id,
-  year_month, trip_count FROM vendor_monthly WHERE data_variant = 'all' AND month_basis = 'pickup_month'"""))
+    q["vendor_labels"] = Query(_vendor_labels, O.with_tables(O.gold_tables("vendor_monthly"), """SELECT coalesce(CAST(vendor_id AS VARCHAR), 'Unknown') AS vendor_id,
+  year_month, trip_count FROM vendor_monthly WHERE data_variant = 'all' AND month_basis = 'pickup_month'""", edge=True))
 
     def _weighted(s, sf):
         return reports.weighted_kpis(_sel("monthly_kpi")(s, sf))
@@ -547,11 +533,11 @@ FROM {table} WHERE data_variant = 'all' AND month_basis = 'pickup_month' AND {ke
             "payment_types": ("payment_monthly", "payment_type"), "vendors": ("vendor_monthly", "vendor_id")}
 
     def _dims(s, sf):
-        # The values come straight from Silver: a Gold key's values are those of its rows.
+        # The values come straight from Silver, in one scan: a Gold key's values are those of its rows.
         sil = silver_result(s, sf).silver.withColumn("year_month", F.date_format("pickup_datetime", "yyyy-MM"))
-        sel = {n: (sil, c) for n, (_, c) in dims.items()}
-        sel["metric_categories"] = (_gold_frames(s, sf, ["data_quality_summary"])["data_quality_summary"], "metric_category")
-        return reports.dimension_values(sel)
+        metrics = _gold_frames(s, sf, ["data_quality_summary"])["data_quality_summary"]
+        return reports.dimension_values(sil, {n: c for n, (_, c) in dims.items()}).unionByName(
+            reports.dimension_values(metrics, {"metric_categories": "metric_category"}))
 
     def _zones(s, sf):
         return reports.numbered(reports.distinct_sorted(silver_result(s, sf).silver, "pickup_location_id"), [F.asc("pickup_location_id")])
@@ -641,7 +627,7 @@ def _reconcile_sql(broken: bool = False) -> str:
 def _all_gold(s, sf) -> dict[str, DataFrame]:
     """All Gold tables, rolled up as in the Gold step from its two shared reductions of Silver, each written once."""
     r = silver_result(s, sf)
-    root = f"{checkpoint_dir(s).rstrip('/')}/lakeshore-reconcile-{uuid.uuid4().hex}"
+    root = scratch_dir(s, "reconcile")
     shared = {}
     for key, made in (("monthly", gold.shared_preaggregate(r.silver)), ("daily", gold.daily_preaggregate(r.silver))):
         made.write.parquet(f"{root}/{key}")
@@ -678,14 +664,16 @@ def check_queries() -> dict[str, Query]:
 # The file-based pipeline: raw files written, run, and read back
 # ---------------------------------------------------------------------------
 
-def _run_pipeline(s, sf, gold_tables: list[str] | None = None, **settings) -> spec.PipelineConfig:
-    """Write the trips as monthly raw files below the checkpoint folder and run
-    the steps over them; of Gold all tables, or the given ones."""
-    root = f"{checkpoint_dir(s).rstrip('/')}/lakeshore-run-{uuid.uuid4().hex}"
+def _write_raw(s, sf, root: str, files: list[str] | None = None) -> list[str]:
+    """The trips as monthly raw files (all, or the given ones); the names of all there are."""
     trips = raw_trips(s, sf)
-    for r in trips.select(spec.SOURCE_FILE_COLUMN).distinct().collect():  # three files
-        trips.filter(F.col(spec.SOURCE_FILE_COLUMN) == r[0]).drop(spec.SOURCE_FILE_COLUMN).write.parquet(f"{root}/raw/{r[0]}")
-    cfg = spec.PipelineConfig(warehouse=f"{root}/warehouse", raw_dir=f"{root}/raw", **settings)
+    names = sorted(r[0] for r in trips.select(spec.SOURCE_FILE_COLUMN).distinct().collect())  # three files
+    for name in names if files is None else files:
+        trips.filter(F.col(spec.SOURCE_FILE_COLUMN) == name).drop(spec.SOURCE_FILE_COLUMN).write.parquet(f"{root}/raw/{name}")
+    return names
+
+
+def _run_steps(s, cfg: spec.PipelineConfig, gold_tables: list[str] | None) -> None:
     steps = [lambda: pipeline.ingest_bronze(s, cfg), lambda: pipeline.transform_silver(s, cfg)]
     if gold_tables != []:
         steps.append(lambda: pipeline.build_gold(s, cfg, gold_tables))
@@ -693,6 +681,15 @@ def _run_pipeline(s, sf, gold_tables: list[str] | None = None, **settings) -> sp
         res = step()
         if res.exit_code:
             raise RuntimeError(f"{res.step}: {'; '.join(res.messages)}")
+
+
+def _run_pipeline(s, sf, gold_tables: list[str] | None = None, **settings) -> spec.PipelineConfig:
+    """Write the trips as monthly raw files below the checkpoint folder and run
+    the steps over them; of Gold all tables, or the given ones."""
+    root = scratch_dir(s, "run")
+    _write_raw(s, sf, root)
+    cfg = spec.PipelineConfig(warehouse=f"{root}/warehouse", raw_dir=f"{root}/raw", **settings)
+    _run_steps(s, cfg, gold_tables)
     return cfg
 
 
@@ -724,10 +721,85 @@ UNION ALL
 {gold_parts}""")
 
 
+ZONES_SQL = """
+SELECT year_month, pickup_location_id, dropoff_location_id, trip_count, total_revenue, avg_trip_distance
+FROM zone_analysis(data_variant => :variant, pickup_location_id => :zone)
+ORDER BY trip_count DESC, year_month, pickup_location_id, dropoff_location_id
+LIMIT :row_limit"""
+
+FREE_SQL = """
+WITH shown AS (SELECT * FROM payment_analysis(month_basis => :basis)),
+     months AS (SELECT year_month, trip_count AS month_trips FROM monthly_kpi(month_basis => :basis))
+SELECT shown.year_month, shown.payment_type, shown.trip_count, 100.0D * shown.trip_count / months.month_trips AS trip_percent,
+       sum(shown.total_revenue) OVER (PARTITION BY shown.payment_type ORDER BY shown.year_month) AS revenue_so_far
+FROM shown JOIN months ON shown.year_month = months.year_month
+WHERE shown.year_month >= :first_month
+UNION ALL
+SELECT 'all months', payment_type, sum(trip_count), NULL, sum(total_revenue) FROM gold_payment_monthly
+WHERE data_variant = 'exclude_both' AND month_basis = :basis GROUP BY payment_type"""
+
+
+def _sql_over_gold(tables: list[str], text: str, **params):
+    """SQL text over the written Gold tables, as views and table functions of the session."""
+    def run(s, sf):
+        cfg = _run_pipeline(s, sf, tables)
+        made = relations.register(s, {t: pipeline.load_gold(s, cfg.warehouse, t) for t in tables}, prefix="gold_")
+        out = relations.run_sql(s, text, **params)
+        relations.unregister(s, made)  # the analysed query does not need the names any more
+        return out
+    return run
+
+
+def _grown_gold(s, sf) -> DataFrame:
+    """monthly_kpi after two months, then a third: the second Gold run reduces the third month's file alone."""
+    root = scratch_dir(s, "grown")
+    cfg = spec.PipelineConfig(warehouse=f"{root}/warehouse", raw_dir=f"{root}/raw")
+    names = _write_raw(s, sf, root, [])
+    for files in (names[:2], names[2:]):
+        _write_raw(s, sf, root, files)
+        _run_steps(s, cfg, ["monthly_kpi"])
+    return pipeline.load_gold(s, cfg.warehouse, "monthly_kpi")
+
+
+def _run_checks(s, sf) -> DataFrame:
+    """What must hold of tables and ledgers after a run, a rerun of all files, a write that fails and one that is refused."""
+    began = datetime.now(timezone.utc)
+    cfg = _run_pipeline(s, sf, ["vendor_monthly"])
+    wh = pipeline.Warehouse(s, cfg.warehouse)
+    pipeline._transform(wh, wh.partition_values(spec.BRONZE_TABLE), cfg)
+    fails = wh.read(spec.SILVER_TABLE).withColumn("vendor_id", F.when(F.col("vendor_id") > 0, F.raise_error(F.lit("torn"))).cast("int"))
+    counts = {"failed_writes": 0, "refused_schemas": 0}
+    try:
+        wh.publish(fails, spec.SILVER_TABLE)
+    except Exception as e:
+        counts["failed_writes"] += "torn" in str(e)
+    try:
+        pipeline.check_schema(wh, "gold.vendor_monthly", wh.read(spec.SILVER_TABLE).schema)
+    except ValueError:
+        counts["refused_schemas"] += 1
+    ended = datetime.now(timezone.utc)
+    counts["bronze_rows_by_footers"] = wh.row_count(spec.BRONZE_TABLE)
+    silver, quarantine, log = wh.read(spec.SILVER_TABLE), wh.read(spec.QUARANTINE_TABLE), wh.read(spec.TRANSFORM_LOG_TABLE)
+    outside = lambda c: F.count_if(F.col(c).isNull() | (F.col(c) < F.lit(began)) | (F.col(c) > F.lit(ended)))
+    parts = [s.createDataFrame(list(counts.items()), "check string, value long")]
+    parts += [df.agg(v.cast("long").alias("value")).select(F.lit(n).alias("check"), "value") for n, df, v in (
+        ("silver_rows_after_rerun", silver, F.count("*")), ("quarantine_rows_after_rerun", quarantine, F.count("*")),
+        ("silver_stamps_outside_run", silver, outside(spec.PROCESSED_AT_COLUMN)), ("quarantine_stamps_outside_run", quarantine, outside(spec.REJECTED_AT_COLUMN)),
+        ("successes_without_run_id", log, F.count_if((F.col("status") == "success") & F.col("snapshot_id").isNull())), ("silver_runs", log, F.count_distinct("snapshot_id")))]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def pipeline_queries() -> dict[str, Query]:
     def _partitions(s, sf):
-        wh = pipeline.Warehouse(s, _run_pipeline(s, sf, []).warehouse)
-        return profile.partition_inventory(wh.read(spec.SILVER_TABLE)).select("pickup_month", "record_count", (F.col("file_count") > 0).alias("has_files"))
+        """Rows of each month's partitions, and whether as many files hold them as the table's listing has."""
+        table = pipeline.Warehouse(s, _run_pipeline(s, sf, []).warehouse).read(spec.SILVER_TABLE)
+        listed = [(p.split("pickup_month=")[1].split("/")[0],) for p in table.inputFiles()]
+        listed = s.createDataFrame(listed, "pickup_month string").groupBy("pickup_month").agg(F.count("*").alias("listed"))
+        return profile.partition_inventory(table).join(listed, "pickup_month", "full_outer").select(
+            "pickup_month", "record_count", F.col("file_count").eqNullSafe(F.col("listed")).alias("files_as_listed"))
 
     def _loaded(s, sf):
         return pipeline.load_gold(s, _run_pipeline(s, sf, ["payment_monthly"]).warehouse, "payment_monthly")
@@ -738,10 +810,27 @@ def pipeline_queries() -> dict[str, Query]:
         frame = pipeline.load_gold(s, cfg.warehouse, "vendor_monthly")
         return frame.agg(F.count("*").alias("rows")).select("rows", F.lit(len(frame.columns)).alias("n_columns"))
 
+    held = {"failed_writes": "1", "refused_schemas": "1", "bronze_rows_by_footers": "(SELECT count(*) FROM bronze)",
+            "silver_rows_after_rerun": "(SELECT count(*) FROM silver)", "quarantine_rows_after_rerun": "(SELECT count(*) FROM quarantine)",
+            "silver_stamps_outside_run": "0", "quarantine_stamps_outside_run": "0", "successes_without_run_id": "0", "silver_runs": "1"}
     return {
         "pipeline_ledgers": Query(_ledgers, _ledgers_sql()),
+        "pipeline_checks": Query(_run_checks, WB("\nUNION ALL\n".join(f"SELECT '{k}' AS \"check\", CAST({v} AS BIGINT) AS value" for k, v in held.items()))),
+        "gold_incremental": Query(_grown_gold, O.gold_sql("monthly_kpi"), GOLD_DOUBLES["monthly_kpi"]),
+        "gold_sql_zones": Query(_sql_over_gold(["zone_flow_monthly"], ZONES_SQL, variant="exclude_zero_duration", zone=132, row_limit=25), WT(
+            O.gold_tables("zone_flow_monthly"), """SELECT year_month, pickup_location_id, dropoff_location_id, trip_count, total_revenue, avg_trip_distance
+FROM zone_flow_monthly WHERE data_variant = 'exclude_zero_duration' AND month_basis = 'pickup_month' AND pickup_location_id = 132
+ORDER BY trip_count DESC, year_month, pickup_location_id, dropoff_location_id LIMIT 25"""), ["total_revenue", "avg_trip_distance"]),
+        "gold_sql_free": Query(_sql_over_gold(["payment_monthly", "monthly_kpi"], FREE_SQL, basis="source_month", first_month="2026-02"), WT(
+            O.gold_tables("payment_monthly", "monthly_kpi"), """SELECT p.year_month, p.payment_type, p.trip_count, 100.0::DOUBLE * p.trip_count / m.trip_count AS trip_percent,
+  sum(p.total_revenue) OVER (PARTITION BY p.payment_type ORDER BY p.year_month) AS revenue_so_far
+FROM payment_monthly p JOIN monthly_kpi m USING (data_variant, month_basis, year_month)
+WHERE data_variant = 'all' AND month_basis = 'source_month' AND year_month >= '2026-02'
+UNION ALL
+SELECT 'all months', payment_type, CAST(sum(trip_count) AS BIGINT), NULL, sum(total_revenue) FROM payment_monthly
+WHERE data_variant = 'exclude_both' AND month_basis = 'source_month' GROUP BY payment_type"""), ["trip_percent", "revenue_so_far"]),
         "silver_partitions": Query(_partitions, WB("SELECT strftime(pickup_datetime, '%Y-%m') AS pickup_month, count(*) AS record_count, "
-                                                   "true AS has_files FROM silver GROUP BY 1")),
+                                                   "true AS files_as_listed FROM silver GROUP BY 1")),
         "gold_from_warehouse": Query(_loaded, O.gold_sql("payment_monthly"), GOLD_DOUBLES["payment_monthly"]),
         "gold_without_rows": Query(_empty, WT(O.gold_tables("vendor_monthly"), """SELECT (SELECT count(*) FROM silver WHERE pickup_datetime < TIMESTAMP '1990-01-02')
   AS rows, CAST(3 + 8 + (SELECT count(*) FROM vendor_monthly WHERE false) + 1 AS INTEGER) AS n_columns""")),

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -70,3 +73,22 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         configured = fallback or tempfile.mkdtemp(prefix="lakeshore-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+_SCRATCH: list[tuple[SparkSession, str]] = []
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared checkpoint folder, deleted at the end of the application."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/lakeshore-{name}-{uuid.uuid4().hex}"
+    if not _SCRATCH:
+        atexit.register(_clean)
+    _SCRATCH.append((spark, path))
+    return path
+
+
+def _clean() -> None:
+    for spark, path in _SCRATCH:
+        with contextlib.suppress(Exception):  # the session may be gone; the folder is scratch
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -63,29 +63,37 @@ RAW_NUMERIC_COLUMNS = tuple(c for c in RAW_COLUMNS if c not in (
     "tpep_pickup_datetime", "tpep_dropoff_datetime", "store_and_fwd_flag", "_bronze_source_file"))
 
 
-def _edge_rows(where: str, **changed: str) -> str:
-    cols = ", ".join(f"{changed[c]} AS {c}" if c in changed else c for c in RAW_COLUMNS)
-    return f"SELECT {cols} FROM trips WHERE {where}"
-
-
-#: Rows that the plain trips lack, added to them: exact duplicates, trips of
-#: one to three days, flex-fare trips whose profile fields are set, card
-#: payments, and a fourth monthly file. `trips` are the plain ones.
-EDGE_SQL = "\nUNION ALL\n".join([
-    "SELECT * FROM trips",
-    _edge_rows("PULocationID % 40 = 0"),
-    _edge_rows("PULocationID % 80 = 0"),
-    _edge_rows("PULocationID % 41 = 1", tpep_dropoff_datetime="tpep_dropoff_datetime + (1 + PULocationID % 3) * INTERVAL '1' DAY"),
-    _edge_rows("PULocationID % 43 = 2 AND payment_type <> 0", payment_type="payment_type - payment_type"),
-    _edge_rows("PULocationID % 47 = 3 AND payment_type <> 0", payment_type="payment_type - payment_type + 1"),
-    _edge_rows("PULocationID % 53 = 5", _bronze_source_file="'demo_tripdata_2026-04.parquet'"),
-])
+#: Rows that the plain trips (kind 0) lack, as further kinds of a trip's row: kind -> when a trip has it.
+EDGE_KINDS = {
+    0: "true",
+    1: "PULocationID % 40 = 0",                        # exact duplicates
+    2: "PULocationID % 80 = 0",
+    3: "PULocationID % 41 = 1",                        # trips of one to three days
+    4: "PULocationID % 43 = 2 AND payment_type <> 0",  # flex-fare trips whose profile fields are set
+    5: "PULocationID % 47 = 3 AND payment_type <> 0",  # card payments
+    6: "PULocationID % 53 = 5",                        # a fourth monthly file
+    7: "PULocationID % 59 = 7",                        # no vendor
+}
+EDGE_CHANGES = {
+    "VendorID": "CASE WHEN k <> 7 THEN VendorID END",
+    "tpep_dropoff_datetime": "CASE WHEN k = 3 THEN tpep_dropoff_datetime + (1 + PULocationID % 3) * INTERVAL '1' DAY ELSE tpep_dropoff_datetime END",
+    "payment_type": "CASE k WHEN 4 THEN payment_type - payment_type WHEN 5 THEN payment_type - payment_type + 1 ELSE payment_type END",
+    "_bronze_source_file": "CASE WHEN k = 6 THEN 'demo_tripdata_2026-04.parquet' ELSE _bronze_source_file END",
+}
+
+
+def _edge_sql(dialect: str) -> str:
+    """The plain trips and their further kinds, in one reading of them."""
+    kinds = ", ".join(f"CASE WHEN {cond} THEN {k} END" for k, cond in EDGE_KINDS.items())
+    each = (f"explode(filter(array({kinds}), i -> i IS NOT NULL))" if dialect == "spark" else f"unnest(list_filter([{kinds}], lambda i: i IS NOT NULL))")
+    cols = ", ".join(f"{EDGE_CHANGES[c]} AS {c}" if c in EDGE_CHANGES else c for c in RAW_COLUMNS)
+    return f"SELECT {cols} FROM (SELECT *, {each} AS k FROM trips) kinds"
 
 
 def trips_sql(dialect: str = "spark", edge: bool = False) -> str:
     base = SPARK_BASE_TS if dialect == "spark" else DUCKDB_BASE_TS
     plain = TRIPS_SQL.replace("{B}", base)
-    return f"WITH trips AS ({plain})\n{EDGE_SQL}" if edge else plain
+    return f"WITH trips AS ({plain})\n{_edge_sql(dialect)}" if edge else plain
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -94,7 +102,7 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def raw_trips(spark: SparkSession, sf_dir: str, edge: bool = False) -> DataFrame:
     """Raw trip rows (with `_bronze_source_file`) derived from `lineitem`;
-    with `edge`, those of EDGE_SQL too.
+    with `edge`, those of EDGE_KINDS too.
 
     Uses a DataFrame-bound SQL so no session-wide view is registered; only the
     six lineitem columns used are read (column pruning reaches the scan).

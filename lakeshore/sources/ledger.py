@@ -54,7 +54,7 @@ def append_rows(spark: SparkSession, wh: Warehouse, table: str, schema: StructTy
     if not rows:
         return
     df = spark.createDataFrame([tuple(r.get(f.name) for f in schema.fields) for r in rows], schema)
-    wh.write(df.coalesce(1), table, mode="append")
+    wh.append(df.coalesce(1), table)
 
 
 def read(wh: Warehouse, table: str, schema: StructType) -> DataFrame:

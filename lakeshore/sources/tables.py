@@ -8,15 +8,22 @@ frames where the pipeline allows it.
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from .. import spec
 
 #: Hidden file in a table's folder that holds its declared schema.
 SCHEMA_FILE = "_declared_schema.json"
 
+#: Folder below the root where tables are written before they are put in place.
+STAGING = "_staging"
+#: Field metadata: the stored column that a declared column is read from, if its name differs.
+STORED_AS = "stored_as"
+
 
 def _visible(name: str) -> bool:
     """Spark's rule: names starting with '.' or '_' are hidden, except
@@ -50,24 +57,30 @@ class Warehouse:
 
     def declared(self, table: str) -> StructType | None:
         """The schema that the last `declare` recorded, with column order and nullability."""
-        fs, p = self._fs_path(f"{self.path(table)}/{SCHEMA_FILE}")
+        text = self._read_text(f"{self.path(table)}/{SCHEMA_FILE}")
+        return None if text is None else StructType.fromJson(json.loads(text))
+
+    def declare(self, table: str, schema: StructType) -> None:
+        """Record a table's schema beside its data. Parquet gives neither the
+        order of partition columns nor nullability back, and a partitioned
+        write without rows leaves no file at all."""
+        self._write_text(f"{self.path(table)}/{SCHEMA_FILE}", schema.json())
+
+    def _read_text(self, path: str) -> str | None:
+        fs, p = self._fs_path(path)
         if not fs.exists(p):
             return None
         stream = fs.open(p)
         try:
-            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
-        return StructType.fromJson(json.loads(text))
 
-    def declare(self, table: str, schema: StructType) -> None:
-        """Record a table's schema beside its data. Parquet gives neither the
-        order of partition columns nor nullability back, and a partitioned
-        write without rows leaves no file at all."""
-        fs, p = self._fs_path(f"{self.path(table)}/{SCHEMA_FILE}")
+    def _write_text(self, path: str, text: str) -> None:
+        fs, p = self._fs_path(path)
         out = fs.create(p, True)
         try:
-            out.write(bytearray(schema.json().encode()))
+            out.write(bytearray(text.encode()))
         finally:
             out.close()
 
@@ -76,17 +89,104 @@ class Warehouse:
         if fs.exists(p):
             fs.delete(p, True)
 
-    def drop_partition(self, table: str, column: str, value: str) -> None:
-        """Delete one first-level partition folder, if it is there."""
+    def partition(self, table: str, column: str, value: str) -> str:
+        """Path of a first-level partition folder."""
         escape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-        self.delete(f"{self.path(table)}/{column}={escape(value)}")
+        return f"{self.path(table)}/{column}={escape(value)}"
+
+    def partition_values(self, table: str) -> list[str]:
+        """Values of the first-level partition column, from the folders' names alone."""
+        unescape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+        fs, p = self._fs_path(self.path(table))
+        names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+        return sorted(unescape(n.split("=", 1)[1]) for n in names if "=" in n)
+
+    # --- publishing: write beside the live table, swap when the write has succeeded -----------
+
+    def staging(self, name: str) -> str:
+        """A new folder, which no reader of a table sees, to write into."""
+        return f"{self.root}/{STAGING}/{name}-{uuid.uuid4().hex}"
+
+    def swap(self, moves: list[tuple[str, str]], staged: str) -> None:
+        """Put each written folder (first) in the place of a live one (second), or drop the
+        live one if nothing was written, then delete `staged`.
+
+        A journal is written first: a run that dies among the renames is
+        finished by `recover`. Before it is written the live folders are as
+        they were; so a write that fails leaves every old row.
+        """
+        journal = f"{staged}.swap.json"
+        self._write_text(f"{journal}.new", json.dumps({"moves": moves, "staged": staged}))
+        self._rename(f"{journal}.new", journal)
+        self._finish(journal)
+
+    def recover(self) -> int:
+        """Finish the swaps that a run left unfinished; their number. For the begin of a step, not beside a running one."""
+        fs, p = self._fs_path(f"{self.root}/{STAGING}")
+        names = sorted(s.getPath().toString() for s in fs.listStatus(p)) if fs.exists(p) else []
+        journals = [n for n in names if n.endswith(".swap.json")]
+        for j in journals:
+            self._finish(j)
+        return len(journals)
+
+    def _finish(self, journal: str) -> None:
+        todo = json.loads(self._read_text(journal))
+        old = f"{todo['staged']}-old"
+        for i, (new, live) in enumerate(todo["moves"]):
+            if self._there(f"{old}/{i}.done"):
+                continue
+            if self._there(live) and not self._there(f"{old}/{i}"):
+                self._rename(live, f"{old}/{i}")
+            if self._there(new):
+                self._rename(new, live)
+            self._write_text(f"{old}/{i}.done", "")
+        for path in (todo["staged"], old, journal):
+            self.delete(path)
+
+    def _there(self, path: str) -> bool:
+        fs, p = self._fs_path(path)
+        return fs.exists(p)
+
+    def _rename(self, src: str, dst: str) -> None:
+        fs, a = self._fs_path(src)
+        _, b = self._fs_path(dst)
+        fs.mkdirs(b.getParent())
+        if not fs.rename(a, b):
+            raise OSError(f"cannot move {src} to {dst}")
+
+    def publish(self, df: DataFrame, table: str, partition_by: list[str] | None = None, replace: list[str] | None = None,
+                schema: StructType | None = None) -> None:
+        """Replace a table by df's rows, or of its first partition column the values `replace` (also by no rows).
+
+        With `schema` a whole table is declared in the same step.
+        """
+        staged = self.staging(table)
+        w = df.write.partitionBy(*partition_by) if partition_by else df.write
+        try:
+            w.parquet(staged)
+        except Exception:
+            self.delete(staged)
+            raise
+        if replace is None:
+            if schema is not None:
+                self._write_text(f"{staged}/{SCHEMA_FILE}", schema.json())
+            self.swap([(staged, self.path(table))], staged)
+        else:
+            live = [self.partition(table, partition_by[0], v) for v in replace]
+            self.swap([(f"{staged}/{p.rsplit('/', 1)[1]}", p) for p in live], staged)
 
     def read(self, table: str, schema: StructType | None = None, *, required: bool = False) -> DataFrame:
         """Read a table; a missing one is an error if `required`, else a typed
         empty frame (which needs `schema`)."""
+        declared = self.declared(table)
         if self._has_data(table):
-            return self.spark.read.option("basePath", self.path(table)).parquet(self.path(table))
-        schema = self.declared(table) or (None if required else schema)
+            files = self.spark.read.option("basePath", self.path(table))
+            if declared is None:
+                return files.parquet(self.path(table))
+            stored = [StructField(f.metadata.get(STORED_AS, f.name), f.dataType) for f in declared]
+            rows = files.schema(StructType(stored)).parquet(self.path(table))
+            return rows.select(*(F.col(s.name).alias(f.name) for s, f in zip(stored, declared)))
+        schema = declared or (None if required else schema)
         if schema is None:
             raise FileNotFoundError(f"table {table} does not exist at {self.path(table)}")
         return self.spark.createDataFrame([], schema)
@@ -95,16 +195,9 @@ class Warehouse:
         """Rows in a table (Parquet footers only); 0 when it does not exist."""
         return self.read(table).count() if self.exists(table) else 0
 
-    def write(self, df: DataFrame, table: str, mode: str = "append", partition_by: list[str] | None = None,
-              dynamic: bool = False) -> None:
-        """Write a table. `dynamic=True` overwrites only the partitions present
-        in `df` (a rerun of a source file replaces its own partitions)."""
-        w = df.write.mode(mode)
-        if dynamic:
-            w = w.option("partitionOverwriteMode", "dynamic")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(self.path(table))
+    def append(self, df: DataFrame, table: str) -> None:
+        """Add rows to a table (the ledgers)."""
+        df.write.mode("append").parquet(self.path(table))
 
     def schema(self, table: str) -> StructType | None:
         return self.read(table).schema if self.exists(table) else None

@@ -41,7 +41,6 @@ MIN_PICKUP = "2025-12-31 23:00:00"
 MAX_PICKUP = "2026-04-01 01:00:00"
 
 # Month of the raw file, taken from its name: `<anything>_YYYY-MM.parquet`.
-SOURCE_MONTH_REGEX = r"_(\d{4})-(\d{2})\.parquet$"
 SOURCE_MONTH_LABEL_REGEX = r"_(\d{4}-\d{2})\.parquet$"
 
 SOURCE_FILE_COLUMN = "_bronze_source_file"

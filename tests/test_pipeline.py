@@ -58,8 +58,8 @@ def test_full_run_incremental_and_idempotent(spark, scratch):
 
     # Re-running Silver for a file (ledger lost) replaces, not duplicates.
     flagged_before = wh.row_count(spec.SILVER_TABLE)
-    res = pipeline._transform(wh, [FILES[0]], cfg).collect()
-    assert res[0].file_ok
+    res = pipeline._transform(wh, [FILES[0]], cfg)
+    assert res[0]["file_ok"]
     assert wh.row_count(spec.SILVER_TABLE) == flagged_before
 
     # Gold written from the warehouse (monthly tables via the shared
@@ -156,10 +156,10 @@ def test_rerun_with_other_bounds_leaves_no_stale_rows(spark, scratch):
     assert pipeline.ingest_bronze(spark, cfg).exit_code == 0 and pipeline.transform_silver(spark, cfg).exit_code == 0
     before = _counts(spark, cfg)
     narrow = spec.PipelineConfig(warehouse=cfg.warehouse, raw_dir=cfg.raw_dir, min_pickup="2026-01-15 00:00:00", max_pickup="2026-01-20 00:00:00")
-    pipeline._transform(Warehouse(spark, cfg.warehouse), [FILES[0]], narrow).collect()
+    pipeline._transform(Warehouse(spark, cfg.warehouse), [FILES[0]], narrow)
     n_bronze, n_silver, n_quarantine = _counts(spark, cfg)
     assert n_silver + n_quarantine == n_bronze == before[0] and 0 < n_silver < before[1]
-    pipeline._transform(Warehouse(spark, cfg.warehouse), [FILES[0]], cfg).collect()
+    pipeline._transform(Warehouse(spark, cfg.warehouse), [FILES[0]], cfg)
     assert _counts(spark, cfg) == before
 
 
@@ -228,19 +228,75 @@ def test_no_plan_deals_rows_round_robin(spark):
     assert "RoundRobin" not in plan and "Exchange" not in plan
 
 
-def test_breakdown_from_outputs_equals_direct(spark):
-    r = registry.silver_result(spark, SF001)
+def test_observed_breakdown_equals_direct(spark, scratch):
+    """The counts of the writing job are those of the breakdown by aggregation, and Bronze is scanned once."""
     from lakeshore.operators import silver as silver_ops
-    direct = silver_ops.rule_breakdown(r.flagged)
-    derived = silver_ops.breakdown_from_outputs(r.silver, r.quarantine).select(*direct.columns)
-    assert direct.count() == 3
-    assert direct.exceptAll(derived).count() == 0 and derived.exceptAll(direct).count() == 0
+    cfg = _cfg(scratch)
+    _write_raw(spark, cfg.raw_dir, FILES)
+    assert pipeline.ingest_bronze(spark, cfg).exit_code == 0
+    wh = Warehouse(spark, cfg.warehouse)
+    found = sorted(pipeline._transform(wh, list(FILES), cfg), key=lambda r: r["source_file"])
+    direct = silver_ops.rule_breakdown(registry.silver_result(spark, SF001).flagged).orderBy("source_file").collect()
+    assert found == [r.asDict() for r in direct] and len(found) == 3
+    rows = silver_ops.outcome_rows(silver_ops.flag_rules(wh.read(spec.BRONZE_TABLE)), F.current_timestamp())
+    counted = rows.observe(silver_ops_observation(), *silver_ops.outcome_metrics(rows, list(FILES)))
+    assert counted._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+    # Both tables read as if each had been written by itself.
+    r = registry.silver_result(spark, SF001)
+    for table, want, stamp in ((spec.SILVER_TABLE, r.silver, spec.PROCESSED_AT_COLUMN), (spec.QUARANTINE_TABLE, r.quarantine, spec.REJECTED_AT_COLUMN)):
+        got = wh.read(table)
+        cols = [c for c in want.columns if c != stamp]
+        assert [c for c in got.columns if c not in (stamp, "pickup_month", spec.INGESTED_AT_COLUMN)] == cols
+        assert dict(got.select(*cols).dtypes) == dict(want.select(*cols).dtypes)
+        assert got.select(*cols).exceptAll(want.select(*cols)).count() == 0 and got.count() == want.count()
+
+
+def silver_ops_observation():
+    from pyspark.sql import Observation
+    return Observation()
+
+
+def test_a_failing_write_leaves_the_old_rows(spark, scratch):
+    import pytest
+    cfg = _cfg(scratch)
+    _write_raw(spark, cfg.raw_dir, FILES[:2])
+    assert pipeline.ingest_bronze(spark, cfg).exit_code == 0 and pipeline.transform_silver(spark, cfg).exit_code == 0
+    before, wh = _counts(spark, cfg), Warehouse(spark, cfg.warehouse)
+    fails = wh.read(spec.BRONZE_TABLE).withColumn("VendorID", F.when(F.col("PULocationID") > 100, F.raise_error(F.lit("torn"))).otherwise(F.col("VendorID")).cast("int"))
+    with pytest.raises(Exception, match="torn"):
+        wh.publish(fails, spec.BRONZE_TABLE, [spec.SOURCE_FILE_COLUMN], replace=list(FILES[:2]))
+    with pytest.raises(Exception, match="torn"):
+        wh.publish(fails, spec.SILVER_TABLE)
+    assert _counts(spark, cfg) == before and wh.recover() == 0
+
+
+def test_a_swap_cut_short_is_finished(spark, scratch, monkeypatch):
+    import pytest
+    wh = Warehouse(spark, scratch)
+
+    def frame(lo, parts):
+        return spark.range(lo, lo + 12).selectExpr("id", f"concat('p', id % {parts}) AS p")
+    wh.publish(frame(0, 3), "ns.t", ["p"], replace=["p0", "p1", "p2"])
+    plain, calls = Warehouse._rename, []
+    for stop in range(1, 5):  # the journal, then two renames for each partition
+        def dies(self, src, dst, stop=stop):
+            calls.append(dst)
+            if len(calls) > stop:
+                raise KeyboardInterrupt
+            plain(self, src, dst)
+        calls.clear()
+        monkeypatch.setattr(Warehouse, "_rename", dies)
+        with pytest.raises(KeyboardInterrupt):
+            wh.publish(frame(100 * stop, 2), "ns.t", ["p"], replace=["p0", "p1", "p2"])
+        monkeypatch.setattr(Warehouse, "_rename", plain)
+        assert wh.recover() == 1 and wh.recover() == 0
+        assert sorted(r.id for r in wh.read("ns.t").collect()) == list(range(100 * stop, 100 * stop + 12))
+        assert wh.partition_values("ns.t") == ["p0", "p1"]
 
 
 def test_cli_without_checkpoint_dir(spark, scratch):
-    # A fresh session that names no spark.checkpoint.dir: the Gold step must
-    # still checkpoint its shared pre-aggregate, in a folder beside the
-    # warehouse (shared storage), and build every table.
+    # A fresh session that names no spark.checkpoint.dir: the Gold step keeps
+    # its partial states in the warehouse and builds every table.
     import subprocess
     import sys
 
@@ -258,4 +314,51 @@ def test_cli_without_checkpoint_dir(spark, scratch):
     wh = Warehouse(spark, cfg.warehouse)
     log = wh.read(spec.GOLD_LOG_TABLE).collect()
     assert len(log) == len(spec.GOLD_TABLES) and {r.status for r in log} == {"success"}
-    assert os.path.isdir(os.path.join(cfg.warehouse, "_checkpoints", "spark"))
+    assert wh.partition_values("metadata.gold_partial_monthly") == [FILES[0]]
+
+
+def _gold_rows(spark, cfg):
+    out = {}
+    for t in spec.GOLD_TABLES:
+        df = pipeline.load_gold(spark, cfg.warehouse, t)
+        out[t] = registry.stable(df.select(*[c for c in df.columns if c not in ("metric_date", "generated_at")]))
+    return out
+
+
+def test_gold_reads_new_files_only_and_equals_a_full_build(spark, scratch, monkeypatch):
+    import shutil
+
+    from lakeshore.operators import gold as gold_ops
+    cfg = _cfg(scratch)
+    _write_raw(spark, cfg.raw_dir, FILES[:2])
+    assert pipeline.run_all(spark, cfg) == 0
+    read = []
+    plain = gold_ops.shared_preaggregate
+
+    def spying(silver, more=()):
+        read.append({f.split(f"{spec.SOURCE_FILE_COLUMN}=")[1].split("/")[0] for f in silver.inputFiles()})
+        return plain(silver, more)
+    monkeypatch.setattr(gold_ops, "shared_preaggregate", spying)
+    pipeline.build_gold(spark, cfg)
+    assert len(read) == 1  # the schema only: nothing is stale
+    read.clear()
+    _write_raw(spark, cfg.raw_dir, FILES[2:])
+    assert pipeline.run_all(spark, cfg) == 0
+    wh = Warehouse(spark, cfg.warehouse)
+    assert len(read) == 2
+    states = {r[spec.SOURCE_FILE_COLUMN]: r.snapshot_id for r in wh.read("metadata.gold_partial_monthly").select(spec.SOURCE_FILE_COLUMN, "snapshot_id").distinct().collect()}
+    assert len(set(states.values())) == 2 and states[FILES[0]] == states[FILES[1]] != states[FILES[2]]
+    plan = pipeline.Partials(wh, wh.read(spec.SILVER_TABLE), wh.read(spec.QUARANTINE_TABLE))
+    assert all(plan.stale(k) == ([], []) for k in ("monthly", "daily", "quality", "rejected"))
+    grown = _gold_rows(spark, cfg)
+    full = spec.PipelineConfig(warehouse=os.path.join(scratch, "full"), raw_dir=cfg.raw_dir)
+    assert pipeline.run_all(spark, full) == 0
+    for t, rows in _gold_rows(spark, full).items():
+        assert rows.exceptAll(grown[t]).count() == 0 and grown[t].exceptAll(rows).count() == 0, t
+    # A file that leaves Silver leaves Gold.
+    shutil.rmtree(wh.partition(spec.SILVER_TABLE, spec.SOURCE_FILE_COLUMN, FILES[2]))
+    shutil.rmtree(wh.partition(spec.QUARANTINE_TABLE, spec.SOURCE_FILE_COLUMN, FILES[2]))
+    assert pipeline.build_gold(spark, cfg).exit_code == 0
+    assert wh.partition_values("metadata.gold_partial_monthly") == list(FILES[:2])
+    left = pipeline.load_gold(spark, cfg.warehouse, "monthly_kpi").filter("data_variant = 'all' AND month_basis = 'source_month'")
+    assert left.agg(F.sum("trip_count")).first()[0] == wh.row_count(spec.SILVER_TABLE)
