@@ -75,6 +75,17 @@ def file_status(files: DataFrame, ledger: DataFrame, target_table: str | None =
         "already_processed", F.coalesce(F.col("already_processed"), F.lit(False)))
 
 
+def rows_of(bronze: DataFrame, files: DataFrame) -> DataFrame:
+    """Bronze's rows of the files in a frame (source_file), such as the pending ones.
+
+    Bronze is partitioned by source file, so Spark runs the (small) frame first
+    and reads only the partitions it names: dynamic partition pruning, with
+    nothing passing through the driver.
+    """
+    names = files.select(F.col("source_file").alias(spec.SOURCE_FILE_COLUMN)).distinct()
+    return bronze.join(names, spec.SOURCE_FILE_COLUMN, "left_semi")
+
+
 def ingestion_summary(bronze: DataFrame, target_table: str = spec.BRONZE_TABLE) -> DataFrame:
     """Per source file: rows landed in Bronze (the ingestion ledger's view)."""
     return bronze.groupBy(F.col(spec.SOURCE_FILE_COLUMN).alias("source_file")).agg(

@@ -124,18 +124,18 @@ def top_k(df: DataFrame, k: int, by: str = "trip_count", tie_keys: list[str] | N
 def top_zones_share(zone_monthly: DataFrame, zone_column: str, k: int = 20) -> DataFrame:
     """Top-k zones by summed trips with their share of all shown-zone trips.
 
-    The share base is the total over all zones (not just the top k); a base
-    of 0 gives NULL ("n/a"). The base is a scalar subquery: computed once by
-    its own global aggregate, no join.
+    The share base is the total over all zones (not just the top k, and with
+    the trips of no zone); a base of 0 gives NULL ("n/a"). It is summed from the
+    per-zone totals, a row a zone, so the table is read once.
     """
-    per_zone = (zone_monthly.filter(F.col(zone_column).isNotNull())
-                .groupBy(zone_column).agg(F.sum("trip_count").cast("bigint").alias("trip_count")))
+    per_zone = zone_monthly.groupBy(zone_column).agg(F.sum("trip_count").cast("bigint").alias("trip_count"))
+    everything = Window.partitionBy()
+    per_zone = per_zone.withColumn("base", F.sum("trip_count").over(everything).cast("double")).filter(F.col(zone_column).isNotNull())
     top = top_k(per_zone, k, tie_keys=[zone_column])
-    base = zone_monthly.agg(F.sum("trip_count").cast("double")).scalar()
     return top.select(
         as_category_string(F.col(zone_column)).alias(zone_column),
         "trip_count",
-        F.when(base != 0, F.col("trip_count") / base * 100.0).alias("share_percent"),
+        F.when(F.col("base") != 0, F.col("trip_count") / F.col("base") * 100.0).alias("share_percent"),
     )
 
 

@@ -18,7 +18,7 @@ from . import oracle as O
 from . import spec
 from .operators import bronze as B
 from .operators import checks, gold, profile, quality, relations, reports
-from .plans import pipeline
+from .plans import duplicates, pipeline
 from .registry import Query, silver_result, success_log
 from .session import scratch_dir
 from .sources.fixture import RAW_COLUMNS, RAW_NUMERIC_COLUMNS, raw_trips
@@ -664,9 +664,9 @@ def check_queries() -> dict[str, Query]:
 # The file-based pipeline: raw files written, run, and read back
 # ---------------------------------------------------------------------------
 
-def _write_raw(s, sf, root: str, files: list[str] | None = None) -> list[str]:
+def _write_raw(s, sf, root: str, files: list[str] | None = None, edge: bool = False) -> list[str]:
     """The trips as monthly raw files (all, or the given ones); the names of all there are."""
-    trips = raw_trips(s, sf)
+    trips = raw_trips(s, sf, edge)
     names = sorted(r[0] for r in trips.select(spec.SOURCE_FILE_COLUMN).distinct().collect())  # three files
     for name in names if files is None else files:
         trips.filter(F.col(spec.SOURCE_FILE_COLUMN) == name).drop(spec.SOURCE_FILE_COLUMN).write.parquet(f"{root}/raw/{name}")
@@ -761,6 +761,46 @@ def _grown_gold(s, sf) -> DataFrame:
     return pipeline.load_gold(s, cfg.warehouse, "monthly_kpi")
 
 
+def _months_one_by_one(s, sf) -> tuple[pipeline.Warehouse, list[str]]:
+    """Bronze of the edge trips and its stored row hashes, a month at a time."""
+    root = scratch_dir(s, "months")
+    names = _write_raw(s, sf, root, [], edge=True)
+    cfg = spec.PipelineConfig(warehouse=f"{root}/warehouse", raw_dir=f"{root}/raw")
+    wh = pipeline.Warehouse(s, cfg.warehouse)
+    for name in names:
+        _write_raw(s, sf, root, [name], edge=True)
+        if pipeline.ingest_bronze(s, cfg).exit_code:
+            raise RuntimeError(f"{name} was not ingested")
+        duplicates.add_files(wh, wh.read(spec.BRONZE_TABLE), [name])
+    return wh, names
+
+
+def _duplicates_by_month(s, sf) -> DataFrame:
+    return duplicates.duplicate_summary(_months_one_by_one(s, sf)[0])
+
+
+def _seen_before(s, sf) -> DataFrame:
+    wh, names = _months_one_by_one(s, sf)
+    return duplicates.seen_before(wh, names[-1:])
+
+
+def _pending_rows(s, sf) -> DataFrame:
+    """Bronze's rows of the files that the transform ledger lacks: one of three, after the others were transformed."""
+    root = scratch_dir(s, "pending")
+    cfg = spec.PipelineConfig(warehouse=f"{root}/warehouse", raw_dir=f"{root}/raw")
+    names = _write_raw(s, sf, root, [])
+    _write_raw(s, sf, root, names[:2])
+    _run_steps(s, cfg, [])
+    _write_raw(s, sf, root, names[2:])
+    if pipeline.ingest_bronze(s, cfg).exit_code:
+        raise RuntimeError("the last month was not ingested")
+    wh = pipeline.Warehouse(s, cfg.warehouse)
+    files = B.successful(wh.read(spec.INGESTION_LOG_TABLE), spec.BRONZE_TABLE)
+    pending = B.pending_files(files, wh.read(spec.TRANSFORM_LOG_TABLE), spec.SILVER_TABLE)
+    return B.rows_of(wh.read(spec.BRONZE_TABLE), pending).groupBy(spec.SOURCE_FILE_COLUMN).agg(
+        F.count("*").alias("rows"), F.sum("total_amount").alias("total_amount"))
+
+
 def _run_checks(s, sf) -> DataFrame:
     """What must hold of tables and ledgers after a run, a rerun of all files, a write that fails and one that is refused."""
     began = datetime.now(timezone.utc)
@@ -816,6 +856,14 @@ def pipeline_queries() -> dict[str, Query]:
     return {
         "pipeline_ledgers": Query(_ledgers, _ledgers_sql()),
         "pipeline_checks": Query(_run_checks, WB("\nUNION ALL\n".join(f"SELECT '{k}' AS \"check\", CAST({v} AS BIGINT) AS value" for k, v in held.items()))),
+        "duplicates_by_month": Query(_duplicates_by_month, WE("""SELECT count(*) AS duplicate_groups, CAST(coalesce(sum(c - 1), 0) AS BIGINT) AS duplicate_rows
+FROM (SELECT * EXCLUDE (_bronze_source_file), count(*) AS c FROM bronze GROUP BY ALL HAVING count(*) > 1) d""")),
+        "duplicates_seen_before": Query(_seen_before, WE(f""", keyed AS (SELECT _bronze_source_file AS f, t::VARCHAR AS t
+  FROM (SELECT _bronze_source_file, row({', '.join(c for c in RAW_COLUMNS if c != spec.SOURCE_FILE_COLUMN)}) AS t FROM bronze) x)
+SELECT f AS _bronze_source_file, count(*) AS rows, count(*) FILTER (WHERE t IN (SELECT t FROM keyed WHERE f <> 'demo_tripdata_2026-04.parquet')) AS rows_seen_before
+FROM keyed WHERE f = 'demo_tripdata_2026-04.parquet' GROUP BY f""")),
+        "pending_rows": Query(_pending_rows, WB("""SELECT _bronze_source_file, count(*) AS rows, sum(total_amount) AS total_amount
+FROM bronze WHERE _bronze_source_file = 'demo_tripdata_2026-03.parquet' GROUP BY 1"""), ["total_amount"]),
         "gold_incremental": Query(_grown_gold, O.gold_sql("monthly_kpi"), GOLD_DOUBLES["monthly_kpi"]),
         "gold_sql_zones": Query(_sql_over_gold(["zone_flow_monthly"], ZONES_SQL, variant="exclude_zero_duration", zone=132, row_limit=25), WT(
             O.gold_tables("zone_flow_monthly"), """SELECT year_month, pickup_location_id, dropoff_location_id, trip_count, total_revenue, avg_trip_distance

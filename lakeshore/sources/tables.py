@@ -101,6 +101,11 @@ class Warehouse:
         names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
         return sorted(unescape(n.split("=", 1)[1]) for n in names if "=" in n)
 
+    def data_files(self, table: str) -> int:
+        """Data files directly in a table's folder."""
+        fs, p = self._fs_path(self.path(table))
+        return sum(_visible(s.getPath().getName()) and s.isFile() for s in fs.listStatus(p)) if fs.exists(p) else 0
+
     # --- publishing: write beside the live table, swap when the write has succeeded -----------
 
     def staging(self, name: str) -> str:

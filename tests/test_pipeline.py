@@ -362,3 +362,38 @@ def test_gold_reads_new_files_only_and_equals_a_full_build(spark, scratch, monke
     assert wh.partition_values("metadata.gold_partial_monthly") == list(FILES[:2])
     left = pipeline.load_gold(spark, cfg.warehouse, "monthly_kpi").filter("data_variant = 'all' AND month_basis = 'source_month'")
     assert left.agg(F.sum("trip_count")).first()[0] == wh.row_count(spec.SILVER_TABLE)
+
+
+def test_pending_rows_are_pruned_by_the_join(spark, scratch):
+    from lakeshore.operators import bronze as bronze_ops
+    cfg = _cfg(scratch)
+    _write_raw(spark, cfg.raw_dir, FILES)
+    assert pipeline.ingest_bronze(spark, cfg).exit_code == 0
+    wh = Warehouse(spark, cfg.warehouse)
+    pending = wh.read(spec.INGESTION_LOG_TABLE).filter("status = 'success' AND source_file LIKE '%-02.parquet'")
+    rows = bronze_ops.rows_of(wh.read(spec.BRONZE_TABLE), pending)
+    assert "dynamicpruning" in rows._jdf.queryExecution().executedPlan().toString().lower()
+    assert {r[0] for r in rows.select(spec.SOURCE_FILE_COLUMN).distinct().collect()} == {FILES[1]}
+
+
+def test_a_ledger_of_many_runs_stays_small(spark, scratch, monkeypatch):
+    from datetime import datetime, timedelta, timezone
+
+    from lakeshore.operators import bronze as bronze_ops
+    from lakeshore.sources import ledger
+    monkeypatch.setattr(ledger, "COMPACT_FILES", 4)
+    wh, start = Warehouse(spark, scratch), datetime(2026, 1, 1, tzinfo=timezone.utc)
+    rows = []
+    for run in range(13):
+        for name in ("a", "b", "c"):
+            status = "success" if (name, run) in (("a", 2), ("a", 7), ("b", 5)) else "failed"
+            rows.append({"source_file": name, "target_table": "t", "status": status, "row_count": run, "file_size_bytes": 1, "snapshot_id": run,
+                         "started_at": start, "finished_at": start + timedelta(hours=run), "error_message": None})
+        ledger.append_rows(spark, wh, "metadata.log", ledger.INGESTION_LOG_SCHEMA, rows[-3:])
+        assert wh.data_files("metadata.log") <= 4
+    whole = spark.createDataFrame([tuple(r.values()) for r in rows], ledger.INGESTION_LOG_SCHEMA)
+    files = spark.createDataFrame([(n,) for n in "abcd"], "source_file string")
+    status = lambda log: sorted(map(tuple, bronze_ops.file_status(files, log, "t").collect()))
+    small = wh.read("metadata.log")
+    assert status(small) == status(whole) == [("a", True), ("b", True), ("c", False), ("d", False)]
+    assert small.count() < 15 and small.filter("source_file = 'a' AND status = 'success'").agg(F.max("row_count")).first()[0] == 7
