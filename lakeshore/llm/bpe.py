@@ -46,6 +46,8 @@ CACHE, CACHE_BYTES = 1 << 19, 64
 LONG = 256
 #: A bundle of documents: so many rows or so many characters; split so many characters at a time.
 BUNDLE_ROWS, BUNDLE_CHARS, SPLIT_CHARS = 4096, 3_000_000, 500_000
+#: Words whose code points are compared at a time.
+COMPARED = 1 << 14
 
 
 @lru_cache(maxsize=4)
@@ -129,11 +131,15 @@ def word_hashes(cp: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.nda
 
 def same_words(cp: np.ndarray, starts: np.ndarray, sizes: np.ndarray, others: np.ndarray, other_starts: np.ndarray) -> np.ndarray:
     """Whether the code points cp[starts:starts + sizes] of each word equal those of another one of that size."""
-    ends = np.cumsum(sizes)
-    place = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - sizes, sizes)
-    unlike = cp[np.repeat(starts, sizes) + place] != others[np.repeat(other_starts, sizes) + place]
-    count = np.concatenate([[0], np.cumsum(unlike)])
-    return count[ends] == count[ends - sizes]
+    out = np.ones(len(sizes), bool)
+    for lo in range(0, len(sizes), COMPARED):
+        size = sizes[lo:lo + COMPARED].astype(np.int64)
+        ends = np.cumsum(size)
+        place = np.arange(int(ends[-1])) - np.repeat(ends - size, size)
+        unlike = cp[np.repeat(starts[lo:lo + COMPARED], size) + place] != others[np.repeat(other_starts[lo:lo + COMPARED], size) + place]
+        count = np.concatenate([[0], np.cumsum(unlike)])
+        out[lo:lo + COMPARED] = count[ends] == count[ends - size]
+    return out
 
 
 class Words:
@@ -279,19 +285,17 @@ def _count_words(classes):
     return run
 
 
-class Cache:
-    """Ids of words, in order of the words' hashes: word i has values[starts[i]:starts[i] + sizes[i]]."""
+class Known:
+    """Words in order of their hashes, for look-ups."""
 
-    def __init__(self, words: list[str], ids: pa.ListArray):
+    def __init__(self, words: list[str]):
         length = np.fromiter(map(len, words), np.int64, len(words))
         cp = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
         ends = np.cumsum(length)
         h = word_hashes(cp, ends - length, ends)
-        order = np.argsort(h, kind="stable")
-        self.h, self.cp, self.length, self.at = h[order], cp, length[order], (ends - length)[order]
-        sizes = np.diff(ids.offsets.to_numpy()).astype(np.int64)
-        self.values = ragged(ids.values.to_numpy(zero_copy_only=False)[ids.offsets[0].as_py():], sizes, order).astype(np.int32)
-        self.sizes = sizes[order]
+        self.order = np.argsort(h, kind="stable")
+        self.h, self.length, self.at = h[self.order], length[self.order].astype(np.uint16), (ends - length)[self.order].astype(np.int32)
+        self.cp = cp.astype(np.uint16) if not len(cp) or cp.max() < 1 << 16 else cp
 
     def find(self, w: Words) -> np.ndarray:
         """Number of each distinct word, -1 if it is not there: of words that share a hash only one is found."""
@@ -304,6 +308,15 @@ class Cache:
         return out
 
 
+class Ids:
+    """Ids of the known words, in the same order: word i has values[starts[i]:starts[i] + sizes[i]]."""
+
+    def __init__(self, ids: pa.ListArray, order: np.ndarray):
+        sizes = np.diff(ids.offsets.to_numpy()).astype(np.int64)
+        self.values = ragged(ids.values.to_numpy(zero_copy_only=False)[ids.offsets[0].as_py():], sizes, order).astype(np.int32)
+        self.sizes = sizes[order].astype(np.int32)
+
+
 def ragged(values: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> np.ndarray:
     """values, cut into parts of `sizes`: the parts numbered `at`, end to end."""
     starts, size = np.cumsum(sizes) - sizes, sizes[at]
@@ -373,14 +386,16 @@ def _encoded(docs: DataFrame, keep: list[str], path: str, finish: Callable, sche
     # At most CACHE words and their ids come back to the driver.
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     folded = top.select("word").repartition(parts).select("word", fold_word(F.decode("word", "ISO-8859-1"), maps).alias("ids")).toArrow()
-    cache = spark.sparkContext.broadcast(Cache([w.decode() for w in folded["word"].to_pylist()], folded["ids"].combine_chunks()))
-    del folded
+    words = Known([w.decode() for w in folded["word"].to_pylist()])
+    known_ids = spark.sparkContext.broadcast(Ids(folded["ids"].combine_chunks(), words.order))
+    del folded, words.order
+    known = spark.sparkContext.broadcast(words)  # each side of the fold has only what it needs
     types = dict(rows.dtypes)
     kinds = ", ".join(f"{c}:{types[c]}" for c in keep)
-    bundles = rows.mapInArrow(_bundles(classes, cache, keep), f"kept array<struct<{kinds}>>, sizes array<int>, codes array<int>, rare array<string>")
+    bundles = rows.mapInArrow(_bundles(classes, known, keep), f"kept array<struct<{kinds}>>, sizes array<int>, codes array<int>, rare array<string>")
     done = bundles.withColumn("ids", F.transform("rare", lambda w: F.when(F.length(w) <= LONG, fold_word(w, maps))))
     arrow = spark.createDataFrame([], rows.select(*keep).schema).toArrow().schema
-    return done.mapInArrow(_unbundle(cache, path, arrow, finish), ", ".join(f"{c} {types[c]}" for c in keep) + ", " + schema)
+    return done.mapInArrow(_unbundle(known_ids, path, arrow, finish), ", ".join(f"{c} {types[c]}" for c in keep) + ", " + schema)
 
 
 def _as_list(path: str) -> Callable:
