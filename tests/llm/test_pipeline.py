@@ -66,4 +66,4 @@ def test_empty_and_null_documents_pass_through(spark, scratch):
 def test_entry_registers_the_pipeline():
     entry = importlib.import_module("__spark_entry__")
     names = entry.queries()
-    assert "pipeline" in names and sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()) == list(range(1, 11))
+    assert "pipeline" in names and sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()) == list(range(1, 14))
