@@ -1,7 +1,8 @@
 """Operator 8: document log-likelihood under a gated recurrent language model.
 
 Counts: all training words are counted exactly (combined in the tasks, then by
-shuffle). The `VOCAB` most frequent of the cached ones (below) are the model's words, in classes of
+shuffle). Then every text is turned into symbols once, in a table that training
+and scoring read. The `VOCAB` most frequent of the cached ones (below) are the model's words, in classes of
 `PER_CLASS`; every other word belongs to one of a few shape classes (last byte
 and ASCII or not) in which add-one counts share the mass, unseen words
 included. So the model gives every text a probability.
@@ -52,6 +53,8 @@ RATE = 0.1
 #: Updates that a training sequence should give at least.
 UPDATES = 50
 BATCH = 2048
+#: Positions whose class shares are computed at a time.
+ROWS = 4096
 CHUNK = 1 << 14
 F32 = np.float32
 
@@ -148,6 +151,13 @@ def _softmax_less_one(x: np.ndarray, at: np.ndarray, scale: float) -> np.ndarray
     return x
 
 
+def _by_class(cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the word classes' symbols, class by class, and where each class begins among them."""
+    order = np.argsort(cls.astype(np.int16), kind="stable")
+    bounds = np.searchsorted(cls[order], np.arange(WORD_CLASSES + 1))
+    return order[bounds[0]:bounds[-1]], bounds - bounds[0]
+
+
 class Gru:
     """The weights: input table e (one row a symbol, gates z, r, n), recurrent u, class output, word outputs by class."""
 
@@ -176,23 +186,35 @@ class Gru:
             setattr(self, k, flat[at:at + a.size].reshape(a.shape).astype(F32))
             at += a.size
 
-    def step(self, h: np.ndarray, x: np.ndarray) -> tuple:
-        g, a, k = self.e[x], h @ self.u, HIDDEN
-        zr = 1 / (1 + np.exp(-(g[:, :2 * k] + a[:, :2 * k])))
-        z, r = zr[:, :k], zr[:, k:]
-        n = np.tanh(g[:, 2 * k:] + r * a[:, 2 * k:])
-        return n + z * (h - n), z, r, n, a[:, 2 * k:]
+    def gates(self, h: np.ndarray, g: np.ndarray) -> tuple:
+        """Next state, gates z and r side by side, n, and the recurrent part of n, from a state and rows of the input table."""
+        a, k = h @ self.u, HIDDEN
+        zr = g[:, :2 * k] + a[:, :2 * k]
+        np.exp(np.negative(zr, out=zr), out=zr)
+        zr += 1
+        np.reciprocal(zr, out=zr)
+        n = zr[:, k:] * a[:, 2 * k:]
+        n += g[:, 2 * k:]
+        np.tanh(n, out=n)
+        after = h - n
+        after *= zr[:, :k]
+        after += n
+        return after, zr, n, a[:, 2 * k:]
+
+    def step(self, h: np.ndarray, x: np.ndarray) -> np.ndarray:
+        return self.gates(h, self.e[x])[0]
 
     def log_probs(self, h: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Natural log of P(y | h), up to a shape class for other words; row by row."""
-        cls = class_of(y)
-        out = _log_share(h @ self.c + self.cb, cls)
-        order = np.argsort(cls, kind="stable")
-        bounds = np.searchsorted(cls[order], np.arange(WORD_CLASSES + 1))
-        for k in range(WORD_CLASSES):
-            if bounds[k] < bounds[k + 1]:
-                rows = order[bounds[k]:bounds[k + 1]]
-                out[rows] += _log_share(h[rows] @ self.w[k] + self.wb[k], y[rows] - k * PER_CLASS)
+        cls, out = class_of(y), np.empty(len(y), h.dtype)
+        for lo in range(0, len(y), ROWS):
+            out[lo:lo + ROWS] = _log_share(h[lo:lo + ROWS] @ self.c + self.cb, cls[lo:lo + ROWS])
+        words, bounds = _by_class(cls)
+        hw, at, more = h[words], y[words] % PER_CLASS, np.empty(len(words), h.dtype)
+        for k, (lo, hi) in enumerate(zip(bounds, bounds[1:])):
+            if lo < hi:
+                more[lo:hi] = _log_share(hw[lo:hi] @ self.w[k] + self.wb[k], at[lo:hi])
+        out[words] += more
         return out
 
     def _update(self, name: str, grad: np.ndarray, rows: np.ndarray | slice = slice(None)) -> None:
@@ -205,38 +227,49 @@ class Gru:
         if self.squares is None:
             self.squares = {k: np.full_like(getattr(self, k), 1e-4) for k in self.NAMES}
         b, t, k = len(x), x.shape[1] - 1, HIDDEN
-        kept, states, given = [], [], np.maximum(x[:, :-1], 0)
+        given = np.maximum(x[:, :-1], 0).T
+        table = self.e[given]
+        hs, zr = np.empty((t + 1, b, k), table.dtype), np.empty((t, b, 2 * k), table.dtype)
+        n, an = np.empty((t, b, k), table.dtype), np.empty((t, b, k), table.dtype)
+        hs[0] = h
         for i in range(t):
-            before = h
-            h, z, r, n, an = self.step(h, given[:, i])
-            kept.append((before, z, r, n, an))
-            states.append(h)
-        hs, y = np.concatenate(states), x[:, 1:].T.ravel()
+            hs[i + 1], zr[i], n[i], an[i] = self.gates(hs[i], table[i])
+        out, y = hs[1:].reshape(t * b, k), x[:, 1:].T.ravel()
         cls, scale = class_of(y), F32(1 / (STEPS * b))
-        d = _softmax_less_one(hs @ self.c + self.cb, cls, scale)
-        d[y < 0] = 0  # their class is below all others, so they have no part in the loop either
+        d = _softmax_less_one(out @ self.c + self.cb, cls, scale)
+        d[y < 0] = 0  # their class is below all others, so they are no words either
         dh = d @ self.c.T
-        grads = [("c", hs.T @ d, slice(None)), ("cb", d.sum(axis=0), slice(None))]
-        order = np.argsort(cls, kind="stable")
-        bounds = np.searchsorted(cls[order], np.arange(WORD_CLASSES + 1))
-        for j in range(WORD_CLASSES):
-            if bounds[j] < bounds[j + 1]:
-                rows = order[bounds[j]:bounds[j + 1]]
-                dw = _softmax_less_one(hs[rows] @ self.w[j] + self.wb[j], y[rows] - j * PER_CLASS, scale)
-                dh[rows] += dw @ self.w[j].T
-                grads += [("w", hs[rows].T @ dw, j), ("wb", dw.sum(axis=0), j)]
-        dh = dh.reshape(t, b, k)
-        du, dg, carry = np.zeros_like(self.u), np.empty((t, b, 3 * k), F32), np.zeros((b, k), F32)
+        grads = [("c", out.T @ d, slice(None)), ("cb", d.sum(axis=0), slice(None))]
+        # Words, class by class: products a class, everything else for all of them at once.
+        words, bounds = _by_class(cls)
+        hw, dw, back = out[words], np.empty((len(words), PER_CLASS), out.dtype), np.empty((len(words), k), out.dtype)
+        spans = [(j, lo, hi) for j, (lo, hi) in enumerate(zip(bounds.tolist(), bounds[1:].tolist())) if lo < hi]
+        for j, lo, hi in spans:
+            np.matmul(hw[lo:hi], self.w[j], out=dw[lo:hi])
+        dw += np.repeat(self.wb, np.diff(bounds), axis=0)
+        _softmax_less_one(dw, y[words] % PER_CLASS, scale)
+        gw, gwb = np.zeros_like(self.w), np.zeros_like(self.wb)
+        for j, lo, hi in spans:
+            np.matmul(hw[lo:hi].T, dw[lo:hi], out=gw[j])
+            np.matmul(dw[lo:hi], self.w[j].T, out=back[lo:hi])
+            gwb[j] = dw[lo:hi].sum(axis=0)
+        dh[words] += back
+        grads += [("w", gw, slice(None)), ("wb", gwb, slice(None))]
+        # Back through time: what a state's gradient does to the gates is known for all steps beforehand.
+        dh, z, r, before = dh.reshape(t, b, k), zr[..., :k], zr[..., k:], hs[:-1]
+        to_n = (1 - z) * (1 - n * n)
+        to_z, to_r = (before - n) * z * (1 - z), to_n * an * r * (1 - r)
+        inputs, recurrent = np.stack([to_z, to_r, to_n], axis=2), np.stack([to_z, to_r, to_n * r], axis=2)
+        carry, ut = np.zeros((b, k), table.dtype), self.u.T.copy()
         for i in reversed(range(t)):
-            before, z, r, n, an = kept[i]
-            g = dh[i] + carry
-            dn = g * (1 - z) * (1 - n * n)
-            dz, dr = g * (before - n) * z * (1 - z), dn * an * r * (1 - r)
-            dg[i] = np.concatenate([dz, dr, dn], axis=1)
-            da = np.concatenate([dz, dr, dn * r], axis=1)
-            du += before.T @ da
-            carry = g * z + da @ self.u.T
-        xs, dg = given.T.ravel(), dg.reshape(t * b, 3 * k)
+            g = dh[i]
+            g += carry
+            carry = g * z[i]
+            carry += (g[:, None] * recurrent[i]).reshape(b, 3 * k) @ ut
+        inputs *= dh[:, :, None]
+        recurrent *= dh[:, :, None]
+        du = before.reshape(t * b, k).T @ recurrent.reshape(t * b, 3 * k)
+        xs, dg, h = given.ravel().astype(np.int16), inputs.reshape(t * b, 3 * k), hs[-1]
         order = np.argsort(xs, kind="stable")
         rows, first = np.unique(xs[order], return_index=True)
         grads += [("u", du, slice(None)), ("e", np.add.reduceat(dg[order], first, axis=0), rows)]
@@ -279,7 +312,7 @@ class Gru:
                     x[j, :len(part)] = part
                 states = np.empty((steps, on, HIDDEN), F32)
                 for s in range(steps):
-                    h = self.step(h, last if s == 0 else x[:, s - 1])[0]
+                    h = self.step(h, last if s == 0 else x[:, s - 1])
                     states[s] = h
                 last = x[:, -1]
                 valid = (at + np.arange(steps))[:, None] < size[:on]
@@ -289,6 +322,52 @@ class Gru:
         return out
 
 
+# --- texts as symbols ------------------------------------------------------
+
+SYMBOL = np.dtype("<i2")
+
+
+def _symbol_tasks(lexicon):
+    kind = pa.list_(pa.struct([("word", pa.binary()), ("m", pa.int64())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lex = lexicon.value
+        logs = np.log10(lex.n + 1.0)
+        for b in batches:
+            for lo in range(0, b.num_rows, BATCH):
+                part = b.slice(lo, BATCH)
+                rows = []
+                for t in part.column(0).to_pylist():
+                    toks = tokens(t)
+                    sym, rank, rare = lex.symbols(toks)
+                    known = rank[rank >= 0]
+                    other = sym[sym >= VOCAB] - VOCAB
+                    in_shape = known[known >= lex.vocab]
+                    words = Counter(toks[i] for i in rare.tolist())
+                    rows.append((sym.astype(SYMBOL).tobytes(), len(toks), len(known), float(logs[known].sum()),
+                                 float(logs[in_shape].sum() - lex.log_share[other].sum()), [{"word": w, "m": m} for w, m in words.items()]))
+                types = [pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), kind]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[1:], *(pa.array(c, t) for c, t in zip(zip(*rows), types))],
+                    names=[*b.schema.names[1:], "sym", "n_tokens", "n_known", "log_counts", "in_shape", "rare"])
+    return run
+
+
+def as_symbols(rows: DataFrame, lexicon) -> DataFrame:
+    """rows (text, doc_id, held_out) as a table of symbols: id, doc_id, held_out, sym (16-bit symbols), n_tokens, n_known,
+    log_counts (of the cached words), in_shape (log share of the cached words within their shape class), rare (word, m)."""
+    kind = dict(rows.dtypes)["doc_id"]
+    made = rows.select("text", "doc_id", "held_out").mapInArrow(
+        _symbol_tasks(lexicon), f"doc_id {kind}, held_out boolean, sym binary, n_tokens bigint, n_known bigint, log_counts double, in_shape double, "
+        "rare array<struct<word:binary,m:bigint>>")
+    return staged(made.withColumn("id", F.monotonically_increasing_id()), "lm-symbols")
+
+
+def sequences(column: pa.Array) -> list[np.ndarray]:
+    """Symbol sequences of a column `sym`."""
+    return [np.frombuffer(x, SYMBOL) for x in column.to_pylist()]
+
+
 # --- training --------------------------------------------------------------
 
 def _train_tasks(lexicon, start: Gru):
@@ -299,8 +378,7 @@ def _train_tasks(lexicon, start: Gru):
         model.load(start.value)
         for b in batches:
             for lo in range(0, b.num_rows, BATCH):
-                texts = b.column(0).slice(lo, BATCH).to_pylist()
-                used += model.fit(np.concatenate([lex.value.symbols(tokens(t))[0] for t in texts]))
+                used += model.fit(np.concatenate(sequences(b.column(0).slice(lo, BATCH))).astype(np.int64))
         if used:
             flat = model.flat()
             for k in range(0, len(flat), CHUNK):
@@ -321,17 +399,16 @@ def _mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                      names=["chunk", "part"])
 
 
-def learn(train: DataFrame, lexicon: Lexicon) -> Gru:
-    """The model of all rows of train (text, key)."""
-    model = Gru(lexicon)
-    warm = [r.text for r in hash_sample(train, F.col("key"), WARM_DOCS, train.select("key").count()).select("text").collect()]
+def learn(train: DataFrame, lexicon: Lexicon, shared=None) -> Gru:
+    """The model of all rows of train (sym, doc_id); `shared`: the lexicon as a broadcast variable."""
+    model, sc = Gru(lexicon), train.sparkSession.sparkContext
+    warm = [r.sym for r in hash_sample(train, F.col("doc_id"), WARM_DOCS, train.count()).select("sym").collect()]
     if not warm:
         return model
-    stream = np.concatenate([lexicon.symbols(tokens(t))[0] for t in warm])
+    stream = np.concatenate([np.frombuffer(x, SYMBOL) for x in warm]).astype(np.int64)
     for _ in range(WARM_EPOCHS):
         model.fit(stream)
-    sc = train.sparkSession.sparkContext
-    parts = train.select("text").mapInArrow(_train_tasks(sc.broadcast(lexicon), sc.broadcast(model.flat())), "chunk int, part binary, used bigint")
+    parts = train.select("sym").mapInArrow(_train_tasks(shared or sc.broadcast(lexicon), sc.broadcast(model.flat())), "chunk int, part binary, used bigint")
     mean = parts.repartition("chunk").mapInArrow(_mean, "chunk int, part binary").toArrow().to_pylist()
     if mean:
         model.load(np.concatenate([np.frombuffer(r["part"], F32) for r in sorted(mean, key=lambda r: r["chunk"])]))
@@ -340,33 +417,14 @@ def learn(train: DataFrame, lexicon: Lexicon) -> Gru:
 
 # --- scoring ---------------------------------------------------------------
 
-def _score_tasks(lexicon, model):
-    kind = pa.list_(pa.struct([("word", pa.binary()), ("m", pa.int64())]))
-
+def _score_tasks(model, start: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lex, gru = lexicon.value, model.value
-        start = int(lex.symbols([END])[0][0])
-        logs = np.log10(lex.n + 1.0)
+        gru = model.value
         for b in batches:
             for lo in range(0, b.num_rows, 2 * BATCH):
                 part = b.slice(lo, 2 * BATCH)
-                seqs, rows = [], []
-                for t in part.column(0).to_pylist():
-                    toks = tokens(t)
-                    sym, rank, rare = lex.symbols(toks)
-                    seqs.append(sym)
-                    known = rank[rank >= 0]
-                    other = sym[sym >= VOCAB] - VOCAB
-                    in_shape = known[known >= lex.vocab]
-                    words = Counter(toks[i] for i in rare.tolist())
-                    rows.append((len(toks), len(known), float(logs[known].sum()), float(logs[in_shape].sum() - lex.log_share[other].sum()),
-                                 [{"word": w, "m": m} for w, m in words.items()]))
-                ll = gru.score(seqs, start) / np.log(10)
-                cols = list(zip(*rows))
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[1:], pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.float64()),
-                     pa.array(ll + np.array(cols[3]), pa.float64()), pa.array(cols[4], kind)],
-                    names=[*b.schema.names[1:], "n_tokens", "n_known", "log_counts", "score", "rare"])
+                log = gru.score(sequences(part.column(0)), start) / np.log(10)
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(log, pa.float64())], names=[*b.schema.names[1:], "log"])
     return run
 
 
@@ -374,22 +432,22 @@ def score_documents(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
     fold = remainder(F.col("doc_id"), FOLDS)
     rows = pick(docs, "doc_id", "text").select(F.col("text").cast("binary").alias("text"), "doc_id", (fold == HELD).alias("held_out"))
-    train = rows.where(~F.col("held_out")).select("text", F.col("doc_id").alias("key"))
-    counts = count_words(train.select("text"))
+    counts = count_words(rows.where(~F.col("held_out")).select("text"))
     lexicon = Lexicon(counts)
-    model = learn(train, lexicon)
     sc = docs.sparkSession.sparkContext
-    kind = dict(rows.dtypes)["doc_id"]
-    scored = rows.mapInArrow(
-        _score_tasks(sc.broadcast(lexicon), sc.broadcast(model)),
-        f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, log_counts double, score double, rare array<struct<word:binary,m:bigint>>")
-    scored = staged(scored.withColumn("id", F.monotonically_increasing_id()), "lm-scored")
-    rare = scored.select("id", F.explode("rare").alias("r")).select("id", "r.word", "r.m")
+    shared = sc.broadcast(lexicon)
+    symbols = as_symbols(rows, shared)
+    model = learn(symbols.where(~F.col("held_out")).select("sym", "doc_id"), lexicon, shared)
+    start = int(lexicon.symbols([END])[0][0])
+    kept = symbols.select("sym", "id", "doc_id", "held_out", "n_tokens", "n_known", "log_counts", "in_shape")
+    schema = ", ".join(f"{c} {t}" for c, t in kept.dtypes[1:])
+    scored = staged(kept.mapInArrow(_score_tasks(sc.broadcast(model), start), f"{schema}, log double"), "lm-scored")
+    rare = symbols.select("id", F.explode("rare").alias("r")).select("id", "r.word", "r.m")
     found = (rare.join(counts.select("word", "n"), "word").groupBy("id")
              .agg(F.sum(F.col("m") * F.log10(F.col("n") + 1)).alias("more"), F.sum("m").alias("seen")))
     n, v = lexicon.total, lexicon.types
     more = F.coalesce("more", F.lit(0.0))
-    return scored.drop("rare").join(found, "id", "left").select(
+    return scored.join(found, "id", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("seen", F.lit(0))).alias("n_known"), F.lit(n).cast("bigint").alias("train_tokens"),
         (F.col("log_counts") + more - F.col("n_tokens") * F.log10(F.lit(float(n + v + 1)))).alias("base_score"),
-        (F.col("score") + more).alias("score"))
+        (F.col("log") + F.col("in_shape") + more).alias("score"))

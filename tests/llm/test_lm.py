@@ -42,6 +42,61 @@ def test_words_beyond_the_cache_are_joined(spark, monkeypatch):
     check(lm.score_documents(documents(spark, texts, extra=True)).collect(), list(range(len(texts))), texts)
 
 
+def plain_log10(model, lexicon, counts, text):
+    """log10 probability of a text, symbol by symbol, in plain double arithmetic."""
+    e, u, c, cb, w, wb = (getattr(model, k).astype(float) for k in model.NAMES)
+    index = {x: i for i, x in enumerate(lexicon.words[:lexicon.vocab])}
+    symbol = lambda x: index.get(x, lm.VOCAB + lm.shape(x))
+    h, last, total, size = np.zeros(lm.HIDDEN), symbol(b" "), 0.0, lm.HIDDEN
+    for x in [*text.encode().lower().split(), b" "]:
+        a, g = h @ u, e[last]
+        z, r = (1 / (1 + np.exp(-(g[i:i + size] + a[i:i + size]))) for i in (0, size))
+        n = np.tanh(g[2 * size:] + r * a[2 * size:])
+        h = (1 - z) * n + z * h
+        last = symbol(x)
+        k = last // lm.PER_CLASS if last < lm.VOCAB else lm.WORD_CLASSES + last - lm.VOCAB
+        p = np.exp(h @ c + cb)
+        total += math.log10(p[k] / p.sum())
+        if last < lm.VOCAB:
+            p = np.exp(h @ w[k] + wb[k])
+            total += math.log10(p[last % lm.PER_CLASS] / p.sum())
+        else:
+            rest = [v for x2, v in counts.items() if x2 not in index and lm.shape(x2) == last - lm.VOCAB]
+            total += math.log10((counts.get(x, 0) + 1) / (sum(rest) + len(rest) + 1))
+    return total
+
+
+def test_scores_symbol_by_symbol_and_the_network_beats_its_start(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")
+    learn, kept = lm.learn, {}
+
+    def watched(train, lexicon, shared=None):
+        kept["lexicon"], kept["model"] = lexicon, learn(train, lexicon, shared)
+        return kept["model"]
+    monkeypatch.setattr(lm, "learn", watched)
+    got, texts = by_id(lm.score_documents(docs)), {r.doc_id: r.text or "" for r in docs.collect()}
+    counts = Counter(w for i, t in texts.items() if crc32(str(i).encode()) % 7 != 2 for w in [*t.encode().lower().split(), b" "])
+    some = sorted(texts, key=lambda i: (len(texts[i]), i))[:120:12]
+    assert len(some) == 10
+    for i in some:
+        want = plain_log10(kept["model"], kept["lexicon"], counts, texts[i])
+        assert abs(got[i].score - want) < 1e-4 * max(1, abs(want))
+    lexicon, start = kept["lexicon"], lm.Gru(kept["lexicon"])
+    held = [lexicon.symbols(lm.tokens(texts[i].encode()))[0] for i in texts if got[i].held_out]
+    end = int(lexicon.symbols([lm.END])[0][0])
+    assert kept["model"].score(held, end).sum() > start.score(held, end).sum() + 0.02 * sum(map(len, held))
+
+
+def test_symbols_are_made_once_for_every_text(spark):
+    texts = [None, "", "a b A", "zz a"]
+    rows = documents(spark, texts).selectExpr("cast(text as binary) text", "doc_id", "false held_out")
+    counts = lm.count_words(rows.select("text"))
+    lexicon = lm.Lexicon(counts)
+    table = {r.doc_id: r for r in lm.as_symbols(rows, spark.sparkContext.broadcast(lexicon)).collect()}
+    for i, t in enumerate(texts):
+        assert np.frombuffer(table[i].sym, lm.SYMBOL).tolist() == lexicon.symbols(lm.tokens((t or "").encode()))[0].tolist()
+
+
 class Tiny:
     vocab, n, mass = 200, np.arange(400, 200, -1), np.arange(lm.SHAPES) + 5
 
@@ -69,7 +124,7 @@ def test_gradients_by_differences(monkeypatch):
     def loss():
         h, total = np.zeros((3, lm.HIDDEN)), 0.0
         for t in range(6):
-            h = g.step(h, x[:, t])[0]
+            h = g.step(h, x[:, t])
             total -= g.log_probs(h, x[:, t + 1]).sum()
         return total / (3 * lm.STEPS)
     for name in ("u", "c", "e", "w"):
