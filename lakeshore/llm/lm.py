@@ -27,7 +27,7 @@ from, each. With nothing to learn from every token is unseen, N = V = 0.
 from __future__ import annotations
 
 from collections import Counter
-from itertools import repeat
+from itertools import chain, repeat
 from typing import Iterator
 
 import numpy as np
@@ -53,6 +53,8 @@ RATE = 0.1
 #: Updates that a training sequence should give at least.
 UPDATES = 50
 BATCH = 2048
+#: Distinct words that a task counts before it sends them on, about.
+HELD_WORDS = 1 << 17
 #: Positions whose class shares are computed at a time.
 ROWS = 4096
 CHUNK = 1 << 14
@@ -75,13 +77,15 @@ def shape(word: bytes) -> int:
 # --- counts ----------------------------------------------------------------
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for lo in range(0, b.num_rows, BATCH):
-            c: Counter = Counter()
+    c: Counter = Counter()
+    for b in chain(batches, [None]):
+        for lo in range(0, b.num_rows if b else 0, BATCH):
             for t in b.column(0).slice(lo, BATCH).to_pylist():
                 c.update(tokens(t))
+        if len(c) >= HELD_WORDS or b is None:
             yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.binary()), pa.array([shape(w) for w in c], pa.int32()),
                                               pa.array(list(c.values()), pa.int64())], names=["word", "shape", "n"])
+            c.clear()
 
 
 def count_words(train: DataFrame) -> DataFrame:
@@ -294,7 +298,7 @@ class Gru:
             h = self.train(x[:, at:at + STEPS + 1], h)
         return size
 
-    def score(self, seqs: list[np.ndarray], start: int, width: int = 128, group: int = 1024) -> np.ndarray:
+    def score(self, seqs: list[np.ndarray], start: int, width: int = 128, group: int = 2048) -> np.ndarray:
         """Natural log-likelihood of each symbol sequence; the state goes through windows of `width` to the end."""
         out = np.zeros(len(seqs))
         order = sorted(range(len(seqs)), key=lambda i: -len(seqs[i]))
