@@ -12,20 +12,24 @@ The space is cut into cells by the top of a kd-tree whose cuts come from a
 bounded sample; every row is indexed in its cell, and large cells are dealt
 over several tasks. A query first searches the cell it lies in; the distance of
 its k-th neighbour there, with the stopping test, then tells which other cells
-it must visit. Only the cells' boxes go to the driver, one a cell.
+it must visit. A part of a cell goes once to every `QUERY_BLOCK` of its visitors,
+and a cell without visitors goes nowhere. Only the cells' boxes and numbers of
+rows and visitors go to the driver, one row a cell.
 
 Defined results: vectors that are null, zero, or hold null or non-finite
 components take no part, as query or candidate, nor does a row whose id is
 null. Vectors compare with those of the same length only. Of equal vectors
 only those with the k + 1 smallest ids can be among the k nearest, so the
 others are left out of the index, not of the answer. Equal rows count
-once; an id with several vectors is a candidate by each of them.
+once; an id with several vectors is a candidate by each of them. An empty table
+gives no rows; extra columns are left out.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
+from collections import Counter
 from typing import Iterator
 
 import numpy as np
@@ -45,7 +49,7 @@ SAMPLE = 20_000
 CELL_ROWS = 8_192
 MAX_CELLS = 4_096
 LEAF = 256
-#: Queries that visit a part of a cell at a time.
+#: Queries that visit a part of a cell at a time, about.
 QUERY_BLOCK = 16_384
 
 
@@ -201,16 +205,18 @@ class Cells:
         return low, high
 
 
-def usable(vectors: DataFrame, k: int) -> DataFrame:
-    """vec_id, v (array of double), n (its length): the vectors that take part; of equal ones the k + 1 smallest ids."""
+def usable(vectors: DataFrame, k: int | None) -> DataFrame:
+    """vec_id, v (array of double), n (its length): the vectors that take part; of equal ones the k + 1 smallest ids (all, if k is None)."""
     v = F.transform("embedding", lambda x: x.cast("double"))
     rows = pick(vectors, "vec_id", "embedding").where(
         F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()
         & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists("embedding", lambda x: x != 0))
+    rows = rows.select("vec_id", v.alias("v")).distinct()
+    if k is None:
+        return rows.select("vec_id", "v", F.size("v").alias("n"))
     same = Window.partitionBy("v").orderBy("vec_id")
     # row_number with a limit: Spark keeps at most k + 1 rows of a vector in each task before the shuffle
-    return (rows.select("vec_id", v.alias("v")).distinct().withColumn("nth", F.row_number().over(same)).where(F.col("nth") <= k + 1)
-            .select("vec_id", "v", F.size("v").alias("n")))
+    return rows.withColumn("nth", F.row_number().over(same)).where(F.col("nth") <= k + 1).select("vec_id", "v", F.size("v").alias("n"))
 
 
 def _with_cells(rows: DataFrame, cells: dict[int, Cells], proj: dict[int, np.ndarray]) -> DataFrame:
@@ -246,7 +252,7 @@ def nearest(vectors: DataFrame, k: int = K, every: int = EVERY, dims: int = DIMS
     index = staged(clean, "ann-vectors")
     # A query is looked up among all rows: the index leaves out ids that are not small among equal vectors.
     queries = pick(vectors, "vec_id", "embedding").where(F.col("vec_id") % every == 0)
-    queries = staged(usable(queries, 1 << 30), "ann-queries")
+    queries = staged(usable(queries, None), "ann-queries")
     totals = {r.n: r["count"] for r in index.groupBy("n").count().collect()}
     empty = "query_id long, rank int, vec_id long, score double"
     if not totals:
@@ -262,37 +268,42 @@ def nearest(vectors: DataFrame, k: int = K, every: int = EVERY, dims: int = DIMS
     size = {(r.n, r.cell): r["count"] for r in placed.groupBy("n", "cell").count().collect()}  # one row a cell
     parts = {c: max(1, -(-rows // (2 * CELL_ROWS))) for c, rows in size.items()}
     spark = vectors.sparkSession
-    dealt = spark.createDataFrame([(n, c, p) for (n, c), p in parts.items()], "n int, cell long, parts int")
-    blocks = max(1, -(-queries.count() // QUERY_BLOCK))  # the query set meets all rows block by block
-    index_parts = placed.join(F.broadcast(dealt), ["n", "cell"]).withColumn("part", F.pmod(F.xxhash64("vec_id"), "parts").cast("int")).drop("parts")
-    index_parts = index_parts.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-
-    def visits(frames: Iterator[pd.DataFrame], first: bool) -> Iterator[pd.DataFrame]:
-        """Cells (in parts) that queries visit: their own first; then the others that the stopping test leaves."""
-        boxes = {n: c.boxes(dims) for n, c in cells.items()}
-        for f in frames:
-            out = []
-            for q_id, v, n, bound in zip(f["query_id"], f["qv"], f["n"], f["bound"]):
-                qp = np.asarray(v) @ proj[n]
-                own = int(cells[n].of(qp[None])[0])
-                if first:
-                    to = [own]
-                else:
-                    d = np.maximum(np.maximum(boxes[n][0] - qp, qp - boxes[n][1]), 0)
-                    to = [c for c in np.flatnonzero((d * d).sum(axis=1) <= ratio * bound * bound * (1 + 1e-9)) if c != own]
-                for c in to:
-                    out += [(q_id, v, n, c, p, bound) for p in range(parts.get((n, int(c)), 0))]
-            yield pd.DataFrame(out, columns=["query_id", "qv", "n", "cell", "part", "bound"])
-
-    visit = "query_id long, qv array<double>, n int, cell long, part int, bound double"
-    found_schema = "n int, query_id long, qv array<double>, vec_id long, score double"
+
+    def cells_of(f: pd.DataFrame, first: bool) -> Iterator[tuple[tuple, list[int]]]:
+        """Each query and the cells that it visits: its own first; then the others that the stopping test leaves."""
+        boxes = {n: cells[n].boxes(dims) for n in set(f["n"])}
+        for q in zip(f["query_id"], f["qv"], f["n"], f["bound"]):
+            _, v, n, bound = q
+            qp = np.asarray(v) @ proj[n]
+            own = int(cells[n].of(qp[None])[0])
+            if first:
+                yield q, [own]
+            else:
+                d = np.maximum(np.maximum(boxes[n][0] - qp, qp - boxes[n][1]), 0)
+                yield q, [int(c) for c in np.flatnonzero((d * d).sum(axis=1) <= ratio * bound * bound * (1 + 1e-9)) if c != own]
 
     def look(asked: DataFrame, first: bool) -> DataFrame:
-        to = asked.mapInPandas(lambda frames: visits(frames, first), visit)
-        to = to.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
+        def visitors(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for f in frames:
+                seen = Counter((q[2], c) for q, to in cells_of(f, first) for c in to)
+                yield pd.DataFrame([(*at, m) for at, m in seen.items()], columns=["n", "cell", "m"])
+
+        def visits(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for f in frames:
+                yield pd.DataFrame([(q_id, v, n, c, p, bound) for (q_id, v, n, bound), to in cells_of(f, first) for c in to for p in range(parts.get((n, c), 0))],
+                                   columns=["query_id", "qv", "n", "cell", "part", "bound"])
+
+        # A cell meets its visitors block by block, and goes nowhere if it has none.
+        met = {(r.n, r.cell): r.m for r in asked.mapInPandas(visitors, "n int, cell long, m long").groupBy("n", "cell").agg(F.sum("m").alias("m")).collect()}  # one row a cell
+        dealt = F.broadcast(spark.createDataFrame([(n, c, parts[n, c], -(-m // QUERY_BLOCK)) for (n, c), m in met.items() if (n, c) in parts],
+                                                  "n int, cell long, parts int, blocks int"))
+        own = placed.join(dealt, ["n", "cell"]).select("n", "cell", "vec_id", "v", F.pmod(F.xxhash64("vec_id"), "parts").cast("int").alias("part"),
+                                                       F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+        to = (asked.mapInPandas(visits, "query_id long, qv array<double>, n int, cell long, part int, bound double").join(dealt, ["n", "cell"])
+              .withColumn("block", F.pmod(F.xxhash64("query_id"), "blocks").cast("int")).drop("parts", "blocks"))
         meet = ["n", "cell", "part", "block"]
-        return index_parts.groupBy(*meet).cogroup(to.groupBy(*meet)).applyInPandas(
-            _search_groups(k, ratio, proj), found_schema)
+        return own.groupBy(*meet).cogroup(to.groupBy(*meet)).applyInPandas(
+            _search_groups(k, ratio, proj), "n int, query_id long, qv array<double>, vec_id long, score double")
 
     asked = queries.where(F.col("n").isin(list(totals))).select(F.col("vec_id").alias("query_id"), F.col("v").alias("qv"), "n")
     near = staged(look(asked.withColumn("bound", F.lit(math.inf)), True), "ann-near")

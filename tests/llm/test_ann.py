@@ -46,6 +46,16 @@ def test_recall_against_brute_force(spark, monkeypatch):
     assert all(abs(exact[q, i] - s) < 1e-9 for q, g in got.items() for s, i in g)
 
 
+def test_blocks_of_visitors_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(ann, "CELL_ROWS", 40)
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(np.float32(x)) for x in rng.standard_normal(6)], 0) for i in range(600)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    one = found(ann.nearest(df, every=5))
+    monkeypatch.setattr(ann, "QUERY_BLOCK", 7)
+    assert found(ann.nearest(df, every=5)) == one and len(one) == 120
+
+
 def test_ties_copies_and_unusable_vectors(spark):
     same = [1.0, 2.0, 3.0]
     rows = [(i, same, 0) for i in range(50)] + [(100, None, 0), (200, [0.0, 0.0, 0.0], 0), (300, [1.0, None, 2.0], 0), (400, [float("nan"), 1.0, 1.0], 0),
