@@ -7,28 +7,36 @@ and Myers' bit-parallel algorithm gives the least edit distance within the
 window that the hit implies. Both sides are lower-cased and white space runs
 become one space.
 
-The items are the query set: they go to the tasks in blocks of bounded size,
-each block against all rows. Defined results: null or empty documents and
+The items are the query set. They are written as a table in blocks of bounded
+size below the shared folder and read from there by the tasks, one automaton
+after another; none of them comes to the driver. Documents are scanned and
+normalised once. Defined results: null or empty documents and
 items (also those of white space only) match nothing; repeated rows give
 repeated results; a document and an item give one row, with the least distance
-and the leftmost end that has it.
+and the leftmost end that has it. An empty table, of documents or items, gives no
+matches; extra columns are left out. Very long texts are searched whole.
 """
 
 from __future__ import annotations
 
-import uuid
-from functools import reduce
 from typing import Iterator
 
 import ahocorasick
 import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.fs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .common import pick
+from .common import pick, stage_dir, staged
 
 ERROR_RATE = 0.05
-#: Characters of benchmark text that go to the tasks at a time.
+#: Characters of benchmark text in an automaton, about.
 BLOCK_CHARS = 4_000_000
+#: Characters of documents that a task normalises and then takes through all automata (or one document, if longer).
+GROUP_CHARS = 16_000_000
+BATCH = 512
 
 
 def normal(text: str | None) -> str:
@@ -117,75 +125,109 @@ class Matcher:
         return d, lo + end
 
 
-_MATCHERS: dict[str, Matcher] = {}
+# --- the items as a table, read by the tasks ---------------------------------
 
+def stage_items(benchmark: DataFrame) -> tuple[str, int]:
+    """The normalised items that can occur, written in blocks of about BLOCK_CHARS: (folder, number of blocks)."""
+    kind = dict(benchmark.dtypes)["item_id"]
 
-def _matcher(key: str, items: list[tuple[int, str]], rate: float) -> Matcher:
-    """The block's automaton, built once in each worker."""
-    if key not in _MATCHERS:
-        _MATCHERS.clear()
-        _MATCHERS[key] = Matcher(items, rate)
-    return _MATCHERS[key]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = pa.array([normal(t) for t in b.column(1).to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([b.column(0), texts], names=["item_id", "text"]).filter(pc.greater(pc.utf8_length(texts), 0))
 
+    items = staged(pick(benchmark, "item_id", "text").mapInArrow(run, f"item_id {kind}, text string").select(
+        "*", F.monotonically_increasing_id().alias("row")), "decontam-items")  # numbered, so that repeated rows are dealt evenly too
+    chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    blocks = -(-chars // BLOCK_CHARS)
+    path = f"{stage_dir(benchmark.sparkSession, 'decontam-blocks')}/blocks"
+    if blocks:
+        (items.select("item_id", "text", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int").alias("block"))
+         .repartition("block").write.partitionBy("block").parquet(path))
+    return path, blocks
 
-def _item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
-    """The items in blocks of about BLOCK_CHARS; one empty block if there are none."""
-    block, size, any_yet = [], 0, False
-    for r in pick(benchmark, "item_id", "text").toLocalIterator():
-        if not (item := normal(r.text)):
-            continue
-        block.append((r.item_id, item))
-        size += len(item)
-        if size >= BLOCK_CHARS:
-            yield block
-            block, size, any_yet = [], 0, True
-    if block or not any_yet:
-        yield block
 
+def read_block(path: str, block: int) -> list[tuple[int, str]]:
+    fs, root = pyarrow.fs.FileSystem.from_uri(path)
+    folder = pyarrow.fs.FileSelector(f"{root}/block={block}", allow_not_found=True)
+    files = sorted(i.path for i in fs.get_file_info(folder) if i.path.endswith(".parquet"))
+    return [(r["item_id"], r["text"]) for f in files for r in pq.read_table(fs.open_input_file(f), columns=["item_id", "text"]).to_pylist()]
 
-def _block(docs: DataFrame, items: list[tuple[int, str]], rate: float) -> DataFrame:
-    key = uuid.uuid4().hex
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = _matcher(key, items, rate)
-        for b in batches:
-            at, rows = [], []
-            for i in range(b.num_rows):
-                for r in matcher.match(normal(b.column(1)[i].as_py())):
-                    at.append(i)
-                    rows.append(r)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(pa.array(at, pa.int64())), *(pa.array([r[c] for r in rows], pa.int64()) for c in range(3))],
-                names=["doc_id", "item_id", "distance", "end_at"])
+_MATCHER: list = [None, None]
+
+
+def _matcher(path: str, block: int, rate: float) -> Matcher:
+    """The block's automaton; a worker holds one at a time."""
+    key = (path, block, rate)
+    if _MATCHER[0] != key:
+        _MATCHER[:] = [None, None]
+        _MATCHER[:] = [key, Matcher(read_block(path, block), rate)]
+    return _MATCHER[1]
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[pa.RecordBatch], list[str]]]:
+    """Batches of documents, with their normalised texts, until they hold GROUP_CHARS."""
+    held, texts, chars = [], [], 0
+    for b in batches:
+        for at in range(0, b.num_rows, BATCH):
+            part = b.slice(at, BATCH)
+            held.append(part)
+            texts += [normal(t) for t in part.column(1).to_pylist()]
+            chars += sum(map(len, texts[len(texts) - part.num_rows:]))
+            if chars >= GROUP_CHARS:
+                yield held, texts
+                held, texts, chars = [], [], 0
+    if held:
+        yield held, texts
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {kind}, item_id bigint, distance bigint, end_at bigint")
+
+def _order(blocks: int) -> list[int]:
+    """Blocks in the order to visit them: the one whose automaton the worker holds comes first."""
+    held = _MATCHER[0][1] if _MATCHER[0] else 0
+    return sorted(range(blocks), key=lambda i: (i != held, i))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
     """doc_id, item_id, distance and end_at (in the normalised text) of every item that a document holds."""
+    path, blocks = stage_items(benchmark)
     docs = pick(docs, "doc_id", "text")
-    return reduce(DataFrame.unionByName, [_block(docs, items, rate) for items in _item_blocks(benchmark)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held, texts in _groups(batches):
+            ids = pa.concat_arrays([b.column(0) for b in held])
+            for block in _order(blocks):
+                matcher, at, rows = _matcher(path, block, rate), [], []
+                for i, t in enumerate(texts):
+                    for r in matcher.match(t):
+                        at.append(i)
+                        rows.append(r)
+                yield pa.RecordBatch.from_arrays(
+                    [ids.take(pa.array(at, pa.int64())), *(pa.array([r[c] for r in rows], pa.int64()) for c in range(3))],
+                    names=["doc_id", "item_id", "distance", "end_at"])
+
+    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id bigint, distance bigint, end_at bigint")
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
     """docs (the columns of documents) without those that hold a benchmark item.
 
-    Decided row by row while the texts are scanned, one pass for each block of
-    items, so no join and no shuffle follows.
+    Decided row by row while the texts are scanned, once, so no join and no
+    shuffle follows; a document that one block of items rejects meets no other.
     """
+    path, blocks = stage_items(benchmark)
     docs = pick(docs, "doc_id", "text", "lang", "source", "n_chars")
-    for items in _item_blocks(benchmark):
-        docs = _filter(docs, items, rate)
-    return docs
-
-
-def _filter(docs: DataFrame, items: list[tuple[int, str]], rate: float) -> DataFrame:
-    key = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = _matcher(key, items, rate)
-        for b in batches:
-            yield b.filter(pa.array([not matcher.match(normal(t)) for t in b.column(1).to_pylist()], pa.bool_()))
+        for held, texts in _groups(batches):
+            clean = [True] * len(texts)
+            for block in _order(blocks):
+                matcher = _matcher(path, block, rate)
+                for i, t in enumerate(texts):
+                    clean[i] = clean[i] and not matcher.match(t)
+            at = 0
+            for b in held:
+                yield b.filter(pa.array(clean[at:at + b.num_rows], pa.bool_()))
+                at += b.num_rows
 
     return docs.mapInArrow(run, docs.schema)

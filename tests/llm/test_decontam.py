@@ -55,6 +55,20 @@ def test_items_in_blocks_and_repeated_rows(spark, monkeypatch):
     monkeypatch.setattr(D, "BLOCK_CHARS", 50)
     assert sorted(tuple(r) for r in D.contaminated(docs.union(docs), items, rate=0.0).collect()) == one and len(one) == 2
     assert [r.doc_id for r in D.keep_clean(docs, items).collect()] == [1]
+    path, blocks = D.stage_items(items.union(items))  # repeated items in blocks of their own as well
+    read = [r for b in range(blocks) for r in D.read_block(path, b)]
+    assert blocks > 5 and sorted(read) == sorted((r.item_id, r.text) for r in items.union(items).collect())
+    assert len(D.contaminated(docs, items.union(items), rate=0.0).collect()) == 2
+
+
+def test_very_long_texts_go_through_every_block(spark, monkeypatch):
+    monkeypatch.setattr(D, "BLOCK_CHARS", 40)
+    items = spark.createDataFrame([(i, f"question {'abcdefgh'[i] * 5} of the long text") for i in range(8)], "item_id bigint, text string")
+    filler = "some other words " * 30_000
+    texts = [filler + "question aaaaa of the long text " + filler + "question hhhhh of the  LONG text", filler, "question ccccc of the long text"]
+    got = {(r.doc_id, r.item_id, r.distance) for r in D.contaminated(documents(spark, texts), items, rate=0.0).collect()}
+    assert got == {(0, 0, 0), (0, 7, 0), (2, 2, 0)}
+    assert [r.doc_id for r in D.keep_clean(documents(spark, texts), items, rate=0.0).collect()] == [1]
 
 
 def test_empty_tables(spark):
