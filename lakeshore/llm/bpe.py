@@ -15,7 +15,10 @@ are merged by a heap in Python instead, with the same result in n log n steps.
 Decoding concatenates the binary pieces of the ids.
 
 Defined results: null text counts as empty and has no ids; rows are
-independent. Special tokens do not exist: their strings are ordinary text.
+independent, repeated ones are encoded each. Equal ranks cannot occur; of equal
+pairs the leftmost merges first. Texts of any length are encoded whole. Special
+tokens do not exist: their strings are ordinary text. An empty table gives no
+rows; extra columns are left out.
 """
 
 from __future__ import annotations

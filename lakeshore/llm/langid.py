@@ -8,7 +8,9 @@ the sum of rank differences, `TOP` for an n-gram that the language lacks.
 Defined results: null text or text without a letter gives `und`, score 0, and
 so does everything if nothing can be learned from. Ties between n-grams go to
 the smaller code points, between languages to the smaller name. A null doc_id
-counts as empty text for the fold.
+counts as empty text for the fold. Repeated rows are learnt from and predicted
+each; texts of any length are read whole. An empty table gives no rows; extra
+columns are left out.
 """
 
 from __future__ import annotations

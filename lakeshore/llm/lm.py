@@ -21,7 +21,8 @@ counts are joined.
 
 Defined results: null texts count as empty and have the end token only; a null
 doc_id counts as empty text for the fold; repeated rows are scored, and learnt
-from, each. With nothing to learn from every token is unseen, N = V = 0.
+from, each. With nothing to learn from every token is unseen, N = V = 0. An
+empty table gives no rows; extra columns are left out.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ the `KEPT` most frequent ones, a bound on memory, ranked by count.
 
 Defined results: null text counts as empty; rows depend on each other by the
 common words only, repeated rows count and are scanned each; values of any
-length are costed in linear time.
+length are costed in linear time. An empty table gives no rows; extra columns
+are left out.
 """
 
 from __future__ import annotations

@@ -11,12 +11,18 @@ equal, its value, a fuzzy key of the next segment); rows meet by key, and links
 are verified on whole fingerprints.
 
 Only distinct fingerprints meet, so exact copies cost nothing; within a key a
-spanning forest of the links comes out, never all pairs. Links then go through
-connected components (graph.py).
+spanning forest of the links comes out, never all pairs. A key of `HOT`
+fingerprints or more is divided by the fuzzy keys of the third segment: it too
+differs in two bits or fewer, so no link is lost. A group then has one value of
+a segment, and two segments that lie within four bits of a codeword each, so
+its size has a bound that no input exceeds. Links then go through connected
+components (graph.py).
 
 Defined results: null text counts as empty; texts without words have
 fingerprint zero and link like any other. Rows are kept as they are, also
-repeated ones; null doc_ids are never the smallest.
+repeated ones; null doc_ids are never the smallest. Texts of any length are
+read whole, their shingles hashed in parts. An empty table gives no rows; extra
+columns are left out.
 """
 
 from __future__ import annotations
@@ -41,6 +47,8 @@ SEED = 42
 SEGMENTS = ((42, 22), (21, 21), (0, 21))
 #: Generator polynomial of the Golay code of length 23 (fixed value).
 GOLAY = 0xC75
+#: From so many fingerprints on, a key is divided by the third segment.
+HOT = 1 << 16
 #: Runs of equal keys up to this length are compared pair by pair, longer ones by search.
 SHORT_RUN = 32
 #: From this length on, a run's neighbours are looked up rather than compared with all.
@@ -122,10 +130,14 @@ def fuzzy_keys(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.nonzero(new)[0], idx[new]
 
 
+def segments(fp: np.ndarray) -> list[np.ndarray]:
+    return [(fp >> np.uint64(b)) & np.uint64((1 << w) - 1) for b, w in SEGMENTS]
+
+
 def link_keys(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(position, key): any two fingerprints within MAX_BITS share a key."""
     at, keys = [], []
-    segs = [(fp >> np.uint64(b)) & np.uint64((1 << w) - 1) for b, w in SEGMENTS]
+    segs = segments(fp)
     for s in range(3):
         i, idx = fuzzy_keys(segs[(s + 1) % 3])
         at.append(i)
@@ -133,6 +145,19 @@ def link_keys(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(at), np.concatenate(keys)
 
 
+def divided_keys(key: np.ndarray, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(position, key): the keys of link_keys with a fuzzy key of the segment that they leave out."""
+    at, keys = [], []
+    of = (key >> np.uint64(34)).astype(np.int64)
+    segs = segments(fp)
+    for s in range(3):
+        rows = np.flatnonzero(of == s)
+        i, idx = fuzzy_keys(segs[(s + 2) % 3][rows])
+        at.append(rows[i])
+        keys.append(key[rows[i]] | idx.astype(np.uint64) << np.uint64(36))
+    return np.concatenate(at), np.concatenate(keys)
+
+
 def _emit_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for lo in range(0, b.num_rows, 1 << 14):
@@ -141,6 +166,14 @@ def _emit_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(fp[at].view(np.int64))], names=["key", "fp"])
 
 
+def _divide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for lo in range(0, b.num_rows, 1 << 14):
+            key, fp = (c.slice(lo, 1 << 14).to_numpy(zero_copy_only=False).view(np.uint64) for c in b.columns)
+            at, keys = divided_keys(key, fp)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(fp[at].view(np.int64))], names=["key", "fp"])
+
+
 def _near(a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
     return np.bitwise_count(a ^ b) <= most
 
@@ -212,6 +245,17 @@ def _links(most: int):
     return run
 
 
+def divide_hot(keyed: DataFrame) -> DataFrame:
+    """The rows (key, fp), those of hot keys under divided ones, so that they never meet in one task.
+
+    Keys are counted in the tasks before the shuffle. The hot ones are a
+    written table: Spark knows its size and broadcasts it only while small.
+    """
+    hot = staged(keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= HOT).select("key"), "simhash-hot")
+    of_hot = keyed.join(hot, "key", "left_semi").select("key", "fp").mapInArrow(_divide, "key bigint, fp bigint")
+    return keyed.join(hot, "key", "left_anti").select("key", "fp").unionByName(of_hot)
+
+
 def classes(rows: DataFrame, most: int = MAX_BITS) -> DataFrame:
     """(fp, root, component_id) for the distinct fingerprints of rows (doc_id, fp).
 
@@ -221,7 +265,7 @@ def classes(rows: DataFrame, most: int = MAX_BITS) -> DataFrame:
     if not 0 <= most <= MAX_BITS:
         raise ValueError(f"the code covers up to {MAX_BITS} differing bits, not {most}")
     least = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-fp")
-    keyed = least.select("fp").mapInArrow(_emit_keys, "key bigint, fp bigint")
+    keyed = divide_hot(least.select("fp").mapInArrow(_emit_keys, "key bigint, fp bigint"))
     edges = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_links(most), "a bigint, b bigint")
     root = components(edges, "simhash-links")
     member = root.select(F.col("a").alias("fp"), F.col("b").alias("root")).unionByName(

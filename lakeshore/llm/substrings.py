@@ -17,7 +17,8 @@ a hash sends at most one row a batch to the task where it meets others.
 
 Defined results: null and empty texts have no words; texts shorter than the
 window lose nothing; repeated rows are occurrences of their own and remove each
-other. A frame that is not read from files is written once first.
+other. A frame that is not read from files is written once first. An empty
+table gives no rows; extra columns are left out.
 """
 
 from __future__ import annotations

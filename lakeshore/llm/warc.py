@@ -19,7 +19,9 @@ lost attempts are never read.
 Defined results: null html counts as empty, null url as `dns:unknown`; a
 record needs a page id, rows whose page_id is null are written and read like
 others, with an id that is null again and never the smallest. Rows that repeat
-a page_id are records of their own, told apart by archive and offset.
+a page_id are records of their own, told apart by archive and offset. Payloads
+of any length are one record. An empty table gives no rows; extra columns are
+left out.
 """
 
 from __future__ import annotations

@@ -61,6 +61,40 @@ def test_links_share_a_key():
         assert set(S.link_keys(np.array([x]))[1].tolist()) & set(S.link_keys(np.array([y]))[1].tolist())
 
 
+def test_links_share_a_divided_key():
+    rng = np.random.default_rng(2)
+    def divided(x):
+        at, keys = S.link_keys(np.array([x]))
+        return set(S.divided_keys(keys, np.full(len(keys), x))[1].tolist())
+    for x in rng.integers(0, 2**64, 300, dtype=np.uint64):
+        a, b = rng.integers(0, 64, 2)
+        assert divided(x) & divided(x ^ np.uint64(1 << int(a)) ^ np.uint64(1 << int(b) if a != b else 0))
+
+
+def test_hot_keys_are_divided_and_lose_no_link(spark, monkeypatch):
+    S.pick(spark.range(1), "id")  # ships the library
+    rng = np.random.default_rng(5)
+    base = np.uint64(0x2A << 42) | rng.integers(0, 1 << 21, 250, dtype=np.uint64)  # one value of the first segment and of the second
+    flips = np.uint64(1) << rng.integers(0, 42, (2, 250)).astype(np.uint64)
+    fps = np.unique(np.concatenate([base, base ^ flips[0], base ^ flips[0] ^ flips[1], rng.integers(0, 2**64, 50, dtype=np.uint64)]))
+    rows = spark.createDataFrame([(i, int(f)) for i, f in enumerate(fps.view(np.int64))], "doc_id bigint, fp bigint")
+    keyed = rows.select("fp").mapInArrow(S._emit_keys, "key bigint, fp bigint")
+    largest = keyed.groupBy("key").count().agg({"count": "max"}).first()[0]
+    monkeypatch.setattr(S, "HOT", 8)
+    assert S.divide_hot(keyed).groupBy("key").count().agg({"count": "max"}).first()[0] < largest / 2
+    got = {r.fp: r.component_id for r in S.classes(rows).collect()}
+    assert [got[int(f)] for f in fps.view(np.int64)] == brute_components(range(len(fps)), [int(f) for f in fps])
+
+
+def test_very_long_and_repeated_texts(spark):
+    long = " ".join(f"w{i % 977}" for i in range(120_000))  # more shingles than are counted at a time
+    docs = documents(spark, [long, long + " end", long, None])
+    got = sorted((r.doc_id, r.fingerprint, r.component_id) for r in S.near_duplicates(docs.union(docs)).collect())
+    fps = [f"{brute_fingerprint(t):016x}" for t in (long, long + " end", long, None)]
+    ids = brute_components(range(4), [int(f, 16) for f in fps])
+    assert got == sorted(2 * list(zip(range(4), fps, ids)))
+
+
 def test_codewords_are_three_apart_at_most():
     w = np.arange(0, 1 << 23, 997, dtype=np.uint32)
     low, high, errors = S._golay()
