@@ -49,6 +49,8 @@ CACHE, CACHE_BYTES = 1 << 19, 64
 LONG = 256
 #: A bundle of documents: so many rows or so many characters; split so many characters at a time.
 BUNDLE_ROWS, BUNDLE_CHARS, SPLIT_CHARS = 4096, 3_000_000, 500_000
+#: Documents of a bundle get their ids so many words at a time (or one document).
+PIECE_WORDS = 1 << 17
 #: Words whose code points are compared at a time.
 COMPARED = 1 << 14
 
@@ -360,20 +362,28 @@ def _unbundle(cache, path: str, kinds: pa.Schema, finish: Callable):
         for b in batches:
             for i in range(b.num_rows):
                 kept, sizes, codes, rare, ids = (b.column(c)[i].values for c in range(5))
-                if ids.null_count:
-                    words = rare.to_pylist()
-                    ids = pa.array([x if x is not None else merge_long(w.encode("latin-1"), table) for x, w in zip(ids.to_pylist(), words)], pa.list_(pa.int32()))
-                lengths = np.diff(ids.offsets.to_numpy()).astype(np.int64)
-                all_sizes = np.concatenate([cached.sizes, lengths])
-                codes = codes.to_numpy(zero_copy_only=False)
+                lengths = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+                codes, sizes = codes.to_numpy(zero_copy_only=False), sizes.to_numpy(zero_copy_only=False)
                 more = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
-                values = ragged(np.concatenate([cached.values, more]), all_sizes, codes)
-                n = np.zeros(len(codes) + 1, np.int64)
-                np.cumsum(all_sizes[codes], out=n[1:])
-                cuts = n[np.concatenate([[0], np.cumsum(sizes.to_numpy(zero_copy_only=False))])]
-                columns = made(values, cuts)
-                yield pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip(kept.flatten(), kinds.types)] + list(columns.values()),
-                                                 names=[*kinds.names, *columns])
+                all_values, all_sizes = [cached.values, more], [cached.sizes, lengths]
+                if ids.null_count:  # long words: numbered after all others
+                    long = np.flatnonzero(ids.is_null().to_numpy(zero_copy_only=False))
+                    merged = [np.array(merge_long(rare[j].as_py().encode("latin-1"), table), np.int32) for j in long.tolist()]
+                    all_values += merged
+                    all_sizes.append(np.array([len(x) for x in merged]))
+                    number = np.arange(len(cached.sizes) + len(lengths))
+                    number[len(cached.sizes) + long] = len(number) + np.arange(len(long))
+                    codes = number[codes]
+                all_values, all_sizes = np.concatenate(all_values), np.concatenate(all_sizes)
+                ends = np.cumsum(sizes)
+                for lo, hi in _groups(sizes.tolist(), BUNDLE_ROWS, PIECE_WORDS):
+                    some = codes[ends[lo] - sizes[lo]:ends[hi - 1]]
+                    n = np.zeros(len(some) + 1, np.int64)
+                    np.cumsum(all_sizes[some], out=n[1:])
+                    cuts = n[np.concatenate([[0], np.cumsum(sizes[lo:hi])])]
+                    columns = made(ragged(all_values, all_sizes, some), cuts)
+                    yield pa.RecordBatch.from_arrays([c.slice(lo, hi - lo).cast(t) for c, t in zip(kept.flatten(), kinds.types)] + list(columns.values()),
+                                                     names=[*kinds.names, *columns])
     return run
 
 

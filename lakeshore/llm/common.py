@@ -21,10 +21,15 @@ _STAGED: list[tuple[SparkSession, str]] = []
 
 _SHIPPED: set[str] = set()
 
+#: Bytes of an Arrow batch at most: the JVM and each worker of a task hold some of them at a time.
+BATCH_BYTES = 16 << 20
+
 
 def ship(spark: SparkSession) -> None:
-    """Send this library to the tasks, which run functions of it, once for each application."""
-    sc = spark.sparkContext
+    """Send this library to the tasks, which run functions of it, once for each application; their batches stay small."""
+    sc, bound = spark.sparkContext, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(bound) in ("64MB", "67108864b", "-1"):  # what Spark sets by itself; a caller's choice stays
+        spark.conf.set(bound, str(BATCH_BYTES))
     if sc.applicationId not in _SHIPPED:
         _SHIPPED.add(sc.applicationId)
         package = Path(__file__).resolve().parent.parent

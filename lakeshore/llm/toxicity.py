@@ -288,7 +288,9 @@ def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield b.filter(pa.array([model.score(t) < 0.5 for t in b.column(1).to_pylist()], pa.bool_()))
+            for at in range(0, b.num_rows, 256):
+                part = b.slice(at, 256)
+                yield part.filter(pa.array([model.score(t) < 0.5 for t in part.column(1).to_pylist()], pa.bool_()))
 
     docs = pick(docs, *cols)
     return docs.mapInArrow(run, docs.schema)

@@ -33,6 +33,14 @@ def test_ids_and_decoding_match_the_library(spark):
         assert got[i].decoded_sha256 == hashlib.sha256((t or "").encode()).hexdigest()
 
 
+def test_a_bundle_of_many_words_and_long_ones(spark):
+    rows = ["first", "a bc " * 70_000, None, "x" * 700 + "7" * 300, "", "zz yy " * 40_000 + "q" * 301, "last one"]
+    got = {r.doc_id: r for r in bpe.encode_and_decode(documents(spark, rows).coalesce(1), "doc_id").collect()}
+    assert len(got) == len(rows)
+    for i, t in enumerate(rows):
+        assert list(got[i].ids) == REFERENCE.encode_ordinary(t or "") and bytes(got[i].decoded) == (t or "").encode()
+
+
 def thue_morse(n, a, b):
     return "".join(b if bin(i).count("1") % 2 else a for i in range(n))
 
