@@ -397,3 +397,28 @@ def test_a_ledger_of_many_runs_stays_small(spark, scratch, monkeypatch):
     small = wh.read("metadata.log")
     assert status(small) == status(whole) == [("a", True), ("b", True), ("c", False), ("d", False)]
     assert small.count() < 15 and small.filter("source_file = 'a' AND status = 'success'").agg(F.max("row_count")).first()[0] == 7
+
+
+def test_a_source_file_is_named_without_a_regular_expression(spark):
+    from lakeshore.operators.bronze import source_file_name
+    cases = {"file:/raw/a_2026-01.parquet": "a_2026-01.parquet", "file:/raw/a_2026-01.parquet/part-0.snappy.parquet": "a_2026-01.parquet",
+             "s3://b/x.parquet/y.parquet/z.parquet": "y.parquet", "file:/raw/a%20b+c.parquet/part-0.parquet": "a b+c.parquet",
+             "file:/r%20w/a+b.parquet": "a+b.parquet", "file:/raw/%C3%A9%25.parquet/p.parquet": "\u00e9%.parquet", "a.parquet": "a.parquet",
+             "file:/x.parquet/deep/p.parquet": "p.parquet", "file:/raw/.parquet/p.parquet": "p.parquet", "file:/raw/a.csv": "", None: None}
+    df = spark.createDataFrame([(k,) for k in cases], "path string")
+    named = df.select("path", source_file_name(F.col("path")).alias("name"))
+    assert {r.path: r.name for r in named.collect()} == cases
+    assert "regexp" not in named._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_raw_months_arrive_whole(spark, scratch):
+    from lakeshore import registry_more
+    names = registry_more._make_raw(spark, SF001, scratch)
+    assert names == sorted(FILES) and not os.path.exists(os.path.join(scratch, "raw"))
+    registry_more._arrive(spark, scratch, names[:1])
+    assert os.listdir(os.path.join(scratch, "raw")) == names[:1]
+    registry_more._arrive(spark, scratch, names[1:])
+    for name in names:
+        got = spark.read.parquet(os.path.join(scratch, "raw", name))
+        want = raw_trips(spark, SF001).filter(F.col(spec.SOURCE_FILE_COLUMN) == name).drop(spec.SOURCE_FILE_COLUMN)
+        assert got.columns == want.columns and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
