@@ -411,6 +411,34 @@ def test_a_source_file_is_named_without_a_regular_expression(spark):
     assert "regexp" not in named._jdf.queryExecution().optimizedPlan().toString().lower()
 
 
+def test_partitioned_writes_hold_no_sort_of_whole_rows(spark, scratch):
+    import threading
+
+    from lakeshore.sources import tables
+    key, wh = "spark.sql.maxConcurrentOutputFileWriters", Warehouse(spark, scratch)
+    before = spark.conf.get(key)
+    rows = spark.range(1000).select("id", F.concat(F.lit("f"), F.col("id") % 40).alias("f"))  # more partitions than open files
+    seen = {}
+
+    def write(name):
+        with tables.unsorted_writes(spark):
+            seen[name] = spark.conf.get(key)
+            wh.publish(rows, name, ["f"])
+    threads = [threading.Thread(target=write, args=(f"t.{i}",)) for i in range(4)]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    assert seen == {f"t.{i}": str(tables.OPEN_FILES) for i in range(4)} and spark.conf.get(key) == before
+    for i in range(4):
+        assert wh.read(f"t.{i}").select("id", "f").exceptAll(rows).count() == 0 and wh.row_count(f"t.{i}") == 1000
+    spark.conf.set(key, "3")
+    try:
+        with tables.unsorted_writes(spark):
+            pass
+        assert spark.conf.get(key) == "3"
+    finally:
+        spark.conf.unset(key)
+
+
 def test_raw_months_arrive_whole(spark, scratch):
     from lakeshore import registry_more
     names = registry_more._make_raw(spark, SF001, scratch)
