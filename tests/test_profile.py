@@ -44,3 +44,22 @@ def test_duplicate_regroup_is_combined_after_a_shuffled_join(spark):
     assert "LeftSemi" in plan
     above_join = plan[:plan.index("LeftSemi")]
     assert "partial_count" in above_join and "Exchange hashpartitioning(a" in above_join
+
+
+def test_only_rows_of_marked_hashes_are_shuffled_whole(spark):
+    # Few of many rows are duplicates; nulls and equal texts of another column stay apart.
+    df = spark.range(60000).select((F.col("id") % 59000).alias("a"), F.when(F.col("id") % 7 > 0, F.col("id") % 59000).cast("string").alias("b"))
+    keys = ["a", "b"]
+    keyed = df.select(F.xxhash64(*keys).alias("_h"), *keys)
+    hot = keyed.groupBy("_h").count().filter("count > 1").select("_h")
+    left = profile._marked(keyed, hot)
+    assert left.columns == keyed.columns
+    n_hot = keyed.join(hot, "_h", "left_semi").count()
+    assert n_hot > 0 and left.join(hot, "_h", "left_semi").count() == n_hot  # no row of a hot hash is lost
+    assert left.count() < 1.01 * n_hot + 10
+    want = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("count")).filter("count > 1")
+    got = profile.duplicate_groups(df, keys)
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join LeftSemi") < plan.index("Join Inner")  # the marks are tested first, below the semi-join
+    assert profile._marked(keyed, hot.limit(0)).count() == 0
