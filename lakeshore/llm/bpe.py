@@ -3,13 +3,14 @@
 Texts are split by the tokenizer's pattern; every distinct piece of text (word)
 is encoded by Spark's higher-order functions: a fold over the word's bytes
 merges, step by step, the leftmost adjacent pair of lowest rank, looked up in a
-literal rank map (`rank_map`: buckets of small maps, since a map's lookup is
-linear). Bytes are carried as ISO-8859-1 characters.
+literal rank map (`rank_map`: the ranks of pairs of ids in one array, found by
+position, since a map's lookup is linear). Bytes are carried as ISO-8859-1
+characters.
 
 The most frequent words of the input, `CACHE` at most, are folded once and
 travel with the tasks (a bound on memory; it changes no result); of the others
 each bundle of documents folds its distinct ones. So nothing but word counts
-is shuffled. The fold's cost is quadratic in the word; words over `LONG` bytes
+is shuffled; the bundles are written once, as numbers of words and ids. The fold's cost is quadratic in the word; words over `LONG` bytes
 are merged by a heap in Python instead, with the same result in n log n steps.
 
 Decoding concatenates the binary pieces of the ids.
@@ -27,7 +28,6 @@ import base64
 import hashlib
 import heapq
 import json
-import zlib
 from functools import lru_cache
 from typing import Callable, Iterator
 
@@ -39,18 +39,22 @@ import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import frequent, pick
+from .common import frequent, pick, staged
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-BUCKETS = 1 << 13
+#: Bits of a rank and of a piece's place in its word, in the fold's state; the rank that stands for none.
+RANK_BITS, PLACE_BITS = 20, 20
+NO_RANK = (1 << RANK_BITS) - 1
 #: Words that travel with the tasks: so many, of so many bytes at most.
 CACHE, CACHE_BYTES = 1 << 19, 64
 #: Bytes from which on a word is merged by a heap.
 LONG = 256
 #: A bundle of documents: so many rows or so many characters; split so many characters at a time.
-BUNDLE_ROWS, BUNDLE_CHARS, SPLIT_CHARS = 4096, 3_000_000, 500_000
+BUNDLE_ROWS, BUNDLE_CHARS, SPLIT_CHARS = 4096, 8_000_000, 500_000
 #: Documents of a bundle get their ids so many words at a time (or one document).
 PIECE_WORDS = 1 << 17
+#: A bundle is a large row: a row group of its own, so neither writer nor reader holds many.
+ONE_A_GROUP = {"parquet.block.row.count.limit": "1"}
 #: Words whose code points are compared at a time.
 COMPARED = 1 << 14
 
@@ -181,12 +185,58 @@ class Words:
 
 # --- encoding words --------------------------------------------------------
 
-def rank_map(table: dict[bytes, int]) -> Column:
-    """The ranks as a literal array of BUCKETS maps; the map of crc32(token) mod BUCKETS has the token."""
-    maps: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
+def pair_ranks(table: dict[bytes, int]) -> dict[int, dict[int, int]]:
+    """Ids of two tokens, left then right, to the id (its rank too) of the token that they make side by side."""
+    pairs: dict[int, dict[int, int]] = {}
     for token, rank in table.items():
-        maps[zlib.crc32(token.decode("latin-1").encode()) % BUCKETS][token.decode("latin-1")] = rank
-    return F.from_json(F.lit(json.dumps(maps)), "array<map<string,int>>")  # constant: folded into one literal when planned
+        for i in range(1, len(token)):
+            if (a := table.get(token[:i])) is not None and (b := table.get(token[i:])) is not None:
+                pairs.setdefault(a, {})[b] = rank
+    return pairs
+
+
+def merge(ids: list[int], pairs: dict[int, dict[int, int]]) -> list[int]:
+    """The merges of a few ids, step by step."""
+    while True:
+        found = [(r, i) for i, (a, b) in enumerate(zip(ids, ids[1:])) if a in pairs and (r := pairs[a].get(b)) is not None]
+        if not found:
+            return ids
+        rank, at = min(found)
+        ids = [*ids[:at], rank, *ids[at + 2:]]
+
+
+def displaced(rows: dict[int, dict[int, int]]) -> tuple[list[int], list[int]]:
+    """Rows of a sparse matrix, laid over each other without a clash.
+
+    Row a's value at b is in slots[base[a] + b], below the row's number; another row's number there means no value.
+    """
+    width = 1 + max((b for row in rows.values() for b in row), default=0)
+    places = 1 + 3 * sum(map(len, rows.values()))
+    base, slots, taken = [0] * (1 + max(rows, default=0)), [NO_RANK << RANK_BITS] * (places + width), bytearray(places + width)
+    at = 0
+    for a, row in sorted(rows.items(), key=lambda r: -len(r[1])):
+        for _ in range(places):
+            if not any(taken[at + b] for b in row):
+                break
+            at = (at + 1) % places
+        else:
+            raise ValueError("no place for a row of the rank table")
+        base[a] = at
+        for b, value in row.items():
+            taken[at + b], slots[at + b] = 1, a << RANK_BITS | value
+        at = (at + 7919) % places
+    return base, slots
+
+
+def rank_map(table: dict[bytes, int]) -> Column:
+    """What the fold looks up, as one literal: the bytes' ids, the ranks of pairs of ids (`displaced`), tokens that their bytes' merges do not give."""
+    if max(table.values()) >= NO_RANK:
+        raise ValueError(f"ranks of {NO_RANK} and more do not fit the fold's state")
+    single, pairs = [table[bytes([i])] for i in range(256)], pair_ranks(table)
+    base, slots = displaced(pairs)
+    whole = {t.decode("latin-1"): r for t, r in table.items() if merge([single[x] for x in t], pairs) != [r]}
+    maps = json.dumps({"single": single, "base": base, "slots": slots, "whole": whole})
+    return F.from_json(F.lit(maps), "single array<bigint>, base array<bigint>, slots array<bigint>, whole map<string,int>")  # constant: folded into one literal when planned
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -199,36 +249,55 @@ def fold_word(word: Column, maps: Column) -> Column:
 
     The rank map stands in the plan once, by a name that all look-ups use.
     """
-    return _let(maps, lambda named: _fold(word, named))
+    def fold(named: Column) -> Column:
+        merged = _let(named["slots"], lambda slots: _let(named["base"], lambda base: _fold(word, named["single"], base, slots)))
+        return _let(F.try_element_at(named["whole"], word), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(merged))
+
+    return _let(maps, fold)
+
+
+def _fold(word: Column, single: Column, base: Column, slots: Column) -> Column:
+    """The state: a number for each piece (from the high bits on the rank of the pair that it begins, its place in the
+    word, its id), a bit for each place where a piece begins, the least number, and its position.
+
+    The least number is the pair to merge. A merge removes the number of the pair's right piece and writes two anew,
+    those of the merged piece and of the one before.
+    """
+    above = PLACE_BITS + RANK_BITS
+
+    def ranked(left: Column, right: Column) -> Column:
+        """The rank of a pair, NO_RANK without one, in a number's high bits; no id on the right has none."""
+        slot = F.get(slots, F.get(base, left) + right)
+        return F.shiftleft(F.least(slot.bitwiseXOR(F.shiftleft(left, RANK_BITS)), F.lit(NO_RANK).cast("bigint")), above)
 
+    def piece(number: Column) -> Column:
+        return number.bitwiseAND(NO_RANK)
 
-def _fold(word: Column, maps: Column) -> Column:
-    """The state holds the pieces and the ranks of the adjacent pairs; a merge ranks its two new pairs only."""
-    def rank(token: Column) -> Column:
-        return F.element_at(F.get(maps, (F.crc32(token.cast("binary")) % BUCKETS).cast("int")), token)
+    def bit(number: Column) -> Column:
+        """The bit of a number's place."""
+        return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftright(number, RANK_BITS).bitwiseAND((1 << PLACE_BITS) - 1).cast("int"))
 
-    none = F.array().cast("array<int>")
+    def state(numbers: Column, begun: Column) -> Column:
+        """The position counts from 0, by the pieces that begin before (array_position, which is slow, where a word has more places than bits)."""
+        def position(least: Column, s: Column) -> Column:
+            return F.when(F.length(word) < 64, F.bit_count(s["begun"].bitwiseAND(bit(least) - 1))).otherwise(F.array_position(s["numbers"], least).cast("int") - 1)
 
-    def merge(state: Column, at: Column, piece: Column) -> Column:
-        """The state after the pair at position `at` (from 1) has become `piece`."""
-        p, r = state["pieces"], state["ranks"]
-        return F.struct(
-            F.concat(F.slice(p, 1, at - 1), F.array(piece), F.slice(p, at + 2, F.size(p))).alias("pieces"),
-            F.concat(F.slice(r, 1, F.greatest(at - 2, F.lit(0))),
-                     F.when(at > 1, F.array(rank(F.concat(F.get(p, at - 2), piece)))).otherwise(none),
-                     F.when(at < F.size(r), F.array(rank(F.concat(piece, F.get(p, at + 1))))).otherwise(none),
-                     F.slice(r, at + 2, F.size(p))).alias("ranks"))
+        return _let(F.struct(numbers.alias("numbers"), begun.alias("begun")), lambda s: F.struct(
+            s["numbers"].alias("numbers"), s["begun"].alias("begun"), _let(F.array_min(s["numbers"]), lambda least: F.struct(
+                least.alias("number"), position(least, s).alias("at"))).alias("least")))
 
-    def step(state: Column, _: Column) -> Column:
-        return _let(F.array_min(state["ranks"]), lambda least: F.when(least.isNull(), state).otherwise(
-            _let(F.array_position(state["ranks"], least).cast("int"), lambda at: _let(
-                F.concat(F.get(state["pieces"], at - 1), F.get(state["pieces"], at)), lambda piece: merge(state, at, piece)))))
+    def merged(s: Column) -> Column:
+        numbers, least, at = s["numbers"], s["least"]["number"], s["least"]["at"]
+        rank, right = F.shiftright(least, above), F.get(numbers, at + 1)
+        token = ranked(rank, piece(F.get(numbers, at + 2))).bitwiseOR(least.bitwiseAND(((1 << PLACE_BITS) - 1) << RANK_BITS)).bitwiseOR(rank)
+        return state(F.transform(F.array_remove(numbers, right), lambda x, i: F.when(i == at, token).when(
+            i == at - 1, ranked(piece(x), rank).bitwiseOR(x.bitwiseAND((1 << above) - 1))).otherwise(x)), s["begun"].bitwiseXOR(bit(right)))
 
-    first = _let(F.split(word, ""), lambda p: F.struct(p.alias("pieces"), F.zip_with(
-        F.slice(p, 1, F.size(p) - 1), F.slice(p, 2, F.size(p)), lambda a, b: rank(F.concat(a, b))).alias("ranks")))
-    merged = F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(word) - 1, F.lit(1))), first, step)["pieces"]
-    # A word that is a token needs no merges.
-    return _let(rank(word), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(F.transform(merged, rank)))
+    first = _let(F.transform(F.split(word, ""), lambda c: F.get(single, F.ascii(c))), lambda p: F.transform(p, lambda a, i: ranked(a, F.get(p, i + 1)).bitwiseOR(
+        F.shiftleft(i.cast("bigint"), RANK_BITS)).bitwiseOR(a)))
+    done = F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(word) - 1, F.lit(1))), state(first, F.lit(-1).cast("bigint")),
+                       lambda s, _: F.when(s["least"]["number"] < NO_RANK << above, merged(s)).otherwise(s))
+    return F.transform(done["numbers"], lambda x: piece(x).cast("int"))
 
 
 def merge_long(word: bytes, table: dict[bytes, int]) -> list[int]:
@@ -354,21 +423,21 @@ def _bundles(classes, cache, keep: list[str]):
 
 
 def _unbundle(cache, path: str, kinds: pa.Schema, finish: Callable):
-    """Bundles with the ids of their rare words in, what `finish` makes of each document's ids out."""
+    """Bundles with the ids of their rare words and the long ones among these in, what `finish` makes of each document's ids out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = ranks(path)
         made = finish(path)
         cached = cache.value
         for b in batches:
             for i in range(b.num_rows):
-                kept, sizes, codes, rare, ids = (b.column(c)[i].values for c in range(5))
+                kept, sizes, codes, words, ids = (b.column(c)[i].values for c in range(5))
                 lengths = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False).astype(np.int64)
                 codes, sizes = codes.to_numpy(zero_copy_only=False), sizes.to_numpy(zero_copy_only=False)
                 more = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
                 all_values, all_sizes = [cached.values, more], [cached.sizes, lengths]
                 if ids.null_count:  # long words: numbered after all others
                     long = np.flatnonzero(ids.is_null().to_numpy(zero_copy_only=False))
-                    merged = [np.array(merge_long(rare[j].as_py().encode("latin-1"), table), np.int32) for j in long.tolist()]
+                    merged = [np.array(merge_long(x.encode("latin-1"), table), np.int32) for x in words.to_pylist()]
                     all_values += merged
                     all_sizes.append(np.array([len(x) for x in merged]))
                     number = np.arange(len(cached.sizes) + len(lengths))
@@ -406,7 +475,9 @@ def _encoded(docs: DataFrame, keep: list[str], path: str, finish: Callable, sche
     types = dict(rows.dtypes)
     kinds = ", ".join(f"{c}:{types[c]}" for c in keep)
     bundles = rows.mapInArrow(_bundles(classes, known, keep), f"kept array<struct<{kinds}>>, sizes array<int>, codes array<int>, rare array<string>")
-    done = bundles.withColumn("ids", F.transform("rare", lambda w: F.when(F.length(w) <= LONG, fold_word(w, maps))))
+    # Written between the two Python steps: a task then has one worker at a time. Of the words only the long ones go on.
+    done = staged(bundles.select("kept", "sizes", "codes", F.filter("rare", lambda w: F.length(w) > LONG).alias("long"), F.transform(
+        "rare", lambda w: F.when(F.length(w) <= LONG, fold_word(w, maps))).alias("ids")), "bpe-bundles", **ONE_A_GROUP)
     arrow = spark.createDataFrame([], rows.select(*keep).schema).toArrow().schema
     return done.mapInArrow(_unbundle(known_ids, path, arrow, finish), ", ".join(f"{c} {types[c]}" for c in keep) + ", " + schema)
 

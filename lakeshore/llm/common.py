@@ -70,14 +70,14 @@ def _clean() -> None:
             p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """df written as Parquet into the shared checkpoint folder and read again.
+def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """df written as Parquet (with the writer's options) into the shared checkpoint folder and read again.
 
     Cuts the lineage at storage that every executor sees, so a lost executor
     costs tasks of one step only, and a later step never recomputes this one.
     """
     path = f"{stage_dir(df.sparkSession, name)}/data"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

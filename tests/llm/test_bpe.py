@@ -3,9 +3,10 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import tiktoken
 
-from lakeshore.llm import bpe
+from lakeshore.llm import bpe, common
 
 from .helpers import by_id, documents
 
@@ -79,3 +80,41 @@ def test_empty_table_and_kept_columns(spark):
     assert bpe.token_digest(documents(spark, ["x"]).limit(0)).count() == 0
     r = bpe.encode(documents(spark, ["hello world"]), "doc_id", "lang").collect()
     assert r[0].lang == "en" and list(r[0].ids) == REFERENCE.encode_ordinary("hello world")
+
+
+def test_the_fold_merges_like_the_library(spark):
+    """By positions of pieces up to 63 bytes, and beyond; and tokens that their bytes' merges do not give."""
+    rng = random.Random(8)
+    words = [" " * n for n in (1, 2, 63, 64, 65, 200)] + ["aaaa" * 20, "ab" * 31 + "c", "é" * 31 + "a", "é" * 32, "The"]
+    words += ["".join(rng.choice("abcdeinst") for _ in range(n)) for n in (1, 2, 3, 9, 62, 63, 64, 65, 120, 256)]
+    maps = bpe.rank_map(RANKS)
+    folded = spark.createDataFrame([(w, w.encode().decode("latin-1")) for w in words], "word string, bytes string").select("word", bpe.fold_word(bpe.F.col("bytes"), maps).alias("ids"))
+    whole = tiktoken.Encoding("one", pat_str=r"(?s).+", mergeable_ranks=RANKS, special_tokens={})
+    assert {r.word: list(r.ids) for r in folded.collect()} == {w: whole.encode_ordinary(w) for w in words}
+    table = {bytes([i]): i for i in range(256)} | {b"ab": 256, b"bc": 257, b"abcd": 300}
+    few = spark.createDataFrame([("abcd",), ("abc",), ("xabcd",)], "word string").select("word", bpe.fold_word(bpe.F.col("word"), bpe.rank_map(table)).alias("ids"))
+    assert {r.word: list(r.ids) for r in few.collect()} == {"abcd": [300], "abc": [256, 99], "xabcd": [120, 256, 99, 100]}
+
+
+def test_the_rank_map_is_small_arrays(spark):
+    """Look-ups go by position: a map's is linear, and a merge that makes texts is slow."""
+    plan = spark.range(1).select(bpe.fold_word(bpe.F.lit("word"), bpe.rank_map(RANKS)).alias("ids"))._jdf.queryExecution().analyzed().toString()
+    assert "crc32" not in plan and "array<map<" not in plan
+
+
+def test_a_task_has_one_python_step_at_a_time(spark):
+    """Two Python steps in one stage would have two workers for each task."""
+    plan = bpe.encode_and_decode(documents(spark, ["some words", None]), "doc_id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
+def test_a_bundle_is_a_row_group(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(bpe, "staged", lambda *a, **b: written.append(common.staged(*a, **b)) or written[-1])
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")  # a bundle is of one Arrow batch
+    try:
+        assert bpe.token_digest(documents(spark, ["a text"] * 6).coalesce(1)).count() == 6
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    files = [pq.ParquetFile(f.removeprefix("file:")) for f in written[-1].inputFiles()]
+    assert sum(f.num_row_groups for f in files) == sum(f.metadata.num_rows for f in files) == 3
