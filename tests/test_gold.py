@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from lakeshore import registry, spec
 from lakeshore.operators import checks, gold
-from lakeshore.registry_more import RECONCILE_TABLES, _gold_frames
+from lakeshore.registry_more import RECONCILE_TABLES, _all_gold, _gold_frames
+from lakeshore.sources.fixture import raw_trips
 
 from .conftest import SF001
 from .gold_direct import build_direct
@@ -52,6 +53,16 @@ def test_gold_invariants(spark):
     assert out and all(r.violations == 0 for r in out), [r for r in out if r.violations]
 
 
+def test_reconciled_gold_reads_trips_once(spark, monkeypatch):
+    """The trips are derived and written in one reading of `lineitem`; no Gold table reads it again."""
+    read = []
+    monkeypatch.setattr(registry, "raw_trips", lambda *a: read.append(a) or raw_trips(*a))
+    tables = _all_gold(spark, SF001)
+    assert len(read) == 1 and set(tables) == set(RECONCILE_TABLES)
+    assert not any("lineitem" in f for df in tables.values() for f in df.inputFiles())
+    assert all(r.violations == 0 for r in checks.gold_reconcile(spark, tables).collect())
+
+
 def test_variant_filter_is_not_a_partition(spark):
     from lakeshore.functions.common import variant_list
     df = spark.createDataFrame([(False, False), (True, False), (False, True), (True, True), (None, None)],
