@@ -3,9 +3,10 @@
 Texts are split by the tokenizer's pattern; every distinct piece of text (word)
 is encoded by Spark's higher-order functions: a fold over the word's bytes
 merges, step by step, the leftmost adjacent pair of lowest rank, looked up in a
-literal rank map (`rank_map`: the ranks of pairs of ids in one array, found by
-position, since a map's lookup is linear). Bytes are carried as ISO-8859-1
-characters.
+rank map (`rank_map`: the ranks of pairs of ids in one array, found by
+position, since a map's lookup is linear), which comes as a broadcast row: many
+words share a row of their own, so it is copied seldom. Bytes are carried as
+ISO-8859-1 characters.
 
 The most frequent words of the input, `CACHE` at most, are folded once and
 travel with the tasks (a bound on memory; it changes no result); of the others
@@ -36,7 +37,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import public_tokenizers
 import tiktoken
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import frequent, pick, staged
@@ -55,8 +56,10 @@ BUNDLE_ROWS, BUNDLE_CHARS, SPLIT_CHARS = 4096, 8_000_000, 500_000
 PIECE_WORDS = 1 << 17
 #: A bundle is a large row: a row group of its own, so neither writer nor reader holds many.
 ONE_A_GROUP = {"parquet.block.row.count.limit": "1"}
-#: Words whose code points are compared at a time.
-COMPARED = 1 << 14
+#: Words whose code points are compared at a time; words that are hashed at a time on the driver.
+COMPARED, HASHED = 1 << 14, 1 << 15
+#: Rows that the words folded beforehand are put in.
+WORD_ROWS = 512
 
 
 @lru_cache(maxsize=4)
@@ -228,15 +231,32 @@ def displaced(rows: dict[int, dict[int, int]]) -> tuple[list[int], list[int]]:
     return base, slots
 
 
-def rank_map(table: dict[bytes, int]) -> Column:
-    """What the fold looks up, as one literal: the bytes' ids, the ranks of pairs of ids (`displaced`), tokens that their bytes' merges do not give."""
+RANK_MAP = "single array<bigint>, base array<bigint>, slots array<bigint>, whole map<string,int>"
+
+
+def _rank_text(table: dict[bytes, int]) -> str:
+    """What the fold looks up, as JSON: the bytes' ids, the ranks of pairs of ids (`displaced`), tokens that their bytes' merges do not give."""
     if max(table.values()) >= NO_RANK:
         raise ValueError(f"ranks of {NO_RANK} and more do not fit the fold's state")
     single, pairs = [table[bytes([i])] for i in range(256)], pair_ranks(table)
     base, slots = displaced(pairs)
     whole = {t.decode("latin-1"): r for t, r in table.items() if merge([single[x] for x in t], pairs) != [r]}
-    maps = json.dumps({"single": single, "base": base, "slots": slots, "whole": whole})
-    return F.from_json(F.lit(maps), "single array<bigint>, base array<bigint>, slots array<bigint>, whole map<string,int>")  # constant: folded into one literal when planned
+    return json.dumps({"single": single, "base": base, "slots": slots, "whole": whole})
+
+
+def rank_map(table: dict[bytes, int]) -> Column:
+    """What the fold looks up, as one literal."""
+    return F.from_json(F.lit(_rank_text(table)), RANK_MAP)  # constant: folded into one literal when planned
+
+
+def with_rank_map(rows: DataFrame, maps: DataFrame) -> DataFrame:
+    """rows with `maps`, what the fold looks up, beside each: it is copied for each row."""
+    return rows.crossJoin(F.broadcast(maps))
+
+
+def rank_row(spark: SparkSession, table: dict[bytes, int]) -> DataFrame:
+    """`rank_map` as a table of one row. As a literal it stands, 5 MB long, in each text of a plan, of which the driver holds many."""
+    return spark.createDataFrame([(_rank_text(table),)], "maps string").select(F.from_json("maps", RANK_MAP).alias("maps"))
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -360,16 +380,20 @@ def _count_words(classes):
 
 
 class Known:
-    """Words in order of their hashes, for look-ups."""
+    """Words in order of their hashes, for look-ups. Hashed group by group: it takes some 8-byte numbers for each character."""
 
-    def __init__(self, words: list[str]):
-        length = np.fromiter(map(len, words), np.int64, len(words))
-        cp = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+    def __init__(self, words: pa.StringArray):
+        length = pc.utf8_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
         ends = np.cumsum(length)
-        h = word_hashes(cp, ends - length, ends)
+        h, points = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint16)]
+        for lo in range(0, len(words), HASHED):
+            cp = np.frombuffer("".join(words.slice(lo, HASHED).to_pylist()).encode("utf-32-le"), np.uint32)
+            stops = np.cumsum(length[lo:lo + HASHED])
+            h.append(word_hashes(cp, stops - length[lo:lo + HASHED], stops))
+            points.append(cp.astype(np.uint16) if not len(cp) or cp.max() < 1 << 16 else cp)
+        h, self.cp = np.concatenate(h), np.concatenate(points)
         self.order = np.argsort(h, kind="stable")
         self.h, self.length, self.at = h[self.order], length[self.order].astype(np.uint16), (ends - length)[self.order].astype(np.int32)
-        self.cp = cp.astype(np.uint16) if not len(cp) or cp.max() < 1 << 16 else cp
 
     def find(self, w: Words) -> np.ndarray:
         """Number of each distinct word, -1 if it is not there: of words that share a hash only one is found."""
@@ -456,28 +480,38 @@ def _unbundle(cache, path: str, kinds: pa.Schema, finish: Callable):
     return run
 
 
+def _folded(top: DataFrame, maps: DataFrame) -> DataFrame:
+    """The words of top (word) and their ids, in `WORD_ROWS` rows: words, ids."""
+    row, parts = F.pmod(F.xxhash64("word"), F.lit(WORD_ROWS)), int(top.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = top.select("word", row.alias("row")).repartition(parts, "row").groupBy("row").agg(F.collect_list("word").alias("words"))
+    return with_rank_map(rows.select("words"), maps).select("words", F.transform(
+        "words", lambda w: fold_word(F.decode(w, "ISO-8859-1"), F.col("maps"))).alias("ids"))
+
+
 def _encoded(docs: DataFrame, keep: list[str], path: str, finish: Callable, schema: str) -> DataFrame:
     """The kept columns and what finish(path)(values, cuts) gives: row i's ids are values[cuts[i]:cuts[i + 1]]."""
     if public_tokenizers.PATTERN != SPLIT_PATTERN:
         raise ValueError("the tokenizer's pattern is not the one that split() carries out")
     rows = pick(docs, "text", *keep)
     spark = docs.sparkSession
-    classes, maps = spark.sparkContext.broadcast(character_classes()), rank_map(ranks(path))
+    classes, maps = spark.sparkContext.broadcast(character_classes()), rank_row(spark, ranks(path))
     counts = rows.select("text").mapInArrow(_count_words(classes), "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     top = frequent(counts.where(F.length("word") <= CACHE_BYTES), CACHE, "bpe-words")
     # At most CACHE words and their ids come back to the driver.
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    folded = top.select("word").repartition(parts).select("word", fold_word(F.decode("word", "ISO-8859-1"), maps).alias("ids")).toArrow()
-    words = Known([w.decode() for w in folded["word"].to_pylist()])
-    known_ids = spark.sparkContext.broadcast(Ids(folded["ids"].combine_chunks(), words.order))
+    folded = _folded(top, maps).toArrow()
+    words = Known(folded["words"].combine_chunks().flatten().cast(pa.string()))
+    known_ids = spark.sparkContext.broadcast(Ids(folded["ids"].combine_chunks().flatten(), words.order))
     del folded, words.order
     known = spark.sparkContext.broadcast(words)  # each side of the fold has only what it needs
+    del words
     types = dict(rows.dtypes)
     kinds = ", ".join(f"{c}:{types[c]}" for c in keep)
     bundles = rows.mapInArrow(_bundles(classes, known, keep), f"kept array<struct<{kinds}>>, sizes array<int>, codes array<int>, rare array<string>")
     # Written between the two Python steps: a task then has one worker at a time. Of the words only the long ones go on.
-    done = staged(bundles.select("kept", "sizes", "codes", F.filter("rare", lambda w: F.length(w) > LONG).alias("long"), F.transform(
-        "rare", lambda w: F.when(F.length(w) <= LONG, fold_word(w, maps))).alias("ids")), "bpe-bundles", **ONE_A_GROUP)
+    done = staged(with_rank_map(bundles, maps).select("kept", "sizes", "codes", F.filter("rare", lambda w: F.length(w) > LONG).alias("long"), F.transform(
+        "rare", lambda w: F.when(F.length(w) <= LONG, fold_word(w, F.col("maps")))).alias("ids")), "bpe-bundles", **ONE_A_GROUP)
+    for used in (classes, known):  # only the bundles, which are written now, needed them
+        used.destroy()
     arrow = spark.createDataFrame([], rows.select(*keep).schema).toArrow().schema
     return done.mapInArrow(_unbundle(known_ids, path, arrow, finish), ", ".join(f"{c} {types[c]}" for c in keep) + ", " + schema)
 

@@ -1,8 +1,10 @@
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import tiktoken
 
@@ -118,3 +120,33 @@ def test_a_bundle_is_a_row_group(spark, monkeypatch):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     files = [pq.ParquetFile(f.removeprefix("file:")) for f in written[-1].inputFiles()]
     assert sum(f.num_row_groups for f in files) == sum(f.metadata.num_rows for f in files) == 3
+
+
+def test_no_plan_spells_out_the_rank_map(spark, monkeypatch):
+    """The driver keeps plans as texts, several for each run."""
+    seen = []
+    plan = lambda df: seen.append(df._jdf.queryExecution().executedPlan().toString()) or df
+    monkeypatch.setattr(bpe, "staged", lambda df, *a, **b: common.staged(plan(df), *a, **b))
+    folded = bpe._folded
+    monkeypatch.setattr(bpe, "_folded", lambda *a: plan(folded(*a)))
+    rows = ["some words", "and some more", "x" * 300]
+    got = by_id(bpe.token_digest(plan(documents(spark, rows))))
+    assert [got[i].n_tokens for i in range(3)] == [len(REFERENCE.encode_ordinary(t)) for t in rows]
+    assert len(seen) == 3 and "aggregate" in seen[1] and "aggregate" in seen[2] and max(map(len, seen)) < 100_000
+
+
+def test_known_words_are_hashed_in_bounded_memory(monkeypatch):
+    many = [f"word{i:07d}é" for i in range(200_000)]
+    words = pa.array(many)
+    tracemalloc.start()
+    known = bpe.Known(words)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 60e6  # all at once: some arrays of 8 bytes for each of 2.4M characters, more than 100 MB
+    monkeypatch.setattr(bpe, "HASHED", 3)  # and the groups do not show
+    few = ["".join(chr(97 + int(d)) for d in str(i)) for i in range(10)]
+    for words in (few, few[:4] + ["", "🎉", "日本"], []):
+        known, w = bpe.Known(pa.array(words, pa.string())), bpe.Words([x for x in words if x] + ["unknown"], bpe.character_classes())
+        found = {w.word(i): k for i, k in enumerate(known.find(w).tolist())}
+        assert [known.order[k] for k in found.values() if k >= 0] == [words.index(x) for x, k in found.items() if k >= 0]
+        assert {x for x, k in found.items() if k < 0} == {"unknown"} and len(found) == 1 + len([x for x in words if x])
