@@ -143,8 +143,10 @@ def _exp_sum(x: np.ndarray) -> np.ndarray:
     return x @ np.ones(x.shape[1], x.dtype)
 
 
-def _log_share(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Log softmax of one entry of each row of logits."""
+def _log_share(h: np.ndarray, w: np.ndarray, bias: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Log softmax of one entry of each row of the logits h @ w + bias."""
+    x = h @ w
+    x += bias
     picked = np.minimum(x[np.arange(len(at)), at], 60)
     return picked - np.log(_exp_sum(x))
 
@@ -191,34 +193,44 @@ class Gru:
             setattr(self, k, flat[at:at + a.size].reshape(a.shape).astype(F32))
             at += a.size
 
-    def gates(self, h: np.ndarray, g: np.ndarray) -> tuple:
-        """Next state, gates z and r side by side, n, and the recurrent part of n, from a state and rows of the input table."""
-        a, k = h @ self.u, HIDDEN
-        zr = g[:, :2 * k] + a[:, :2 * k]
+    def given(self, x: np.ndarray) -> np.ndarray:
+        """Rows of the input table for symbols (..., b), gate by gate: (..., 3, b, HIDDEN)."""
+        return self.e.reshape(-1, HIDDEN).take(3 * x[..., None, :] + np.arange(3)[:, None], axis=0)
+
+    def recurrent(self) -> np.ndarray:
+        """u, gate by gate."""
+        return np.ascontiguousarray(self.u.reshape(HIDDEN, 3, HIDDEN).swapaxes(0, 1))
+
+    def gates(self, h: np.ndarray, g: np.ndarray, u: np.ndarray, out: tuple | None = None) -> tuple:
+        """Next state, gates (z, r), n, and the recurrent part of each gate, from a state, `given` and `recurrent`; into `out`."""
+        after, zr, n, a = out or (np.empty_like(h), np.empty_like(g[:2]), np.empty_like(h), np.empty_like(g))
+        np.matmul(h, u, out=a)
+        np.add(g[:2], a[:2], out=zr)
         np.exp(np.negative(zr, out=zr), out=zr)
         zr += 1
         np.reciprocal(zr, out=zr)
-        n = zr[:, k:] * a[:, 2 * k:]
-        n += g[:, 2 * k:]
+        np.multiply(zr[1], a[2], out=n)
+        n += g[2]
         np.tanh(n, out=n)
-        after = h - n
-        after *= zr[:, :k]
+        np.subtract(h, n, out=after)
+        after *= zr[0]
         after += n
-        return after, zr, n, a[:, 2 * k:]
+        return after, zr, n, a
 
-    def step(self, h: np.ndarray, x: np.ndarray) -> np.ndarray:
-        return self.gates(h, self.e[x])[0]
+    def step(self, h: np.ndarray, x: np.ndarray, u: np.ndarray | None = None) -> np.ndarray:
+        return self.gates(h, self.given(x), self.recurrent() if u is None else u)[0]
 
     def log_probs(self, h: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Natural log of P(y | h), up to a shape class for other words; row by row."""
         cls, out = class_of(y), np.empty(len(y), h.dtype)
         for lo in range(0, len(y), ROWS):
-            out[lo:lo + ROWS] = _log_share(h[lo:lo + ROWS] @ self.c + self.cb, cls[lo:lo + ROWS])
+            out[lo:lo + ROWS] = _log_share(h[lo:lo + ROWS], self.c, self.cb, cls[lo:lo + ROWS])
         words, bounds = _by_class(cls)
         hw, at, more = h[words], y[words] % PER_CLASS, np.empty(len(words), h.dtype)
-        for k, (lo, hi) in enumerate(zip(bounds, bounds[1:])):
-            if lo < hi:
-                more[lo:hi] = _log_share(hw[lo:hi] @ self.w[k] + self.wb[k], at[lo:hi])
+        for k, (begin, end) in enumerate(zip(bounds.tolist(), bounds[1:].tolist())):
+            for lo in range(begin, end, ROWS):
+                hi = min(lo + ROWS, end)
+                more[lo:hi] = _log_share(hw[lo:hi], self.w[k], self.wb[k], at[lo:hi])
         out[words] += more
         return out
 
@@ -233,15 +245,17 @@ class Gru:
             self.squares = {k: np.full_like(getattr(self, k), 1e-4) for k in self.NAMES}
         b, t, k = len(x), x.shape[1] - 1, HIDDEN
         given = np.maximum(x[:, :-1], 0).T
-        table = self.e[given]
-        hs, zr = np.empty((t + 1, b, k), table.dtype), np.empty((t, b, 2 * k), table.dtype)
-        n, an = np.empty((t, b, k), table.dtype), np.empty((t, b, k), table.dtype)
+        table, u = self.given(given), self.recurrent()
+        hs, zr = np.empty((t + 1, b, k), table.dtype), np.empty((t, 2, b, k), table.dtype)
+        n, a = np.empty((t, b, k), table.dtype), np.empty((t, 3, b, k), table.dtype)
         hs[0] = h
         for i in range(t):
-            hs[i + 1], zr[i], n[i], an[i] = self.gates(hs[i], table[i])
+            self.gates(hs[i], table[i], u, (hs[i + 1], zr[i], n[i], a[i]))
         out, y = hs[1:].reshape(t * b, k), x[:, 1:].T.ravel()
         cls, scale = class_of(y), F32(1 / (STEPS * b))
-        d = _softmax_less_one(out @ self.c + self.cb, cls, scale)
+        d = out @ self.c
+        d += self.cb
+        d = _softmax_less_one(d, cls, scale)
         d[y < 0] = 0  # their class is below all others, so they are no words either
         dh = d @ self.c.T
         grads = [("c", out.T @ d, slice(None)), ("cb", d.sum(axis=0), slice(None))]
@@ -261,18 +275,20 @@ class Gru:
         dh[words] += back
         grads += [("w", gw, slice(None)), ("wb", gwb, slice(None))]
         # Back through time: what a state's gradient does to the gates is known for all steps beforehand.
-        dh, z, r, before = dh.reshape(t, b, k), zr[..., :k], zr[..., k:], hs[:-1]
-        to_n = (1 - z) * (1 - n * n)
-        to_z, to_r = (before - n) * z * (1 - z), to_n * an * r * (1 - r)
-        inputs, recurrent = np.stack([to_z, to_r, to_n], axis=2), np.stack([to_z, to_r, to_n * r], axis=2)
+        dh, z, r, before = dh.reshape(t, b, k), zr[:, 0], zr[:, 1], hs[:-1]
+        less_z = 1 - z
+        to_n = less_z * (1 - n * n)
+        to_z, to_r = (before - n) * z * less_z, to_n * a[:, 2] * r * (1 - r)
+        recurrent = np.stack([to_z, to_r, to_n * r], axis=2)
         carry, ut = np.zeros((b, k), table.dtype), self.u.T.copy()
         for i in reversed(range(t)):
             g = dh[i]
             g += carry
             carry = g * z[i]
-            carry += (g[:, None] * recurrent[i]).reshape(b, 3 * k) @ ut
-        inputs *= dh[:, :, None]
-        recurrent *= dh[:, :, None]
+            recurrent[i] *= g[:, None]
+            carry += recurrent[i].reshape(b, 3 * k) @ ut
+        inputs = recurrent.copy()  # the two differ in n
+        np.multiply(to_n, dh, out=inputs[:, :, 2])
         du = before.reshape(t * b, k).T @ recurrent.reshape(t * b, 3 * k)
         xs, dg, h = given.ravel().astype(np.int16), inputs.reshape(t * b, 3 * k), hs[-1]
         order = np.argsort(xs, kind="stable")
@@ -306,7 +322,7 @@ class Gru:
         for lo in range(0, len(order), group):
             ids = np.array(order[lo:lo + group])
             size = np.array([len(seqs[i]) for i in ids])
-            h, last = np.zeros((len(ids), HIDDEN), F32), np.full(len(ids), start)
+            h, last, u = np.zeros((len(ids), HIDDEN), F32), np.full(len(ids), start), self.recurrent()
             for at in range(0, int(size.max(initial=0)), width):
                 on = int(np.searchsorted(-size, -at, side="left"))  # sorted by length: the first `on` go on
                 h, last = h[:on], last[:on]
@@ -317,7 +333,7 @@ class Gru:
                     x[j, :len(part)] = part
                 states = np.empty((steps, on, HIDDEN), F32)
                 for s in range(steps):
-                    h = self.step(h, last if s == 0 else x[:, s - 1])
+                    h = self.step(h, last if s == 0 else x[:, s - 1], u)
                     states[s] = h
                 last = x[:, -1]
                 valid = (at + np.arange(steps))[:, None] < size[:on]
@@ -333,15 +349,13 @@ SYMBOL = np.dtype("<i2")
 
 
 def _symbol_tasks(lexicon):
-    kind = pa.list_(pa.struct([("word", pa.binary()), ("m", pa.int64())]))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lex = lexicon.value
         logs = np.log10(lex.n + 1.0)
         for b in batches:
             for lo in range(0, b.num_rows, BATCH):
                 part = b.slice(lo, BATCH)
-                rows = []
+                rows, ends, rare_words, times = [], [0], [], []
                 for t in part.column(0).to_pylist():
                     toks = tokens(t)
                     sym, rank, rare = lex.symbols(toks)
@@ -349,11 +363,15 @@ def _symbol_tasks(lexicon):
                     other = sym[sym >= VOCAB] - VOCAB
                     in_shape = known[known >= lex.vocab]
                     words = Counter(toks[i] for i in rare.tolist())
+                    rare_words += words
+                    times += words.values()
+                    ends.append(len(times))
                     rows.append((sym.astype(SYMBOL).tobytes(), len(toks), len(known), float(logs[known].sum()),
-                                 float(logs[in_shape].sum() - lex.log_share[other].sum()), [{"word": w, "m": m} for w, m in words.items()]))
-                types = [pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), kind]
+                                 float(logs[in_shape].sum() - lex.log_share[other].sum())))
+                types = [pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+                pairs = pa.StructArray.from_arrays([pa.array(rare_words, pa.binary()), pa.array(times, pa.int64())], names=["word", "m"])
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[1:], *(pa.array(c, t) for c, t in zip(zip(*rows), types))],
+                    [*part.columns[1:], *(pa.array(c, t) for c, t in zip(zip(*rows), types)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)],
                     names=[*b.schema.names[1:], "sym", "n_tokens", "n_known", "log_counts", "in_shape", "rare"])
     return run
 

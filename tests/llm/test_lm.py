@@ -204,3 +204,41 @@ def test_empty_table(spark):
     assert lm.score_documents(documents(spark, ["x"]).limit(0)).count() == 0
     only_held = documents(spark, ["a"] * 30).where("crc32(cast(cast(doc_id as string) as binary)) % 7 = 2")
     assert {(r.train_tokens, r.n_known) for r in lm.score_documents(only_held).collect()} == {(0, 0)}
+
+
+def test_gates_of_a_step_are_contiguous_and_right():
+    """Side by side, each operation of the gates went through strided rows of 16 numbers."""
+    rng = np.random.default_rng(4)
+    g = lm.Gru(Tiny)
+    h, x = rng.standard_normal((5, lm.HIDDEN)).astype(np.float32), np.array([0, 7, 199, lm.VOCAB, lm.VOCAB + lm.SHAPES - 1], np.int16)
+    after, zr, n, a = g.gates(h, g.given(x), g.recurrent())
+    assert zr.shape == (2, 5, lm.HIDDEN) and all(y.flags.c_contiguous for y in (after, zr, n, a))
+    part = lambda y, i: y[:, i * lm.HIDDEN:(i + 1) * lm.HIDDEN].astype(np.float64)
+    e, u = g.e[x], h.astype(np.float64) @ g.u.astype(np.float64)
+    z, r = (1 / (1 + np.exp(-(part(e, i) + part(u, i)))) for i in range(2))
+    want = np.tanh(part(e, 2) + r * part(u, 2))
+    assert np.allclose(zr, [z, r], atol=1e-5) and np.allclose(n, want, atol=1e-5)
+    assert np.allclose(g.step(h, x), z * h + (1 - z) * want, atol=1e-5)
+
+
+def test_large_groups_of_a_class_are_scored_in_parts(monkeypatch):
+    rng = np.random.default_rng(6)
+    g = lm.Gru(Tiny)
+    g.w += rng.standard_normal(g.w.shape).astype(np.float32)
+    h, y = rng.standard_normal((500, lm.HIDDEN)).astype(np.float32), rng.integers(0, 70, 500)
+    whole, sizes, share = g.log_probs(h, y), [], lm._log_share
+    monkeypatch.setattr(lm, "ROWS", 7)
+    monkeypatch.setattr(lm, "_log_share", lambda h, *a: (sizes.append(len(h)), share(h, *a))[1])
+    assert np.allclose(g.log_probs(h, y), whole, atol=1e-5) and max(sizes) == 7 and sum(sizes) == 1000
+
+
+def test_rare_words_of_each_text(spark, monkeypatch):
+    monkeypatch.setattr(lm, "CACHE", 2)
+    monkeypatch.setattr(lm, "BATCH", 2)
+    texts = ["a a a b b b c", None, "", "c d a d", "e"]
+    rows = documents(spark, texts).selectExpr("cast(text as binary) text", "doc_id", "false held_out")
+    lexicon = lm.Lexicon(lm.count_words(rows.select("text")))
+    table = {r.doc_id: {bytes(w.word): w.m for w in r.rare} for r in lm.as_symbols(rows, spark.sparkContext.broadcast(lexicon)).collect()}
+    for i, t in enumerate(texts):
+        assert table[i] == {w: n for w, n in Counter(lm.tokens((t or "").encode())).items() if w not in lexicon.words}
+    assert any(table.values())
