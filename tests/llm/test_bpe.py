@@ -150,3 +150,16 @@ def test_known_words_are_hashed_in_bounded_memory(monkeypatch):
         found = {w.word(i): k for i, k in enumerate(known.find(w).tolist())}
         assert [known.order[k] for k in found.values() if k >= 0] == [words.index(x) for x, k in found.items() if k >= 0]
         assert {x for x, k in found.items() if k < 0} == {"unknown"} and len(found) == 1 + len([x for x in words if x])
+
+
+def test_words_and_decoded_texts_are_cut_out_all_at_once(monkeypatch):
+    rows = texts()
+    w = bpe.Words(rows, bpe.character_classes())
+    assert w.utf8().to_pylist() == [w.word(i).encode() for i in range(len(w.h))] and len(w.h) > 100
+    assert bpe.Words([None, ""], bpe.character_classes()).utf8().to_pylist() == []
+    ids = [REFERENCE.encode_ordinary(t or "") for t in rows]
+    cuts = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
+    for most in (bpe.SPLIT_CHARS, 300):
+        monkeypatch.setattr(bpe, "SPLIT_CHARS", most)
+        parts = bpe.Decoder(public_tokenizers.path(bpe.VOCABULARY)).parts(np.array(sum(ids, []), np.int32), cuts)
+        assert [bytes(x) for x in parts] == [(t or "").encode() for t in rows]
