@@ -28,11 +28,11 @@ empty table gives no rows; extra columns are left out.
 from __future__ import annotations
 
 from collections import Counter
-from itertools import chain, repeat
 from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,39 +54,61 @@ RATE = 0.1
 #: Updates that a training sequence should give at least.
 UPDATES = 50
 BATCH = 2048
-#: Distinct words that a task counts before it sends them on, about.
-HELD_WORDS = 1 << 17
-#: Positions whose class shares are computed at a time.
-ROWS = 4096
+#: Texts whose words are counted at a time, before they are sent on.
+COUNTED = 1 << 14
+#: Rows that a product takes at a time: so few need no repacking in BLAS (under 10^6 multiplications).
+ROWS = 768
+#: Symbols met up to so often in a window get their gradient by adding rows; the others by segments.
+SHORT = 6
 CHUNK = 1 << 14
-F32 = np.float32
+F32, SYMBOL = np.float32, np.dtype("<i2")
 
 
 def tokens(text: bytes | None) -> list[bytes]:
-    """The words of a UTF-8 text, A-Z in lower case, and the end."""
+    """The words of a UTF-8 text, A-Z in lower case, and the end: the rule that `split` applies to many texts at once."""
     return [*text.lower().split(), END] if text else [END]
 
 
 def shape(word: bytes) -> int:
     """Class of a word outside the model's: whether it is ASCII, and its last byte's kind."""
-    c = word[-1]
-    kind = (0 if 97 <= c <= 122 or c >= 128 else 1 if c == 46 else 2 if c == 44 else 3 if 48 <= c <= 57
-            else 4 if c in b"#$%&*" else 5)
-    return kind if word.isascii() else kind + 6
+    return KIND[word[-1]] + (0 if word.isascii() else 6)
+
+
+def _kind(c: int) -> int:
+    return 0 if 97 <= c <= 122 or c >= 128 else 1 if c == 46 else 2 if c == 44 else 3 if 48 <= c <= 57 else 4 if c in b"#$%&*" else 5
+
+
+KIND = [_kind(c) for c in range(256)]
+
+
+def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all UTF-8 texts (binary), A-Z in lower case, one after the other, and where each text's begin and end."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.string(), safe=False).fill_null("")))  # no check of the UTF-8
+    words, ends = lists.values.cast(pa.binary()), lists.offsets.to_numpy()
+    full = pc.greater(pc.binary_length(words), 0)  # beside white space at a text's ends stand empty words
+    return words.filter(full), np.append(0, np.cumsum(full))[ends]
+
+
+def shapes(words: pa.Array) -> np.ndarray:
+    """`shape` of each word (binary)."""
+    if not len(words):
+        return np.zeros(0, np.int64)
+    _, ends, data = words.buffers()
+    last = np.frombuffer(ends, np.int32)[words.offset + 1:words.offset + len(words) + 1] - 1
+    plain = pc.string_is_ascii(words.cast(pa.string(), safe=False)).to_numpy(zero_copy_only=False)
+    return np.array(KIND)[np.frombuffer(data, np.uint8)[last]] + np.where(plain, 0, 6)
 
 
 # --- counts ----------------------------------------------------------------
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    c: Counter = Counter()
-    for b in chain(batches, [None]):
-        for lo in range(0, b.num_rows if b else 0, BATCH):
-            for t in b.column(0).slice(lo, BATCH).to_pylist():
-                c.update(tokens(t))
-        if len(c) >= HELD_WORDS or b is None:
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.binary()), pa.array([shape(w) for w in c], pa.int32()),
-                                              pa.array(list(c.values()), pa.int64())], names=["word", "shape", "n"])
-            c.clear()
+    names = ["word", "shape", "n"]
+    for b in batches:
+        for lo in range(0, b.num_rows, COUNTED):
+            part = b.column(0).slice(lo, COUNTED)
+            words, n = split(part)[0].value_counts().flatten()
+            yield pa.RecordBatch.from_arrays([words, pa.array(shapes(words), pa.int32()), n], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array([END], pa.binary()), pa.array([shape(END)], pa.int32()), pa.array([len(part)], pa.int64())], names=names)
 
 
 def count_words(train: DataFrame) -> DataFrame:
@@ -111,57 +133,103 @@ class Lexicon:
             mass[shape(w)] -= n
             types[shape(w)] -= 1
         self.mass, self.log_share = mass, np.log10(mass + types + 1.0)
-        self._index: dict | None = None
+        self._known: tuple | None = None
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"_index": None}
-
-    def symbols(self, toks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Model symbol of each token, its rank among the cached words or -1, and the positions of the latter."""
-        if self._index is None:
-            self._index = {w: i for i, w in enumerate(self.words)}
-            self.shapes = np.array([VOCAB + shape(w) for w in self.words], np.int64)
-            self.shapes[:self.vocab] = np.arange(self.vocab)
-        rank = np.fromiter(map(self._index.get, toks, repeat(-1)), np.int64, len(toks))
-        sym = self.shapes[rank] if len(self.words) else np.zeros(len(toks), np.int64)
-        rare = np.flatnonzero(rank < 0)
-        for i in rare.tolist():
-            sym[i] = VOCAB + shape(toks[i])
+        return self.__dict__ | {"_known": None}
+
+    def symbols(self, toks: pa.Array | list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Model symbol of each token, its rank among the cached words or -1, and the positions of those of -1."""
+        if self._known is None:
+            words = pa.array(self.words, pa.binary())
+            by_rank = VOCAB + shapes(words)
+            by_rank[:self.vocab] = np.arange(self.vocab)
+            self._known = words, np.append(by_rank, 0).astype(SYMBOL)
+        words, by_rank = self._known
+        toks = toks if isinstance(toks, pa.Array) else pa.array(toks, pa.binary())
+        rank = pc.index_in(toks, value_set=words).fill_null(-1).to_numpy()
+        sym, rare = by_rank[rank], np.flatnonzero(rank < 0)
+        sym[rare] = VOCAB + shapes(toks.take(pa.array(rare)))
         return sym, rank, rare
 
 
 # --- the network -----------------------------------------------------------
 
+#: Class of each symbol; the last entry, for symbols of -1, is below all others.
+CLASS_OF = np.concatenate([np.arange(VOCAB) // PER_CLASS, np.arange(WORD_CLASSES, CLASSES), [-1]]).astype(np.int16)
+
+
 def class_of(sym: np.ndarray) -> np.ndarray:
-    return np.where(sym < VOCAB, sym // PER_CLASS, sym - VOCAB + WORD_CLASSES)
+    return CLASS_OF[sym]
+
+
+def _with_ones(h: np.ndarray) -> np.ndarray:
+    """The states with a column of ones, so that a product with `_with_bias` adds the bias."""
+    out = np.empty((len(h), h.shape[1] + 1), h.dtype)
+    out[:, :-1], out[:, -1] = h, 1
+    return out
+
+
+def _with_bias(w: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Weights (..., HIDDEN, n) with the biases (..., n) as their last row."""
+    return np.concatenate([w, bias[..., None, :]], axis=-2)
+
+
+def _product(h: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """h @ w, `ROWS` rows at a time."""
+    out = np.empty((len(h), w.shape[1]), h.dtype)
+    for lo in range(0, len(h), ROWS):
+        np.matmul(h[lo:lo + ROWS], w, out=out[lo:lo + ROWS])
+    return out
 
 
 def _exp_sum(x: np.ndarray) -> np.ndarray:
     """Turns logits into their exponentials, in place; the sum of each row. (Logits start as log shares; 60 is out of reach.)"""
-    np.minimum(x, 60, out=x)
+    if not x.max(initial=0) <= 60:
+        np.minimum(x, 60, out=x)
     np.exp(x, out=x)
     return x @ np.ones(x.shape[1], x.dtype)
 
 
-def _log_share(h: np.ndarray, w: np.ndarray, bias: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Log softmax of one entry of each row of the logits h @ w + bias."""
+def _entries(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Where, in a contiguous x laid out flat, the entry `at` of each row is."""
+    return np.arange(0, x.size, x.shape[1]) + at
+
+
+def _log_share(h: np.ndarray, w: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Log softmax of one entry of each row of the logits h @ w."""
     x = h @ w
-    x += bias
-    picked = np.minimum(x[np.arange(len(at)), at], 60)
+    picked = np.minimum(x.reshape(-1)[_entries(x, at)], 60)
     return picked - np.log(_exp_sum(x))
 
 
 def _softmax_less_one(x: np.ndarray, at: np.ndarray, scale: float) -> np.ndarray:
     """Gradient of the loss by the logits: softmax less 1 at the right entry, times scale; in place."""
     x *= (scale / _exp_sum(x))[:, None]
-    x[np.arange(len(at)), at] -= scale
+    x.reshape(-1)[_entries(x, at)] -= scale
     return x
 
 
+def _segment_sums(rows: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of rows from each of `first` up to the next; most segments are short, and `reduceat` goes through each of their columns."""
+    size, out = np.diff(first, append=len(rows)), rows.take(first, axis=0)
+    for n in range(2, SHORT + 1):
+        at = np.flatnonzero(size == n)
+        tail = rows.take(first[at] + 1, axis=0)
+        for j in range(2, n):
+            tail += rows.take(first[at] + j, axis=0)
+        out[at] += tail
+    at = np.flatnonzero(size > SHORT)
+    if len(at):
+        long = rows.take(np.flatnonzero(np.repeat(size > SHORT, size)), axis=0)
+        out[at] = np.add.reduceat(long, np.cumsum(size[at]) - size[at], axis=0)
+    return out
+
+
 def _by_class(cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions of the word classes' symbols, class by class, and where each class begins among them."""
-    order = np.argsort(cls.astype(np.int16), kind="stable")
-    bounds = np.searchsorted(cls[order], np.arange(WORD_CLASSES + 1))
+    order = np.argsort(cls, kind="stable")
+    bounds = np.searchsorted(cls[order], np.arange(WORD_CLASSES + 1, dtype=cls.dtype))
     return order[bounds[0]:bounds[-1]], bounds - bounds[0]
 
 
@@ -222,22 +290,25 @@ class Gru:
 
     def log_probs(self, h: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Natural log of P(y | h), up to a shape class for other words; row by row."""
-        cls, out = class_of(y), np.empty(len(y), h.dtype)
+        cls, out, h, c = class_of(y), np.empty(len(y), h.dtype), _with_ones(h), _with_bias(self.c, self.cb)
         for lo in range(0, len(y), ROWS):
-            out[lo:lo + ROWS] = _log_share(h[lo:lo + ROWS], self.c, self.cb, cls[lo:lo + ROWS])
+            out[lo:lo + ROWS] = _log_share(h[lo:lo + ROWS], c, cls[lo:lo + ROWS])
         words, bounds = _by_class(cls)
-        hw, at, more = h[words], y[words] % PER_CLASS, np.empty(len(words), h.dtype)
+        hw, w, at, more = h.take(words, axis=0), _with_bias(self.w, self.wb), y[words] % PER_CLASS, np.empty(len(words), h.dtype)
         for k, (begin, end) in enumerate(zip(bounds.tolist(), bounds[1:].tolist())):
             for lo in range(begin, end, ROWS):
                 hi = min(lo + ROWS, end)
-                more[lo:hi] = _log_share(hw[lo:hi], self.w[k], self.wb[k], at[lo:hi])
+                more[lo:hi] = _log_share(hw[lo:hi], w[k], at[lo:hi])
         out[words] += more
         return out
 
     def _update(self, name: str, grad: np.ndarray, rows: np.ndarray | slice = slice(None)) -> None:
-        s = self.squares[name]
-        s[rows] += grad * grad
-        getattr(self, name)[rows] -= RATE * grad / np.sqrt(s[rows] + 1e-8)
+        weights, squares = getattr(self, name), self.squares[name]
+        s = squares[rows]
+        s += grad * grad
+        if not isinstance(rows, slice):
+            squares[rows] = s
+        weights[rows] -= RATE * grad / np.sqrt(s + 1e-8)
 
     def train(self, x: np.ndarray, h: np.ndarray) -> np.ndarray:
         """One update from a window of symbols (streams, steps + 1); the state behind it. Symbols of -1 fill a stream up: they are not learnt."""
@@ -253,47 +324,52 @@ class Gru:
             self.gates(hs[i], table[i], u, (hs[i + 1], zr[i], n[i], a[i]))
         out, y = hs[1:].reshape(t * b, k), x[:, 1:].T.ravel()
         cls, scale = class_of(y), F32(1 / (STEPS * b))
-        d = out @ self.c
-        d += self.cb
-        d = _softmax_less_one(d, cls, scale)
+        ones = _with_ones(out)
+        d = _softmax_less_one(_product(ones, _with_bias(self.c, self.cb)), np.maximum(cls, 0), scale)
         d[y < 0] = 0  # their class is below all others, so they are no words either
         dh = d @ self.c.T
         grads = [("c", out.T @ d, slice(None)), ("cb", d.sum(axis=0), slice(None))]
         # Words, class by class: products a class, everything else for all of them at once.
         words, bounds = _by_class(cls)
-        hw, dw, back = out[words], np.empty((len(words), PER_CLASS), out.dtype), np.empty((len(words), k), out.dtype)
+        hw, dw, back = ones.take(words, axis=0), np.empty((len(words), PER_CLASS), out.dtype), np.empty((len(words), k), out.dtype)
         spans = [(j, lo, hi) for j, (lo, hi) in enumerate(zip(bounds.tolist(), bounds[1:].tolist())) if lo < hi]
+        biased = _with_bias(self.w, self.wb)
         for j, lo, hi in spans:
-            np.matmul(hw[lo:hi], self.w[j], out=dw[lo:hi])
-        dw += np.repeat(self.wb, np.diff(bounds), axis=0)
+            np.dot(hw[lo:hi], biased[j], out=dw[lo:hi])
         _softmax_less_one(dw, y[words] % PER_CLASS, scale)
         gw, gwb = np.zeros_like(self.w), np.zeros_like(self.wb)
         for j, lo, hi in spans:
-            np.matmul(hw[lo:hi].T, dw[lo:hi], out=gw[j])
-            np.matmul(dw[lo:hi], self.w[j].T, out=back[lo:hi])
-            gwb[j] = dw[lo:hi].sum(axis=0)
-        dh[words] += back
+            part = dw[lo:hi]
+            np.dot(hw[lo:hi, :k].T, part, out=gw[j])
+            np.dot(part, self.w[j].T, out=back[lo:hi])
+            np.add.reduce(part, axis=0, out=gwb[j])
+        back += dh.take(words, axis=0)
+        dh[words] = back
         grads += [("w", gw, slice(None)), ("wb", gwb, slice(None))]
         # Back through time: what a state's gradient does to the gates is known for all steps beforehand.
         dh, z, r, before = dh.reshape(t, b, k), zr[:, 0], zr[:, 1], hs[:-1]
-        less_z = 1 - z
+        less_z, gate = 1 - z, np.empty((t, 3, b, k), table.dtype)
         to_n = less_z * (1 - n * n)
-        to_z, to_r = (before - n) * z * less_z, to_n * a[:, 2] * r * (1 - r)
-        recurrent = np.stack([to_z, to_r, to_n * r], axis=2)
+        np.multiply((before - n) * z, less_z, out=gate[:, 0])
+        np.multiply(to_n * a[:, 2] * r, 1 - r, out=gate[:, 1])
+        np.multiply(to_n, r, out=gate[:, 2])
+        recurrent = np.empty((t, b, 3 * k), table.dtype)  # the gates side by side, for the products
         carry, ut = np.zeros((b, k), table.dtype), self.u.T.copy()
         for i in reversed(range(t)):
             g = dh[i]
             g += carry
             carry = g * z[i]
-            recurrent[i] *= g[:, None]
-            carry += recurrent[i].reshape(b, 3 * k) @ ut
+            gate[i] *= g
+            np.concatenate(gate[i], axis=1, out=recurrent[i])
+            carry += recurrent[i] @ ut
         inputs = recurrent.copy()  # the two differ in n
-        np.multiply(to_n, dh, out=inputs[:, :, 2])
+        np.multiply(to_n, dh, out=inputs[:, :, 2 * k:])
         du = before.reshape(t * b, k).T @ recurrent.reshape(t * b, 3 * k)
         xs, dg, h = given.ravel().astype(np.int16), inputs.reshape(t * b, 3 * k), hs[-1]
         order = np.argsort(xs, kind="stable")
-        rows, first = np.unique(xs[order], return_index=True)
-        grads += [("u", du, slice(None)), ("e", np.add.reduceat(dg[order], first, axis=0), rows)]
+        xs = xs[order]
+        first = np.append(0, np.flatnonzero(xs[1:] != xs[:-1]) + 1)
+        grads += [("u", du, slice(None)), ("e", _segment_sums(dg.take(order, axis=0), first), xs[first])]
         for name, grad, at in grads:
             self._update(name, grad, at)
         return h
@@ -317,35 +393,40 @@ class Gru:
 
     def score(self, seqs: list[np.ndarray], start: int, width: int = 128, group: int = 2048) -> np.ndarray:
         """Natural log-likelihood of each symbol sequence; the state goes through windows of `width` to the end."""
-        out = np.zeros(len(seqs))
-        order = sorted(range(len(seqs)), key=lambda i: -len(seqs[i]))
+        out, sizes = np.zeros(len(seqs)), np.array([len(x) for x in seqs], np.int64)
+        order = np.argsort(-sizes, kind="stable")
         for lo in range(0, len(order), group):
-            ids = np.array(order[lo:lo + group])
-            size = np.array([len(seqs[i]) for i in ids])
-            h, last, u = np.zeros((len(ids), HIDDEN), F32), np.full(len(ids), start), self.recurrent()
+            ids = order[lo:lo + group]
+            size, some = sizes[ids], [seqs[i] for i in ids.tolist()]
+            h, last, u = np.zeros((len(ids), HIDDEN), F32), np.full(len(ids), start, SYMBOL), self.recurrent()
             for at in range(0, int(size.max(initial=0)), width):
                 on = int(np.searchsorted(-size, -at, side="left"))  # sorted by length: the first `on` go on
                 h, last = h[:on], last[:on]
                 steps = int(min(width, size[0] - at))
-                x = np.full((on, steps), start)
-                for j in range(on):
-                    part = seqs[ids[j]][at:at + steps]
-                    x[j, :len(part)] = part
-                states = np.empty((steps, on, HIDDEN), F32)
+                x = np.full((on, steps), start, SYMBOL)
+                for row, seq in zip(x, some[:on]):
+                    part = seq[at:at + steps]
+                    row[:len(part)] = part
+                x = np.ascontiguousarray(x.T)
+                states, room = np.empty((steps, on, HIDDEN), F32), [np.empty((*n, on, HIDDEN), F32) for n in ((2,), (), (3,))]
                 for s in range(steps):
-                    h = self.step(h, last if s == 0 else x[:, s - 1], u)
-                    states[s] = h
-                last = x[:, -1]
+                    h = self.gates(h, self.given(last if s == 0 else x[s - 1]), u, (states[s], *room))[0]
+                h, last = h.copy(), x[-1]
                 valid = (at + np.arange(steps))[:, None] < size[:on]
+                full = np.flatnonzero(valid)
                 lp = np.zeros((steps, on))
-                lp[valid] = self.log_probs(states[valid], x.T[valid])
+                lp.reshape(-1)[full] = self.log_probs(states.reshape(-1, HIDDEN).take(full, axis=0), x.reshape(-1)[full])
                 out[ids[:on]] += lp.sum(axis=0)
         return out
 
 
 # --- texts as symbols ------------------------------------------------------
 
-SYMBOL = np.dtype("<i2")
+
+def _sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The sum between each two of bounds."""
+    at = bounds.tolist()
+    return np.array([np.add.reduce(values[i:j]) for i, j in zip(at, at[1:])], float)
 
 
 def _symbol_tasks(lexicon):
@@ -353,25 +434,36 @@ def _symbol_tasks(lexicon):
         lex = lexicon.value
         logs = np.log10(lex.n + 1.0)
         for b in batches:
-            for lo in range(0, b.num_rows, BATCH):
-                part = b.slice(lo, BATCH)
-                rows, ends, rare_words, times = [], [0], [], []
-                for t in part.column(0).to_pylist():
-                    toks = tokens(t)
-                    sym, rank, rare = lex.symbols(toks)
-                    known = rank[rank >= 0]
-                    other = sym[sym >= VOCAB] - VOCAB
-                    in_shape = known[known >= lex.vocab]
-                    words = Counter(toks[i] for i in rare.tolist())
-                    rare_words += words
-                    times += words.values()
+            for lo in range(0, b.num_rows, 2 * BATCH):  # a lookup of all cached words is made for each part
+                part = b.slice(lo, 2 * BATCH)
+                words, begin = split(part.column(0))
+                words = pa.concat_arrays([words, pa.array([END], pa.binary())])
+                # The tokens of all texts, one text after the other: which word each is, the end behind the words of each text.
+                bounds = begin + np.arange(part.num_rows + 1)
+                is_end = np.zeros(bounds[-1], bool)
+                is_end[bounds[1:] - 1] = True
+                word = np.full(len(is_end), len(words) - 1, np.int32)
+                word[~is_end] = np.arange(len(words) - 1, dtype=np.int32)
+                sym, rank, _ = lex.symbols(words)
+                sym, rank = sym[word], rank[word]
+                rare, known, in_shape, other = (np.flatnonzero(x) for x in (rank < 0, rank >= 0, rank >= lex.vocab, sym >= VOCAB))
+                n_known = np.diff(np.searchsorted(known, bounds))
+                log_counts = _sums(logs[rank[known]], np.searchsorted(known, bounds))
+                in_shapes = (_sums(logs[rank[in_shape]], np.searchsorted(in_shape, bounds))
+                             - _sums(lex.log_share[sym[other] - VOCAB], np.searchsorted(other, bounds)))
+                unknown, cut = words.take(pa.array(word[rare])).to_pylist(), np.searchsorted(rare, bounds).tolist()
+                ends, rare_words, times = [0], [], []
+                for i, j in zip(cut, cut[1:]):
+                    of_text = Counter(unknown[i:j])
+                    rare_words += of_text
+                    times += of_text.values()
                     ends.append(len(times))
-                    rows.append((sym.astype(SYMBOL).tobytes(), len(toks), len(known), float(logs[known].sum()),
-                                 float(logs[in_shape].sum() - lex.log_share[other].sum())))
-                types = [pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+                syms = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, *map(pa.py_buffer, (
+                    (bounds * SYMBOL.itemsize).astype(np.int32), sym))])
                 pairs = pa.StructArray.from_arrays([pa.array(rare_words, pa.binary()), pa.array(times, pa.int64())], names=["word", "m"])
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[1:], *(pa.array(c, t) for c, t in zip(zip(*rows), types)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)],
+                    [*part.columns[1:], syms, pa.array(np.diff(bounds)), pa.array(n_known), pa.array(log_counts), pa.array(in_shapes),
+                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)],
                     names=[*b.schema.names[1:], "sym", "n_tokens", "n_known", "log_counts", "in_shape", "rare"])
     return run
 
