@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from lakeshore.llm import substrings as S
 
@@ -60,3 +61,33 @@ def test_pooled_rows_settle_repeats_of_the_batch():
 
 def test_empty_table(spark):
     assert S.remove_repeats(documents(spark, ["x"]).limit(0)).count() == 0
+
+
+def test_hashes_cross_the_shuffle_packed():
+    """Two files' scans: a row a bucket, not a row a hash; what repeats is found wherever batches end, also at far rows and positions."""
+    rng = np.random.default_rng(5)
+    h = rng.integers(0, 1 << 64, 9000, np.uint64)
+    far = np.arange(9000) * 30  # positions beyond 16 bits
+    twice = np.concatenate([h[:500], h[:4]])
+    scans = [[(-7, 60_000, h, np.zeros(9000, np.int32), far)],
+             [(8, 5, h[8000:], np.zeros(1000, np.int32), np.arange(1000)), (8, 5 + S.SPAN - 1, twice + np.uint64(1), np.zeros(504, np.int32), np.arange(504))],
+             [(9, 0, h[:10], np.ones(10, np.int32), np.arange(10))]]  # the other half of the hash differs
+    batches = [b for held in scans for b in S.packed(held, 16)]
+    assert sum(b.num_rows for b in batches) < 60
+    table = pa.Table.from_batches(batches).sort_by("bucket")
+    want = {(-7, 60_000, p) for p in far[8000:].tolist()} | {(8, 5, p) for p in range(1000)} | {(8, 5 + S.SPAN - 1, p) for p in (0, 1, 2, 3, 500, 501, 502, 503)}
+    for size in (1, 7, 1000):
+        got = set()
+        for b in S._runs(iter(table.to_batches(max_chunksize=size))):
+            for file, block, *cols in zip(*(c.to_pylist() for c in b.columns)):
+                row, low, high = (np.frombuffer(c, np.uint16).astype(int) for c in cols)
+                got |= {(file, r, p) for r, p in zip((block * S.BLOCK + row).tolist(), (high << 16 | low).tolist())}
+        assert got == want
+
+
+def test_packs_end_anywhere(spark, monkeypatch):
+    texts = made_texts() * 2 + ["x y"] + made_texts()[:9]
+    monkeypatch.setattr(S, "PACK", 40)
+    monkeypatch.setattr(S, "SPAN", 5)
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in S.remove_repeats(documents(spark, texts).coalesce(2)).collect()}
+    assert [got[i] for i in range(len(texts))] == brute(texts)
